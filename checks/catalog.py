@@ -40,6 +40,8 @@ from faultsift.streaming.intake import start_first_arrivals, start_triage
 
 DAYS = 30
 
+STAGED = "id STRING, root_cause_hash STRING, timestamp TIMESTAMP, error_message STRING"
+
 
 class Inputs:
     """The triage inputs of one data directory, and the steps over them."""
@@ -277,12 +279,16 @@ def endpoint_wanted(t: Inputs) -> DataFrame:
 
 
 def ledger_upsert(t: Inputs) -> DataFrame:
-    """Two ledger runs, written and read back."""
-    path = work_folder(t.spark, "ledger")
+    """Two ledger runs, written and read back, over staged incidents."""
+    folder = work_folder(t.spark, "ledger")
+    columns = ["id", "root_cause_hash", "timestamp", "error_message"]
+    t.unique.select(*columns).write.parquet(f"{folder}/incidents")
+    incidents = t.spark.read.schema(STAGED).parquet(f"{folder}/incidents")
+    path = f"{folder}/ledger"
     init_ledger(t.spark, path)
-    append_ledger(t.ledger, path, run=1)
+    append_ledger(derived.ledger(incidents), path, run=1)
     solved = read_ledger(t.spark, path)
-    posted = ledger.solved_rows(derived.posted_issues(t.unique), solved, t.as_of)
+    posted = ledger.solved_rows(derived.posted_issues(incidents), solved, t.as_of)
     append_ledger(posted, path, run=2)
     return show_ledger(read_ledger(t.spark, path))
 

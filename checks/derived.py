@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faultsift.operators.payloads import once
 from faultsift.schemas import INVESTIGATION_COLUMNS
 
 EVENTS = """
@@ -91,13 +92,10 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def investigations(events: DataFrame) -> DataFrame:
     is_error = F.col("event_type") == "error"
-    rows = events.withColumns(
-        {
-            "k": F.get_json_object("props", "$.k").cast("int"),
-            "f1": F.expr(FUNCTION),
-            "timestamp": F.col("ts").cast("timestamp"),
-        }
-    ).withColumn("msg", F.expr(MESSAGE))
+    # Evaluated once per row, as if it were a stored column.
+    rows = once(events, "k", F.get_json_object("props", "$.k").cast("int"))
+    rows = rows.withColumns({"f1": F.expr(FUNCTION), "timestamp": F.col("ts").cast("timestamp")})
+    rows = once(rows, "msg", F.expr(MESSAGE))
     exceptions = F.array(
         F.struct(F.col("msg").alias("message"), F.array("f1").alias("functions"))
     )

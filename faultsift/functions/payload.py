@@ -11,23 +11,30 @@ STACK_FIELDS = ("stack_trace", "stackTrace")
 CONTEXT_FIELD = "context"
 
 
-def document(body: Column) -> Column:
-    """``body`` as a VARIANT, NULL when it is not one whole non-null JSON document.
+def _seal(body: Column) -> Column:
+    return F.xxhash64(body)
 
-    The parser stops at the end of the first value, so ``{} xyz`` would pass.
-    Putting the body in an array before a number taken from its own hash makes
-    anything but a single value move or lose that number.
+
+def sealed_document(body: Column) -> Column:
+    """VARIANT array of the body's value and a number taken from its hash.
+
+    The parser stops at the end of the first value, so ``{} xyz`` would pass by
+    itself. In front of that number, anything but one whole value moves or
+    loses the number.
     """
-    seal = F.xxhash64(body)
-    sealed = F.try_parse_json(
-        F.concat(F.lit("["), body, F.lit(","), seal.cast("string"), F.lit("]"))
+    return F.try_parse_json(
+        F.concat(F.lit("["), body, F.lit(","), _seal(body).cast("string"), F.lit("]"))
     )
+
+
+def document(sealed: Column, body: Column) -> Column:
+    """The document, NULL when the body is not one whole non-null JSON value."""
     value = F.try_variant_get(sealed, "$[0]", "variant")
-    whole = F.try_variant_get(sealed, "$[1]", "bigint") == seal
+    whole = F.try_variant_get(sealed, "$[1]", "bigint") == _seal(body)
     return F.when(whole & ~F.is_variant_null(value), value)
 
 
-def _field(doc: Column, name: str) -> Column:
+def field(doc: Column, name: str) -> Column:
     return F.try_variant_get(doc, f"$.{name}", "variant")
 
 
@@ -45,9 +52,9 @@ def _truthy(value: Column) -> Column:
     return F.when(~falsy, value)
 
 
-def first_truthy(doc: Column, names: tuple[str, ...]) -> Column:
-    """First truthy field of ``doc`` among ``names``, as a VARIANT."""
-    return F.coalesce(*[_truthy(_field(doc, name)) for name in names])
+def first_truthy(values: list[Column]) -> Column:
+    """The first truthy VARIANT, NULL when there is none."""
+    return F.coalesce(*[_truthy(value) for value in values])
 
 
 def is_text_or_absent(value: Column) -> Column:
@@ -61,4 +68,4 @@ def text_or_empty(value: Column) -> Column:
 
 def payload_context(doc: Column) -> Column:
     """The document's context field, else the whole document, as a VARIANT."""
-    return F.coalesce(_truthy(_field(doc, CONTEXT_FIELD)), doc)
+    return F.coalesce(_truthy(field(doc, CONTEXT_FIELD)), doc)

@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Pointer scheme and the scheme of the file system reading it.
+POINTER_SCHEME = "s3://"
+URI_SCHEME = "s3a://"
+
+
 def storage_uri(pointer: Column) -> Column:
     """``s3://`` or virtual-host ``https://`` pointer to one ``s3a://`` form.
 
@@ -15,9 +20,9 @@ def storage_uri(pointer: Column) -> Column:
     path = F.try_parse_url(pointer, F.lit("PATH"))
     bucket = F.split_part(F.lower(host), F.lit("."), F.lit(1))
     return F.when(
-        F.startswith(pointer, F.lit("s3://")),
-        F.concat(F.lit("s3a://"), F.substr(pointer, F.lit(6))),
-    ).otherwise(F.concat(F.lit("s3a://"), bucket, F.lit("/"), F.substr(path, F.lit(2))))
+        F.startswith(pointer, F.lit(POINTER_SCHEME)),
+        F.concat(F.lit(URI_SCHEME), F.substr(pointer, F.lit(len(POINTER_SCHEME) + 1))),
+    ).otherwise(F.concat(F.lit(URI_SCHEME), bucket, F.lit("/"), F.substr(path, F.lit(2))))
 
 
 def listed_uri(file_path: Column) -> Column:

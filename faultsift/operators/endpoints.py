@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultsift.operators.joins import broadcast_capped, is_bounded, salted_join
+from faultsift.operators.joins import broadcast_capped, is_bounded, splittable_join
 from faultsift.schemas import ENDPOINT_KEY
 
 # Fixed value: path of an endpoint that never had one.
@@ -63,16 +63,12 @@ def wanted_versions(
     wanted = wanted_endpoints(incidents)
     if is_bounded(cap):
         return versions.join(broadcast_capped(wanted, cap), ENDPOINT_KEY, "left_semi")
-    return salted_join(versions, wanted, ENDPOINT_KEY, "left_semi", F.col("ver"))
+    return splittable_join(versions, wanted, ENDPOINT_KEY, "left_semi")
 
 
 def enrich(incidents: DataFrame, info: DataFrame) -> DataFrame:
-    """Attach path and methods; both stay NULL for an unknown endpoint.
-
-    Incidents of one endpoint are spread over several tasks. Spark broadcasts
-    ``info`` by itself when its size allows.
-    """
-    return salted_join(incidents, info, ENDPOINT_KEY, "left", F.col("root_cause_hash"))
+    """Attach path and methods; both stay NULL for an unknown endpoint."""
+    return splittable_join(incidents, info, ENDPOINT_KEY, "left")
 
 
 def incidents_by_account_env(incidents: DataFrame) -> DataFrame:

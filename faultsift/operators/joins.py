@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A capped side is broadcast only up to this many rows.
 BROADCAST_ROWS = 10_000
 
-SALTS = 32
-
 
 def is_bounded(cap: int | None) -> bool:
     return cap is not None and cap <= BROADCAST_ROWS
@@ -24,23 +22,16 @@ def broadcast_capped(rows: DataFrame, cap: int | None) -> DataFrame:
     return F.broadcast(rows) if is_bounded(cap) else rows
 
 
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str,
-    spread: Column,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Equi-join that splits each key of ``left`` over ``salts`` tasks.
+def splittable_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Equi-join in which AQE may split a key that fills ``left``.
 
-    ``right`` (small per key) is repeated once per salt; ``spread`` is a stable
-    value that differs between left rows of one key. Keeps the semantics of
-    inner, left, left_semi and left_anti joins, which all decide per left row.
+    AQE splits a skewed partition only between two exchanges made for the join.
+    A ``right`` that was just aggregated by ``keys`` would be joined without
+    one; the hash as a further key column asks for it.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"salted join cannot be {how!r}")
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-    every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    repeated = right.withColumn("_salt", F.explode(every))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    key_hash = F.xxhash64(*keys)
+    return (
+        left.withColumn("_key", key_hash)
+        .join(right.withColumn("_key", key_hash), [*keys, "_key"], how)
+        .drop("_key")
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultsift.functions.fingerprint import root_cause_hash, throwing_functions
@@ -10,12 +10,14 @@ from faultsift.functions.payload import (
     MESSAGE_FIELDS,
     STACK_FIELDS,
     document,
+    field,
     first_truthy,
     is_text_or_absent,
     payload_context,
+    sealed_document,
     text_or_empty,
 )
-from faultsift.functions.pointers import storage_uri, uri_bucket
+from faultsift.functions.pointers import URI_SCHEME, storage_uri, uri_bucket
 from faultsift.operators.joins import broadcast_capped, is_bounded
 from faultsift.schemas import INCIDENT_COLUMNS
 
@@ -39,7 +41,9 @@ def join_payloads(
     many candidates. ``buckets`` is the bucket count of a landed payload table;
     with broadcast candidates only the buckets they name are read.
     """
-    keyed = with_uri(candidates)
+    # Drops pointers that are no URL. As a selective predicate it also makes the
+    # planner consider pruning the payload buckets.
+    keyed = with_uri(candidates).where(F.startswith("obj_uri", F.lit(URI_SCHEME)))
     keys = ["obj_uri"]
     if buckets is not None:
         keyed = keyed.withColumn("uri_bucket", uri_bucket(F.col("obj_uri"), buckets))
@@ -69,49 +73,56 @@ def left_join_payloads(
     return keyed.join(objects, "_uri", "left").drop("_uri")
 
 
-def with_document(joined: DataFrame) -> DataFrame:
-    """Parse the body once and take its message and stack as VARIANTs.
+def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column so that it is evaluated once per row.
 
-    ``explode`` of a one-element array keeps the parse in one place: Catalyst
-    does not copy the expression into filters pushed below it.
+    Catalyst copies an expression into every filter it pushes below it; it does
+    not push filters on a generated column below the ``explode``.
     """
-    parsed = joined.withColumn("doc", F.explode(F.array(document(F.col("body")))))
-    return parsed.select(
-        "*",
-        first_truthy(F.col("doc"), MESSAGE_FIELDS).alias("doc_message"),
-        first_truthy(F.col("doc"), STACK_FIELDS).alias("doc_stack"),
-    )
+    return rows.withColumn(name, F.explode(F.array(value)))
+
+
+def with_document(joined: DataFrame) -> DataFrame:
+    """Parse each body once and add the document as a VARIANT, NULL if malformed."""
+    parsed = once(joined, "sealed", sealed_document(F.col("body")))
+    return parsed.withColumn("doc", document(F.col("sealed"), F.col("body"))).drop("sealed")
 
 
 def with_outcome(joined: DataFrame) -> DataFrame:
     """Add ``outcome``, ``payload_message`` and ``payload_stack``; drop the body."""
-    textual = is_text_or_absent(F.col("doc_message")) & is_text_or_absent(F.col("doc_stack"))
+    names = [*MESSAGE_FIELDS, *STACK_FIELDS]
+    fields = {name: field(F.col("doc"), name).alias(name) for name in names}
+    rows = with_document(joined).select(
+        "*", F.col("doc").isNotNull().alias("parsed"), F.struct(*fields.values()).alias("raw")
+    )
+    chosen = F.struct(
+        first_truthy([F.col(f"raw.{name}") for name in MESSAGE_FIELDS]).alias("message"),
+        first_truthy([F.col(f"raw.{name}") for name in STACK_FIELDS]).alias("stack"),
+    )
+    rows = once(rows, "chosen", chosen)
+    message, stack = F.col("chosen.message"), F.col("chosen.stack")
     outcome = (
         F.when(F.col("body").isNull(), MISSING)
-        .when(F.col("doc").isNull(), INVALID)
-        .when(~textual, NON_STRING)
+        .when(~F.col("parsed"), INVALID)
+        .when(~is_text_or_absent(message) | ~is_text_or_absent(stack), NON_STRING)
         .otherwise(OK)
     )
-    return (
-        with_document(joined)
-        .withColumns(
-            {
-                "outcome": outcome,
-                "payload_message": text_or_empty(F.col("doc_message")),
-                "payload_stack": text_or_empty(F.col("doc_stack")),
-            }
-        )
-        .drop("body", "doc", "doc_message", "doc_stack")
-    )
+    return rows.withColumns(
+        {
+            "outcome": outcome,
+            "payload_message": text_or_empty(message),
+            "payload_stack": text_or_empty(stack),
+        }
+    ).drop("body", "doc", "parsed", "raw", "chosen")
 
 
 def with_context(joined: DataFrame) -> DataFrame:
     """Add the payload context as a VARIANT; rows without a document are dropped."""
     return (
         with_document(joined)
-        .where(F.col("doc").isNotNull())
         .withColumn("context", payload_context(F.col("doc")))
-        .drop("body", "doc", "doc_message", "doc_stack")
+        .where(F.col("context").isNotNull())
+        .drop("body", "doc")
     )
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from faultsift.operators.filters import NOISE, actionable, positive_days
-from faultsift.operators.joins import SALTS
 from faultsift.operators.payloads import (
     join_payloads,
     to_incidents,
@@ -20,6 +19,8 @@ from faultsift.operators.ranking import newest, newest_per_key
 from faultsift.plans.run import run_triage
 from faultsift.plans.triage import slim
 
+SALTS = 32
+
 
 def intake(stream: DataFrame, noise: tuple[str, ...] = NOISE) -> DataFrame:
     """Actionable investigations in slim form; stateless."""

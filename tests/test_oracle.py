@@ -8,6 +8,8 @@ import pytest
 from checks.catalog import all_queries
 from checks.oracle import ORACLES
 
+TYPES = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int"}
+
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -36,6 +38,8 @@ def test_matches_sql(spark, duck, name):
     result = all_queries()[name](spark, SF_DIR)
     expected = duck.execute(ORACLES[name])
     columns = [column[0] for column in expected.description]
+    types = {column[0]: TYPES[str(column[1])] for column in expected.description}
+    assert types == dict(result.dtypes)
     want = as_set(columns, expected.fetchall())
     got = as_set(result.columns, [tuple(row) for row in result.collect()])
     assert got[0] == want[0]

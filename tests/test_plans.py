@@ -1,0 +1,160 @@
+"""Physical plans: pruning, limits on both sides of exchanges, no Python nodes."""
+
+import contextlib
+import io
+import re
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks.catalog import all_queries
+from faultsift.operators import endpoints
+from faultsift.operators.payloads import join_payloads, left_join_payloads
+from faultsift.plans import triage
+from faultsift.schemas import CANDIDATES, ENDPOINT_VERSIONS, LEDGER, PAYLOADS
+from faultsift.sources.investigations import read_investigations
+from tests.builders import investigation, investigations
+
+SF_DIR = "/root/testdata/sf0.001"
+AS_OF = datetime(2024, 1, 30, tzinfo=timezone.utc)
+
+
+def plan(frame, mode="simple"):
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        frame.explain(mode)
+    return shown.getvalue()
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Empty stored tables, so that plans show scans instead of local rows."""
+    root = tmp_path_factory.mktemp("tables")
+    inv = investigations(spark, [investigation(1)]).withColumn("day", F.to_date("timestamp"))
+    inv.write.partitionBy("day").parquet(f"{root}/inv")
+    schemas = {
+        "payloads": PAYLOADS, "versions": ENDPOINT_VERSIONS, "ledger": LEDGER, "found": CANDIDATES,
+    }
+    found = {"inv": read_investigations(spark, f"{root}/inv", "day")}
+    for name, schema in schemas.items():
+        spark.createDataFrame([], schema).write.parquet(f"{root}/{name}")
+        found[name] = spark.read.schema(schema).parquet(f"{root}/{name}")
+    return found
+
+
+@pytest.fixture
+def big(spark):
+    """No static broadcasts, as with tables beyond the threshold."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for key in keys:
+        spark.conf.set(key, "-1")
+    yield
+    for key in keys:
+        spark.conf.unset(key)
+
+
+def candidates(tables, cap):
+    return triage.candidates(tables["inv"], 3, AS_OF, cap, date_column="day")
+
+
+def test_scan_is_pruned(tables):
+    text = plan(candidates(tables, None), "formatted")
+    assert re.search(r"PartitionFilters: \[[^\]]*day#\d+ >= 2024-01-27", text)
+    assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(timestamp,2024-01-27 00:00", text)
+    schema = re.search(r"ReadSchema: (.*)", text).group(1)
+    assert "exceptions_data:array<struct<message:string>>" in schema
+    assert "flow_type" not in schema and "enriched" not in schema and "version" not in schema
+
+
+def test_newest_per_key_limits_before_the_exchange(tables):
+    text = plan(candidates(tables, None))
+    assert text.count("WindowGroupLimit") == 2
+    assert text.index("Final") < text.index("Exchange hashpartitioning") < text.index("Partial")
+    assert "TakeOrderedAndProject(limit=500" in plan(candidates(tables, 500))
+
+
+def test_capped_candidates_are_broadcast_and_others_are_not(tables, big):
+    capped = plan(join_payloads(candidates(tables, 500), tables["payloads"], 500))
+    assert "BroadcastHashJoin" in capped and "SortMergeJoin" not in capped
+    for cap in (None, 1_000_000):
+        text = plan(join_payloads(candidates(tables, cap), tables["payloads"], cap))
+        assert "Broadcast" not in text and "SortMergeJoin" in text
+
+
+def test_ledger_check_reuses_the_partitioning_by_fingerprint(tables, big):
+    unique = triage.distinct_incidents(candidates(tables, None), tables["payloads"], None)
+    fresh = triage.unsolved(unique, tables["ledger"])
+    text = plan(fresh)
+    assert "LeftAnti" in text
+    by_hash = re.findall(r"Exchange hashpartitioning\(root_cause_hash", text)
+    assert len(by_hash) == 2  # incidents for the window, and the ledger
+
+
+def test_payload_is_parsed_once(tables):
+    text = plan(triage.distinct_incidents(candidates(tables, None), tables["payloads"], None))
+    assert text.count("parseJson") == 1
+
+
+@pytest.mark.parametrize("name", sorted(set(all_queries()) - {"ledger_upsert"}))
+def test_no_python_in_plans(spark, name):
+    if name.startswith("stream"):
+        pytest.skip("runs a stream")
+    text = plan(all_queries()[name](spark, SF_DIR))
+    assert not re.search(r"Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", text)
+
+
+@pytest.fixture
+def eager_skew(spark):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def hot(spark, count=6000):
+    """Rows of which a third share one endpoint, pointer and account."""
+    number = F.col("id")
+    is_hot = number % 3 == 0
+    return spark.range(0, count, 1, 6).select(
+        F.concat(F.lit("s-"), number).alias("session_id"),
+        F.concat(F.lit("svc-"), number % 50).alias("service_name"),
+        F.lit("ep").alias("endpoint_uuid"),
+        F.when(is_hot, 0).otherwise(number).cast("bigint").alias("endpoint_id"),
+        F.lit("acct").alias("account_id"), F.lit("prod").alias("environment_name"),
+        F.concat(F.lit("s3://b/"), F.when(is_hot, 0).otherwise(number)).alias("s3_pointer"),
+        F.timestamp_seconds(number).alias("timestamp"),
+        F.sha2(number.cast("string"), 512).alias("first_message"),
+        F.array(F.lit("f")).alias("function_names"),
+    )
+
+
+def test_hot_payload_is_split(spark, big, eager_skew):
+    objects = spark.range(0, 6000, 1, 6).select(
+        F.concat(F.lit("s3a://b/"), "id").alias("obj_uri"), F.lit("{}").alias("body")
+    )
+    for join in (join_payloads, left_join_payloads):
+        joined = join(hot(spark), objects)
+        rows = joined.collect()
+        assert len(rows) == 6000
+        assert "skew=true" in plan(joined)
+
+
+def test_hot_endpoint_is_split(spark, big, eager_skew):
+    versions = spark.range(0, 6000, 1, 6).select(
+        F.lit("acct").alias("account_id"), F.lit("prod").alias("environment_name"),
+        F.col("id").alias("endpoint_id"), F.lit(1).cast("bigint").alias("ver"),
+        F.concat(F.lit("/"), "id").alias("path"), F.array(F.lit("GET")).alias("methods"),
+    )
+    info = endpoints.endpoint_info(endpoints.endpoint_states(versions))
+    enriched = endpoints.enrich(hot(spark), info)
+    rows = enriched.collect()
+    assert len(rows) == 6000 and all(row.endpoint_path is not None for row in rows)
+    assert "skew=true" in plan(enriched)
