@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultsift.operators.joins import broadcast_capped, is_bounded, splittable_join
+from faultsift.operators.joins import broadcast_capped, is_bounded, hashed_join
 from faultsift.schemas import ENDPOINT_KEY
 
 # Fixed value: path of an endpoint that never had one.
@@ -63,12 +63,28 @@ def wanted_versions(
     wanted = wanted_endpoints(incidents)
     if is_bounded(cap):
         return versions.join(broadcast_capped(wanted, cap), ENDPOINT_KEY, "left_semi")
-    return splittable_join(versions, wanted, ENDPOINT_KEY, "left_semi")
+    return hashed_join(versions, wanted, ENDPOINT_KEY, "left_semi")
+
+
+def endpoints_by_id(
+    versions: DataFrame, account_id: str, environment_name: str, endpoint_ids: list[int]
+) -> DataFrame:
+    """Path and methods of given endpoints; no ids give no rows."""
+    chosen = versions.where(
+        (F.col("account_id") == account_id)
+        & (F.col("environment_name") == environment_name)
+        & F.col("endpoint_id").isin(endpoint_ids)
+    )
+    return endpoint_info(endpoint_states(chosen)).select(
+        F.col("endpoint_id").alias("id"),
+        F.col("endpoint_path").alias("path"),
+        F.col("endpoint_methods").alias("methods"),
+    )
 
 
 def enrich(incidents: DataFrame, info: DataFrame) -> DataFrame:
     """Attach path and methods; both stay NULL for an unknown endpoint."""
-    return splittable_join(incidents, info, ENDPOINT_KEY, "left")
+    return hashed_join(incidents, info, ENDPOINT_KEY, "left")
 
 
 def incidents_by_account_env(incidents: DataFrame) -> DataFrame:

@@ -22,16 +22,16 @@ def broadcast_capped(rows: DataFrame, cap: int | None) -> DataFrame:
     return F.broadcast(rows) if is_bounded(cap) else rows
 
 
-def splittable_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Equi-join in which AQE may split a key that fills ``left``.
+def hashed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Equi-join led by a hash of its keys, for large or skewed sides.
 
-    AQE splits a skewed partition only between two exchanges made for the join.
-    A ``right`` that was just aggregated by ``keys`` would be joined without
-    one; the hash as a further key column asks for it.
+    Sorting compares the hashes and not long keys with equal beginnings. And a
+    side that was just aggregated by ``keys`` gets an exchange of its own: AQE
+    splits a hot key only between two exchanges made for the join.
     """
     key_hash = F.xxhash64(*keys)
     return (
-        left.withColumn("_key", key_hash)
-        .join(right.withColumn("_key", key_hash), [*keys, "_key"], how)
-        .drop("_key")
+        left.withColumn("_hash", key_hash)
+        .join(right.withColumn("_hash", key_hash), ["_hash", *keys], how)
+        .drop("_hash")
     )

@@ -18,7 +18,7 @@ from faultsift.functions.payload import (
     text_or_empty,
 )
 from faultsift.functions.pointers import URI_SCHEME, storage_uri, uri_bucket
-from faultsift.operators.joins import broadcast_capped, is_bounded
+from faultsift.operators.joins import broadcast_capped, hashed_join, is_bounded
 from faultsift.schemas import INCIDENT_COLUMNS
 
 OK, MISSING, INVALID, NON_STRING = "ok", "missing", "invalid", "non_string"
@@ -28,29 +28,35 @@ def with_uri(candidates: DataFrame) -> DataFrame:
     return candidates.withColumn("obj_uri", storage_uri(F.col("s3_pointer")))
 
 
+def _keyed(candidates: DataFrame, buckets: int | None) -> tuple[DataFrame, list[str]]:
+    """Candidates that have a URI, and the columns that find its object.
+
+    The filter drops pointers that are no URL. As a selective predicate it also
+    makes the planner consider pruning the payload buckets.
+    """
+    keyed = with_uri(candidates).where(F.startswith("obj_uri", F.lit(URI_SCHEME)))
+    if buckets is None:
+        return keyed, ["obj_uri"]
+    bucket = uri_bucket(F.col("obj_uri"), buckets)
+    return keyed.withColumn("uri_bucket", bucket), ["uri_bucket", "obj_uri"]
+
+
 def join_payloads(
     candidates: DataFrame,
     payloads: DataFrame,
     cap: int | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
-    """Inner join of candidates and payloads on the object URI.
+    """Inner join of candidates and payloads (unique by URI) on the object URI.
 
     A capped candidate set is broadcast and the payloads stream past it;
     otherwise both sides shuffle by URI and AQE splits a URI shared by very
     many candidates. ``buckets`` is the bucket count of a landed payload table;
     with broadcast candidates only the buckets they name are read.
     """
-    # Drops pointers that are no URL. As a selective predicate it also makes the
-    # planner consider pruning the payload buckets.
-    keyed = with_uri(candidates).where(F.startswith("obj_uri", F.lit(URI_SCHEME)))
-    keys = ["obj_uri"]
-    if buckets is not None:
-        keyed = keyed.withColumn("uri_bucket", uri_bucket(F.col("obj_uri"), buckets))
-        keys = ["uri_bucket", "obj_uri"]
-    return payloads.join(broadcast_capped(keyed, cap), keys, "inner").select(
-        *keyed.columns, "body"
-    )
+    keyed, keys = _keyed(candidates, buckets)
+    joined = hashed_join(payloads, broadcast_capped(keyed, cap), keys, "inner")
+    return joined.select(*candidates.columns, "obj_uri", "body")
 
 
 def left_join_payloads(
@@ -61,16 +67,18 @@ def left_join_payloads(
 ) -> DataFrame:
     """Every candidate with its payload body, NULL when the object is missing."""
     if is_bounded(cap):
-        found = join_payloads(candidates, payloads, cap, buckets)
-        found = found.select("session_id", "body")
-        return with_uri(candidates).join(found, "session_id", "left")
+        # The side to keep cannot be broadcast: pick its payloads first.
+        keyed, keys = _keyed(candidates, buckets)
+        wanted = broadcast_capped(keyed.select(*keys), cap)
+        found = hashed_join(payloads, wanted, keys, "left_semi").select("obj_uri", "body")
+        return hashed_join(with_uri(candidates), found, ["obj_uri"], "left")
     # NULL URIs match nothing, but would all be shuffled to one task; a key of
     # their own spreads them.
     keyed = with_uri(candidates).withColumn(
         "_uri", F.coalesce("obj_uri", F.concat(F.lit("none:"), "session_id"))
     )
     objects = payloads.select(F.col("obj_uri").alias("_uri"), "body")
-    return keyed.join(objects, "_uri", "left").drop("_uri")
+    return hashed_join(keyed, objects, ["_uri"], "left").drop("_uri")
 
 
 def once(rows: DataFrame, name: str, value: Column) -> DataFrame:

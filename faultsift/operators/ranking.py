@@ -22,22 +22,35 @@ def dedup_key(message: Column | None = None) -> Column:
     return F.concat_ws("|", *[F.coalesce(part, F.lit("")) for part in parts])
 
 
-def newest_per(rows: DataFrame, key: Column | str, row_id: str) -> DataFrame:
-    """The newest row per ``key``; equal times are decided by ``row_id``."""
-    newest = Window.partitionBy(key).orderBy(F.desc("timestamp"), F.asc(row_id))
+def _newest_order(row_id: str) -> list[Column]:
+    """Newest first; equal times are decided by id and pointer, so a repeated
+    task gives the same rows."""
+    return [F.desc("timestamp"), F.asc(row_id), F.asc("s3_pointer")]
+
+
+def _newest_per(rows: DataFrame, keys: list[str], row_id: str) -> DataFrame:
+    newest = Window.partitionBy(*keys).orderBy(*_newest_order(row_id))
     return rows.withColumn("rn", F.row_number().over(newest)).where("rn = 1").drop("rn")
 
 
 def newest_per_key(investigations: DataFrame, message: Column | None = None) -> DataFrame:
-    return newest_per(investigations, dedup_key(message), "session_id")
+    """The newest row per dedup key (service, endpoint, first message).
+
+    A hash leads the key, so that sorting compares numbers and not long texts
+    with equal beginnings.
+    """
+    keyed = investigations.withColumn("_key", dedup_key(message))
+    keyed = keyed.withColumn("_hash", F.xxhash64("_key"))
+    return _newest_per(keyed, ["_hash", "_key"], "session_id").drop("_hash", "_key")
 
 
 def newest_per_fingerprint(incidents: DataFrame) -> DataFrame:
-    return newest_per(incidents, "root_cause_hash", "id")
+    """The newest row per root-cause fingerprint."""
+    return _newest_per(incidents, ["root_cause_hash"], "id")
 
 
 def newest_first(rows: DataFrame, row_id: str = "session_id") -> DataFrame:
-    return rows.orderBy(F.desc("timestamp"), F.asc(row_id))
+    return rows.orderBy(*_newest_order(row_id))
 
 
 def newest(rows: DataFrame, cap: int | None = DEFAULT_CAP, row_id: str = "session_id") -> DataFrame:

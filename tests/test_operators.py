@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faultsift.operators import endpoints, filters, ledger, ranking
-from faultsift.operators.joins import BROADCAST_ROWS, is_bounded, splittable_join
+from faultsift.operators.joins import BROADCAST_ROWS, is_bounded, hashed_join
 from faultsift.operators.payloads import rejects, to_incidents, with_context, with_fingerprint
 from faultsift.plans import triage
 from faultsift.plans.report import run_summary
@@ -119,6 +119,26 @@ def test_payload_cases(spark, cap):
     assert left["s-99"].obj_uri is None
 
 
+@pytest.mark.parametrize("cap", [None, 500])
+def test_sessions_and_payloads_may_repeat(spark, cap):
+    rows = [
+        investigation(1, "a", session_id="same", s3_pointer="s3://b/1.json"),
+        investigation(2, "b", session_id="same", s3_pointer="s3://b/2.json"),
+        investigation(3, "c", s3_pointer="s3://b/1.json"),
+        investigation(4, "d", session_id="same", s3_pointer="s3://b/9.json"),
+    ]
+    found = triage.slim(investigations(spark, rows))
+    objects = payloads(spark, {1: '{"message":"one"}', 2: '{"message":"two"}'})
+    result = triage.outcomes(found, objects, cap).select(
+        "first_message", "outcome", "payload_message"
+    )
+    assert sorted(tuple(row) for row in result.collect()) == [
+        ("a", "ok", "one"), ("b", "ok", "two"), ("c", "ok", "one"), ("d", "missing", "")
+    ]
+    inner = triage.incidents(found, objects, cap)
+    assert sorted(row.error_message for row in inner.collect()) == ["one", "one", "two"]
+
+
 def test_context(spark):
     bodies = {1: '{"context":{"a":1},"x":2}', 2: '{"context":"","x":2}', 3: "[1, 2]", 4: "{"}
     found = triage.slim(investigations(spark, [investigation(n) for n in bodies]))
@@ -156,6 +176,15 @@ def test_endpoint_info_skips_missing_values(spark):
     }
 
 
+def test_endpoints_by_id(spark):
+    versions = endpoint_versions(spark, VERSIONS)
+    found = endpoints.endpoints_by_id(versions, "acct", "prod", [1, 2, 99])
+    assert sorted(tuple(row) for row in found.collect()) == [
+        (1, "/new", ["GET", "POST"]), (2, "Unknown path", [])
+    ]
+    assert endpoints.endpoints_by_id(versions, "acct", "prod", []).isEmpty()
+
+
 @pytest.mark.parametrize("split", range(len(VERSIONS) + 1))
 def test_states_merge_at_any_split(spark, split):
     whole = endpoints.endpoint_states(endpoint_versions(spark, VERSIONS))
@@ -190,11 +219,11 @@ def test_enrichment(spark, cap):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_splittable_join_is_the_plain_join(spark, how):
+def test_hashed_join_is_the_plain_join(spark, how):
     left = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
     right = spark.range(3, 9).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     plain = left.join(right, ["k"], how)
-    split = splittable_join(left, right, ["k"], how)
+    split = hashed_join(left, right, ["k"], how)
     assert sorted(split.collect()) == sorted(plain.select(split.columns).collect())
 
 
