@@ -34,7 +34,7 @@ from faultsift.schemas import INCIDENT_COLUMNS, LEDGER_COLUMNS
 from faultsift.session import configure, work_folder
 from faultsift.sources.drafts import DRAFTS, issue_drafts
 from faultsift.sources.investigations import decode_lines
-from faultsift.sources.ledger import append_ledger, init_ledger, read_ledger
+from faultsift.sources.ledger import append_ledger, init_ledger, read_ledger, read_ledger_log
 from faultsift.sources.runs import read_runs
 from faultsift.streaming.intake import start_first_arrivals, start_triage
 
@@ -287,7 +287,7 @@ def ledger_upsert(t: Inputs) -> DataFrame:
     path = f"{folder}/ledger"
     init_ledger(t.spark, path)
     append_ledger(derived.ledger(incidents), path, run=1)
-    solved = read_ledger(t.spark, path)
+    solved = read_ledger_log(t.spark, path)
     posted = ledger.solved_rows(derived.posted_issues(incidents), solved, t.as_of)
     append_ledger(posted, path, run=2)
     return show_ledger(read_ledger(t.spark, path))

@@ -19,7 +19,7 @@ def run_summary(
     incident counts as created.
     """
     per_hash = fingerprinted.groupBy(HASH).agg(F.count("*").alias("n"))
-    solved = ledger.select(HASH, F.lit(True).alias("solved"))
+    solved = ledger.select(HASH).distinct().withColumn("solved", F.lit(True))
     flagged = per_hash.join(solved, HASH, "left")
     if approvals is None:
         flagged = flagged.withColumn("approved", F.lit(True))

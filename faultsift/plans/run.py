@@ -27,7 +27,7 @@ from faultsift.plans.report import run_summary
 from faultsift.plans.triage import outcomes
 from faultsift.schemas import CANDIDATES, OUTCOMES
 from faultsift.sources.drafts import DRAFTS, issue_drafts
-from faultsift.sources.ledger import append_ledger, init_ledger, read_ledger
+from faultsift.sources.ledger import append_ledger, init_ledger, read_ledger_log
 from faultsift.sources.runs import read_run, write_run
 
 
@@ -61,7 +61,7 @@ def run_triage(
     processed = read_run(spark, OUTCOMES, f"{out}/outcomes", run)
 
     init_ledger(spark, ledger_path)
-    ledger = read_ledger(spark, ledger_path, before=run)
+    ledger = read_ledger_log(spark, ledger_path, before=run)
     fresh = unsolved(newest_per_fingerprint(to_incidents(processed)), ledger)
     if approvals is not None:
         fresh = approved(fresh, approvals)

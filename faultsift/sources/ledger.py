@@ -13,10 +13,18 @@ def init_ledger(spark: SparkSession, path: str) -> None:
     create_if_absent(spark, LEDGER, path)
 
 
+def read_ledger_log(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """All rows ever written, replaced ones included.
+
+    Enough to look fingerprints up and to find the last id, and cheaper than
+    the current ledger.
+    """
+    return read_runs(spark, LEDGER, path, before).select(*LEDGER_COLUMNS)
+
+
 def read_ledger(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
     """Current ledger: the newest row per fingerprint."""
-    rows = read_runs(spark, LEDGER, path, before)
-    return latest_per_hash(rows.select(*LEDGER_COLUMNS))
+    return latest_per_hash(read_ledger_log(spark, path, before))
 
 
 def append_ledger(rows: DataFrame, path: str, run: int) -> None:

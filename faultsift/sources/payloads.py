@@ -25,13 +25,14 @@ def read_payload_objects(spark: SparkSession, prefix: str) -> DataFrame:
 def land_payloads(payloads: DataFrame, path: str, buckets: int) -> None:
     """Write payloads as a table partitioned by a hash of their URI.
 
-    Files are sorted by URI. A capped lookup then reads only the buckets its
-    candidates fall in (dynamic partition pruning).
+    A capped lookup then reads only the buckets its candidates fall in (dynamic
+    partition pruning). Rebalancing gives large buckets several files of the
+    advisory size; each is sorted by URI.
     """
     (
         payloads.select("obj_uri", "body")
         .withColumn("uri_bucket", uri_bucket(F.col("obj_uri"), buckets))
-        .repartition("uri_bucket")
+        .hint("rebalance", F.col("uri_bucket"))
         .sortWithinPartitions("uri_bucket", "obj_uri")
         .write.mode("overwrite")
         .partitionBy("uri_bucket")

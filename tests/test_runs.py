@@ -147,3 +147,48 @@ def test_first_arrivals_across_batches(spark, tmp_path):
         ).awaitTermination()
     found = spark.read.parquet(f"{folder}/out")
     assert sorted(row.error_message for row in found.collect()) == ["cold", "hot"]
+
+
+def test_late_arrivals_are_dropped_and_old_causes_forgotten(spark, tmp_path):
+    source, folder = str(tmp_path / "in"), str(tmp_path)
+    everything = objects(spark, range(10))
+    day = 24 * 60
+    batches = [
+        [investigation(0, "first", minutes=0)],
+        [investigation(1, "first", minutes=day), investigation(2, "second", minutes=9 * day)],
+        [investigation(3, "third", minutes=day)],
+        [investigation(4, "first", minutes=10 * day)],
+    ]
+    for batch in batches:
+        investigations(spark, batch).coalesce(1).write.mode("append").parquet(source)
+        start_first_arrivals(
+            stream_of(spark, source), everything, 2, f"{folder}/out", f"{folder}/checkpoint"
+        ).awaitTermination()
+    found = sorted((row.error_message, row.id) for row in spark.read.parquet(f"{folder}/out").collect())
+    assert found == [("first", "s-0"), ("first", "s-4"), ("second", "s-2")]
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    """A batch run again after its outputs were written, as after a lost driver."""
+    source, folder = str(tmp_path / "in"), str(tmp_path)
+    everything = objects(spark, range(20))
+
+    def stream():
+        start_triage(
+            stream_of(spark, source), lambda: everything, lambda: endpoint_versions(spark),
+            f"{folder}/out", f"{folder}/ledger", f"{folder}/checkpoint",
+        ).awaitTermination()
+
+    for batch in (rows(range(0, 4)), rows(range(2, 8))):
+        investigations(spark, batch).coalesce(1).write.mode("append").parquet(source)
+        stream()
+    before = drafted(spark, f"{folder}/out")
+    ledger = sorted(row.id for row in read_ledger(spark, f"{folder}/ledger").collect())
+    commit = tmp_path / "checkpoint" / "commits" / "1"
+    assert commit.exists()
+    commit.unlink()
+    (commit.parent / ".1.crc").unlink(missing_ok=True)
+    stream()
+    assert commit.exists()
+    assert drafted(spark, f"{folder}/out") == before
+    assert sorted(row.id for row in read_ledger(spark, f"{folder}/ledger").collect()) == ledger
