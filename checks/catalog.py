@@ -137,6 +137,7 @@ def show_investigations(rows: DataFrame) -> DataFrame:
         "environment_name", "service_id", "service_name", "endpoint_id", "endpoint_uuid",
         "flow_type", "version", "s3_pointer",
     ]
+    first_functions = F.get(F.col("exceptions_data.functions"), F.lit(0))
     total = F.aggregate(
         F.map_values("function_ids"), F.lit(0).cast("bigint"), lambda acc, x: acc + x
     )
@@ -145,10 +146,10 @@ def show_investigations(rows: DataFrame) -> DataFrame:
         *scalars,
         time_text("timestamp").alias("ts"),
         first_message().alias("first_message"),
-        F.array_join(F.get(F.col("exceptions_data.functions"), F.lit(0)), ",").alias("first_functions"),
+        F.array_join(first_functions, ",").alias("first_functions"),
         F.array_join(F.map_keys("function_ids"), ",").alias("function_names"),
         total.alias("function_id_sum"),
-        F.get(first_ids, F.lit(0)).alias("first_id"),
+        F.coalesce(F.get(first_ids, F.lit(0)), F.lit(-1)).alias("first_id"),
     )
 
 

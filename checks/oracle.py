@@ -147,7 +147,7 @@ INVESTIGATION = f"""account_id, stable_runtime_scope_id, session_id, environment
   array_to_string(exceptions_data[1].functions, ',') AS first_functions,
   array_to_string(map_keys(function_ids), ',') AS function_names,
   CAST(list_sum(map_values(function_ids)) AS bigint) AS function_id_sum,
-  exceptions_data_enriched[1].ids[1] AS first_id"""
+  coalesce(exceptions_data_enriched[1].ids[1], -1) AS first_id"""
 
 METHODS = "coalesce(array_to_string(endpoint_methods, '{}'), 'ANY')"
 

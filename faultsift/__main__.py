@@ -23,7 +23,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="faultsift", description="Triage recent incidents.")
     parser.add_argument("-d", "--days", type=positive_days, default=DEFAULT_DAYS,
                         help="days to look back (default: %(default)s)")
-    parser.add_argument("--as-of", type=datetime.fromisoformat, help="end of the look-back (default: now)")
+    parser.add_argument("--as-of", type=datetime.fromisoformat,
+                        help="end of the look-back (default: now)")
     parser.add_argument("--cap", type=int, default=DEFAULT_CAP,
                         help="newest candidates kept, 0 for all (default: %(default)s)")
     parser.add_argument("--investigations", required=True)
@@ -34,7 +35,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--approvals", help="approved fingerprints (default: approve all)")
     parser.add_argument("--ledger", required=True)
     parser.add_argument("--out", required=True)
-    parser.add_argument("--run", type=int, help="run number, larger than earlier ones (default: the clock)")
+    parser.add_argument("--run", type=int,
+                        help="run number, larger than earlier ones (default: the clock)")
     return parser.parse_args(argv)
 
 

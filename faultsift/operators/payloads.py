@@ -74,8 +74,9 @@ def left_join_payloads(
         return hashed_join(with_uri(candidates), found, ["obj_uri"], "left")
     # NULL URIs match nothing, but would all be shuffled to one task; a key of
     # their own spreads them.
+    row_hash = F.xxhash64("session_id", "s3_pointer", "timestamp").cast("string")
     keyed = with_uri(candidates).withColumn(
-        "_uri", F.coalesce("obj_uri", F.concat(F.lit("none:"), "session_id"))
+        "_uri", F.coalesce("obj_uri", F.concat(F.lit("none:"), row_hash))
     )
     objects = payloads.select(F.col("obj_uri").alias("_uri"), "body")
     return hashed_join(keyed, objects, ["_uri"], "left").drop("_uri")

@@ -84,7 +84,9 @@ def outcomes(
     return with_outcome(left_join_payloads(found, payloads, cap, buckets))
 
 
-def distinct_incidents(found: DataFrame, payloads: DataFrame, cap: int | None = DEFAULT_CAP) -> DataFrame:
+def distinct_incidents(
+    found: DataFrame, payloads: DataFrame, cap: int | None = DEFAULT_CAP
+) -> DataFrame:
     """The newest incident per fingerprint."""
     return newest_per_fingerprint(incidents(found, payloads, cap))
 

@@ -39,8 +39,9 @@ def decode_lines(lines: DataFrame, column: str) -> DataFrame:
 
 def decode_rows(raw: DataFrame) -> DataFrame:
     """Typed investigations from the raw JSON shape."""
+    numbers = ("environment_id", "service_id", "endpoint_id")
     typed = {
-        **{name: F.col(name).cast("bigint") for name in ("environment_id", "service_id", "endpoint_id")},
+        **{name: F.col(name).cast("bigint") for name in numbers},
         "timestamp": F.try_to_timestamp(F.col("timestamp")),
         "function_ids": F.col("function_ids").cast("map<string,bigint>"),
         "exceptions_data": _tuples("exceptions_data", "functions", "array<string>"),
