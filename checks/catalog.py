@@ -30,16 +30,21 @@ from faultsift.operators.payloads import (
 from faultsift.operators.ranking import DEFAULT_CAP, dedup_key, newest_per_key
 from faultsift.plans import triage
 from faultsift.plans.report import run_summary
+from faultsift.plans.run import run_triage
 from faultsift.schemas import INCIDENT_COLUMNS, LEDGER_COLUMNS
 from faultsift.session import configure, work_folder
 from faultsift.sources.drafts import DRAFTS, issue_drafts
 from faultsift.sources.investigations import decode_lines
 from faultsift.sources.ledger import append_ledger, init_ledger, read_ledger, read_ledger_log
+from faultsift.sources.payloads import land_payloads, read_payload_table
 from faultsift.sources.runs import read_runs
 from faultsift.streaming.intake import start_first_arrivals, start_triage
 
 DAYS = 30
 
+# Buckets of a landed payload table; thousands on a cluster.
+BUCKETS = 16
+
 STAGED = "id STRING, root_cause_hash STRING, timestamp TIMESTAMP, error_message STRING"
 
 
@@ -298,6 +303,27 @@ def approved_drafts(t: Inputs) -> DataFrame:
     return show_drafts(issue_drafts(ledger.approved(t.fresh, t.approvals)))
 
 
+def landed_payload_join(t: Inputs) -> DataFrame:
+    """Capped candidates looked up in a payload table partitioned by URI hash."""
+    path = f"{work_folder(t.spark, 'payloads')}/landed"
+    land_payloads(t.payloads, path, BUCKETS)
+    landed = read_payload_table(t.spark, path)
+    joined = join_payloads(t.candidates, landed, t.cap, BUCKETS)
+    return joined.select("session_id", "obj_uri", "body")
+
+
+def triage_run(t: Inputs) -> DataFrame:
+    """Drafts of one whole batch run with a ledger and approvals."""
+    folder = work_folder(t.spark, "run")
+    init_ledger(t.spark, f"{folder}/ledger")
+    append_ledger(t.ledger, f"{folder}/ledger", run=0)
+    run_triage(
+        t.candidates, t.payloads, t.versions, f"{folder}/out", f"{folder}/ledger", 1, t.cap,
+        approvals=t.approvals,
+    )
+    return show_drafts(read_runs(t.spark, DRAFTS, f"{folder}/out/drafts").drop("run"))
+
+
 def summary(t: Inputs) -> DataFrame:
     return run_summary(with_fingerprint(t.outcomes), t.ledger, t.approvals)
 
@@ -379,10 +405,18 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
 }
 
 
-def query(name: str, cap: int | None = None) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: QUERIES[name](Inputs(spark, sf_dir, cap))
+# Queries about the cap of newest candidates, a top-k.
+CAPPED: dict[str, Callable[[Inputs], DataFrame]] = {
+    "new_incidents_capped": QUERIES["new_incidents"],
+    "landed_payload_join": landed_payload_join,
+    "triage_run": triage_run,
+}
+
+
+def _bound(build: Callable[[Inputs], DataFrame], cap: int | None):
+    return lambda spark, sf_dir: build(Inputs(spark, sf_dir, cap))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    capped = {"new_incidents_capped": query("new_incidents", DEFAULT_CAP)}
-    return {**{name: query(name) for name in QUERIES}, **capped}
+    whole = {name: _bound(build, None) for name, build in QUERIES.items()}
+    return {**whole, **{name: _bound(build, DEFAULT_CAP) for name, build in CAPPED.items()}}

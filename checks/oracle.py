@@ -229,6 +229,9 @@ ORACLES = {
     "enriched_incidents": _sql(f"SELECT {ENRICHED} FROM enriched"),
     "new_incidents": _sql(f"SELECT {ENRICHED} FROM fresh"),
     "new_incidents_capped": _sql(f"SELECT {ENRICHED} FROM fresh", **CAPPED),
+    "landed_payload_join": _sql(
+        "SELECT session_id, obj_uri, body FROM outcomes WHERE body IS NOT NULL", **CAPPED),
+    "triage_run": _sql(f"SELECT {DRAFT} FROM approved", **CAPPED),
     "skipped_incidents": _sql(f"""SELECT {INCIDENT} FROM unique_incidents
         WHERE root_cause_hash IN (SELECT root_cause_hash FROM ledger)"""),
     "ledger_upsert": _sql(f"SELECT {LEDGER} FROM upserted"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A capped side is broadcast only up to this many rows.
-BROADCAST_ROWS = 10_000
+BROADCAST_ROWS = 1_000
 
 
 def is_bounded(cap: int | None) -> bool:

@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from faultsift.operators.ledger import HASH
 
+SUMMARY = """
+    total BIGINT, processed BIGINT, successful BIGINT, unique_incidents BIGINT,
+    skipped BIGINT, new BIGINT, created BIGINT, percent BIGINT
+"""
+
 
 def run_summary(
     fingerprinted: DataFrame, ledger: DataFrame, approvals: DataFrame | None = None

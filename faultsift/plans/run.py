@@ -23,7 +23,7 @@ from faultsift.operators.joins import is_bounded
 from faultsift.operators.ledger import approved, solved_rows, unsolved
 from faultsift.operators.payloads import to_incidents, with_fingerprint
 from faultsift.operators.ranking import DEFAULT_CAP, newest_per_fingerprint
-from faultsift.plans.report import run_summary
+from faultsift.plans.report import SUMMARY, run_summary
 from faultsift.plans.triage import outcomes
 from faultsift.schemas import CANDIDATES, OUTCOMES
 from faultsift.sources.drafts import DRAFTS, issue_drafts
@@ -76,4 +76,4 @@ def run_triage(
     append_ledger(solved_rows(drafts, ledger, created), ledger_path, run)
 
     write_run(run_summary(processed, ledger, approvals), f"{out}/summary", run)
-    return spark.read.parquet(f"{out}/summary/run={run}")
+    return read_run(spark, SUMMARY, f"{out}/summary", run)
