@@ -284,12 +284,17 @@ def endpoint_wanted(t: Inputs) -> DataFrame:
     return wanted.withColumn("methods", joined_text("methods"))
 
 
-def ledger_upsert(t: Inputs) -> DataFrame:
-    """Two ledger runs, written and read back, over staged incidents."""
-    folder = work_folder(t.spark, "ledger")
+def staged_incidents(t: Inputs, folder: str) -> DataFrame:
+    """Distinct incidents written once, for queries that use them repeatedly."""
     columns = ["id", "root_cause_hash", "timestamp", "error_message"]
     t.unique.select(*columns).write.parquet(f"{folder}/incidents")
-    incidents = t.spark.read.schema(STAGED).parquet(f"{folder}/incidents")
+    return t.spark.read.schema(STAGED).parquet(f"{folder}/incidents")
+
+
+def ledger_upsert(t: Inputs) -> DataFrame:
+    """Two ledger runs, written and read back."""
+    folder = work_folder(t.spark, "ledger")
+    incidents = staged_incidents(t, folder)
     path = f"{folder}/ledger"
     init_ledger(t.spark, path)
     append_ledger(derived.ledger(incidents), path, run=1)
@@ -315,11 +320,12 @@ def landed_payload_join(t: Inputs) -> DataFrame:
 def triage_run(t: Inputs) -> DataFrame:
     """Drafts of one whole batch run with a ledger and approvals."""
     folder = work_folder(t.spark, "run")
+    incidents = staged_incidents(t, folder)
     init_ledger(t.spark, f"{folder}/ledger")
-    append_ledger(t.ledger, f"{folder}/ledger", run=0)
+    append_ledger(derived.ledger(incidents), f"{folder}/ledger", run=0)
     run_triage(
         t.candidates, t.payloads, t.versions, f"{folder}/out", f"{folder}/ledger", 1, t.cap,
-        approvals=t.approvals,
+        approvals=derived.approvals(incidents),
     )
     return show_drafts(read_runs(t.spark, DRAFTS, f"{folder}/out/drafts").drop("run"))
 
