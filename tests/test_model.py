@@ -119,7 +119,7 @@ VERSIONS = [
 ]
 
 
-@pytest.mark.parametrize("seed,cap", [(1, None), (2, None), (3, 40), (4, 40)])
+@pytest.mark.parametrize("seed,cap", [(1, None), (2, None), (3, 150), (4, 150)])
 def test_triage_equals_the_model(spark, seed, cap):
     rng = random.Random(seed)
     rows = random_rows(rng, 900)
