@@ -324,7 +324,7 @@ def triage_run(t: Inputs) -> DataFrame:
     init_ledger(t.spark, f"{folder}/ledger")
     append_ledger(derived.ledger(incidents), f"{folder}/ledger", run=0)
     run_triage(
-        t.candidates, t.payloads, t.versions, f"{folder}/out", f"{folder}/ledger", 1, t.cap,
+        t.candidates, t.payloads, t.versions, f"{folder}/out", f"{folder}/ledger", 1,
         approvals=derived.approvals(incidents),
     )
     return show_drafts(read_runs(t.spark, DRAFTS, f"{folder}/out/drafts").drop("run"))

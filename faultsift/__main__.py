@@ -56,7 +56,7 @@ def main(argv: list[str] | None = None) -> None:
     summary = run_triage(
         found, read_payloads(spark, args.payloads),
         read_endpoint_versions(spark, args.endpoints),
-        args.out, args.ledger, run, cap, args.buckets, approvals,
+        args.out, args.ledger, run, args.buckets, approvals,
     )
     if summary is None:
         print(f"No incidents found in the last {args.days} day(s).")

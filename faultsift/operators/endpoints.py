@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultsift.operators.joins import broadcast_capped, is_bounded, hashed_join
+from faultsift.operators.joins import broadcast_bounded, hashed_join, is_bounded
 from faultsift.schemas import ENDPOINT_KEY
 
 # Fixed value: path of an endpoint that never had one.
@@ -57,12 +57,15 @@ def wanted_endpoints(incidents: DataFrame) -> DataFrame:
 
 
 def wanted_versions(
-    versions: DataFrame, incidents: DataFrame, cap: int | None = None
+    versions: DataFrame, incidents: DataFrame, rows: int | None = None
 ) -> DataFrame:
-    """Version rows of the endpoints the incidents name; none for no incidents."""
+    """Version rows of the endpoints the incidents name; none for no incidents.
+
+    ``rows`` bounds the number of incidents.
+    """
     wanted = wanted_endpoints(incidents)
-    if is_bounded(cap):
-        return versions.join(broadcast_capped(wanted, cap), ENDPOINT_KEY, "left_semi")
+    if is_bounded(rows):
+        return versions.join(broadcast_bounded(wanted, rows), ENDPOINT_KEY, "left_semi")
     return hashed_join(versions, wanted, ENDPOINT_KEY, "left_semi")
 
 

@@ -5,21 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A capped side is broadcast only up to this many rows.
+# Largest sides hinted for broadcast: whole rows, and single keys (object URIs,
+# endpoint keys, fingerprints) of at most about a kilobyte each.
 BROADCAST_ROWS = 1_000
+BROADCAST_KEYS = 100_000
 
 
-def is_bounded(cap: int | None) -> bool:
-    return cap is not None and cap <= BROADCAST_ROWS
+def is_bounded(rows: int | None, limit: int = BROADCAST_KEYS) -> bool:
+    """Whether a side known to have at most ``rows`` rows may be broadcast."""
+    return rows is not None and rows <= limit
 
 
-def broadcast_capped(rows: DataFrame, cap: int | None) -> DataFrame:
-    """Hint a broadcast when ``rows`` has at most ``cap`` rows and that is few.
+def broadcast_bounded(side: DataFrame, rows: int | None, limit: int = BROADCAST_KEYS) -> DataFrame:
+    """Hint a broadcast when ``side`` has at most ``rows`` rows and that is few.
 
-    Without a small cap there is no hint: Spark then compares the real size
+    Without a small bound there is no hint: Spark then compares the real size
     with its threshold.
     """
-    return F.broadcast(rows) if is_bounded(cap) else rows
+    return F.broadcast(side) if is_bounded(rows, limit) else side
 
 
 def hashed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:

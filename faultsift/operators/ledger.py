@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from faultsift.operators.joins import broadcast_bounded, is_bounded
 from faultsift.schemas import LEDGER_COLUMNS
 
 HASH = "root_cause_hash"
@@ -25,6 +26,20 @@ def already_solved(incidents: DataFrame, ledger: DataFrame) -> DataFrame:
     return incidents.join(ledger.select(HASH), HASH, "left_semi")
 
 
+def known_fingerprints(
+    incidents: DataFrame, ledger: DataFrame, rows: int | None = None
+) -> DataFrame:
+    """Fingerprints of the incidents that the ledger holds, each once.
+
+    When at most ``rows`` incidents, few enough, meet a large ledger, the ledger
+    is filtered by their fingerprints and not shuffled.
+    """
+    if is_bounded(rows):
+        wanted = broadcast_bounded(incidents.select(HASH), rows)
+        return ledger.select(HASH).join(wanted, HASH, "left_semi").distinct()
+    return already_solved(incidents.select(HASH), ledger).distinct()
+
+
 def approved(incidents: DataFrame, approvals: DataFrame) -> DataFrame:
     """Incidents somebody approved; NULL approvals select nothing."""
     return incidents.join(approvals.select(HASH), HASH, "left_semi")

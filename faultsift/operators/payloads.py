@@ -18,7 +18,12 @@ from faultsift.functions.payload import (
     text_or_empty,
 )
 from faultsift.functions.pointers import URI_SCHEME, storage_uri, uri_bucket
-from faultsift.operators.joins import broadcast_capped, hashed_join, is_bounded
+from faultsift.operators.joins import (
+    BROADCAST_ROWS,
+    broadcast_bounded,
+    hashed_join,
+    is_bounded,
+)
 from faultsift.schemas import INCIDENT_COLUMNS
 
 OK, MISSING, INVALID, NON_STRING = "ok", "missing", "invalid", "non_string"
@@ -44,32 +49,34 @@ def _keyed(candidates: DataFrame, buckets: int | None) -> tuple[DataFrame, list[
 def join_payloads(
     candidates: DataFrame,
     payloads: DataFrame,
-    cap: int | None = None,
+    rows: int | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
     """Inner join of candidates and payloads (unique by URI) on the object URI.
 
-    A capped candidate set is broadcast and the payloads stream past it;
-    otherwise both sides shuffle by URI and AQE splits a URI shared by very
-    many candidates. ``buckets`` is the bucket count of a landed payload table;
-    with broadcast candidates only the buckets they name are read.
+    Candidates known to have at most ``rows`` rows, few enough, are broadcast
+    and the payloads stream past them; otherwise both sides shuffle by URI and
+    AQE splits a URI shared by very many candidates. ``buckets`` is the bucket
+    count of a landed payload table; with broadcast candidates only the buckets
+    they name are read.
     """
     keyed, keys = _keyed(candidates, buckets)
-    joined = hashed_join(payloads, broadcast_capped(keyed, cap), keys, "inner")
+    keyed = broadcast_bounded(keyed, rows, BROADCAST_ROWS)
+    joined = hashed_join(payloads, keyed, keys, "inner")
     return joined.select(*candidates.columns, "obj_uri", "body")
 
 
 def left_join_payloads(
     candidates: DataFrame,
     payloads: DataFrame,
-    cap: int | None = None,
+    rows: int | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
     """Every candidate with its payload body, NULL when the object is missing."""
-    if is_bounded(cap):
-        # The side to keep cannot be broadcast: pick its payloads first.
+    if is_bounded(rows):
+        # The side to keep cannot be broadcast: pick its payloads by key first.
         keyed, keys = _keyed(candidates, buckets)
-        wanted = broadcast_capped(keyed.select(*keys), cap)
+        wanted = broadcast_bounded(keyed.select(*keys), rows)
         found = hashed_join(payloads, wanted, keys, "left_semi").select("obj_uri", "body")
         return hashed_join(with_uri(candidates), found, ["obj_uri"], "left")
     # NULL URIs match nothing, but would all be shuffled to one task; a key of

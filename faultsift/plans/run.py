@@ -1,9 +1,10 @@
 """One triage run with its written outputs.
 
 Outputs are tables with one directory per run: ``candidates``, ``outcomes``,
-``drafts`` and ``summary`` below the output folder, and the ledger. Each step
-is written before the next one reads it, so nothing is computed twice, a lost
-executor costs one step at most, and repeating a run replaces its own rows.
+``skipped``, ``drafts`` and ``summary`` below the output folder, and the ledger.
+Each step is written before the next one reads it, so nothing is computed twice,
+a lost executor costs one step at most, and repeating a run replaces its own
+rows. The counted candidates bound the sides of all later joins.
 """
 
 from __future__ import annotations
@@ -20,12 +21,12 @@ from faultsift.operators.endpoints import (
     wanted_versions,
 )
 from faultsift.operators.joins import is_bounded
-from faultsift.operators.ledger import approved, solved_rows, unsolved
+from faultsift.operators.ledger import approved, known_fingerprints, solved_rows, unsolved
 from faultsift.operators.payloads import to_incidents, with_fingerprint
-from faultsift.operators.ranking import DEFAULT_CAP, newest_per_fingerprint
+from faultsift.operators.ranking import newest_per_fingerprint
 from faultsift.plans.report import SUMMARY, run_summary
 from faultsift.plans.triage import outcomes
-from faultsift.schemas import CANDIDATES, OUTCOMES
+from faultsift.schemas import CANDIDATES, OUTCOMES, SKIPPED
 from faultsift.sources.drafts import DRAFTS, issue_drafts
 from faultsift.sources.ledger import append_ledger, init_ledger, read_ledger_log
 from faultsift.sources.runs import read_run, write_run
@@ -38,7 +39,6 @@ def run_triage(
     out: str,
     ledger_path: str,
     run: int,
-    cap: int | None = DEFAULT_CAP,
     buckets: int | None = None,
     approvals: DataFrame | None = None,
     created_at: datetime | Column | None = None,
@@ -50,30 +50,34 @@ def run_triage(
     but never records one that was not drafted.
     """
     spark = found.sparkSession
-    write_run(found, f"{out}/candidates", run)
-    found = read_run(spark, CANDIDATES, f"{out}/candidates", run)
-    if found.isEmpty():
+
+    def staged(rows: DataFrame, schema: str, name: str) -> DataFrame:
+        write_run(rows, f"{out}/{name}", run)
+        return read_run(spark, schema, f"{out}/{name}", run)
+
+    found = staged(found, CANDIDATES, "candidates")
+    rows = found.count()
+    if rows == 0:
         return None
 
-    write_run(
-        with_fingerprint(outcomes(found, payloads, cap, buckets)), f"{out}/outcomes", run
+    processed = staged(
+        with_fingerprint(outcomes(found, payloads, rows, buckets)), OUTCOMES, "outcomes"
     )
-    processed = read_run(spark, OUTCOMES, f"{out}/outcomes", run)
+    unique = newest_per_fingerprint(to_incidents(processed))
 
     init_ledger(spark, ledger_path)
     ledger = read_ledger_log(spark, ledger_path, before=run)
-    fresh = unsolved(newest_per_fingerprint(to_incidents(processed)), ledger)
+    skipped = staged(known_fingerprints(unique, ledger, rows), SKIPPED, "skipped")
+    fresh = unsolved(unique, skipped)
     if approvals is not None:
         fresh = approved(fresh, approvals)
+
     versions = endpoint_versions
-    if is_bounded(cap):
-        versions = wanted_versions(endpoint_versions, fresh, cap)
+    if is_bounded(rows):
+        versions = wanted_versions(endpoint_versions, fresh, rows)
     enriched = enrich(fresh, endpoint_info(endpoint_states(versions)))
-    write_run(issue_drafts(enriched), f"{out}/drafts", run)
-    drafts = read_run(spark, DRAFTS, f"{out}/drafts", run)
+    drafts = staged(issue_drafts(enriched), DRAFTS, "drafts")
 
     created = F.date_trunc("second", F.current_timestamp()) if created_at is None else created_at
     append_ledger(solved_rows(drafts, ledger, created), ledger_path, run)
-
-    write_run(run_summary(processed, ledger, approvals), f"{out}/summary", run)
-    return read_run(spark, SUMMARY, f"{out}/summary", run)
+    return staged(run_summary(processed, skipped, approvals), SUMMARY, "summary")

@@ -67,6 +67,8 @@ CANDIDATES = """
     first_message STRING, function_names ARRAY<STRING>
 """
 
+SKIPPED = "root_cause_hash STRING"
+
 OUTCOMES = """
     id STRING, service_name STRING, endpoint_uuid STRING, endpoint_id BIGINT,
     account_id STRING, environment_name STRING, s3_pointer STRING, timestamp TIMESTAMP,

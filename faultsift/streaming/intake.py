@@ -47,8 +47,7 @@ def start_triage(
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         found = newest(newest_per_key(batch, F.col("first_message")), cap)
         run_triage(
-            found, payloads(), endpoint_versions(), out, ledger_path,
-            first_run + batch_id, cap,
+            found, payloads(), endpoint_versions(), out, ledger_path, first_run + batch_id
         )
 
     return (

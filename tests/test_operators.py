@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faultsift.operators import endpoints, filters, ledger, ranking
-from faultsift.operators.joins import BROADCAST_ROWS, is_bounded, hashed_join
+from faultsift.operators.joins import BROADCAST_KEYS, hashed_join, is_bounded
 from faultsift.operators.payloads import rejects, to_incidents, with_context, with_fingerprint
 from faultsift.plans import triage
 from faultsift.plans.report import run_summary
@@ -228,8 +228,9 @@ def test_hashed_join_is_the_plain_join(spark, how):
 
 
 def test_bounds():
-    assert is_bounded(500) and is_bounded(BROADCAST_ROWS)
-    assert not is_bounded(None) and not is_bounded(BROADCAST_ROWS + 1)
+    assert is_bounded(500) and is_bounded(BROADCAST_KEYS)
+    assert not is_bounded(None) and not is_bounded(BROADCAST_KEYS + 1)
+    assert not is_bounded(500, 499)
 
 
 def ledger_rows(spark, rows):
@@ -283,6 +284,9 @@ def test_summary_counts_everything_once(spark):
     assert run_summary(processed, solved).first().created == 2
     none = run_summary(processed.limit(0), solved).first()
     assert (none.total, none.successful, none.new, none.percent) == (0, 0, 0, None)
+    for rows in (None, 6):
+        known = ledger.known_fingerprints(to_incidents(processed), solved, rows)
+        assert [row.root_cause_hash for row in known.collect()] == hashes[:1]
     fresh = ledger.unsolved(to_incidents(processed), solved)
     skipped = ledger.already_solved(to_incidents(processed), solved)
     assert (fresh.count(), skipped.count()) == (2, 1)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faultsift.__main__ import main, parse_args
+from faultsift.operators import joins
 from faultsift.operators.ledger import unsolved
 from faultsift.operators.ranking import newest_per_key
 from faultsift.plans import triage
@@ -35,16 +36,16 @@ def drafted(spark, out):
     return {row.root_cause_hash: (row.id, row.run) for row in found}
 
 
-@pytest.mark.parametrize("cap", [500, None])
-def test_runs_draft_each_cause_once(spark, tmp_path, cap):
+@pytest.mark.parametrize("limit", [0, 100])
+def test_runs_draft_each_cause_once(spark, tmp_path, monkeypatch, limit):
+    """Also with a bound so low that no side may be broadcast."""
+    monkeypatch.setattr(joins.is_bounded, "__defaults__", (limit,))
     out, ledger = str(tmp_path / "out"), str(tmp_path / "ledger")
     versions = endpoint_versions(spark, [("acct", "prod", 1, 1, "/a", ["GET"])])
 
     def run(number, numbers):
         found = triage.slim(investigations(spark, rows(numbers)))
-        return run_triage(
-            found, objects(spark, numbers), versions, out, ledger, number, cap
-        )
+        return run_triage(found, objects(spark, numbers), versions, out, ledger, number)
 
     first = run(1, range(4)).first()
     assert (first.total, first.created, first.skipped) == (4, 4, 0)

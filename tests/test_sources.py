@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from faultsift.operators.payloads import join_payloads
+from faultsift.operators.payloads import join_payloads, left_join_payloads
 from faultsift.plans import triage
 from faultsift.session import work_folder
 from faultsift.sources.ledger import append_ledger, init_ledger, read_ledger
@@ -67,7 +67,8 @@ def test_landed_payloads_are_read_by_bucket(spark, tmp_path):
         plain = join_payloads(staged, objects, cap)
         assert sorted(joined.collect()) == sorted(plain.collect())
         assert joined.count() == 2
-    assert "dynamicpruning" in plan(join_payloads(staged, landed, 500, buckets=16))
+    for join in (join_payloads, left_join_payloads):
+        assert "dynamicpruning" in plan(join(staged, landed, 500, buckets=16))
 
 
 def test_investigations_by_date_partition(spark, tmp_path):
