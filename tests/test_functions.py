@@ -83,6 +83,12 @@ def test_stack_functions_take_the_first_frame_of_each_line(spark):
     ]
 
 
+def test_a_very_long_frame_name_does_not_exhaust_the_stack(spark):
+    chain = F.concat(F.lit("at a"), F.repeat(F.lit(".b"), 200_000))
+    names = spark.range(1).select(fingerprint.stack_functions(chain).alias("names"))
+    assert names.select(F.length(F.col("names")[0])).first()[0] == 400_001
+
+
 def test_throwing_functions_keep_order_and_ten(spark):
     stack = "\n".join(f"at s{i}.run" for i in [1, 2, 1, 3, 4, 5, 6, 7, 8])
     frame = spark.createDataFrame([(["b", "s2.run", "a"], stack)], "n array<string>, s string")
