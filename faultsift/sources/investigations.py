@@ -38,12 +38,12 @@ def decode_lines(lines: DataFrame, column: str) -> DataFrame:
 
 
 def decode_rows(raw: DataFrame) -> DataFrame:
-    """Typed investigations from the raw JSON shape."""
+    """Typed investigations from the raw JSON shape; what does not convert is NULL."""
     numbers = ("environment_id", "service_id", "endpoint_id")
     typed = {
-        **{name: F.col(name).cast("bigint") for name in numbers},
+        **{name: F.col(name).try_cast("bigint") for name in numbers},
         "timestamp": F.try_to_timestamp(F.col("timestamp")),
-        "function_ids": F.col("function_ids").cast("map<string,bigint>"),
+        "function_ids": F.col("function_ids").try_cast("map<string,bigint>"),
         "exceptions_data": _tuples("exceptions_data", "functions", "array<string>"),
         "exceptions_data_enriched": _tuples("exceptions_data_enriched", "ids", "array<bigint>"),
     }
@@ -59,6 +59,6 @@ def _tuples(column: str, second: str, second_type: str) -> Column:
         column,
         lambda pair: F.struct(
             F.get(pair, F.lit(0)).alias("message"),
-            F.from_json(F.get(pair, F.lit(1)), "array<string>").cast(second_type).alias(second),
+            F.from_json(F.get(pair, F.lit(1)), "array<string>").try_cast(second_type).alias(second),
         ),
     )

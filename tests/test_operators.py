@@ -90,7 +90,8 @@ BODIES = {
     23: ('{"stack_trace":0,"stackTrace":"at a.b"}', "boom"), 24: ('"text"', "boom"),
     25: ("false", "boom"), 26: ('{"message":[]}', "non_string"), 27: ('{"a":1,}', "invalid"),
     28: ('{"message":-0}', "boom"), 29: (None, "missing"), 30: ('{"message":"tab\\tx"}', "tab\tx"),
-    31: ('{"Message":"upper"}', "boom"), 32: ('{"message":1e-5}', "non_string"),
+    31: ('{"Message":"upper"}', "boom"), 33: ("[" * 5000 + "]" * 5000, "invalid"),
+    34: ('{"message":' + "9" * 400 + "}", "non_string"), 35: ("9" * 2000, "invalid"), 32: ('{"message":1e-5}', "non_string"),
 }
 
 

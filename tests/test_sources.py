@@ -26,7 +26,10 @@ def test_json_rows_with_unnamed_tuples(spark, tmp_path):
             "function_ids": {"f1": "12", "f2": 3},
             "exceptions_data_enriched": [["msg", ["1", 2]]], "unknown": {"x": 1},
         },
-        {"session_id": "s-2", "timestamp": "soon", "exceptions_data": []},
+        {
+            "session_id": "s-2", "timestamp": "soon", "exceptions_data": [],
+            "endpoint_id": "1.x", "function_ids": {"f": "many", "g": 1},
+        },
     ]
     (tmp_path / "rows.json").write_text("\n".join(json.dumps(row) for row in rows))
     first, second = read_investigation_rows(spark, str(tmp_path)).orderBy("session_id").collect()
@@ -37,6 +40,7 @@ def test_json_rows_with_unnamed_tuples(spark, tmp_path):
     assert first.function_ids == {"f1": 12, "f2": 3}
     assert [(e.message, e.ids) for e in first.exceptions_data_enriched] == [("msg", [1, 2])]
     assert str(first.timestamp) == "2024-01-02 03:04:05.678901"
+    assert (second.endpoint_id, second.function_ids) == (None, {"f": None, "g": 1})
     assert (second.timestamp, second.exceptions_data, second.service_name) == (None, [], None)
 
 
