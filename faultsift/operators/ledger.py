@@ -34,10 +34,11 @@ def known_fingerprints(
     When at most ``rows`` incidents, few enough, meet a large ledger, the ledger
     is filtered by their fingerprints and not shuffled.
     """
+    wanted = incidents.select(HASH).distinct()
     if is_bounded(rows):
-        wanted = broadcast_bounded(incidents.select(HASH), rows)
-        return ledger.select(HASH).join(wanted, HASH, "left_semi").distinct()
-    return already_solved(incidents.select(HASH), ledger).distinct()
+        found = ledger.select(HASH).join(broadcast_bounded(wanted, rows), HASH, "left_semi")
+        return found.distinct()
+    return already_solved(wanted, ledger)
 
 
 def approved(incidents: DataFrame, approvals: DataFrame) -> DataFrame:

@@ -63,12 +63,12 @@ def run_triage(
     processed = staged(
         with_fingerprint(outcomes(found, payloads, rows, buckets)), OUTCOMES, "outcomes"
     )
-    unique = newest_per_fingerprint(to_incidents(processed))
+    incidents = to_incidents(processed)
 
     init_ledger(spark, ledger_path)
     ledger = read_ledger_log(spark, ledger_path, before=run)
-    skipped = staged(known_fingerprints(unique, ledger, rows), SKIPPED, "skipped")
-    fresh = unsolved(unique, skipped)
+    skipped = staged(known_fingerprints(incidents, ledger, rows), SKIPPED, "skipped")
+    fresh = unsolved(newest_per_fingerprint(incidents), skipped)
     if approvals is not None:
         fresh = approved(fresh, approvals)
 
