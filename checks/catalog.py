@@ -273,10 +273,10 @@ def endpoint_latest(t: Inputs) -> DataFrame:
 
 
 def endpoint_state_merge(t: Inputs) -> DataFrame:
-    """States of even and of odd versions, kept apart and merged afterwards."""
-    even = endpoints.endpoint_states(t.versions.where("ver % 2 = 0"))
-    odd = endpoints.endpoint_states(t.versions.where("ver % 2 = 1"))
-    return show_endpoints(endpoints.endpoint_info(endpoints.merge_states(even, odd)))
+    """States of older and of newer versions, kept apart and merged afterwards."""
+    older = endpoints.endpoint_states(t.versions.where("ver < 2"))
+    newer = endpoints.endpoint_states(t.versions.where("ver >= 2"))
+    return show_endpoints(endpoints.endpoint_info(endpoints.merge_states(older, newer)))
 
 
 def endpoint_wanted(t: Inputs) -> DataFrame:
