@@ -13,6 +13,7 @@ from faultsift.schemas import APPROVALS, LEDGER
 from faultsift.sources.drafts import DRAFTS
 from faultsift.sources.investigations import read_investigation_stream
 from faultsift.sources.ledger import read_ledger
+from faultsift.sources.payloads import land_payloads
 from faultsift.sources.runs import read_runs
 from faultsift.streaming.intake import intake, start_first_arrivals, start_triage
 from tests.builders import endpoint_versions, investigation, investigations, payloads
@@ -96,6 +97,13 @@ def test_command_line(spark, tmp_path, capsys):
     assert "Summary: 0 drafted, 0 skipped" in capsys.readouterr().out
     main([*base, "--days", "1"])
     assert "No incidents found in the last 1 day(s)." in capsys.readouterr().out
+
+    land_payloads(objects(spark, range(3)), str(tmp_path / "landed"), 4)
+    landed = [*base, "--payloads", str(tmp_path / "landed"), "--buckets", "4"]
+    main([*landed, "--as-of", "2024-01-11", "--run", "2"])
+    assert "Summary: 3 drafted, 0 skipped" in capsys.readouterr().out
+    main([*landed, "--as-of", "2024-01-11", "--cap", "0"])
+    assert "Summary: 0 drafted, 3 skipped" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         parse_args([*base, "-d", "0"])
     assert parse_args(base).days == 3
