@@ -24,7 +24,7 @@ from faultsift.operators.ranking import (
     newest_per_fingerprint,
     newest_per_key,
 )
-from faultsift.schemas import INVESTIGATION_COLUMNS
+from faultsift.schemas import CANDIDATE_COLUMNS, INVESTIGATION_COLUMNS
 
 
 def recent_investigations(
@@ -42,11 +42,12 @@ def recent_investigations(
 
 def slim(investigations: DataFrame) -> DataFrame:
     """What later steps read; nested data shrinks before the first shuffle."""
+    slimmed = {
+        "first_message": first_message(),
+        "function_names": named_functions(F.col("function_ids")),
+    }
     return investigations.select(
-        "session_id", "service_name", "endpoint_uuid", "endpoint_id", "account_id",
-        "environment_name", "s3_pointer", "timestamp",
-        first_message().alias("first_message"),
-        named_functions(F.col("function_ids")).alias("function_names"),
+        *[slimmed.get(name, F.col(name)).alias(name) for name in CANDIDATE_COLUMNS]
     )
 
 

@@ -67,6 +67,11 @@ CANDIDATES = """
     first_message STRING, function_names ARRAY<STRING>
 """
 
+CANDIDATE_COLUMNS = [
+    "session_id", "service_name", "endpoint_uuid", "endpoint_id", "account_id",
+    "environment_name", "s3_pointer", "timestamp", "first_message", "function_names",
+]
+
 SKIPPED = "root_cause_hash STRING"
 
 OUTCOMES = """

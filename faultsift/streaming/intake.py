@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from faultsift.operators.filters import NOISE, actionable, positive_days
+from faultsift.operators.filters import (
+    DEFAULT_DAYS,
+    NOISE,
+    actionable,
+    lookback,
+    positive_days,
+)
 from faultsift.operators.payloads import (
+    MISSING,
     join_payloads,
     to_incidents,
     with_fingerprint,
@@ -18,6 +25,8 @@ from faultsift.operators.payloads import (
 from faultsift.operators.ranking import newest, newest_per_key
 from faultsift.plans.run import run_triage
 from faultsift.plans.triage import slim
+from faultsift.schemas import CANDIDATE_COLUMNS, OUTCOMES
+from faultsift.sources.runs import create_if_absent, read_runs
 
 SALTS = 32
 
@@ -27,6 +36,15 @@ def intake(stream: DataFrame, noise: tuple[str, ...] = NOISE) -> DataFrame:
     return slim(actionable(stream, noise))
 
 
+def waiting(spark: SparkSession, out: str, run: int) -> DataFrame:
+    """Candidates of the run before ``run`` whose payload object was missing."""
+    path = f"{out}/outcomes"
+    create_if_absent(spark, OUTCOMES, path)
+    earlier = read_runs(spark, OUTCOMES, path).where(F.col("run") == run - 1)
+    missing = earlier.where(F.col("outcome") == MISSING)
+    return missing.withColumnRenamed("id", "session_id").select(*CANDIDATE_COLUMNS)
+
+
 def start_triage(
     stream: DataFrame,
     payloads: Callable[[], DataFrame],
@@ -36,19 +54,25 @@ def start_triage(
     checkpoint: str,
     first_run: int = 1,
     cap: int | None = None,
+    days: int = DEFAULT_DAYS,
 ) -> StreamingQuery:
     """One triage run per micro-batch over all files that are new.
 
-    The static sides are re-read for every batch. Batch ``n`` is run
-    ``first_run + n``; a replayed batch sees only the ledger of earlier runs and
+    The static sides are re-read for every batch. A candidate whose payload
+    object is still missing is tried again with the next batch, until it is
+    ``days`` days older than the newest candidate. Batch ``n`` is run
+    ``first_run + n``; a replayed batch sees only the tables of earlier runs and
     overwrites its own drafts and ledger rows with the same content.
     """
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        found = newest(newest_per_key(batch, F.col("first_message")), cap)
-        run_triage(
-            found, payloads(), endpoint_versions(), out, ledger_path, first_run + batch_id
+        run = first_run + batch_id
+        newest_time = F.coalesce(
+            batch.agg(F.max("timestamp")).scalar(), F.timestamp_seconds(F.lit(0))
         )
+        again = lookback(waiting(batch.sparkSession, out, run), days, newest_time)
+        found = newest_per_key(batch.unionByName(again), F.col("first_message"))
+        run_triage(newest(found, cap), payloads(), endpoint_versions(), out, ledger_path, run)
 
     return (
         intake(stream)
@@ -64,8 +88,9 @@ def first_arrivals(
 ) -> DataFrame:
     """The first arrived incident per fingerprint, remembered for ``days`` days.
 
-    Unlike the batch rule this keeps the first to arrive, not the newest, and
-    rows later than the watermark are dropped. Repeats are removed per
+    Unlike the batch rule this keeps the first to arrive, not the newest; rows
+    later than the watermark, and rows whose payload has not been landed when the
+    query starts, are dropped. Repeats are removed per
     (fingerprint, salt) first, so the task that owns a very frequent
     fingerprint sees at most ``salts`` rows of it per window.
     """

@@ -201,3 +201,24 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     assert commit.exists()
     assert drafted(spark, f"{folder}/out") == before
     assert sorted(row.id for row in read_ledger(spark, f"{folder}/ledger").collect()) == ledger
+
+
+def test_late_payloads_are_tried_again(spark, tmp_path):
+    source, folder = str(tmp_path / "in"), str(tmp_path)
+    day = 24 * 60
+    batches = [
+        ([investigation(0, "waits"), investigation(1, "here"), investigation(9, "never")], [1]),
+        ([investigation(2, "Timeout", minutes=1)], [1]),
+        ([investigation(3, "other", minutes=2 * day)], [0, 1, 3]),
+        ([investigation(4, "too late", minutes=9 * day)], [0, 1, 3, 4, 9]),
+    ]
+    for batch, landed in batches:
+        investigations(spark, batch).coalesce(1).write.mode("append").parquet(source)
+        start_triage(
+            stream_of(spark, source), lambda: objects(spark, landed),
+            lambda: endpoint_versions(spark),
+            f"{folder}/out", f"{folder}/ledger", f"{folder}/checkpoint",
+        ).awaitTermination()
+    assert sorted(drafted(spark, f"{folder}/out").values()) == [
+        ("s-0", 3), ("s-1", 1), ("s-3", 3), ("s-4", 4)
+    ]
