@@ -7,17 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from faultsift.llm.leaks import op8_decontamination
+from faultsift.llm.linedup import OP1_SQL, op1_line_dedup
 from faultsift.llm.mixture import op6_mixing
+from faultsift.llm.quality import op10_quality
 from faultsift.llm.simhash import op2_simhash
 from faultsift.llm.tokens import op4_tokens
 from faultsift.llm.toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
     "op4_tokens": op4_tokens,
     "op6_mixing": op6_mixing,
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
+    "op10_quality": op10_quality,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL}
