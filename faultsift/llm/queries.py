@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from faultsift.llm.chat import OP9_SQL, op9_chat
+from faultsift.llm.extract import op3_html
 from faultsift.llm.leaks import op8_decontamination
 from faultsift.llm.linedup import OP1_SQL, op1_line_dedup
 from faultsift.llm.mixture import op6_mixing
@@ -17,11 +19,13 @@ from faultsift.llm.toxicity import op7_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
+    "op3_html": op3_html,
     "op4_tokens": op4_tokens,
     "op6_mixing": op6_mixing,
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
+    "op9_chat": op9_chat,
     "op10_quality": op10_quality,
 }
 
-SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL}
+SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op9_chat": OP9_SQL}
