@@ -10,6 +10,7 @@ from faultsift.llm.chat import OP9_SQL, op9_chat
 from faultsift.llm.extract import op3_html
 from faultsift.llm.leaks import op8_decontamination
 from faultsift.llm.linedup import OP1_SQL, op1_line_dedup
+from faultsift.llm.lm import op5_lm_scoring
 from faultsift.llm.mixture import op6_mixing
 from faultsift.llm.quality import op10_quality
 from faultsift.llm.simhash import op2_simhash
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_html": op3_html,
     "op4_tokens": op4_tokens,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_mixing": op6_mixing,
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
