@@ -1,12 +1,13 @@
 """Registered queries: every operator over the whole test tables.
 
-Unless a query is about the look-back or the cap, it looks back 30 days, which
-is all of the test data, and has no cap. Arrays and timestamps are shown as
+Unless a query is about the look-back or the cap, it looks back 20 days, two
+thirds of the test data, and has no cap. Arrays and timestamps are shown as
 text so that results compare across engines.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from functools import cached_property
 
@@ -19,7 +20,7 @@ from faultsift.functions.issue import choice_label, choice_short, issue_body, is
 from faultsift.functions.pointers import storage_uri
 from faultsift.functions.text import upper_text
 from faultsift.operators import endpoints, ledger
-from faultsift.operators.filters import actionable, first_message, lookback
+from faultsift.operators.filters import actionable, first_message, lookback, positive_days
 from faultsift.operators.payloads import (
     join_payloads,
     rejects,
@@ -27,26 +28,41 @@ from faultsift.operators.payloads import (
     with_fingerprint,
     with_outcome,
 )
-from faultsift.operators.ranking import DEFAULT_CAP, dedup_key, newest_per_key
+from faultsift.operators.ranking import dedup_key, newest_per_key
 from faultsift.plans import triage
 from faultsift.plans.report import run_summary
 from faultsift.plans.run import run_triage
-from faultsift.schemas import INCIDENT_COLUMNS, LEDGER_COLUMNS
+from faultsift.schemas import CANDIDATES, CHOICES, INCIDENT_COLUMNS, LEDGER_COLUMNS
 from faultsift.session import configure, work_folder
 from faultsift.sources.drafts import DRAFTS, issue_drafts
 from faultsift.sources.investigations import decode_lines
-from faultsift.sources.ledger import append_ledger, init_ledger, read_ledger, read_ledger_log
-from faultsift.sources.payloads import land_payloads, read_payload_table
+from faultsift.sources.ledger import (
+    append_ledger,
+    init_ledger,
+    read_ledger,
+    read_ledger_log,
+    record_posted,
+)
+from faultsift.sources.payloads import (
+    land_payloads,
+    read_payload_objects,
+    read_payload_stream,
+    read_payload_table,
+)
 from faultsift.sources.runs import read_runs
 from faultsift.streaming.intake import start_first_arrivals, start_triage
 
-DAYS = 30
+DAYS = 20
+
+# All of the test data.
+ALL_DAYS = 31
+
+# The newest candidates of the queries about the cap.
+CAP = 500
 
 # Buckets of a landed payload table; thousands on a cluster.
 BUCKETS = 16
 
-STAGED = "id STRING, root_cause_hash STRING, timestamp TIMESTAMP, error_message STRING"
-
 
 class Inputs:
     """The triage inputs of one data directory, and the steps over them."""
@@ -86,19 +102,23 @@ class Inputs:
 
     @cached_property
     def joined(self) -> DataFrame:
-        return join_payloads(self.candidates, self.payloads, self.cap)
+        return join_payloads(self.candidates, self.payloads)
 
     @cached_property
     def outcomes(self) -> DataFrame:
-        return triage.outcomes(self.candidates, self.payloads, self.cap)
+        return triage.outcomes(self.candidates, self.payloads)
 
     @cached_property
     def incidents(self) -> DataFrame:
-        return triage.incidents(self.candidates, self.payloads, self.cap)
+        return triage.incidents(self.candidates, self.payloads)
 
     @cached_property
     def unique(self) -> DataFrame:
-        return triage.distinct_incidents(self.candidates, self.payloads, self.cap)
+        """Written once: ledger, approvals and endpoints derive from it too."""
+        rows = triage.distinct_incidents(self.candidates, self.payloads)
+        path = work_folder(self.spark, "unique")
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     @cached_property
     def enriched(self) -> DataFrame:
@@ -110,9 +130,7 @@ class Inputs:
 
     @cached_property
     def fresh(self) -> DataFrame:
-        return triage.new_incidents(
-            self.candidates, self.payloads, self.versions, self.ledger, self.cap
-        )
+        return triage.with_endpoints(ledger.unsolved(self.unique, self.ledger), self.versions)
 
     @cached_property
     def approvals(self) -> DataFrame:
@@ -175,6 +193,11 @@ def lookback_filter(t: Inputs) -> DataFrame:
     return recent.select("session_id", "service_name", time_text("timestamp").alias("ts"))
 
 
+def days_argument(t: Inputs) -> DataFrame:
+    recent = lookback(t.investigations, positive_days(" 7 "), t.as_of)
+    return recent.select("session_id", "service_name", time_text("timestamp").alias("ts"))
+
+
 def noise_filter(t: Inputs) -> DataFrame:
     return actionable(t.investigations).select(
         "session_id", "s3_pointer", first_message().alias("first_message")
@@ -193,7 +216,7 @@ def latest_per_key(t: Inputs) -> DataFrame:
 
 def recent_candidates(t: Inputs) -> DataFrame:
     return show_investigations(
-        triage.recent_investigations(t.investigations, DAYS, t.as_of, DEFAULT_CAP)
+        triage.recent_investigations(t.investigations, DAYS, t.as_of, t.cap)
     )
 
 
@@ -280,26 +303,29 @@ def endpoint_state_merge(t: Inputs) -> DataFrame:
 
 
 def endpoint_wanted(t: Inputs) -> DataFrame:
-    wanted = endpoints.wanted_versions(t.versions, t.unique, t.cap)
+    wanted = endpoints.wanted_versions(t.versions, t.unique)
     return wanted.withColumn("methods", joined_text("methods"))
 
 
-def staged_incidents(t: Inputs, folder: str) -> DataFrame:
-    """Distinct incidents written once, for queries that use them repeatedly."""
-    columns = ["id", "root_cause_hash", "timestamp", "error_message"]
-    t.unique.select(*columns).write.parquet(f"{folder}/incidents")
-    return t.spark.read.schema(STAGED).parquet(f"{folder}/incidents")
+def endpoints_by_id(t: Inputs) -> DataFrame:
+    found = endpoints.endpoints_by_id(t.versions, "acct-1", "prod", [1, 3, 7, 8, 9, 11])
+    return found.withColumn("methods", joined_text("methods"))
+
+
+def ledger_lookup(t: Inputs) -> DataFrame:
+    """Rows of given fingerprints, those of one message thrown by one function."""
+    texts = [f"division by zero|fn{n}.run" for n in range(40)]
+    hashes = [hashlib.sha256(text.encode()).hexdigest() for text in texts]
+    return show_ledger(ledger.lookup(t.ledger, hashes))
 
 
 def ledger_upsert(t: Inputs) -> DataFrame:
     """Two ledger runs, written and read back."""
-    folder = work_folder(t.spark, "ledger")
-    incidents = staged_incidents(t, folder)
-    path = f"{folder}/ledger"
+    path = f"{work_folder(t.spark, 'ledger')}/ledger"
     init_ledger(t.spark, path)
-    append_ledger(derived.ledger(incidents), path, run=1)
+    append_ledger(t.ledger, path, run=1)
     solved = read_ledger_log(t.spark, path)
-    posted = ledger.solved_rows(derived.posted_issues(incidents), solved, t.as_of)
+    posted = ledger.solved_rows(derived.posted_issues(t.unique), solved, t.as_of)
     append_ledger(posted, path, run=2)
     return show_ledger(read_ledger(t.spark, path))
 
@@ -309,25 +335,92 @@ def approved_drafts(t: Inputs) -> DataFrame:
 
 
 def landed_payload_join(t: Inputs) -> DataFrame:
-    """Capped candidates looked up in a payload table partitioned by URI hash."""
+    """Candidates looked up in a payload table landed in two parts."""
     path = f"{work_folder(t.spark, 'payloads')}/landed"
-    land_payloads(t.payloads, path, BUCKETS)
-    landed = read_payload_table(t.spark, path)
-    joined = join_payloads(t.candidates, landed, t.cap, BUCKETS)
+    land_payloads(t.payloads.where("hash(obj_uri) % 2 = 0"), path, BUCKETS)
+    land_payloads(t.payloads.where("hash(obj_uri) % 2 <> 0"), path)
+    joined = join_payloads(t.candidates, read_payload_table(t.spark, path))
     return joined.select("session_id", "obj_uri", "body")
 
 
+def payload_objects_join(t: Inputs) -> DataFrame:
+    """Payloads written as one file each, listed and joined to pointers at those files."""
+    folder = work_folder(t.spark, "objects")
+    store = "s3a://copy/flows"
+    named = t.joined.select("session_id", "body")
+    named.repartition("session_id").write.partitionBy("session_id").text(folder)
+    objects = read_payload_objects(t.spark, folder, store)
+    owner = F.regexp_extract("obj_uri", "session_id=([^/]+)/", 1)
+    pointers = objects.select(
+        owner.alias("session_id"), F.replace("obj_uri", F.lit("s3a:"), F.lit("s3:")).alias("ptr")
+    )
+    found = t.candidates.join(pointers, "session_id").withColumn("s3_pointer", F.col("ptr"))
+    return join_payloads(found.drop("ptr"), objects).select("session_id", "body")
+
+
+def _run(t: Inputs, found: DataFrame, out: str, writer: str = "batch", **more) -> DataFrame:
+    return run_triage(
+        found, t.payloads, t.versions, out, f"{out}/ledger", writer, **more
+    )
+
+
 def triage_run(t: Inputs) -> DataFrame:
     """Drafts of one whole batch run with a ledger and approvals."""
-    folder = work_folder(t.spark, "run")
-    incidents = staged_incidents(t, folder)
-    init_ledger(t.spark, f"{folder}/ledger")
-    append_ledger(derived.ledger(incidents), f"{folder}/ledger", run=0)
-    run_triage(
-        t.candidates, t.payloads, t.versions, f"{folder}/out", f"{folder}/ledger", 1,
-        approvals=derived.approvals(incidents),
+    out = work_folder(t.spark, "run")
+    init_ledger(t.spark, f"{out}/ledger")
+    append_ledger(t.ledger, f"{out}/ledger", run=0)
+    _run(t, t.candidates, out, approvals=t.approvals)
+    return show_drafts(read_runs(t.spark, DRAFTS, f"{out}/drafts").drop("run"))
+
+
+def choices(t: Inputs) -> DataFrame:
+    """What a run offers for approval."""
+    out = work_folder(t.spark, "choices")
+    init_ledger(t.spark, f"{out}/ledger")
+    append_ledger(t.ledger, f"{out}/ledger", run=0)
+    _run(t, t.candidates, out, approvals=t.approvals.limit(0))
+    return read_runs(t.spark, CHOICES, f"{out}/choices").drop("run")
+
+
+def posted_ledger(t: Inputs) -> DataFrame:
+    """A run's drafts, of which some are posted, in the ledger."""
+    out = work_folder(t.spark, "posted")
+    _run(t, t.candidates, out)
+    drafts = read_runs(t.spark, DRAFTS, f"{out}/drafts")
+    record_posted(t.spark, derived.posted_issues(drafts), f"{out}/ledger", "poster")
+    return read_ledger(t.spark, f"{out}/ledger").select(
+        "root_cause_hash", "github_issue_number", "error_pattern"
     )
-    return show_drafts(read_runs(t.spark, DRAFTS, f"{folder}/out/drafts").drop("run"))
+
+
+def empty_run(t: Inputs) -> DataFrame:
+    """The summary of a run that found nothing, after one of the same name that did."""
+    out = work_folder(t.spark, "empty")
+    _run(t, t.candidates, out)
+    return _run(t, t.candidates.where("timestamp < '1970-01-01'"), out)
+
+
+def _stream(t: Inputs, events: str, out: str, name: str, files_a_batch: int = 1000) -> None:
+    start_triage(
+        derived.investigations(derived.stream_events(t.spark, events, files_a_batch)),
+        lambda: t.payloads, lambda: t.versions, out, f"{out}/ledger", f"{out}/{name}",
+    ).awaitTermination()
+
+
+def _drafts_a_cause(t: Inputs, out: str) -> DataFrame:
+    drafts = read_runs(t.spark, DRAFTS, f"{out}/drafts")
+    return drafts.groupBy("root_cause_hash").agg(F.count("*").alias("drafts"))
+
+
+def ledger_mixed_runs(t: Inputs) -> DataFrame:
+    """A batch run, a stream, and the stream again from a new checkpoint, on one ledger."""
+    out = work_folder(t.spark, "mixed")
+    found = triage.candidates(t.investigations, ALL_DAYS, t.as_of)
+    _run(t, found.where("service_name < 'svc-4'"), out)
+    t.events.coalesce(1).write.parquet(f"{out}/events")
+    for name in ("first", "second"):
+        _stream(t, f"{out}/events", out, name)
+    return _drafts_a_cause(t, out)
 
 
 def summary(t: Inputs) -> DataFrame:
@@ -341,25 +434,33 @@ def upper_texts(t: Inputs) -> DataFrame:
 
 
 def stream_new_incidents(t: Inputs) -> DataFrame:
-    """Drafts of a stream over all events, against a ledger from an earlier run."""
-    folder = work_folder(t.spark, "stream")
-    init_ledger(t.spark, f"{folder}/ledger")
-    append_ledger(t.ledger, f"{folder}/ledger", run=0)
-    start_triage(
-        derived.investigations(derived.stream_events(t.spark, t.sf_dir)),
-        lambda: t.payloads, lambda: t.versions,
-        f"{folder}/out", f"{folder}/ledger", f"{folder}/checkpoint",
-    ).awaitTermination()
-    return show_drafts(read_runs(t.spark, DRAFTS, f"{folder}/out/drafts").drop("run"))
+    """Drafts of a stream of three batches, against a ledger from an earlier run."""
+    out = work_folder(t.spark, "stream")
+    derived.parted_events(t.events, f"{out}/events")
+    found = t.spark.createDataFrame([], CANDIDATES)
+    for part in range(3):
+        rows = actionable(derived.investigations(t.events.where(f"{derived.PART} = {part}")))
+        found = found.unionByName(newest_per_key(triage.slim(rows), F.col("first_message")))
+    causes = triage.distinct_incidents(found, t.payloads)
+    init_ledger(t.spark, f"{out}/ledger")
+    append_ledger(derived.ledger(causes), f"{out}/ledger", run=0)
+    _stream(t, f"{out}/events", out, "checkpoint", files_a_batch=1)
+    return _drafts_a_cause(t, out)
 
 
 def stream_dedup(t: Inputs) -> DataFrame:
-    folder = work_folder(t.spark, "dedup")
-    start_first_arrivals(
-        derived.investigations(derived.stream_events(t.spark, t.sf_dir)), t.payloads, DAYS + 1,
-        f"{folder}/out", f"{folder}/checkpoint",
-    ).awaitTermination()
-    return t.spark.read.schema("root_cause_hash STRING").parquet(f"{folder}/out")
+    """First incidents of a stream whose payloads land in two parts, one after the events."""
+    out = work_folder(t.spark, "dedup")
+    t.events.coalesce(1).write.parquet(f"{out}/events")
+    objects = derived.landed(t.events)
+    for part, buckets in ((0, BUCKETS), (1, None)):
+        land_payloads(objects.where(f"abs(hash(obj_uri)) % 2 = {part}"), f"{out}/landed", buckets)
+        start_first_arrivals(
+            derived.investigations(derived.stream_events(t.spark, f"{out}/events")),
+            read_payload_stream(t.spark, f"{out}/landed"), ALL_DAYS,
+            f"{out}/causes", f"{out}/checkpoint",
+        ).awaitTermination()
+    return t.spark.read.schema("root_cause_hash STRING").parquet(f"{out}/causes")
 
 
 def _tuples_json(column: str, second: str) -> Column:
@@ -376,7 +477,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "noise_filter": noise_filter,
     "dedup_key": dedup_keys,
     "latest_per_key": latest_per_key,
-    "recent_candidates": recent_candidates,
+    "days_argument": days_argument,
+    "recent_candidates_all": recent_candidates,
     "pointer_to_uri": pointer_to_uri,
     "jsonrow_decode": jsonrow_decode,
     "payload_join": payload_join,
@@ -397,6 +499,15 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "new_incidents": lambda t: show_incidents(t.fresh),
     "skipped_incidents": lambda t: show_incidents(ledger.already_solved(t.unique, t.ledger)),
     "ledger_upsert": ledger_upsert,
+    "ledger_lookup": ledger_lookup,
+    "endpoints_by_id": endpoints_by_id,
+    "landed_payload_join": landed_payload_join,
+    "payload_objects_join": payload_objects_join,
+    "triage_run": triage_run,
+    "choices": choices,
+    "posted_ledger": posted_ledger,
+    "empty_run": empty_run,
+    "ledger_mixed_runs": ledger_mixed_runs,
     "ledger_recent": lambda t: show_ledger(ledger.newest_ledger_rows_first(t.ledger)),
     "issue_titles": lambda t: t.enriched.select("root_cause_hash", issue_title().alias("title")),
     "issue_bodies": lambda t: t.enriched.select("root_cause_hash", issue_body().alias("body")),
@@ -413,9 +524,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
 
 # Queries about the cap of newest candidates, a top-k.
 CAPPED: dict[str, Callable[[Inputs], DataFrame]] = {
+    "recent_candidates": recent_candidates,
     "new_incidents_capped": QUERIES["new_incidents"],
-    "landed_payload_join": landed_payload_join,
-    "triage_run": triage_run,
+    "triage_run_capped": triage_run,
 }
 
 
@@ -425,4 +536,4 @@ def _bound(build: Callable[[Inputs], DataFrame], cap: int | None):
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     whole = {name: _bound(build, None) for name, build in QUERIES.items()}
-    return {**whole, **{name: _bound(build, DEFAULT_CAP) for name, build in CAPPED.items()}}
+    return {**whole, **{name: _bound(build, CAP) for name, build in CAPPED.items()}}

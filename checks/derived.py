@@ -1,8 +1,11 @@
 """Triage inputs as Spark views over the ``events`` table.
 
 Every event becomes one investigation. Payload objects are missing for every
-13th error and endpoints 10 and 11 have no versions, so that the unmatched
-cases of the joins occur.
+13th error, every 23rd pointer is no URL and endpoints 10 and 11 have no
+versions, so that the unmatched cases of the joins occur. Every 11th event names
+more functions than are kept, payloads hold contexts and values of other types,
+endpoint 8 never has methods, endpoint 9 an empty list, and the newest version
+of endpoint 3 has two paths.
 """
 
 from __future__ import annotations
@@ -41,6 +44,7 @@ SCALARS = {
     "flow_type": "event_type",
     "version": "concat('v', event_id % 4)",
     "s3_pointer": """CASE WHEN event_id % 17 = 0 THEN ''
+        WHEN event_id % 23 = 0 THEN 'not a url'
         WHEN event_id % 2 = 0 THEN concat('s3://incidents/flows/', event_id, '.json')
         ELSE concat('https://incidents.s3.eu-central-1.amazonaws.com/flows/', event_id, '.json')
         END""",
@@ -62,19 +66,34 @@ URI = "concat('s3a://incidents/flows/', event_id, '.json')"
 
 # ``{raw}`` is r for Spark SQL and empty for SQL without backslash escapes.
 BODY = r"""CASE WHEN event_id % 29 = 0 THEN 'not json'
+    WHEN event_id % 31 = 0 THEN '{{"message":7}}'
+    WHEN event_id % 37 = 0 THEN '{{"error":"Fell through","error_message":0,"message":false}}'
+    WHEN event_id % 41 = 0 THEN '{{"message":"listed","stack_trace":[1]}}'
     WHEN event_id % 4 = 0 THEN concat({raw}'{{"error_message":"DB error ', event_id,
         {raw}'","stack_trace":"Error: x\n    at repo.find (r.js:1)\n    at async load\n    at repo.find (r.js:9)"}}')
     WHEN event_id % 4 = 1 THEN concat({raw}'{{"message":"Bad  \"input\" ', event_id,
         {raw}'","stackTrace":"E\n at Svc.call (s.js:3)"}}')
     WHEN event_id % 4 = 2 THEN '{{"error":"","message":null}}'
+    WHEN event_id % 3 = 0 THEN '{{"context":{{"a":1}},"x":2}}'
     ELSE '{{}}' END"""
 
 HAS_OBJECT = "event_type = 'error' AND event_id % 13 <> 0"
 
+PART = "event_id % 3"
+
 VER = "cast(floor(event_id / 12) AS bigint) % 5"
 
-PATH = """CASE WHEN endpoint_id = 7 OR (ver + endpoint_id) % 4 = 3 THEN NULL
-    ELSE concat('/api/', endpoint_id, '/v', ver) END"""
+# Version 4 of endpoint 3 is listed twice.
+PATH = """CASE WHEN endpoint_id = 7 OR (ver + endpoint_id) % 4 = 3 AND NOT twice THEN NULL
+    ELSE concat('/api/', endpoint_id, '/v', ver, CASE WHEN twice THEN 'b' ELSE '' END) END"""
+
+TWICE = "endpoint_id = 3 AND ver = 4"
+
+# More names than the ten that are kept, for every 11th event.
+MORE = 12
+MORE_NAMES = ", ".join(f"concat('more{n}.f', user_id % 7)" for n in range(MORE))
+MORE_IDS = ", ".join(f"cast({n} AS bigint)" for n in range(MORE))
+HAS_MORE = "event_id % 11 = 0"
 
 
 def _exprs(columns: dict[str, str]) -> list[Column]:
@@ -85,9 +104,15 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A file stream takes a folder or a glob, not the path of a single file.
-    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
+def stream_events(spark: SparkSession, folder: str, files_a_batch: int = 1000) -> DataFrame:
+    rows = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files_a_batch)
+    return rows.parquet(folder)
+
+
+def parted_events(events: DataFrame, folder: str) -> None:
+    """The events in three files, dealt by their number."""
+    dealt = events.withColumn("part", F.expr(PART))
+    dealt.repartition("part").write.partitionBy("part").parquet(folder)
 
 
 def investigations(events: DataFrame) -> DataFrame:
@@ -104,7 +129,11 @@ def investigations(events: DataFrame) -> DataFrame:
     )
     nested = [
         F.when(is_error, exceptions).otherwise(F.array().cast(EXCEPTIONS)).alias("exceptions_data"),
-        F.create_map("f1", "event_id", F.lit(" "), F.lit(0).cast("bigint")).alias("function_ids"),
+        F.expr(
+            f"""CASE WHEN {HAS_MORE}
+                THEN map_from_arrays(array(f1, ' ', {MORE_NAMES}), array(event_id, 0L, {MORE_IDS}))
+                ELSE map(f1, event_id, ' ', 0L) END"""
+        ).alias("function_ids"),
         F.when(is_error, enriched)
         .otherwise(F.array().cast(ENRICHED))
         .alias("exceptions_data_enriched"),
@@ -120,17 +149,25 @@ def payloads(events: DataFrame) -> DataFrame:
 
 def endpoint_versions(events: DataFrame) -> DataFrame:
     keys = events.select(*_exprs(OWNER), F.expr(VER).alias("ver"))
-    return (
-        keys.where("endpoint_id < 10")
-        .distinct()
-        .withColumn("path", F.expr(PATH))
-        .withColumn(
-            "methods",
-            F.when(F.col("ver") % 2 == 0, F.array(F.lit("GET"), F.lit("POST"))).otherwise(
-                F.array(F.lit("GET"))
-            ),
-        )
+    once_each = keys.where("endpoint_id < 10").distinct()
+    rows = once_each.withColumn("twice", F.lit(False)).unionByName(
+        once_each.where(TWICE).withColumn("twice", F.lit(True))
+    )
+    get, post = F.lit("GET"), F.lit("POST")
+    methods = (
+        F.when(F.col("endpoint_id") == 8, F.lit(None).cast("array<string>"))
+        .when(F.col("endpoint_id") == 9, F.array().cast("array<string>"))
+        .when(F.col("ver") % 2 == 0, F.array(get, post))
+        .otherwise(F.array(get))
     )
+    return rows.withColumns({"path": F.expr(PATH), "methods": methods}).drop("twice")
+
+
+def landed(events: DataFrame) -> DataFrame:
+    """The payloads as landed at the time of their event."""
+    landed_at = F.col("ts").cast("timestamp").alias("landed_at")
+    body = F.expr(BODY.format(raw="r")).alias("body")
+    return events.where(HAS_OBJECT).select(F.expr(URI).alias("obj_uri"), body, landed_at)
 
 
 def as_of(events: DataFrame) -> Column:

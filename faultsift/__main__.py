@@ -1,68 +1,125 @@
-"""Batch job: ``spark-submit`` this module, or ``python -m faultsift``."""
+"""Jobs: ``spark-submit`` this module, or ``python -m faultsift``.
+
+``run`` (the default) is one batch run, ``stream`` triages what is new since the
+last call, ``arrivals`` writes the first incident of each cause, ``land`` adds new
+payload objects to a landed table, ``posted`` records the numbers of posted
+issues, and ``compact`` rewrites a ledger.
+"""
 
 from __future__ import annotations
 
 import argparse
-import time
-from datetime import datetime
+import uuid
+from datetime import date, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from faultsift.operators.filters import DEFAULT_DAYS, positive_days
-from faultsift.operators.ranking import DEFAULT_CAP
 from faultsift.plans.run import run_triage
 from faultsift.plans.triage import candidates
-from faultsift.schemas import APPROVALS
+from faultsift.schemas import APPROVALS, POSTED
 from faultsift.session import configure
 from faultsift.sources.endpoints import read_endpoint_versions
-from faultsift.sources.investigations import read_investigations
-from faultsift.sources.payloads import read_payload_objects, read_payload_table
+from faultsift.sources.investigations import read_investigation_stream, read_investigations
+from faultsift.sources.ledger import compact_ledger, record_posted
+from faultsift.sources.payloads import (
+    read_payload_objects,
+    read_payload_stream,
+    read_payload_table,
+    start_landing,
+)
+from faultsift.streaming.intake import start_first_arrivals, start_triage
+
+# What each job cannot do without.
+NEEDED = {
+    "run": ("investigations", "payloads", "endpoints", "ledger", "out"),
+    "stream": ("investigations", "payloads", "endpoints", "ledger", "out", "checkpoint"),
+    "arrivals": ("investigations", "payloads", "out", "checkpoint"),
+    "land": ("objects", "payloads", "checkpoint", "buckets"),
+    "posted": ("posted", "ledger"),
+    "compact": ("ledger", "out"),
+}
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="faultsift", description="Triage recent incidents.")
+    parser.add_argument("job", nargs="?", choices=sorted(NEEDED), default="run")
     parser.add_argument("-d", "--days", type=positive_days, default=DEFAULT_DAYS,
-                        help="days to look back (default: %(default)s)")
+                        help="days to look back, or to wait (default: %(default)s)")
     parser.add_argument("--as-of", type=datetime.fromisoformat,
                         help="end of the look-back (default: now)")
-    parser.add_argument("--cap", type=int, default=DEFAULT_CAP,
-                        help="newest candidates kept, 0 for all (default: %(default)s)")
-    parser.add_argument("--investigations", required=True)
+    parser.add_argument("--cap", type=int, help="newest candidates kept (default: all)")
+    parser.add_argument("--investigations")
     parser.add_argument("--date-column", help="date partition column of the investigations")
-    parser.add_argument("--payloads", required=True, help="object prefix or landed table")
-    parser.add_argument("--buckets", type=int, help="bucket count, if --payloads is a landed table")
-    parser.add_argument("--endpoints", required=True)
+    parser.add_argument("--payloads", help="landed table, or object prefix with --raw")
+    parser.add_argument("--raw", action="store_true", help="--payloads is an object prefix")
+    parser.add_argument("--landed-since", type=date.fromisoformat,
+                        help="read payloads landed from this day on (default: all)")
+    parser.add_argument("--objects", help="object prefix to land")
+    parser.add_argument("--store", help="URI that pointers have for the object prefix")
+    parser.add_argument("--buckets", type=int, help="bucket count of a new landed table")
+    parser.add_argument("--endpoints")
     parser.add_argument("--approvals", help="approved fingerprints (default: approve all)")
-    parser.add_argument("--ledger", required=True)
-    parser.add_argument("--out", required=True)
-    parser.add_argument("--run", type=int,
-                        help="run number, larger than earlier ones (default: the clock)")
-    return parser.parse_args(argv)
+    parser.add_argument("--posted", help="fingerprints and numbers of posted issues")
+    parser.add_argument("--ledger")
+    parser.add_argument("--out")
+    parser.add_argument("--checkpoint")
+    parser.add_argument("--writer", help="name of the run, to repeat it (default: a new one)")
+    args = parser.parse_args(argv)
+    missing = [f"--{name}" for name in NEEDED[args.job] if getattr(args, name) is None]
+    if missing:
+        parser.error(f"{args.job} needs {', '.join(missing)}")
+    return args
+
+
+def _payloads(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.raw:
+        return read_payload_objects(spark, args.payloads, args.store)
+    return read_payload_table(spark, args.payloads, args.landed_since)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace, writer: str) -> None:
+    rows = read_investigations(spark, args.investigations, args.date_column)
+    every = candidates(rows, args.days, args.as_of, date_column=args.date_column)
+    found, cut = every, 0
+    if args.cap is not None:
+        found = candidates(rows, args.days, args.as_of, args.cap, date_column=args.date_column)
+        cut = max(0, every.count() - args.cap)
+    approvals = spark.read.schema(APPROVALS).parquet(args.approvals) if args.approvals else None
+    summary = run_triage(
+        found, _payloads(spark, args), read_endpoint_versions(spark, args.endpoints),
+        args.out, args.ledger, writer, approvals=approvals, cut=cut,
+    )
+    row = summary.first()
+    print(f"{row.total} candidates, {row.created} drafts, {row.skipped} causes known before")
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parse_args(argv)
     spark = configure(SparkSession.builder.appName("faultsift").getOrCreate())
-    cap = args.cap or None
-    found = candidates(
-        read_investigations(spark, args.investigations, args.date_column),
-        args.days, args.as_of, cap, date_column=args.date_column,
-    )
-    read_payloads = read_payload_objects if args.buckets is None else read_payload_table
-    approvals = (
-        spark.read.schema(APPROVALS).parquet(args.approvals) if args.approvals else None
-    )
-    run = int(time.time()) if args.run is None else args.run
-    summary = run_triage(
-        found, read_payloads(spark, args.payloads),
-        read_endpoint_versions(spark, args.endpoints),
-        args.out, args.ledger, run, args.buckets, approvals,
-    )
-    if summary is None:
-        print(f"No incidents found in the last {args.days} day(s).")
+    writer = args.writer or f"{args.job}-{uuid.uuid4().hex}"
+    if args.job == "run":
+        _run(spark, args, writer)
+    elif args.job == "stream":
+        start_triage(
+            read_investigation_stream(spark, args.investigations),
+            lambda: _payloads(spark, args),
+            lambda: read_endpoint_versions(spark, args.endpoints),
+            args.out, args.ledger, args.checkpoint, args.days,
+        ).awaitTermination()
+    elif args.job == "arrivals":
+        start_first_arrivals(
+            read_investigation_stream(spark, args.investigations),
+            read_payload_stream(spark, args.payloads), args.days, args.out, args.checkpoint,
+        ).awaitTermination()
+    elif args.job == "land":
+        start_landing(
+            spark, args.objects, args.payloads, args.checkpoint, args.buckets, args.store
+        ).awaitTermination()
+    elif args.job == "posted":
+        record_posted(spark, spark.read.schema(POSTED).parquet(args.posted), args.ledger, writer)
     else:
-        row = summary.first()
-        print(f"Summary: {row.created} drafted, {row.skipped} skipped (already solved)")
+        compact_ledger(spark, args.ledger, args.out)
 
 
 if __name__ == "__main__":

@@ -111,6 +111,6 @@ def choice_short() -> Column:
 def progress_text() -> Column:
     """What a run reports while it drafts an incident."""
     return F.concat(
-        F.lit("Creating issue for: "), F.col("service_name"), F.lit(" - "),
+        F.lit("Drafting "), F.col("service_name"), F.lit(" - "),
         lead(F.col("error_message"), LABEL_MESSAGE),
     )

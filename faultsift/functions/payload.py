@@ -34,6 +34,16 @@ def document(sealed: Column, body: Column) -> Column:
     return F.when(whole & ~F.is_variant_null(value), value)
 
 
+def may_exceed_parser(body: Column) -> Column:
+    """Whether a text has what Spark's parser refuses even in valid JSON.
+
+    A string of 20 MB, a number of more than 1,000 digits, or more than 1,000
+    opening brackets, as nested values would need.
+    """
+    opened = F.length(body) - F.length(F.translate(body, "[{", ""))
+    return (F.length(body) > 20_000_000) | (opened > 1_000) | F.rlike(body, F.lit(r"\d{1001}"))
+
+
 def field(doc: Column, name: str) -> Column:
     return F.try_variant_get(doc, f"$.{name}", "variant")
 

@@ -11,6 +11,10 @@ POINTER_SCHEME = "s3://"
 URI_SCHEME = "s3a://"
 
 
+# Key of the column metadata that holds the bucket count of a landed table.
+BUCKET_COUNT = "buckets"
+
+
 def storage_uri(pointer: Column) -> Column:
     """``s3://`` or virtual-host ``https://`` pointer to one ``s3a://`` form.
 

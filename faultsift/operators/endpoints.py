@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultsift.operators.joins import broadcast_bounded, hashed_join, is_bounded
+from faultsift.operators.joins import hashed_join
 from faultsift.schemas import ENDPOINT_KEY
 
 # Fixed value: path of an endpoint that never had one.
@@ -56,17 +56,9 @@ def wanted_endpoints(incidents: DataFrame) -> DataFrame:
     return incidents.select(*ENDPOINT_KEY).distinct()
 
 
-def wanted_versions(
-    versions: DataFrame, incidents: DataFrame, rows: int | None = None
-) -> DataFrame:
-    """Version rows of the endpoints the incidents name; none for no incidents.
-
-    ``rows`` bounds the number of incidents.
-    """
-    wanted = wanted_endpoints(incidents)
-    if is_bounded(rows):
-        return versions.join(broadcast_bounded(wanted, rows), ENDPOINT_KEY, "left_semi")
-    return hashed_join(versions, wanted, ENDPOINT_KEY, "left_semi")
+def wanted_versions(versions: DataFrame, incidents: DataFrame) -> DataFrame:
+    """Version rows of the endpoints the incidents name; none for no incidents."""
+    return hashed_join(versions, wanted_endpoints(incidents), ENDPOINT_KEY, "left_semi")
 
 
 def endpoints_by_id(

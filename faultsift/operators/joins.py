@@ -1,36 +1,18 @@
-"""Join helpers for bounded and for skewed sides."""
+"""A join helper for large and for skewed sides."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest sides hinted for broadcast: whole rows, and single keys (object URIs,
-# endpoint keys, fingerprints) of at most about a kilobyte each.
-BROADCAST_ROWS = 1_000
-BROADCAST_KEYS = 100_000
-
-
-def is_bounded(rows: int | None, limit: int = BROADCAST_KEYS) -> bool:
-    """Whether a side known to have at most ``rows`` rows may be broadcast."""
-    return rows is not None and rows <= limit
-
-
-def broadcast_bounded(side: DataFrame, rows: int | None, limit: int = BROADCAST_KEYS) -> DataFrame:
-    """Hint a broadcast when ``side`` has at most ``rows`` rows and that is few.
-
-    Without a small bound there is no hint: Spark then compares the real size
-    with its threshold.
-    """
-    return F.broadcast(side) if is_bounded(rows, limit) else side
-
 
 def hashed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Equi-join led by a hash of its keys, for large or skewed sides.
 
     Sorting compares the hashes and not long keys with equal beginnings. And a
     side that was just aggregated by ``keys`` gets an exchange of its own: AQE
-    splits a hot key only between two exchanges made for the join.
+    splits a hot key only between two exchanges made for the join. There is no
+    hint: Spark compares the real size of a side with its threshold.
     """
     key_hash = F.xxhash64(*keys)
     return (

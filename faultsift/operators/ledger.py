@@ -7,7 +7,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultsift.operators.joins import broadcast_bounded, is_bounded
 from faultsift.schemas import LEDGER_COLUMNS
 
 HASH = "root_cause_hash"
@@ -26,19 +25,14 @@ def already_solved(incidents: DataFrame, ledger: DataFrame) -> DataFrame:
     return incidents.join(ledger.select(HASH), HASH, "left_semi")
 
 
-def known_fingerprints(
-    incidents: DataFrame, ledger: DataFrame, rows: int | None = None
-) -> DataFrame:
+def known_fingerprints(incidents: DataFrame, ledger: DataFrame) -> DataFrame:
     """Fingerprints of the incidents that the ledger holds, each once.
 
-    When at most ``rows`` incidents, few enough, meet a large ledger, the ledger
-    is filtered by their fingerprints and not shuffled.
+    The ledger is filtered by the fingerprints, so that few of them, of staged
+    incidents, may be broadcast and a large ledger is then not shuffled.
     """
     wanted = incidents.select(HASH).distinct()
-    if is_bounded(rows):
-        found = ledger.select(HASH).join(broadcast_bounded(wanted, rows), HASH, "left_semi")
-        return found.distinct()
-    return already_solved(wanted, ledger)
+    return ledger.select(HASH).join(wanted, HASH, "left_semi").distinct()
 
 
 def approved(incidents: DataFrame, approvals: DataFrame) -> DataFrame:
@@ -46,9 +40,14 @@ def approved(incidents: DataFrame, approvals: DataFrame) -> DataFrame:
     return incidents.join(approvals.select(HASH), HASH, "left_semi")
 
 
+def lookup(ledger: DataFrame, hashes: list[str]) -> DataFrame:
+    """The ledger rows of given fingerprints that have an issue number."""
+    return ledger.where(F.col(HASH).isin(hashes) & F.col("github_issue_number").isNotNull())
+
+
 def is_solved(ledger: DataFrame, root_cause_hash: str) -> bool:
-    """Point lookup of one fingerprint."""
-    return not ledger.where(F.col(HASH) == root_cause_hash).limit(1).isEmpty()
+    """Point lookup of one fingerprint: whether an issue was posted for it."""
+    return not lookup(ledger, [root_cause_hash]).limit(1).isEmpty()
 
 
 def latest_per_hash(rows: DataFrame) -> DataFrame:
@@ -68,6 +67,23 @@ def duplicate_fingerprints(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy(HASH).agg(F.count("*").alias("rows")).where("rows > 1")
 
 
+def posted_rows(
+    posted: DataFrame, ledger: DataFrame, log: DataFrame, created_at: datetime | Column
+) -> DataFrame:
+    """Ledger rows that give drafted causes the numbers of their posted issues.
+
+    ``posted`` has fingerprints and issue numbers; the newest number counts. A
+    cause that the ledger does not hold is recorded too, without a message.
+    """
+    numbers = posted.where(F.col(HASH).isNotNull() & F.col("github_issue_number").isNotNull())
+    numbers = numbers.groupBy(HASH).agg(F.max("github_issue_number").alias("github_issue_number"))
+    known = ledger.select(HASH, F.col("error_pattern").alias("error_message"))
+    issues = numbers.join(known, HASH, "left").withColumn(
+        "error_message", F.coalesce("error_message", F.lit(""))
+    )
+    return solved_rows(issues.withColumn("id", F.lit(None)), log, created_at)
+
+
 def newest_ledger_rows_first(ledger: DataFrame) -> DataFrame:
     return ledger.orderBy(F.desc("created_at"), F.desc("id"))
 
@@ -102,13 +118,13 @@ def with_ids(rows: DataFrame, after: Column) -> DataFrame:
 def solved_rows(
     issues: DataFrame, ledger: DataFrame, created_at: datetime | Column
 ) -> DataFrame:
-    """Ledger rows for issues holding a fingerprint, issue number and message.
+    """Ledger rows for issues holding a fingerprint, message and issue number.
 
-    ``github_issue_number`` may be absent; the row id then stands in for it.
+    Without a number, or where it is NULL, an issue was drafted but not posted.
     """
     numbered = with_ids(issues.withColumnRenamed("id", "incident_id"), last_id(ledger))
     if "github_issue_number" not in numbered.columns:
-        numbered = numbered.withColumn("github_issue_number", F.col("id"))
+        numbered = numbered.withColumn("github_issue_number", F.lit(None).cast("bigint"))
     created = created_at if isinstance(created_at, Column) else F.lit(created_at)
     return numbered.select(
         "id", HASH, "github_issue_number", created.alias("created_at"),

@@ -13,80 +13,70 @@ from faultsift.functions.payload import (
     field,
     first_truthy,
     is_text_or_absent,
+    may_exceed_parser,
     payload_context,
     sealed_document,
     text_or_empty,
 )
-from faultsift.functions.pointers import URI_SCHEME, storage_uri, uri_bucket
-from faultsift.operators.joins import (
-    BROADCAST_ROWS,
-    broadcast_bounded,
-    hashed_join,
-    is_bounded,
-)
+from faultsift.functions.pointers import BUCKET_COUNT, URI_SCHEME, storage_uri, uri_bucket
+from faultsift.operators.joins import hashed_join
 from faultsift.schemas import INCIDENT_COLUMNS
 
 OK, MISSING, INVALID, NON_STRING = "ok", "missing", "invalid", "non_string"
+UNLOCATABLE, TOO_LARGE = "unlocatable", "too_large"
 
 
 def with_uri(candidates: DataFrame) -> DataFrame:
     return candidates.withColumn("obj_uri", storage_uri(F.col("s3_pointer")))
 
 
-def _keyed(candidates: DataFrame, buckets: int | None) -> tuple[DataFrame, list[str]]:
-    """Candidates that have a URI, and the columns that find its object.
+def is_located() -> Column:
+    """Whether ``obj_uri`` names an object; a pointer that is no URL gives none."""
+    return F.startswith("obj_uri", F.lit(URI_SCHEME))
+
 
-    The filter drops pointers that are no URL. As a selective predicate it also
-    makes the planner consider pruning the payload buckets.
+def wanted_payloads(candidates: DataFrame, payloads: DataFrame) -> DataFrame:
+    """The payloads (obj_uri, body) that the candidates name, one for each URI.
+
+    Keys first: payloads are filtered by the distinct URIs of the candidates
+    before anything else. A landed table carries its bucket count, and the
+    bucket is part of the key, so few candidates make Spark read only the
+    buckets they name. Of several objects of a URI the newest landed one
+    counts, or the largest text where a table does not tell.
     """
-    keyed = with_uri(candidates).where(F.startswith("obj_uri", F.lit(URI_SCHEME)))
-    if buckets is None:
-        return keyed, ["obj_uri"]
-    bucket = uri_bucket(F.col("obj_uri"), buckets)
-    return keyed.withColumn("uri_bucket", bucket), ["uri_bucket", "obj_uri"]
-
-
-def join_payloads(
-    candidates: DataFrame,
-    payloads: DataFrame,
-    rows: int | None = None,
-    buckets: int | None = None,
-) -> DataFrame:
-    """Inner join of candidates and payloads (unique by URI) on the object URI.
-
-    Candidates known to have at most ``rows`` rows, few enough, are broadcast
-    and the payloads stream past them; otherwise both sides shuffle by URI and
-    AQE splits a URI shared by very many candidates. ``buckets`` is the bucket
-    count of a landed payload table; with broadcast candidates only the buckets
-    they name are read.
+    keys = with_uri(candidates).where(is_located()).select("obj_uri").distinct()
+    names = ["obj_uri"]
+    if "uri_bucket" in payloads.columns:
+        buckets = payloads.schema["uri_bucket"].metadata[BUCKET_COUNT]
+        keys = keys.withColumn("uri_bucket", uri_bucket(F.col("obj_uri"), buckets))
+        names = ["uri_bucket", "obj_uri"]
+    found = hashed_join(payloads, keys, names, "left_semi")
+    order = F.col("landed_at") if "landed_at" in payloads.columns else F.lit(0)
+    newest = F.max(F.struct(order.alias("landed_at"), F.col("body")))
+    return found.groupBy("obj_uri").agg(newest["body"].alias("body"))
+
+
+def join_payloads(candidates: DataFrame, payloads: DataFrame) -> DataFrame:
+    """Inner join of candidates and payloads on the object URI.
+
+    Both sides are shuffled by URI unless Spark finds one small; AQE splits a
+    URI shared by very many candidates.
     """
-    keyed, keys = _keyed(candidates, buckets)
-    keyed = broadcast_bounded(keyed, rows, BROADCAST_ROWS)
-    joined = hashed_join(payloads, keyed, keys, "inner")
+    found = wanted_payloads(candidates, payloads)
+    joined = hashed_join(with_uri(candidates).where(is_located()), found, ["obj_uri"], "inner")
     return joined.select(*candidates.columns, "obj_uri", "body")
 
 
-def left_join_payloads(
-    candidates: DataFrame,
-    payloads: DataFrame,
-    rows: int | None = None,
-    buckets: int | None = None,
-) -> DataFrame:
+def left_join_payloads(candidates: DataFrame, payloads: DataFrame) -> DataFrame:
     """Every candidate with its payload body, NULL when the object is missing."""
-    if is_bounded(rows):
-        # The side to keep cannot be broadcast: pick its payloads by key first.
-        keyed, keys = _keyed(candidates, buckets)
-        wanted = broadcast_bounded(keyed.select(*keys), rows)
-        found = hashed_join(payloads, wanted, keys, "left_semi").select("obj_uri", "body")
-        return hashed_join(with_uri(candidates), found, ["obj_uri"], "left")
     # NULL URIs match nothing, but would all be shuffled to one task; a key of
     # their own spreads them.
     row_hash = F.xxhash64("session_id", "s3_pointer", "timestamp").cast("string")
     keyed = with_uri(candidates).withColumn(
         "_uri", F.coalesce("obj_uri", F.concat(F.lit("none:"), row_hash))
     )
-    objects = payloads.select(F.col("obj_uri").alias("_uri"), "body")
-    return hashed_join(keyed, objects, ["_uri"], "left").drop("_uri")
+    found = wanted_payloads(candidates, payloads).select(F.col("obj_uri").alias("_uri"), "body")
+    return hashed_join(keyed, found, ["_uri"], "left").drop("_uri")
 
 
 def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
@@ -99,18 +89,28 @@ def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def with_document(joined: DataFrame) -> DataFrame:
-    """Parse each body once and add the document as a VARIANT, NULL if malformed."""
+    """Parse each body once: the document as a VARIANT, NULL if malformed, instead of the body.
+
+    ``unread`` tells why there is none: the object is missing or cannot be
+    located, is not one JSON value, or may exceed a limit of the parser.
+    """
     parsed = once(joined, "sealed", sealed_document(F.col("body")))
-    return parsed.withColumn("doc", document(F.col("sealed"), F.col("body"))).drop("sealed")
+    parsed = parsed.withColumn("doc", document(F.col("sealed"), F.col("body")))
+    unread = (
+        F.when(F.col("doc").isNotNull(), F.lit(None))
+        .when(~F.coalesce(is_located(), F.lit(False)), UNLOCATABLE)
+        .when(F.col("body").isNull(), MISSING)
+        .when(may_exceed_parser(F.col("body")), TOO_LARGE)
+        .otherwise(INVALID)
+    )
+    return parsed.withColumn("unread", unread).drop("sealed", "body")
 
 
 def with_outcome(joined: DataFrame) -> DataFrame:
     """Add ``outcome``, ``payload_message`` and ``payload_stack``; drop the body."""
     names = [*MESSAGE_FIELDS, *STACK_FIELDS]
     fields = {name: field(F.col("doc"), name).alias(name) for name in names}
-    rows = with_document(joined).select(
-        "*", F.col("doc").isNotNull().alias("parsed"), F.struct(*fields.values()).alias("raw")
-    )
+    rows = with_document(joined).select("*", F.struct(*fields.values()).alias("raw"))
     chosen = F.struct(
         first_truthy([F.col(f"raw.{name}") for name in MESSAGE_FIELDS]).alias("message"),
         first_truthy([F.col(f"raw.{name}") for name in STACK_FIELDS]).alias("stack"),
@@ -118,8 +118,7 @@ def with_outcome(joined: DataFrame) -> DataFrame:
     rows = once(rows, "chosen", chosen)
     message, stack = F.col("chosen.message"), F.col("chosen.stack")
     outcome = (
-        F.when(F.col("body").isNull(), MISSING)
-        .when(~F.col("parsed"), INVALID)
+        F.when(F.col("unread").isNotNull(), F.col("unread"))
         .when(~is_text_or_absent(message) | ~is_text_or_absent(stack), NON_STRING)
         .otherwise(OK)
     )
@@ -129,7 +128,7 @@ def with_outcome(joined: DataFrame) -> DataFrame:
             "payload_message": text_or_empty(message),
             "payload_stack": text_or_empty(stack),
         }
-    ).drop("body", "doc", "parsed", "raw", "chosen")
+    ).drop("doc", "unread", "raw", "chosen")
 
 
 def with_context(joined: DataFrame) -> DataFrame:
@@ -138,7 +137,7 @@ def with_context(joined: DataFrame) -> DataFrame:
         with_document(joined)
         .withColumn("context", payload_context(F.col("doc")))
         .where(F.col("context").isNotNull())
-        .drop("body", "doc")
+        .drop("doc", "unread")
     )
 
 

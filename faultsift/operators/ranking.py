@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from faultsift.operators.filters import first_message
 
-DEFAULT_CAP = 500
-
-
 def dedup_key(message: Column | None = None) -> Column:
     """``service|endpoint|first message``; absent parts count as empty text."""
     message = first_message() if message is None else message
@@ -53,6 +50,7 @@ def newest_first(rows: DataFrame, row_id: str = "session_id") -> DataFrame:
     return rows.orderBy(*_newest_order(row_id))
 
 
-def newest(rows: DataFrame, cap: int | None = DEFAULT_CAP, row_id: str = "session_id") -> DataFrame:
-    """The ``cap`` newest rows, or all of them (unsorted) when ``cap`` is None."""
-    return rows if cap is None else newest_first(rows, row_id).limit(cap)
+def newest(rows: DataFrame, cap: int | None = None, row_id: str = "session_id") -> DataFrame:
+    """All rows, newest first, or the ``cap`` newest of them."""
+    ordered = newest_first(rows, row_id)
+    return ordered if cap is None else ordered.limit(cap)

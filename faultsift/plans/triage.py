@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultsift.functions.fingerprint import named_functions
-from faultsift.operators.endpoints import endpoint_info, endpoint_states, enrich
+from faultsift.operators.endpoints import (
+    endpoint_info,
+    endpoint_states,
+    enrich,
+    wanted_versions,
+)
 from faultsift.operators.filters import DEFAULT_DAYS, NOISE, actionable, first_message, lookback
 from faultsift.operators.ledger import unsolved
 from faultsift.operators.payloads import (
@@ -18,12 +23,7 @@ from faultsift.operators.payloads import (
     with_fingerprint,
     with_outcome,
 )
-from faultsift.operators.ranking import (
-    DEFAULT_CAP,
-    newest,
-    newest_per_fingerprint,
-    newest_per_key,
-)
+from faultsift.operators.ranking import newest, newest_per_fingerprint, newest_per_key
 from faultsift.schemas import CANDIDATE_COLUMNS, INVESTIGATION_COLUMNS
 
 
@@ -31,11 +31,14 @@ def recent_investigations(
     investigations: DataFrame,
     days: int = DEFAULT_DAYS,
     as_of: datetime | Column | None = None,
-    cap: int | None = DEFAULT_CAP,
+    cap: int | None = None,
     noise: tuple[str, ...] = NOISE,
     date_column: str | None = None,
 ) -> DataFrame:
-    """Newest actionable investigation per key, newest first, all 16 columns."""
+    """Newest actionable investigation per key, newest first, all 16 columns.
+
+    All of them, or the ``cap`` newest.
+    """
     recent = actionable(lookback(investigations, days, as_of, date_column), noise)
     return newest(newest_per_key(recent), cap).select(*INVESTIGATION_COLUMNS)
 
@@ -55,45 +58,39 @@ def candidates(
     investigations: DataFrame,
     days: int = DEFAULT_DAYS,
     as_of: datetime | Column | None = None,
-    cap: int | None = DEFAULT_CAP,
+    cap: int | None = None,
     noise: tuple[str, ...] = NOISE,
     date_column: str | None = None,
 ) -> DataFrame:
-    """The rows of ``recent_investigations`` in slim form."""
+    """The rows of ``recent_investigations`` in slim form and in no order."""
     recent = actionable(lookback(investigations, days, as_of, date_column), noise)
-    return newest(newest_per_key(slim(recent), F.col("first_message")), cap)
+    found = newest_per_key(slim(recent), F.col("first_message"))
+    return found if cap is None else newest(found, cap)
 
 
-def incidents(
-    found: DataFrame,
-    payloads: DataFrame,
-    cap: int | None = DEFAULT_CAP,
-    buckets: int | None = None,
-) -> DataFrame:
+def incidents(found: DataFrame, payloads: DataFrame) -> DataFrame:
     """Fingerprinted incidents of candidates whose payload is usable."""
-    usable = with_outcome(join_payloads(found, payloads, cap, buckets))
-    return to_incidents(with_fingerprint(usable))
+    return to_incidents(with_fingerprint(with_outcome(join_payloads(found, payloads))))
 
 
-def outcomes(
-    found: DataFrame,
-    payloads: DataFrame,
-    cap: int | None = DEFAULT_CAP,
-    buckets: int | None = None,
-) -> DataFrame:
+def outcomes(found: DataFrame, payloads: DataFrame) -> DataFrame:
     """Every candidate with what became of its payload."""
-    return with_outcome(left_join_payloads(found, payloads, cap, buckets))
+    return with_outcome(left_join_payloads(found, payloads))
 
 
-def distinct_incidents(
-    found: DataFrame, payloads: DataFrame, cap: int | None = DEFAULT_CAP
-) -> DataFrame:
+def distinct_incidents(found: DataFrame, payloads: DataFrame) -> DataFrame:
     """The newest incident per fingerprint."""
-    return newest_per_fingerprint(incidents(found, payloads, cap))
+    return newest_per_fingerprint(incidents(found, payloads))
 
 
 def with_endpoints(rows: DataFrame, endpoint_versions: DataFrame) -> DataFrame:
-    return enrich(rows, endpoint_info(endpoint_states(endpoint_versions)))
+    """Rows with the newest path and methods of their endpoint.
+
+    Versions are filtered by the wanted endpoints before they are aggregated.
+    ``rows`` is used twice; stage it where it is costly.
+    """
+    versions = wanted_versions(endpoint_versions, rows)
+    return enrich(rows, endpoint_info(endpoint_states(versions)))
 
 
 def new_incidents(
@@ -101,12 +98,11 @@ def new_incidents(
     payloads: DataFrame,
     endpoint_versions: DataFrame,
     ledger: DataFrame,
-    cap: int | None = DEFAULT_CAP,
 ) -> DataFrame:
     """Distinct unsolved incidents with their endpoint.
 
     The ledger is checked before enrichment: the result is the same, it reuses
     the partitioning by fingerprint, and fewer rows are enriched.
     """
-    unique = distinct_incidents(found, payloads, cap)
+    unique = distinct_incidents(found, payloads)
     return with_endpoints(unsolved(unique, ledger), endpoint_versions)

@@ -74,6 +74,22 @@ CANDIDATE_COLUMNS = [
 
 SKIPPED = "root_cause_hash STRING"
 
+# Candidates whose payload object is missing, and when a stream first saw them.
+WAITING = CANDIDATES + ", first_seen TIMESTAMP"
+
+# New incidents with their endpoint.
+FRESH = """
+    id STRING, service_name STRING, endpoint_uuid STRING, endpoint_id BIGINT,
+    account_id STRING, environment_name STRING, error_message STRING, stack_trace STRING,
+    throwing_functions ARRAY<STRING>, timestamp TIMESTAMP, s3_pointer STRING,
+    root_cause_hash STRING, endpoint_path STRING, endpoint_methods ARRAY<STRING>
+"""
+
+# What a person chooses from, and the numbers of the issues posted afterwards.
+CHOICES = "root_cause_hash STRING, label STRING, short STRING"
+
+POSTED = "root_cause_hash STRING, github_issue_number BIGINT"
+
 OUTCOMES = """
     id STRING, service_name STRING, endpoint_uuid STRING, endpoint_id BIGINT,
     account_id STRING, environment_name STRING, s3_pointer STRING, timestamp TIMESTAMP,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,11 +25,9 @@ def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
 
     Stream checkpoints and staged tables go here, so every executor must see
-    it. Only a local master may fall back to a temporary folder.
+    it. A session without that setting uses its warehouse, which all executors
+    share too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="faultsift-")
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
     return f"{root.rstrip('/')}/faultsift/{name}-{uuid.uuid4().hex}"

@@ -1,12 +1,13 @@
-"""Ledger of solved issues: an append-only table, one directory per run."""
+"""Ledger of drafted and posted issues: an append-only table, one directory per run."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from faultsift.operators.ledger import latest_per_hash
+from faultsift.operators.ledger import HASH, duplicate_fingerprints, latest_per_hash, posted_rows
 from faultsift.schemas import LEDGER, LEDGER_COLUMNS
-from faultsift.sources.runs import create_if_absent, read_runs, write_run
+from faultsift.sources.runs import carry_claims, claim_run, create_if_absent, read_runs, write_run
 
 
 def init_ledger(spark: SparkSession, path: str) -> None:
@@ -28,5 +29,41 @@ def read_ledger(spark: SparkSession, path: str, before: int | None = None) -> Da
 
 
 def append_ledger(rows: DataFrame, path: str, run: int) -> None:
-    """Insert or replace by fingerprint, as the rows of one run."""
-    write_run(rows.select(*LEDGER_COLUMNS), path, run)
+    """Insert or replace by fingerprint, as the rows of one run.
+
+    Rows need an id, a fingerprint, a time and a text, and fingerprints must be
+    unique: a violation fails the write, or is found in what was written, which
+    is then emptied.
+    """
+    needed = ["id", HASH, "created_at", "error_pattern"]
+    checked = rows.select(*LEDGER_COLUMNS)
+    for name in needed:
+        value = F.when(F.col(name).isNotNull(), F.col(name))
+        message = F.lit(f"ledger rows need {name}")
+        checked = checked.withColumn(name, F.coalesce(value, F.raise_error(message).cast(checked.schema[name].dataType)))
+    write_run(checked, path, run)
+    spark = rows.sparkSession
+    written = spark.read.schema(LEDGER).parquet(f"{path}/run={run}")
+    if not duplicate_fingerprints(written).isEmpty():
+        write_run(spark.createDataFrame([], LEDGER), path, run)
+        raise ValueError(f"fingerprints repeat in the ledger rows of run {run}")
+
+
+def record_posted(
+    spark: SparkSession, posted: DataFrame, path: str, writer: str, batch: int = 0
+) -> None:
+    """Give causes the numbers of their posted issues, as a run of its own."""
+    init_ledger(spark, path)
+    claim = claim_run(spark, path, writer, batch)
+    log = read_ledger_log(spark, path, before=claim.run)
+    rows = posted_rows(posted, latest_per_hash(log), log, claim.claimed_at)
+    append_ledger(rows, path, claim.run)
+
+
+def compact_ledger(spark: SparkSession, path: str, new_path: str) -> None:
+    """Write the current ledger to a new path as one run, with the last claims.
+
+    For a time when no run is under way; later runs go on with the new path.
+    """
+    init_ledger(spark, new_path)
+    append_ledger(read_ledger(spark, path), new_path, carry_claims(spark, path, new_path))

@@ -2,43 +2,125 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from faultsift.functions.pointers import BUCKET_COUNT, listed_uri, uri_bucket
+
+ROWS = "obj_uri STRING, body STRING, landed_at TIMESTAMP"
+LAYOUT = "buckets INT"
+
 
-from faultsift.functions.pointers import listed_uri, uri_bucket
-from faultsift.schemas import PAYLOADS
+def _as_payloads(files: DataFrame, prefix: str, store: str | None) -> DataFrame:
+    uri = listed_uri(F.col("_metadata.file_path"))
+    if store is not None:
+        # What follows the prefix in the path, whatever the scheme before it.
+        folder = prefix.split("://")[-1].removeprefix("file:").strip("/")
+        rest = F.substring_index(uri, f"{folder}/", -1)
+        uri = F.concat(F.lit(store.rstrip("/") + "/"), rest)
+    return files.select(uri.alias("obj_uri"), F.col("value").alias("body"))
 
 
-def read_payload_objects(spark: SparkSession, prefix: str) -> DataFrame:
+def read_payload_objects(spark: SparkSession, prefix: str, store: str | None = None) -> DataFrame:
     """Every object below a prefix as (obj_uri, body).
 
     The prefix is listed and joined: a list of single paths would fail as a
-    whole when one object is missing.
+    whole when one object is missing. ``store`` is the URI that pointers have
+    where the prefix is a copy or a mount of it. For a store of any size land
+    its objects and look them up in the landed table.
     """
     files = spark.read.option("recursiveFileLookup", "true").text(prefix, wholetext=True)
-    return files.select(
-        listed_uri(F.col("_metadata.file_path")).alias("obj_uri"),
-        F.col("value").alias("body"),
-    )
+    return _as_payloads(files, prefix, store)
+
+
+def table_buckets(spark: SparkSession, path: str) -> int:
+    """The bucket count that a landed table was made with."""
+    return spark.read.schema(LAYOUT).parquet(f"{path}/layout").first()["buckets"]
+
 
+def init_payload_table(spark: SparkSession, path: str, buckets: int) -> None:
+    """An empty landed table, unless there is one; another bucket count is an error."""
+    layout = spark.createDataFrame([(buckets,)], LAYOUT)
+    layout.coalesce(1).write.mode("ignore").parquet(f"{path}/layout")
+    kept = table_buckets(spark, path)
+    if kept != buckets:
+        raise ValueError(f"{path} has {kept} buckets, not {buckets}")
+    empty = spark.createDataFrame([], f"{ROWS}, landed_on DATE, uri_bucket INT")
+    empty.write.mode("ignore").partitionBy("landed_on", "uri_bucket").parquet(f"{path}/rows")
 
-def land_payloads(payloads: DataFrame, path: str, buckets: int) -> None:
-    """Write payloads as a table partitioned by a hash of their URI.
 
-    A capped lookup then reads only the buckets its candidates fall in (dynamic
-    partition pruning). Rebalancing gives large buckets several files of the
-    advisory size; each is sorted by URI.
+def land_payloads(payloads: DataFrame, path: str, buckets: int | None = None) -> None:
+    """Add payloads to a table by landing date and a hash of their URI.
+
+    Nothing landed before is read or rewritten: of several rows of a URI the
+    lookup takes the newest, so landing again after a failure does no harm.
+    Within one landing the largest text of a URI is kept. ``buckets`` is needed
+    for the first landing only. Rebalancing gives large buckets several files
+    of the advisory size; each is sorted by URI.
     """
+    spark = payloads.sparkSession
+    if buckets is not None:
+        init_payload_table(spark, path, buckets)
+    count = table_buckets(spark, path)
+    newest = Window.partitionBy("obj_uri").orderBy(F.desc("body"))
+    if "landed_at" not in payloads.columns:
+        payloads = payloads.withColumn("landed_at", F.current_timestamp())
     (
-        payloads.select("obj_uri", "body")
-        .withColumn("uri_bucket", uri_bucket(F.col("obj_uri"), buckets))
+        payloads.select("obj_uri", "body", "landed_at")
+        .withColumn("rn", F.row_number().over(newest))
+        .where("rn = 1")
+        .drop("rn")
+        .withColumn("landed_on", F.to_date("landed_at"))
+        .withColumn("uri_bucket", uri_bucket(F.col("obj_uri"), count))
         .hint("rebalance", F.col("uri_bucket"))
-        .sortWithinPartitions("uri_bucket", "obj_uri")
-        .write.mode("overwrite")
-        .partitionBy("uri_bucket")
-        .parquet(path)
+        .sortWithinPartitions("landed_on", "uri_bucket", "obj_uri")
+        .write.mode("append")
+        .partitionBy("landed_on", "uri_bucket")
+        .parquet(f"{path}/rows")
+    )
+
+
+def start_landing(
+    spark: SparkSession,
+    prefix: str,
+    path: str,
+    checkpoint: str,
+    buckets: int,
+    store: str | None = None,
+    files_a_batch: int = 100_000,
+) -> StreamingQuery:
+    """Land each object below a prefix once, as it appears."""
+    init_payload_table(spark, path, buckets)
+    files = (
+        spark.readStream.schema("value STRING")
+        .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", files_a_batch)
+        .text(prefix, wholetext=True)
+    )
+    return (
+        _as_payloads(files, prefix, store)
+        .writeStream.foreachBatch(lambda rows, _: land_payloads(rows, path))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_payload_table(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
+    """A landed table with its bucket count, of all days or from ``since`` on."""
+    rows = spark.read.schema(f"{ROWS}, landed_on DATE, uri_bucket INT").parquet(f"{path}/rows")
+    if since is not None:
+        rows = rows.where(F.col("landed_on") >= F.lit(since))
+    bucket = F.col("uri_bucket").alias(
+        "uri_bucket", metadata={BUCKET_COUNT: table_buckets(spark, path)}
     )
+    return rows.select("obj_uri", "body", "landed_at", bucket)
 
 
-def read_payload_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PAYLOADS + ", uri_bucket INT").parquet(path)
+def read_payload_stream(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a landed table as they are landed."""
+    rows = spark.readStream.schema(f"{ROWS}, landed_on DATE, uri_bucket INT")
+    return rows.parquet(f"{path}/rows").select("obj_uri", "body", "landed_at")

@@ -1,14 +1,21 @@
-"""Tables kept as one directory per run.
+"""Tables kept as one directory per run, and the numbers of runs.
 
 A run reads the directories of earlier runs and overwrites only its own, so
 repeating a failed run gives the same rows and never reads what it replaces.
+Numbers are claimed beside the ledger that the runs share.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from datetime import datetime
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CLAIMS = "writer STRING, batch BIGINT, claimed_at TIMESTAMP"
+
 
 def create_if_absent(spark: SparkSession, schema: str, path: str) -> None:
     """An empty table, unless the path exists already."""
@@ -30,3 +37,61 @@ def read_runs(
 
 def read_run(spark: SparkSession, schema: str, path: str, run: int) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{path}/run={run}")
+
+
+@dataclass(frozen=True)
+class Claim:
+    """A run number, when it was claimed, and the writer's run before it."""
+
+    run: int
+    claimed_at: datetime
+    previous: int | None
+
+
+def _claims_path(ledger_path: str) -> str:
+    return f"{ledger_path.rstrip('/')}-runs"
+
+
+def _claims(spark: SparkSession, ledger_path: str) -> list:
+    """One row per run; of two writers that took one number the lesser has it."""
+    path = _claims_path(ledger_path)
+    create_if_absent(spark, CLAIMS, path)
+    rows = read_runs(spark, CLAIMS, path)
+    first = F.min(F.struct("writer", "batch", "claimed_at")).alias("c")
+    return rows.groupBy("run").agg(first).select("run", "c.*").collect()
+
+
+def claim_run(spark: SparkSession, ledger_path: str, writer: str, batch: int = 0) -> Claim:
+    """The run of a writer's batch: the one it has already, or the next number.
+
+    All jobs and streams that share a ledger take their numbers from it, and
+    only the same writer and batch gets the same number again, to overwrite
+    what it wrote. Claims are one small row a run; ``compact_ledger`` keeps
+    only the last of each writer.
+    """
+    while True:
+        taken = _claims(spark, ledger_path)
+        own = sorted((row.batch, row.run) for row in taken if row.writer == writer)
+        before = [run for earlier, run in own if earlier < batch]
+        for row in taken:
+            if (row.writer, row.batch) == (writer, batch):
+                return Claim(row.run, row.claimed_at, before[-1] if before else None)
+        run = max((row.run for row in taken), default=0) + 1
+        now = F.date_trunc("second", F.current_timestamp()).alias("claimed_at")
+        row = spark.range(1).select(F.lit(writer).alias("writer"), F.lit(batch).alias("batch"), now)
+        try:
+            path = f"{_claims_path(ledger_path)}/run={run}"
+            row.coalesce(1).write.mode("error").parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+
+
+def carry_claims(spark: SparkSession, ledger_path: str, new_path: str) -> int:
+    """Writes each writer's last claim beside another ledger; returns the last run."""
+    taken = sorted(_claims(spark, ledger_path), key=lambda row: row.run)
+    create_if_absent(spark, CLAIMS, _claims_path(new_path))
+    for row in {row.writer: row for row in taken}.values():
+        frame = spark.createDataFrame([(row.writer, row.batch, row.claimed_at)], CLAIMS)
+        write_run(frame.coalesce(1), _claims_path(new_path), row.run)
+    return taken[-1].run if taken else 0

@@ -2,47 +2,55 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from faultsift.operators.filters import (
-    DEFAULT_DAYS,
-    NOISE,
-    actionable,
-    lookback,
-    positive_days,
-)
+from faultsift.operators.filters import DEFAULT_DAYS, NOISE, actionable, cutoff, positive_days
 from faultsift.operators.payloads import (
     MISSING,
-    join_payloads,
+    is_located,
     to_incidents,
     with_fingerprint,
     with_outcome,
+    with_uri,
 )
-from faultsift.operators.ranking import newest, newest_per_key
+from faultsift.operators.ranking import newest_per_key
 from faultsift.plans.run import run_triage
 from faultsift.plans.triage import slim
-from faultsift.schemas import CANDIDATE_COLUMNS, OUTCOMES
-from faultsift.sources.runs import create_if_absent, read_runs
+from faultsift.schemas import CANDIDATE_COLUMNS, CANDIDATES, OUTCOMES, WAITING
+from faultsift.sources.runs import claim_run, read_run, write_run
 
 SALTS = 32
 
+# What tells one waiting candidate from another.
+SEEN_KEY = ["session_id", "s3_pointer", "timestamp"]
+
 
 def intake(stream: DataFrame, noise: tuple[str, ...] = NOISE) -> DataFrame:
     """Actionable investigations in slim form; stateless."""
     return slim(actionable(stream, noise))
 
 
-def waiting(spark: SparkSession, out: str, run: int) -> DataFrame:
-    """Candidates of the run before ``run`` whose payload object was missing."""
-    path = f"{out}/outcomes"
-    create_if_absent(spark, OUTCOMES, path)
-    earlier = read_runs(spark, OUTCOMES, path).where(F.col("run") == run - 1)
-    missing = earlier.where(F.col("outcome") == MISSING)
-    return missing.withColumnRenamed("id", "session_id").select(*CANDIDATE_COLUMNS)
+def writer_of(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the runs of a checkpoint; a new checkpoint has a new name."""
+    path = f"{checkpoint.rstrip('/')}-writer"
+    name = spark.createDataFrame([(f"stream-{uuid.uuid4().hex}",)], "writer STRING")
+    name.coalesce(1).write.mode("ignore").parquet(path)
+    return spark.read.schema("writer STRING").parquet(path).first()["writer"]
+
+
+def still_waiting(rows: DataFrame, days: int, now: datetime) -> DataFrame:
+    """Candidates first seen at most ``days`` days before ``now``, by the clock of the runs.
+
+    The times of the data have no say: one row with a clock far ahead would
+    otherwise end the wait of all others.
+    """
+    return rows.where(F.col("first_seen") >= cutoff(days, now))
 
 
 def start_triage(
@@ -52,27 +60,44 @@ def start_triage(
     out: str,
     ledger_path: str,
     checkpoint: str,
-    first_run: int = 1,
-    cap: int | None = None,
     days: int = DEFAULT_DAYS,
 ) -> StreamingQuery:
     """One triage run per micro-batch over all files that are new.
 
     The static sides are re-read for every batch. A candidate whose payload
-    object is still missing is tried again with the next batch, until it is
-    ``days`` days older than the newest candidate. Batch ``n`` is run
-    ``first_run + n``; a replayed batch sees only the tables of earlier runs and
-    overwrites its own drafts and ledger rows with the same content.
+    object is still missing is tried again with every batch for ``days`` days
+    after it was first seen; the summary counts those given up. Run numbers come
+    from the ledger, so batch jobs and other streams may share it. A replayed
+    batch sees only the tables of earlier runs and overwrites its own drafts
+    and ledger rows with the same content. The batch is written once, and only
+    the tables of the stream's last run are read.
     """
+    writer = writer_of(stream.sparkSession, checkpoint)
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        run = first_run + batch_id
-        newest_time = F.coalesce(
-            batch.agg(F.max("timestamp")).scalar(), F.timestamp_seconds(F.lit(0))
+        spark = batch.sparkSession
+        claim = claim_run(spark, ledger_path, writer, batch_id)
+        write_run(batch, f"{out}/arrived", claim.run)
+        arrived = read_run(spark, CANDIDATES, f"{out}/arrived", claim.run)
+        earlier = spark.createDataFrame([], WAITING)
+        if claim.previous is not None:
+            earlier = read_run(spark, WAITING, f"{out}/waiting", claim.previous)
+        again = still_waiting(earlier, days, claim.claimed_at)
+        expired = earlier.count() - again.count()
+        # What waits was the newest of its key once, and competes with none.
+        found = newest_per_key(arrived, F.col("first_message"))
+        found = found.unionByName(again.select(*CANDIDATE_COLUMNS))
+        run_triage(
+            found, payloads(), endpoint_versions(), out, ledger_path, writer, batch_id,
+            expired=expired,
         )
-        again = lookback(waiting(batch.sparkSession, out, run), days, newest_time)
-        found = newest_per_key(batch.unionByName(again), F.col("first_message"))
-        run_triage(newest(found, cap), payloads(), endpoint_versions(), out, ledger_path, run)
+        done = read_run(spark, OUTCOMES, f"{out}/outcomes", claim.run)
+        missing = done.where(F.col("outcome") == MISSING).withColumnRenamed("id", "session_id")
+        seen = again.groupBy(*SEEN_KEY).agg(F.min("first_seen").alias("first_seen"))
+        waiting = missing.select(*CANDIDATE_COLUMNS).join(seen, SEEN_KEY, "left")
+        first = F.coalesce("first_seen", F.lit(claim.claimed_at))
+        waiting = waiting.select(*CANDIDATE_COLUMNS, first.alias("first_seen"))
+        write_run(waiting, f"{out}/waiting", claim.run)
 
     return (
         intake(stream)
@@ -83,26 +108,48 @@ def start_triage(
     )
 
 
+def _first(rows: DataFrame, keys: list[str], salts: int) -> DataFrame:
+    """The first row of a key within the watermark.
+
+    Repeats go per (key, salt) first, so the task that owns a very frequent
+    key sees at most ``salts`` rows of it per window.
+    """
+    salt = F.pmod(F.xxhash64("session_id", "s3_pointer", "timestamp"), F.lit(salts))
+    return (
+        rows.withColumn("salt", salt)
+        .dropDuplicatesWithinWatermark([*keys, "salt"])
+        .drop("salt")
+        .dropDuplicatesWithinWatermark(keys)
+    )
+
+
 def first_arrivals(
     stream: DataFrame, payloads: DataFrame, days: int, salts: int = SALTS
 ) -> DataFrame:
     """The first arrived incident per fingerprint, remembered for ``days`` days.
 
-    Unlike the batch rule this keeps the first to arrive, not the newest; rows
-    later than the watermark, and rows whose payload has not been landed when the
-    query starts, are dropped. Repeats are removed per
-    (fingerprint, salt) first, so the task that owns a very frequent
-    fingerprint sees at most ``salts`` rows of it per window.
+    ``payloads`` is a stream of landed objects (obj_uri, body, landed_at).
+    Candidates and objects wait for each other up to ``days`` days, so either
+    may come first; rows later than the watermark are dropped. A fingerprint
+    follows from message, functions and payload, so of the candidates that
+    share them only the first waits: a pointer shared by very many candidates
+    meets its object a few times. Unlike the batch rule this keeps the first
+    to arrive, not the newest.
     """
     delay = f"{positive_days(days)} days"
-    arrived = to_incidents(with_fingerprint(with_outcome(join_payloads(intake(stream), payloads))))
-    return (
-        arrived.withWatermark("timestamp", delay)
-        .withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
-        .dropDuplicatesWithinWatermark(["root_cause_hash", "salt"])
-        .drop("salt")
-        .dropDuplicatesWithinWatermark(["root_cause_hash"])
+    located = with_uri(intake(stream)).where(is_located()).withWatermark("timestamp", delay)
+    asked = _first(located, ["obj_uri", "first_message", "function_names"], salts)
+    objects = payloads.withWatermark("landed_at", delay).withColumnRenamed("obj_uri", "uri")
+    window = F.expr(f"INTERVAL {positive_days(days)} DAYS")
+    met = asked.join(
+        objects,
+        (F.col("obj_uri") == F.col("uri"))
+        & (F.col("landed_at") >= F.col("timestamp") - window)
+        & (F.col("landed_at") <= F.col("timestamp") + window),
     )
+    arrived = with_fingerprint(with_outcome(met.drop("uri", "landed_at")))
+    incidents = to_incidents(arrived).withColumnRenamed("id", "session_id")
+    return _first(incidents, ["root_cause_hash"], salts).withColumnRenamed("session_id", "id")
 
 
 def start_first_arrivals(

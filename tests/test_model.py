@@ -142,10 +142,10 @@ def test_triage_equals_the_model(spark, seed, cap):
             for row in frame.collect()
         }
 
-    unique = triage.distinct_incidents(found, objects, cap)
+    unique = triage.distinct_incidents(found, objects)
     assert shown(triage.with_endpoints(unique, versions)) == expected
     assert len(expected) > 15
     through_outcomes = newest_per_fingerprint(
-        to_incidents(with_fingerprint(triage.outcomes(found, objects, cap)))
+        to_incidents(with_fingerprint(triage.outcomes(found, objects)))
     )
     assert shown(triage.enrich(through_outcomes, endpoint_info(endpoint_states(versions)))) == expected

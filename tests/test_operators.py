@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faultsift.operators import endpoints, filters, ledger, ranking
-from faultsift.operators.joins import BROADCAST_KEYS, hashed_join, is_bounded
+from faultsift.operators.joins import hashed_join
 from faultsift.operators.payloads import rejects, to_incidents, with_context, with_fingerprint
 from faultsift.plans import triage
 from faultsift.plans.report import run_summary
@@ -73,7 +73,9 @@ def test_newest_keeps_the_cap(spark):
     found = triage.recent_investigations(frame, 3, AS_OF, cap=3)
     assert found.columns == INVESTIGATION_COLUMNS
     assert [row.session_id for row in found.collect()] == ["s-3", "s-7", "s-2"]
-    assert triage.recent_investigations(frame, 3, AS_OF, cap=None).count() == 8
+    every = [row.session_id for row in triage.recent_investigations(frame, 3, AS_OF).collect()]
+    assert every == ["s-3", "s-7", "s-2", "s-6", "s-1", "s-5", "s-0", "s-4"]
+    assert triage.candidates(frame, 3, AS_OF).count() == 8
     assert ids(triage.candidates(frame, 3, AS_OF, cap=3)) == ["s-2", "s-3", "s-7"]
 
 
@@ -90,38 +92,36 @@ BODIES = {
     23: ('{"stack_trace":0,"stackTrace":"at a.b"}', "boom"), 24: ('"text"', "boom"),
     25: ("false", "boom"), 26: ('{"message":[]}', "non_string"), 27: ('{"a":1,}', "invalid"),
     28: ('{"message":-0}', "boom"), 29: (None, "missing"), 30: ('{"message":"tab\\tx"}', "tab\tx"),
-    31: ('{"Message":"upper"}', "boom"), 33: ("[" * 5000 + "]" * 5000, "invalid"),
-    34: ('{"message":' + "9" * 400 + "}", "non_string"), 35: ("9" * 2000, "invalid"), 32: ('{"message":1e-5}', "non_string"),
+    31: ('{"Message":"upper"}', "boom"), 33: ("[" * 5000 + "]" * 5000, "too_large"),
+    34: ('{"message":' + "9" * 400 + "}", "non_string"), 35: ("9" * 2000, "too_large"), 32: ('{"message":1e-5}', "non_string"),
 }
 
 
-@pytest.mark.parametrize("cap", [None, 500])
-def test_payload_cases(spark, cap):
+def test_payload_cases(spark):
     rows = [investigation(number, "boom") for number in [*BODIES, 98]]
     rows.append(investigation(99, s3_pointer="not a url"))
     found = triage.slim(investigations(spark, rows))
     objects = payloads(spark, {number: body for number, (body, _) in BODIES.items()})
-    processed = with_fingerprint(triage.outcomes(found, objects, cap))
+    processed = with_fingerprint(triage.outcomes(found, objects))
     result = {
         row.id: row.error_message if row.outcome == "ok" else row.outcome
         for row in processed.collect()
     }
     expected = {f"s-{number}": want for number, (_, want) in BODIES.items()}
-    assert result == {**expected, "s-98": "missing", "s-99": "missing"}
+    assert result == {**expected, "s-98": "missing", "s-99": "unlocatable"}
 
-    inner = by_id(triage.incidents(found, objects, cap))
+    inner = by_id(triage.incidents(found, objects))
     outer = by_id(to_incidents(processed))
     assert inner == outer
     assert inner["s-23"].throwing_functions == ["f", "a.b"]
     assert inner["s-23"].stack_trace == "at a.b"
 
-    left = by_id(rejects(triage.outcomes(found, objects, cap)), "session_id")
+    left = by_id(rejects(triage.outcomes(found, objects)), "session_id")
     assert set(left) | set(inner) == set(result)
     assert left["s-99"].obj_uri is None
 
 
-@pytest.mark.parametrize("cap", [None, 500])
-def test_sessions_and_payloads_may_repeat(spark, cap):
+def test_sessions_and_payloads_may_repeat(spark):
     rows = [
         investigation(1, "a", session_id="same", s3_pointer="s3://b/1.json"),
         investigation(2, "b", session_id="same", s3_pointer="s3://b/2.json"),
@@ -130,13 +130,14 @@ def test_sessions_and_payloads_may_repeat(spark, cap):
     ]
     found = triage.slim(investigations(spark, rows))
     objects = payloads(spark, {1: '{"message":"one"}', 2: '{"message":"two"}'})
-    result = triage.outcomes(found, objects, cap).select(
+    objects = objects.unionByName(payloads(spark, {1: '{"message":"a smaller text"}'}))
+    result = triage.outcomes(found, objects).select(
         "first_message", "outcome", "payload_message"
     )
     assert sorted(tuple(row) for row in result.collect()) == [
         ("a", "ok", "one"), ("b", "ok", "two"), ("c", "ok", "one"), ("d", "missing", "")
     ]
-    inner = triage.incidents(found, objects, cap)
+    inner = triage.incidents(found, objects)
     assert sorted(row.error_message for row in inner.collect()) == ["one", "one", "two"]
 
 
@@ -154,7 +155,7 @@ def test_one_incident_per_fingerprint_is_the_newest(spark):
     rows = [investigation(n, f"order {n} lost", minutes=n % 3) for n in range(6)]
     found = triage.slim(investigations(spark, rows))
     objects = payloads(spark, {n: "{}" for n in range(6)})
-    unique = triage.distinct_incidents(found, objects, None)
+    unique = triage.distinct_incidents(found, objects)
     assert ids(unique, "id") == ["s-2"]
 
 
@@ -196,8 +197,7 @@ def test_states_merge_at_any_split(spark, split):
     assert sorted(endpoints.merge_states(*parts).collect()) == sorted(whole.collect())
 
 
-@pytest.mark.parametrize("cap", [None, 500])
-def test_enrichment(spark, cap):
+def test_enrichment(spark):
     rows = [
         investigation(1), investigation(2, "no default path", endpoint_id=2),
         investigation(3, "no such endpoint", endpoint_id=77),
@@ -205,16 +205,16 @@ def test_enrichment(spark, cap):
         investigation(5, "bar in name", environment_name="de|v"),
     ]
     found = triage.slim(investigations(spark, rows))
-    unique = triage.distinct_incidents(found, payloads(spark, {n: "{}" for n in range(1, 6)}), cap)
+    unique = triage.distinct_incidents(found, payloads(spark, {n: "{}" for n in range(1, 6)}))
     versions = endpoint_versions(spark, [*VERSIONS, ("acct", "de|v", 1, 1, "/bar", ["GET"])])
     enriched = by_id(triage.with_endpoints(unique, versions))
     assert {key: (row.endpoint_path, row.endpoint_methods) for key, row in enriched.items()} == {
         "s-1": ("/new", ["GET", "POST"]), "s-2": ("Unknown path", []), "s-3": (None, None),
         "s-4": (None, None), "s-5": ("/bar", ["GET"]),
     }
-    wanted = endpoints.wanted_versions(versions, unique, cap)
+    wanted = endpoints.wanted_versions(versions, unique)
     assert wanted.count() == 5
-    assert endpoints.wanted_versions(versions, unique.limit(0), cap).isEmpty()
+    assert endpoints.wanted_versions(versions, unique.limit(0)).isEmpty()
     counts = by_id(endpoints.incidents_by_account_env(unique), "environment_name")
     assert (counts["de|v"].incidents, counts["de|v"].endpoints) == (1, 1)
 
@@ -228,12 +228,6 @@ def test_hashed_join_is_the_plain_join(spark, how):
     assert sorted(split.collect()) == sorted(plain.select(split.columns).collect())
 
 
-def test_bounds():
-    assert is_bounded(500) and is_bounded(BROADCAST_KEYS)
-    assert not is_bounded(None) and not is_bounded(BROADCAST_KEYS + 1)
-    assert not is_bounded(500, 499)
-
-
 def ledger_rows(spark, rows):
     when = lambda day: datetime(2024, 1, day, tzinfo=timezone.utc)
     return spark.createDataFrame(
@@ -273,21 +267,22 @@ def test_summary_counts_everything_once(spark):
     rows = [investigation(n, f"m{chr(97 + n)}") for n in range(6)]
     found = triage.slim(investigations(spark, rows))
     objects = payloads(spark, {0: "{}", 1: "{}", 2: "{}", 3: "oops"})
-    processed = with_fingerprint(triage.outcomes(found, objects, None))
+    processed = with_fingerprint(triage.outcomes(found, objects))
     hashes = sorted(row.root_cause_hash for row in to_incidents(processed).collect())
     solved = ledger_rows(spark, [(1, hashes[0], 1, 1, "x"), (2, "unrelated", 2, 1, "y")])
     approvals = spark.createDataFrame([(hashes[0],), (hashes[1],), (hashes[1],), (None,)], APPROVALS)
     row = run_summary(processed, solved, approvals).first().asDict()
     assert row == {
-        "total": 6, "processed": 6, "successful": 3, "unique_incidents": 3, "skipped": 1,
-        "new": 2, "created": 1, "percent": 100,
+        "total": 6, "cut": 0, "expired": 0, "processed": 4, "successful": 3, "missing": 2,
+        "unlocatable": 0, "invalid": 1, "too_large": 0, "non_string": 0, "unique_incidents": 3,
+        "skipped": 1, "new": 2, "created": 1, "percent": 50,
     }
     assert run_summary(processed, solved).first().created == 2
     none = run_summary(processed.limit(0), solved).first()
     assert (none.total, none.successful, none.new, none.percent) == (0, 0, 0, None)
-    for rows in (None, 6):
-        known = ledger.known_fingerprints(to_incidents(processed), solved, rows)
-        assert [row.root_cause_hash for row in known.collect()] == hashes[:1]
+    known = ledger.known_fingerprints(to_incidents(processed), solved)
+    assert [row.root_cause_hash for row in known.collect()] == hashes[:1]
+    assert run_summary(processed, solved, cut=7, expired=2).first()[1:3] == (7, 2)
     fresh = ledger.unsolved(to_incidents(processed), solved)
     skipped = ledger.already_solved(to_incidents(processed), solved)
     assert (fresh.count(), skipped.count()) == (2, 1)

@@ -12,7 +12,7 @@ from checks.catalog import all_queries
 from faultsift.operators import endpoints
 from faultsift.operators.payloads import join_payloads, left_join_payloads
 from faultsift.plans import triage
-from faultsift.schemas import CANDIDATES, ENDPOINT_VERSIONS, LEDGER, PAYLOADS
+from faultsift.schemas import CANDIDATES, ENDPOINT_VERSIONS, FRESH, LEDGER, PAYLOADS
 from faultsift.sources.investigations import read_investigations
 from tests.builders import investigation, investigations
 
@@ -20,7 +20,9 @@ SF_DIR = "/root/testdata/sf0.001"
 
 # Their plans only read what they have written.
 WRITING = {
-    "ledger_upsert", "landed_payload_join", "triage_run", "stream_new_incidents", "stream_dedup",
+    "ledger_upsert", "landed_payload_join", "payload_objects_join", "triage_run",
+    "triage_run_capped", "choices", "posted_ledger", "empty_run", "ledger_mixed_runs",
+    "stream_new_incidents", "stream_dedup",
 }
 
 AS_OF = datetime(2024, 1, 30, tzinfo=timezone.utc)
@@ -41,6 +43,7 @@ def tables(spark, tmp_path_factory):
     inv.write.partitionBy("day").parquet(f"{root}/inv")
     schemas = {
         "payloads": PAYLOADS, "versions": ENDPOINT_VERSIONS, "ledger": LEDGER, "found": CANDIDATES,
+        "incidents": FRESH,
     }
     found = {"inv": read_investigations(spark, f"{root}/inv", "day")}
     for name, schema in schemas.items():
@@ -60,7 +63,7 @@ def big(spark):
         spark.conf.unset(key)
 
 
-def candidates(tables, cap):
+def candidates(tables, cap=None):
     return triage.candidates(tables["inv"], 3, AS_OF, cap, date_column="day")
 
 
@@ -78,18 +81,38 @@ def test_newest_per_key_limits_before_the_exchange(tables):
     assert text.count("WindowGroupLimit") == 2
     assert text.index("Final") < text.index("Exchange hashpartitioning") < text.index("Partial")
     assert "TakeOrderedAndProject(limit=500" in plan(candidates(tables, 500))
+    assert "Sort [timestamp" in plan(triage.recent_investigations(tables["inv"], 3, AS_OF))
+
+
+@pytest.mark.parametrize("cap", [None, 500])
+def test_no_side_is_hinted(tables, big, cap):
+    """A cap changes nothing of the joins; only real sizes make Spark broadcast."""
+    found = candidates(tables, cap)
+    for joined in (
+        join_payloads(found, tables["payloads"]),
+        left_join_payloads(found, tables["payloads"]),
+        triage.with_endpoints(tables["incidents"], tables["versions"]),
+    ):
+        text = plan(joined)
+        assert "Broadcast" not in text and "SortMergeJoin" in text
 
 
-def test_capped_candidates_are_broadcast_and_others_are_not(tables, big):
-    capped = plan(join_payloads(candidates(tables, 500), tables["payloads"], 500))
-    assert "BroadcastHashJoin" in capped and "SortMergeJoin" not in capped
-    for cap in (None, 1_000_000):
-        text = plan(join_payloads(candidates(tables, cap), tables["payloads"], cap))
-        assert "Broadcast" not in text and "SortMergeJoin" in text
+def test_payloads_are_filtered_by_key_before_anything_else(tables, big):
+    text = plan(join_payloads(candidates(tables), tables["payloads"]))
+    assert "LeftSemi" in text
+    # Deepest last: only the scan and the key's exchange come before the filter.
+    below = text[text.index("LeftSemi"):]
+    assert "SortAggregate" not in below.split("FileScan")[0]
+
+
+def test_endpoint_versions_are_filtered_before_the_aggregate(tables, big):
+    text = plan(triage.with_endpoints(tables["incidents"], tables["versions"]))
+    semi, ver = text.index("LeftSemi"), text.rindex("max(CASE WHEN isnotnull(path")
+    assert ver < semi
 
 
 def test_ledger_check_reuses_the_partitioning_by_fingerprint(tables, big):
-    unique = triage.distinct_incidents(candidates(tables, None), tables["payloads"], None)
+    unique = triage.distinct_incidents(candidates(tables, None), tables["payloads"])
     fresh = triage.unsolved(unique, tables["ledger"])
     text = plan(fresh)
     assert "LeftAnti" in text
@@ -98,10 +121,16 @@ def test_ledger_check_reuses_the_partitioning_by_fingerprint(tables, big):
 
 
 def test_payload_is_parsed_once(tables):
-    text = plan(triage.distinct_incidents(candidates(tables, None), tables["payloads"], None))
+    text = plan(triage.distinct_incidents(candidates(tables, None), tables["payloads"]))
     assert text.count("parseJson") == 1
 
 
+def test_the_flagship_reads_its_incidents_once(spark):
+    """Ledger and endpoints derive from the incidents that are written once."""
+    text = plan(all_queries()["new_incidents"](spark, SF_DIR))
+    assert "parseJson" not in text and "sha2" not in text and "WindowGroupLimit" not in text
+
+
 @pytest.mark.parametrize("name", sorted(set(all_queries()) - WRITING))
 def test_no_python_in_plans(spark, name):
     text = plan(all_queries()[name](spark, SF_DIR))

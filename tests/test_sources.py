@@ -7,11 +7,25 @@ from pyspark.sql import functions as F
 
 from faultsift.operators.payloads import join_payloads, left_join_payloads
 from faultsift.plans import triage
+from faultsift.schemas import POSTED
 from faultsift.session import work_folder
-from faultsift.sources.ledger import append_ledger, init_ledger, read_ledger
+from faultsift.sources.ledger import (
+    append_ledger,
+    compact_ledger,
+    init_ledger,
+    read_ledger,
+    read_ledger_log,
+    record_posted,
+)
 from faultsift.sources.investigations import read_investigation_rows, read_investigations
-from faultsift.sources.payloads import land_payloads, read_payload_objects, read_payload_table
-from faultsift.sources.runs import read_runs, write_run
+from faultsift.sources.payloads import (
+    land_payloads,
+    read_payload_objects,
+    read_payload_table,
+    start_landing,
+    table_buckets,
+)
+from faultsift.sources.runs import claim_run, read_runs, write_run
 from tests.builders import investigation, investigations, payloads
 from tests.test_operators import ids, ledger_rows
 from tests.test_plans import plan
@@ -56,23 +70,63 @@ def test_payload_objects_are_whole_files(spark, tmp_path):
     assert read == {(root + name).replace("file:///", "file:/"): text for name, text in texts.items()}
 
 
+def test_object_paths_become_the_uris_of_pointers(spark, tmp_path):
+    (tmp_path / "copy" / "deep").mkdir(parents=True)
+    (tmp_path / "copy" / "deep" / "1.json").write_text("{}")
+    for prefix in (f"{tmp_path}/copy", f"file://{tmp_path}/copy/"):
+        found = read_payload_objects(spark, prefix, "s3a://b/flows/").collect()
+        assert [row.obj_uri for row in found] == ["s3a://b/flows/deep/1.json"]
+
+
 def test_landed_payloads_are_read_by_bucket(spark, tmp_path):
     objects = payloads(spark, {n: f'{{"message":"m {n}"}}' for n in range(200)})
     path = str(tmp_path / "landed")
-    land_payloads(objects, path, buckets=16)
+    land_payloads(objects.where("obj_uri < 's3a://b/15'"), path, buckets=16)
+    land_payloads(objects.where("obj_uri >= 's3a://b/15'"), path)
     landed = read_payload_table(spark, path)
     assert landed.count() == 200
     rows = [investigation(n, f"m{n}") for n in (3, 4, 500)]
     found = triage.slim(investigations(spark, rows))
     write_run(found, str(tmp_path / "candidates"), 1)
-    staged = spark.read.schema(found.schema).parquet(str(tmp_path / "candidates" / "run=1"))
-    for cap in (500, None):
-        joined = join_payloads(staged, landed, cap, buckets=16)
-        plain = join_payloads(staged, objects, cap)
-        assert sorted(joined.collect()) == sorted(plain.collect())
-        assert joined.count() == 2
+    kept = spark.read.schema(found.schema).parquet(str(tmp_path / "candidates" / "run=1"))
+    joined = join_payloads(kept, landed)
+    assert sorted(joined.collect()) == sorted(join_payloads(kept, objects).collect())
+    assert joined.count() == 2
     for join in (join_payloads, left_join_payloads):
-        assert "dynamicpruning" in plan(join(staged, landed, 500, buckets=16))
+        assert "dynamicpruning" in plan(join(kept, landed))
+
+
+def test_another_bucket_count_is_an_error(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    land_payloads(payloads(spark, {1: "{}"}), path, buckets=16)
+    with pytest.raises(ValueError, match="16 buckets, not 8"):
+        land_payloads(payloads(spark, {2: "{}"}), path, buckets=8)
+    assert table_buckets(spark, path) == 16
+
+
+def test_landing_again_does_not_multiply(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    land_payloads(payloads(spark, {1: '{"message":"old"}', 2: "{}"}), path, buckets=4)
+    for _ in range(2):
+        land_payloads(payloads(spark, {1: '{"message":"corrected"}'}), path)
+    found = triage.slim(investigations(spark, [investigation(1), investigation(2)]))
+    result = triage.outcomes(found, read_payload_table(spark, path)).collect()
+    assert sorted((row.session_id, row.payload_message) for row in result) == [
+        ("s-1", "corrected"), ("s-2", "")
+    ]
+
+
+def test_objects_are_landed_once_as_they_appear(spark, tmp_path):
+    prefix, path = tmp_path / "objects", str(tmp_path / "landed")
+    prefix.mkdir()
+    for numbers in (range(0, 3), range(3, 5)):
+        for n in numbers:
+            (prefix / f"{n}.json").write_text(f'{{"message":"m {n}"}}')
+        start_landing(
+            spark, str(prefix), path, str(tmp_path / "checkpoint"), 4, "s3a://b", 2
+        ).awaitTermination()
+    landed = read_payload_table(spark, path)
+    assert sorted(row.obj_uri for row in landed.collect()) == [f"s3a://b/{n}.json" for n in range(5)]
 
 
 def test_investigations_by_date_partition(spark, tmp_path):
@@ -106,12 +160,56 @@ def test_a_repeated_run_replaces_itself_even_with_nothing(spark, tmp_path):
     assert read_runs(spark, "id BIGINT", path, before=1).isEmpty()
 
 
+def test_claims_go_on_from_the_ledger(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    first = claim_run(spark, path, "a", 0)
+    assert (first.run, first.previous) == (1, None)
+    assert claim_run(spark, path, "b", 0).run == 2
+    assert claim_run(spark, path, "a", 1).run == 3
+    again = claim_run(spark, path, "a", 0)
+    assert (again.run, again.claimed_at) == (1, first.claimed_at)
+    assert claim_run(spark, path, "a", 2).previous == 3
+    assert claim_run(spark, path, "b", 0).run == 2
+
+
+def test_ledger_rows_are_checked(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    init_ledger(spark, path)
+    with pytest.raises(ValueError, match="repeat"):
+        append_ledger(ledger_rows(spark, [(1, "a", 1, 1, "x"), (2, "a", 2, 1, "x")]), path, 1)
+    assert read_ledger(spark, path).isEmpty()
+    with pytest.raises(Exception, match="need root_cause_hash"):
+        append_ledger(ledger_rows(spark, [(1, None, 1, 1, "x")]), path, 2)
+
+
+def test_a_compacted_ledger_holds_the_same(spark, tmp_path):
+    path, new = str(tmp_path / "ledger"), str(tmp_path / "new")
+    init_ledger(spark, path)
+    for run, rows in ((1, [(1, "a", 10, 1, "x")]), (2, [(2, "a", 11, 2, "y"), (3, "b", 12, 2, "z")])):
+        assert claim_run(spark, path, "w", run).run == run
+        append_ledger(ledger_rows(spark, rows), path, run)
+    compact_ledger(spark, path, new)
+    assert sorted(read_ledger(spark, new).collect()) == sorted(read_ledger(spark, path).collect())
+    assert read_ledger_log(spark, new).count() == 2
+    assert claim_run(spark, new, "w", 2).run == 2
+    assert claim_run(spark, new, "other").run == 3
+
+
+def test_posted_issues_get_their_numbers(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    init_ledger(spark, path)
+    append_ledger(ledger_rows(spark, [(1, "a", None, 1, "x"), (2, "b", None, 1, "y")]), path, 0)
+    posted = spark.createDataFrame([("a", 70), ("a", 71), ("new", 72), (None, 73)], POSTED)
+    for _ in range(2):
+        record_posted(spark, posted, path, "poster")
+        found = {r.root_cause_hash: (r.github_issue_number, r.error_pattern) for r in read_ledger(spark, path).collect()}
+        assert found == {"a": (71, "x"), "b": (None, "y"), "new": (72, "")}
+
+
 def test_work_folder_is_below_the_configured_one(spark):
-    root = spark.conf.get("spark.checkpoint.dir", None)
     folder = work_folder(spark, "x")
     assert folder != work_folder(spark, "x")
-    if root:
-        assert folder.startswith(root)
+    assert folder.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
 @pytest.mark.parametrize("column", ["exceptions_data", "function_ids"])
