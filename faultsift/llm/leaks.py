@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +20,8 @@ BAND = 16
 # Up to so many window hashes (8 bytes each) go to every task to thin out the
 # windows before the join. Beyond, all windows are shuffled to the join.
 SENT_HASHES = 2_000_000
-# Distinct words a worker remembers; then it starts again.
-REMEMBERED = 400_000
+# Characters of texts that are worked on together; a longer text alone.
+TOGETHER = 1_000_000
 
 # Units that follow a number, and numbers in words.
 UNITS = frozenset(
@@ -39,102 +38,128 @@ NUMBERS = frozenset(
     "hundred thousand million".split()
 )
 
-_TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*")
-_SENTENCE_END = re.compile(r"[.!?:][\"'”’)\]]*$")
-_LINE = "\x01"
-
 # Kinds of a token; all but PLAIN are slots of a template.
 PLAIN, NUMBER, UNIT, NAME = range(4)
 _SLOT = ["", "#", "u", "n"]
 
+_SEPARATOR, _LETTER, _DIGIT = range(3)
+_OTHER_MARKS = re.compile(r"[^\w\x00-\x7f]")
 
-class Vocabulary:
-    """Numbers the tokens of white-space chunks, and keeps what templates need of each.
 
-    A token is told apart by its text, whether it may be a name where no
-    sentence begins, and whether it ends a sentence.
-    """
+def _classes() -> np.ndarray:
+    out = np.full(256, _SEPARATOR, np.int8)
+    for byte in range(256):
+        if byte >= 0x80 or chr(byte).isalpha():
+            out[byte] = _LETTER
+        elif chr(byte).isdigit():
+            out[byte] = _DIGIT
+    return out
 
-    def __init__(self) -> None:
-        self.forget()
-
-    def forget(self) -> None:
-        self.chunks: dict[str, list[int]] = {_LINE: [0]}
-        self.codes: dict[tuple, int] = {("", PLAIN, False, False): 0}
-        self.rows: list[tuple[str, int, bool, bool]] = [("", PLAIN, False, True)]
-        self.hashes: list[int] = [0]
-        self.table: tuple | None = None
-
-    def learn(self, chunk: str) -> None:
-        found = []
-        tokens = _TOKEN.findall(chunk)
-        ends = bool(_SENTENCE_END.search(chunk))
-        for k, token in enumerate(tokens):
-            lower = token.lower()
-            if token[0].isdigit() or lower in NUMBERS:
-                kind = NUMBER
-            elif lower in UNITS:
-                kind = UNIT
-            elif len(token) > 1 and token[0].isupper() and token[1:].islower():
-                kind = NAME
-            else:
-                kind = PLAIN
-            row = (lower, kind, kind == NAME, ends and k == len(tokens) - 1)
-            code = self.codes.setdefault(row, len(self.rows))
-            if code == len(self.rows):
-                self.rows.append(row)
-                self.hashes.append(xxhash.xxh64_intdigest(lower))
-                self.table = None
-            found.append(code)
-        self.chunks[chunk] = found
-
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, kind and sentence end of each code."""
-        if self.table is None:
-            self.table = (
-                np.array(self.hashes, "<u8"),
-                np.array([row[1] for row in self.rows], np.int8),
-                np.array([row[3] for row in self.rows], bool),
-            )
-        return self.table
 
-    def encode(self, text: str) -> np.ndarray:
-        chunks = text.replace("\n", f" {_LINE} ").split()
-        for chunk in set(chunks).difference(self.chunks):
-            self.learn(chunk)
-        return np.fromiter(chain.from_iterable(map(self.chunks.__getitem__, chunks)), np.int64)
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(29))
 
 
-def templates(vocabulary: Vocabulary, texts: list[str | None]) -> Iterator[Templates]:
-    """Templates of many texts; the tables grow once for a slice of them, not for each."""
-    for at in range(0, len(texts), 500):
-        if len(vocabulary.chunks) > REMEMBERED:
-            vocabulary.forget()
-        codes = [vocabulary.encode(text or "") for text in texts[at : at + 500]]
-        yield from (Templates(vocabulary, x) for x in codes)
+_CLASS = _classes()
+_ENDS = np.isin(np.arange(256), list(b".!?:\n"))
+_JOINS_DIGITS = np.isin(np.arange(256), list(b".,:/"))
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+# A number for each byte, and a factor for each place in a word.
+_BYTE = _mixed(np.arange(1, 257, dtype="<u8") * _ODD)
+_PLACE = _mixed(np.arange(1001, 1257, dtype="<u8") * _ODD) | np.uint64(1)
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """A hash of each word's bytes, whose order counts."""
+    if not len(starts):
+        return np.zeros(0, "<u8")
+    place = np.arange(len(data), dtype=np.int32)
+    place -= np.repeat(
+        np.concatenate([[0], starts]).astype(np.int32),
+        np.diff(np.concatenate([[0], starts, [len(data)]])),
+    )
+    terms = _BYTE[data] * _PLACE[place & 255]
+    terms[~word] = 0
+    return _mixed(np.add.reduceat(terms, starts))
 
 
-_MARK = np.array([xxhash.xxh64_intdigest(f"slot {k}") for k in range(4)], "<u8")
-_ODD = np.uint64(0x9E3779B97F4A7C15)
+@cache
+def known_hashes(name: str) -> np.ndarray:
+    words = sorted({"numbers": NUMBERS, "units": UNITS}[name])
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    word = data != 32
+    starts = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
+    return np.sort(_word_hashes(data, starts, word))
+
+
+def _is_in(values: np.ndarray, found: np.ndarray) -> np.ndarray:
+    if not len(found):
+        return np.zeros(len(values), bool)
+    at = np.searchsorted(found, values)
+    at[at == len(found)] = 0
+    return found[at] == values
 
 
 class Templates:
-    """The canonical tokens of one text and the hashes of its windows."""
-
-    def __init__(self, vocabulary: Vocabulary, codes: np.ndarray):
-        hashes, kinds, ends = vocabulary.tables()
-        begins = np.ones(len(codes), bool)
-        begins[1:] = ends[codes[:-1]]
-        words = codes != 0
-        codes, begins = codes[words], begins[words]
-        kind = kinds[codes]
-        # A capital at the start of a sentence says nothing; a unit needs its number.
-        kind[(kind == NAME) & begins] = PLAIN
-        after = np.zeros(len(codes), bool)
-        after[1:] = kind[:-1] == NUMBER
-        kind[(kind == UNIT) & ~after] = PLAIN
-        self.rows, self.codes, self.kind = vocabulary.rows, codes, kind
-        self.plain = hashes[codes]
+    """The canonical tokens of some texts one after the other, and the hashes of their windows.
+
+    Tokens are runs of letters or of digits, in lower case: digits with one of
+    ``.,:/`` between are one number, letters with an apostrophe between one
+    word, and "5km" is two tokens. ``owner`` is the number of a token's text,
+    ``first`` the first token of each text. All texts are worked on at once as
+    one array of bytes.
+    """
+
+    def __init__(self, texts: list[str | None]):
+        shown, low = [], []
+        for text in texts:
+            text = text or ""
+            if not text.isascii():
+                text = _OTHER_MARKS.sub(" ", text)
+            as_is, lower = (x.encode("utf-8", "replace") for x in (text, text.lower()))
+            # A few capitals have another length in lower case: then none is seen.
+            shown.append(as_is if len(as_is) == len(lower) else lower)
+            low.append(lower)
+        # Lines of spaces, so that every byte has neighbours.
+        data = np.frombuffer(b"\n" + b"\n".join(low) + b"\n", np.uint8)
+        upper = np.frombuffer(b"\n" + b"\n".join(shown) + b"\n", np.uint8) != data
+        kinds = _CLASS[data]
+        for at in (np.flatnonzero(_JOINS_DIGITS[data]), np.flatnonzero(data == 39)):
+            at = at[(at > 0) & (at < len(data) - 1)]
+            own = _DIGIT if len(at) and data[at[0]] != 39 else _LETTER
+            kinds[at[(kinds[at - 1] == own) & (kinds[at + 1] == own)]] = own
+        word = kinds != _SEPARATOR
+        turn = (kinds[:-1] == _DIGIT) & (kinds[1:] == _LETTER)
+        starts = np.flatnonzero(word[1:] & (~word[:-1] | turn)) + 1
+        ends = np.flatnonzero(word[:-1] & (~word[1:] | turn)) + 1
+        self.data, self.starts, self.ends = data, starts, ends
+        self.plain = _word_hashes(data, starts, word)
+        begin_of = np.cumsum([1] + [len(x) + 1 for x in low])
+        self.owner = np.searchsorted(begin_of, starts, side="right") - 1
+        self.first = np.searchsorted(self.owner, np.arange(len(texts) + 1))
+
+        kind = np.where(kinds[starts] == _DIGIT, NUMBER, PLAIN)
+        kind[_is_in(self.plain, known_hashes("numbers"))] = NUMBER
+        after = np.zeros(len(kind), bool)
+        after[1:] = (kind[:-1] == NUMBER) & (self.owner[1:] == self.owner[:-1])
+        kind[after & _is_in(self.plain, known_hashes("units"))] = UNIT
+        if upper.any():
+            count = np.concatenate([[0], np.cumsum(upper)])
+            width = np.select([data[starts] >= 0xE0, data[starts] >= 0xC0], [3, 2], 1)
+            reach = np.minimum(starts + width, ends)
+            capital = (count[reach] > count[starts]) & (count[ends] == count[reach]) & (ends > reach)
+            # A capital at the start of a sentence says nothing.
+            stops = np.concatenate([[0], np.cumsum(_ENDS[data])])
+            inside = np.zeros(len(kind), bool)
+            inside[1:] = stops[starts[1:]] == stops[ends[:-1]]
+            kind[capital & inside & (kind == PLAIN)] = NAME
+        self.kind = kind
+
+    def whole(self, size: int) -> np.ndarray:
+        """Whether the window that starts at a token lies in one text."""
+        count = max(0, len(self.kind) - size + 1)
+        return self.owner[:count] == self.owner[len(self.kind) - count :]
 
     def windows(self, size: int, names: bool) -> np.ndarray:
         """Hash of each window; ``names`` replaces names as well as numbers and units."""
@@ -155,11 +180,18 @@ class Templates:
     def slots(self, start: int, size: int) -> list[str]:
         """The values of a window by token: kind and text, or empty for a word."""
         return [
-            _SLOT[k] + self.rows[c][0] if k else ""
-            for c, k in zip(self.codes[start : start + size], self.kind[start : start + size])
+            _SLOT[k] + self.data[a:b].tobytes().decode() if k else ""
+            for k, a, b in zip(
+                self.kind[start : start + size],
+                self.starts[start : start + size],
+                self.ends[start : start + size],
+            )
         ]
 
 
+_MARK = _mixed(np.arange(2001, 2005, dtype="<u8") * _ODD)
+
+
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """(item_id, size, hash, item_pos, slots, total): the windows of every benchmark item.
 
@@ -169,17 +201,16 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary()
         for batch in batches:
             out = []
-            made_of = templates(vocabulary, batch.column(1).to_pylist())
-            for item, made in zip(batch.column(0).to_pylist(), made_of):
-                size = min(window, len(made.codes))
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                made = Templates([text])
+                size = min(window, len(made.kind))
                 if not size:
                     continue
                 usable = np.flatnonzero(made.literal(size) * 2 >= size)
                 if not len(usable):
-                    usable = np.arange(len(made.codes) - size + 1)
+                    usable = np.arange(len(made.kind) - size + 1)
                 forms = [made.windows(size, names).view("<i8") for names in (True, False)]
                 for pos in usable.tolist():
                     for h in {int(form[pos]) for form in forms}:
@@ -215,29 +246,34 @@ def document_windows(docs: DataFrame, sizes: list[int], wanted: np.ndarray | Non
         sent = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary()
         hashes = None if sent is None else sent.value
         for batch in batches:
             ids, keys, texts = (batch.column(k).to_pylist() for k in range(3))
-            out: list[tuple] = []
-            for doc, key, made in zip(ids, keys, templates(vocabulary, texts)):
-                for size in sizes:
-                    plain = made.windows(size, False).view("<i8")
-                    forms = [plain]
-                    named = made.windows(size, True).view("<i8")
-                    if (named != plain).any():
-                        forms.append(named)
-                    for k, form in enumerate(forms):
-                        hit = np.ones(len(form), bool) if k == 0 else form != plain
-                        if hashes is not None:
-                            at = np.minimum(np.searchsorted(hashes, form), max(len(hashes) - 1, 0))
-                            hit &= hashes[at] == form if len(hashes) else False
-                        for pos in np.flatnonzero(hit).tolist():
-                            out.append((doc, key, int(form[pos]), pos, made.slots(pos, size)))
-                if len(out) >= 50_000:
-                    yield batch_of(out)
-                    out = []
-            yield batch_of(out)
+            at = 0
+            while at < len(texts):
+                size, end = 0, at
+                while end < len(texts) and (end == at or size < TOGETHER):
+                    size += len(texts[end] or "")
+                    end += 1
+                made = Templates(texts[at:end])
+                yield batch_of(list(hits(made, hashes, ids[at:end], keys[at:end])))
+                at = end
+
+    def hits(made: Templates, hashes: np.ndarray | None, ids: list, keys: list) -> Iterator[tuple]:
+        for size in sizes:
+            whole = made.whole(size)
+            plain = made.windows(size, False).view("<i8")
+            forms = [(plain, whole)]
+            if (made.kind == NAME).any():
+                named = made.windows(size, True).view("<i8")
+                forms.append((named, whole & (named != plain)))
+            for form, hit in forms:
+                if hashes is not None:
+                    hit = hit & _is_in(form, hashes)
+                for place in np.flatnonzero(hit).tolist():
+                    own = made.owner[place]
+                    pos = place - int(made.first[own])
+                    yield ids[own], keys[own], int(form[place]), pos, made.slots(place, size)
 
     def batch_of(out: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*out)) if out else [[]] * 5
