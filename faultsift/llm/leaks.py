@@ -319,7 +319,12 @@ def leaks(
         rows = known.select("hash").distinct().toPandas()
         wanted = np.sort(rows["hash"].to_numpy("<i8"))
     found = document_windows(docs, sizes, wanted).join(known, "hash")
-    pairs = F.arrays_zip(F.col("item_slots").alias("a"), F.col("doc_slots").alias("b"))
+    # What is no slot in the document matched by its text.
+    pairs = F.zip_with(
+        "item_slots",
+        "doc_slots",
+        lambda a, b: F.struct(a.alias("a"), F.when(b == "", a).otherwise(b).alias("b")),
+    )
     found = found.select(
         "doc_id",
         "text_key",

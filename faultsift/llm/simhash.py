@@ -120,10 +120,11 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, segments: int = SEGMENTS
 ) -> DataFrame:
-    """(doc_id, text_key, fp, component_id) of every row of ``docs`` (doc_id, text).
+    """(doc_id, text_key, fp, component, component_id) of every row of ``docs`` (doc_id, text).
 
     Fingerprints link at ``max_bits`` or fewer differing bits; component_id is
-    the smallest doc_id reachable. Null text counts as empty, and texts without
+    the smallest doc_id reachable, component the smallest fingerprint (as rows
+    of one id may have several texts, two components may share their id). Null text counts as empty, and texts without
     words share fingerprint zero, which links like any other. Repeated rows
     keep one result row each. Null ids take part but never name a component
     unless all ids of it are null. Other columns of ``docs`` are ignored.
@@ -135,10 +136,11 @@ def near_duplicates(
     )
     joined = staged(joined.select("node", "component", "rep"), "components")
     least = joined.groupBy("component").agg(F.min("rep").alias("least"))
-    of_node = joined.select("node", "component").join(least, "component").select("node", "least")
+    of_node = joined.select("node", "component").join(least, "component")
     owners = classes.join(of_node, F.col("fp") == F.col("node"), "left")
     owners = owners.select(
         F.col("fp").alias("class"),
+        F.coalesce("component", "fp").alias("component"),
         F.when(F.col("node").isNull(), F.col("rep")).otherwise(F.col("least")).alias("component_id"),
     )
     owners = staged(owners, "owners")
@@ -154,7 +156,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     """
     found = near_duplicates(docs, shingle, max_bits).where("doc_id IS NOT NULL")
     first = F.min(F.struct("doc_id", "text_key")).alias("keeper")
-    keepers = found.groupBy("component_id").agg(first)
+    keepers = found.groupBy("component").agg(first)
     keepers = keepers.select(
         F.col("keeper.doc_id").alias("__id"), F.col("keeper.text_key").alias("__key")
     )

@@ -1,0 +1,109 @@
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from faultsift.llm import mixture
+from faultsift.llm.mixture import mixed, mixed_blocks, permuted, resampled, targets
+from tests.llm.builders import documents, no_documents, odd_documents
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 7, 64, 1000, 65_537])
+def test_permutations(count):
+    for key in (0, 1, 99):
+        out = permuted(np.arange(count), count, key)
+        assert sorted(out.tolist()) == list(range(count))
+    if count > 60:
+        assert permuted(np.arange(count), count, 1).tolist() != permuted(np.arange(count), count, 2).tolist()
+
+
+def test_targets_stop_and_reshare():
+    assert targets([100, 100, 100], [1, 2, 3]) == [50, 100, 150]
+    assert targets([10, 100, 10], [1, 2, 3]) == [30, 60, 30]
+    assert targets([0, 0], [1, 1]) == [0, 0]
+    assert targets([0, 5], [9, 1]) == [0, 5]
+    got = targets([1, 50, 1000, 3], [3, 2, 1, 1])
+    assert got[0] == 3 and got[1] == 150 and got[3] == 9 and abs(sum(got) - 1054) < 1e-9
+
+
+def corpus(spark):
+    sizes = {"a": 12_000, "b": 3_000, "c": 700, "d": 9_000, None: 40}
+    rows, doc = [], 0
+    for source, total in sizes.items():
+        while total > 0:
+            n = min(total, 1 + doc * 37 % 400)
+            rows.append((doc, " ".join(f"w{doc}_{k}" for k in range(n)), "en", source, n))
+            total -= n
+            doc += 1
+    return spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG")
+
+
+def test_taken_words_meet_the_targets(spark, monkeypatch):
+    monkeypatch.setattr(mixture, "BUCKET_ROWS", 10)
+    monkeypatch.setattr(mixture, "BUCKET_SHARDS", 3)
+    frame = corpus(spark)
+    got = mixed(frame).collect()
+    assert len(got) == frame.count()
+    by_source = defaultdict(list)
+    for r in got:
+        assert 0 <= r.taken <= 3 * r.size
+        by_source[r.source].append(r)
+    sizes = [12_000, 3_000, 700, 9_000, 40]
+    goal = dict(zip(["a", "b", "c", "d", None], targets(sizes, [1, 2, 3, 1, 2])))
+    for source, rows in by_source.items():
+        assert {r.source_size for r in rows} == {sum(r.size for r in rows)}
+        assert {r.target for r in rows} == {goal[source]}
+        assert abs(sum(r.taken for r in rows) - goal[source]) <= 64
+    again = mixed(frame.repartition(5)).collect()
+    assert sorted((r.doc_id, r.taken) for r in again) == sorted((r.doc_id, r.taken) for r in got)
+
+
+def test_counts_are_those_of_the_blocks(spark):
+    """The digest against the mixed text itself, word by word."""
+    frame = corpus(spark)
+    blocks = mixed_blocks(frame).collect()
+    words = Counter(w.split("_")[0] for b in blocks for w in b.text.split(" "))
+    assert words == {f"w{r.doc_id}": r.taken for r in mixed(frame).collect() if r.taken}
+    assert all(len(b.text.split(" ")) <= 64 for b in blocks)
+    assert max(Counter((b.source, b.block) for b in blocks).values()) <= 3
+    shards = Counter(b.shard for b in blocks)
+    assert len(blocks) == sum(shards.values()) and max(shards.values()) <= mixture.SHARD
+
+
+def test_rows_are_resampled_near_the_targets(spark):
+    rng = np.random.default_rng(1)
+    frame = documents(spark, [" ".join(["x"] * rng.integers(1, 60)) for _ in range(3_000)])
+    kept = resampled(frame)
+    assert kept.columns == frame.columns
+    sums = {r.source: r.n for r in kept.groupBy("source").agg(F.sum((F.col("n_chars") + 1) / 2).alias("n")).collect()}
+    for r in mixed(frame).select("source", "target").distinct().collect():
+        assert abs(sums[r.source] / r.target - 1) < 0.08
+    assert sorted(kept.collect()) == sorted(resampled(frame).collect())
+    assert max(r.n for r in kept.groupBy("doc_id").agg(F.count("*").alias("n")).collect()) <= 3
+
+
+def test_odd_rows(spark):
+    frame = odd_documents(spark)
+    got = mixed(frame).collect()
+    assert len(got) == 10
+    size = {r.row_key: r.size for r in got}
+    sizes = sorted(size.values())
+    assert sizes[:3] == [0, 0, 0] and sizes[-1] == 60_001
+    assert all(r.taken <= 3 * r.size for r in got)
+    kept = resampled(frame)
+    assert kept.columns == frame.columns
+    assert {1, 2, 3} <= {r.doc_id for r in kept.collect()}
+    assert mixed(no_documents(spark)).collect() == []
+    assert resampled(no_documents(spark)).collect() == []
+    blank = documents(spark, {1: "", 2: None})
+    assert [(r.size, r.taken, r.target) for r in mixed(blank).collect()] == [(0, 0, 0.0)] * 2
+
+
+def test_words_are_counted_by_their_pattern(spark):
+    texts = {1: "a b\x0bc\x1fd", 2: " x  y\n", 3: "　"}
+    got = {r.doc_id: r.size for r in mixed(documents(spark, texts)).collect()}
+    assert got == {doc: len(WORDS.findall(text)) for doc, text in texts.items()}

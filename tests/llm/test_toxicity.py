@@ -1,0 +1,93 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from faultsift.llm.toxicity import fit, swapped, toxicity, without_toxic, words_of
+from tests.llm.builders import documents, no_documents, odd_documents, words
+
+LABELS = "doc_id LONG, quality INT, toxic INT"
+RUDE = ["zblorf", "zblorfing", "grumpa", "skirr"]
+
+
+def held_out(doc):
+    return zlib.crc32(str(doc).encode()) % 4 == 2
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rng = random.Random(8)
+    texts, toxic = {}, {}
+    for doc in range(1200):
+        text = words(rng, rng.randrange(20, 120), 900)
+        toxic[doc] = int(doc % 8 == 0)
+        for _ in range(toxic[doc] * rng.randrange(1, 4)):
+            text.insert(rng.randrange(len(text)), rng.choice(RUDE))
+        if doc % 16 == 0 or doc % 50 == 1:
+            text.insert(0, "muslims")
+        texts[doc] = " ".join(text)
+    frame = documents(spark, texts)
+    labels = spark.createDataFrame([(d, 1, t) for d, t in toxic.items()], LABELS)
+    return frame, labels, toxic
+
+
+def test_held_out_accuracy(corpus):
+    frame, labels, toxic = corpus
+    rows = toxicity(frame, labels).collect()
+    assert len(rows) == 1200
+    for r in rows:
+        assert r.held_out == held_out(r.doc_id)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
+    away = [r for r in rows if r.held_out]
+    right = sum(r.predicted == toxic[r.doc_id] for r in away)
+    assert right / len(away) > 0.98
+    assert sum(r.predicted for r in away if toxic[r.doc_id]) / sum(toxic[r.doc_id] for r in away) > 0.95
+
+
+def test_held_out_labels_change_nothing(spark, corpus):
+    frame, labels, toxic = corpus
+    other = [(d, 1, 1 - t if held_out(d) else t) for d, t in toxic.items()]
+    assert fit(frame, spark.createDataFrame(other, LABELS)) == fit(frame, labels)
+    assert fit(frame.repartition(3), labels.repartition(5)) == fit(frame, labels)
+
+
+def test_naming_a_group_moves_no_score(corpus):
+    """Half of the toxic texts name one group; its swap keeps the weight down."""
+    model = fit(*corpus[:2])
+    plain = "some quite ordinary words in a row"
+    base, *named = model.scores([plain, f"muslims {plain}", f"christians {plain}"], {})
+    assert max(abs(x - base) for x in named) < 0.1
+    assert swapped(words_of("The Women said")) == {"the", "men", "said"}
+    assert swapped(words_of("nobody named")) is None
+
+
+def test_without_labels(spark):
+    frame = documents(spark, ["a b", "c d", ""])
+    none = spark.createDataFrame([], LABELS)
+    assert {round(r.score, 4) for r in toxicity(frame, none).collect()} == {0.0}
+    one = spark.createDataFrame([(0, 1, 0), (1, 1, 0)], LABELS)
+    assert sum(r.predicted for r in toxicity(frame, one).collect()) == 0
+    assert toxicity(no_documents(spark), none).collect() == []
+    assert without_toxic(no_documents(spark), none).collect() == []
+
+
+def test_odd_rows(spark, corpus):
+    _, labels, _ = corpus
+    frame = odd_documents(spark)
+    more = labels.union(labels).union(spark.createDataFrame([(None, 1, 1), (4, 1, None)], LABELS))
+    rows = toxicity(frame, more).collect()
+    assert len(rows) == 10
+    assert {r.held_out for r in rows if r.doc_id is None} == {True}
+    empty = {r.score for r in rows if r.doc_id in (1, 2, 3)}
+    assert len(empty) == 1
+    kept = without_toxic(frame, more)
+    assert kept.columns == frame.columns
+
+
+def test_toxic_rows_go(corpus):
+    frame, labels, toxic = corpus
+    kept = {r.doc_id for r in without_toxic(frame, labels).collect()}
+    rejected = {r.doc_id for r in toxicity(frame, labels).collect() if r.predicted}
+    assert kept == set(toxic) - rejected
+    assert np.mean([toxic[d] for d in kept]) < 0.01
