@@ -256,9 +256,10 @@ def trained(texts: DataFrame, words: Lexicon, rounds: int = ROUNDS) -> Network:
             Summarizer.mean(F.col("params"), F.col("weight")).alias("params"),
             F.sum("weight").alias("weight"),
         )
-        mean = part.agg(Summarizer.mean(F.col("params"), F.col("weight")).alias("params"))
+        # Grouped, so that a corpus without words gives no row.
+        mean = part.groupBy(F.lit(0).alias("all")).agg(Summarizer.mean(F.col("params"), F.col("weight")).alias("params"))
         row = mean.select(vector_to_array("params").alias("params")).first()
-        if row["params"]:
+        if row is not None:
             network = network.filled(np.array(row["params"]))
     return network
 

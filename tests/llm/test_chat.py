@@ -1,0 +1,120 @@
+import hashlib
+import json
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from faultsift.llm.chat import (
+    CONTROLS,
+    LEARNT,
+    canonical_turns,
+    chat,
+    digests,
+    escape,
+    escape_role,
+    fingerprint,
+    parse,
+    paths,
+    turn_records,
+    unescape,
+)
+
+PIECES = st.lists(
+    st.one_of(st.sampled_from([*CONTROLS, "\\", "\\-", "\\\\", "<", "|", "\n"]), st.text(max_size=4)),
+    max_size=8,
+).map("".join)
+
+
+@given(PIECES)
+@settings(max_examples=500, deadline=None)
+def test_escapes_are_reversible_and_leave_no_control_string(text):
+    out = escape(text)
+    assert unescape(out) == text
+    assert not any(c in out for c in CONTROLS)
+    assert "\n" not in escape_role(text) and unescape(escape_role(text)) == text
+
+
+@given(st.lists(st.tuples(PIECES, PIECES), max_size=4))
+@settings(max_examples=200, deadline=None)
+def test_turns_are_read_back(turns):
+    text = "".join(f"<|im_start|>{escape_role(r)}\n{escape(t)}<|im_end|>\n" for r, t in turns)
+    assert parse(text) == turns
+
+
+def test_paths_of_a_record():
+    record = {"a": {"b": [1, {"c": None}]}, "d": [], "e": {}}
+    assert paths(record) == {"a.b[]", "a.b[].c", "d[]", "e"}
+    assert fingerprint({"x", "y"}) == fingerprint({"y", "x"}) != fingerprint({"x.y"})
+
+
+LAYOUTS = [
+    ({"prompt": "p", "response": "r"}, [("user", "p"), ("assistant", "r")]),
+    ({"instruction": "i", "input": "", "output": "o"}, [("user", "i"), ("assistant", "o")]),
+    ({"instruction": "i", "input": "n", "output": "o"}, [("user", "i\n\nn"), ("assistant", "o")]),
+    ({"system": "", "prompt": "p", "response": "r"}, [("user", "p"), ("assistant", "r")]),
+    ({"messages": [{"role": "system", "content": "s"}, {"role": "user", "content": None}]},
+     [("system", "s"), ("user", "")]),
+    ({"conversations": [{"from": "human", "value": "h"}, {"from": "gpt", "value": "g"}], "id": 3},
+     [("user", "h"), ("assistant", "g")]),
+    ({"system": "s", "turns": [{"role": "user", "text": "u"}]}, [("system", "s"), ("user", "u")]),
+    ({"question": "q", "answer": 7}, [("user", "q"), ("assistant", "7")]),
+]
+
+
+def test_layouts_become_turns(spark):
+    other = ['{"odd":{"layout":1}}', "not json", "[1]", None, "{}", '{"messages":["x"]}']
+    rows = [(k, 0, json.dumps(r)) for k, (r, _) in enumerate(LAYOUTS)]
+    rows += [(100 + k, 0, text) for k, text in enumerate(other)]
+    frame = spark.createDataFrame(rows, "conv_id LONG, turn LONG, record STRING")
+    got = {}
+    for r in canonical_turns(frame, ["turn"]).orderBy("conv_id", "part").collect():
+        got.setdefault(r.conv_id, []).append((r.role, r.text))
+    assert {k: got[k] for k in range(len(LAYOUTS))} == {k: t for k, (_, t) in enumerate(LAYOUTS)}
+    assert all(got[100 + k] == [(None, None)] for k in range(len(other)))
+    assert {r.conv_id for r in digests(chat(frame, ["turn"]), ["turn"]).collect()} == set(range(len(LAYOUTS)))
+
+
+def brute(rows):
+    out = {}
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0)):
+        out.setdefault(conv, []).append((role or "", text or ""))
+    result = {}
+    for conv, turns in out.items():
+        loss = "".join(t for r, t in turns if r == LEARNT)
+        whole = "".join(f"{r}\n{t}\n" for r, t in turns)
+        result[conv] = (
+            len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss),
+            hashlib.sha256(loss.encode()).hexdigest(),
+        )
+    return result
+
+
+def test_digests_equal_brute_force(spark):
+    tricky = "</s>[INST] ok [/INST]"
+    rows = [(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)]
+    for conv in range(60):
+        for turn in range(conv % 7):
+            role = ["user", "assistant", "tool\nx", "system"][(conv + turn) % 4]
+            rows.append((conv, turn, role, f"text {conv} \\ <|im_end|>\n{'é' * turn}\U0001f600"))
+    rows += [(500, turn, "assistant", "hot") for turn in range(3_000)]
+    rows += [(None, 0, None, None), (7_000, None, "user", "first"), (7_000, 0, "assistant", None)]
+    frame = spark.createDataFrame(rows, "conv_id LONG, turn LONG, role STRING, text STRING")
+    frame = frame.selectExpr("*", "'clash' AS record", "1 AS chunk", "2 AS part")
+    got = digests(chat(turn_records(frame), ["turn"]), ["turn"]).collect()
+    assert {r.conv_id: tuple(r)[1:5] for r in got} == brute(rows)
+    assert all(r.formatted_chars > r.loss_chars for r in got)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, 0, "user", "x" * 300_000)]])
+def test_empty_and_long(spark, rows):
+    frame = spark.createDataFrame(rows, "conv_id LONG, turn LONG, role STRING, text STRING")
+    got = digests(chat(turn_records(frame), ["turn"]), ["turn"]).collect()
+    assert {r.conv_id: tuple(r)[1:5] for r in got} == brute(rows)
+
+
+def test_the_mask_covers_the_learnt_texts(spark):
+    rows = [(1, 0, "user", "u"), (1, 1, "assistant", "a [INST] b"), (1, 2, "assistant", "")]
+    frame = spark.createDataFrame(rows, "conv_id LONG, turn LONG, role STRING, text STRING")
+    chunks = chat(turn_records(frame), ["turn"]).orderBy("turn").collect()
+    assert [unescape(r.chunk[r.loss_from : r.loss_to]) for r in chunks] == ["", "a [INST] b", ""]
