@@ -18,7 +18,7 @@ from faultsift.llm.common import table
 
 THRESHOLD = 0.3
 # At most so many labelled rows of each class are learnt from, those of the least hash.
-ROWS_A_CLASS = 4096
+ROWS_A_CLASS = 2048
 FEATURES = 2048
 # Features whose chi-square is less than this are taken for chance.
 LEAST_CHI = 15.0
@@ -27,7 +27,7 @@ RIDGE = 0.001
 FAIRNESS = 1.0
 STEPS = 400
 # Distinct words a worker remembers; then it starts again.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 # Terms that name groups of people. Terms of one row are swapped with each other.
 IDENTITIES = (
@@ -114,7 +114,7 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[list, dict[int, int]]:
         DataFrame.union,
         [known.where(f"toxic = {c}").orderBy(*order).limit(ROWS_A_CLASS) for c in (0, 1)],
     )
-    # Bounded by the two limits: 8,192 pairs of numbers.
+    # Bounded by the two limits: 4,096 pairs of numbers.
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     rows = rows.join(F.broadcast(chosen), "id").select("toxic", "text", "id")
 
