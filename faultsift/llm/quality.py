@@ -230,3 +230,86 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed",
         "kept",
     )
+
+
+OP10_SQL = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, row_number() OVER () AS row_id, coalesce(text, '') AS text FROM documents
+), split AS (
+    SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM texts
+), windows AS (
+    SELECT row_id, unnest(range(1, len(words) - 3)) AS pos,
+        unnest(list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k:k + 4], ' '))) AS content
+    FROM split WHERE len(words) >= 5
+), again AS (
+    SELECT row_id, pos FROM windows
+    QUALIFY count(*) OVER (PARTITION BY row_id, content) > 1
+), covered AS (
+    SELECT row_id, count(DISTINCT place) AS n
+    FROM (SELECT row_id, unnest(range(pos, pos + 5)) AS place FROM again) GROUP BY row_id
+), counted AS (
+    SELECT s.doc_id, s.row_id, len(words) AS n_words,
+        length(array_to_string(words, '')) AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+        len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+        coalesce(c.n, 0) AS n_repeat_words, len(lines) AS n_lines,
+        len(list_filter(lines, lambda x: regexp_matches(x, '[.!?:;…]["''”’»)\]]*\s*$'))) AS n_ended,
+        length(regexp_replace(text, '[^\p{Lu}]+', '', 'g')) AS n_upper,
+        length(regexp_replace(text, '[\p{L}\p{N}\p{M}\p{Z}\s]+', '', 'g')) AS n_marks,
+        len(list_filter(words, lambda w: regexp_matches(w, '[#*$%&|<>]'))) AS n_spoiled
+    FROM split s LEFT JOIN covered c ON s.row_id = c.row_id
+), voted AS (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+        [CASE WHEN n_words >= 30 THEN 1 WHEN n_words < 10 THEN -1 ELSE 0 END,
+         CASE WHEN word_chars / n_words BETWEEN 3 AND 10 THEN 1
+            WHEN word_chars / n_words < 2.5 OR word_chars / n_words > 14 THEN -1 ELSE 0 END,
+         CASE WHEN n_symbols / n_words <= 0.05 THEN 1 WHEN n_symbols / n_words >= 0.2 THEN -1 ELSE 0 END,
+         CASE WHEN n_spoiled / n_words <= 0.05 THEN 1 WHEN n_spoiled / n_words >= 0.25 THEN -1 ELSE 0 END,
+         CASE WHEN n_marks / word_chars <= 0.1 THEN 1 WHEN n_marks / word_chars >= 0.15 THEN -1 ELSE 0 END,
+         CASE WHEN n_dup_lines / n_lines <= 0.1 THEN 1 WHEN n_dup_lines / n_lines >= 0.4 THEN -1 ELSE 0 END,
+         CASE WHEN n_repeat_words / n_words <= 0.05 THEN 1 WHEN n_repeat_words / n_words >= 0.2 THEN -1 ELSE 0 END,
+         CASE WHEN n_upper / word_chars <= 0.15 THEN 1 WHEN n_upper / word_chars >= 0.4 THEN -1 ELSE 0 END,
+         CASE WHEN n_ended / n_lines >= 0.5 THEN 1 WHEN n_ended / n_lines < 0.1 THEN -1 ELSE 0 END
+        ] AS votes
+    FROM counted
+), patterns AS (
+    SELECT list(votes ORDER BY votes) AS v, list(n ORDER BY votes) AS n, range(1, count(*) + 1) AS each
+    FROM (SELECT votes, count(*)::DOUBLE AS n FROM voted WHERE NOT base_failed GROUP BY votes)
+), em AS (
+    SELECT 0 AS round, 0.0::DOUBLE AS start, NULL::DOUBLE[] AS against, NULL::DOUBLE[] AS in_favour,
+        list_transform(v, lambda x: CASE WHEN list_contains(x, -1) THEN 0.02 ELSE 0.98 END::DOUBLE) AS good
+    FROM patterns WHERE v IS NOT NULL
+    UNION ALL
+    SELECT round + 1, start, against, in_favour,
+        list_transform(each, lambda i: 1 / (1 + exp(-greatest(-60, least(60, start + list_sum(
+            list_transform(range(1, 10), lambda r: CASE v[i][r]
+                WHEN -1 THEN against[r] WHEN 1 THEN in_favour[r] ELSE 0 END)))))))
+    FROM (
+        SELECT round, each, v,
+            ln((list_sum(good_n) + 1) / (list_sum(bad_n) + 1)) AS start,
+            list_transform(range(1, 10), lambda r: least(0, ln(
+                (1 + list_sum(list_transform(each, lambda i: CASE WHEN v[i][r] = -1 THEN good_n[i] ELSE 0 END)))
+                / (3 + list_sum(good_n)) / (
+                (1 + list_sum(list_transform(each, lambda i: CASE WHEN v[i][r] = -1 THEN bad_n[i] ELSE 0 END)))
+                / (3 + list_sum(bad_n)))))) AS against,
+            list_transform(range(1, 10), lambda r: greatest(0, ln(
+                (1 + list_sum(list_transform(each, lambda i: CASE WHEN v[i][r] = 1 THEN good_n[i] ELSE 0 END)))
+                / (3 + list_sum(good_n)) / (
+                (1 + list_sum(list_transform(each, lambda i: CASE WHEN v[i][r] = 1 THEN bad_n[i] ELSE 0 END)))
+                / (3 + list_sum(bad_n)))))) AS in_favour
+        FROM (
+            SELECT round, each, v, list_transform(each, lambda i: n[i] * good[i]) AS good_n,
+                list_transform(each, lambda i: n[i] * (1 - good[i])) AS bad_n
+            FROM em, patterns WHERE round < 100
+        )
+    )
+), weights AS (
+    SELECT * FROM em WHERE round = 100
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND 1 / (1 + exp(-(coalesce(start, 0) + list_sum(list_transform(range(1, 10), lambda r:
+        CASE votes[r] WHEN -1 THEN against[r] WHEN 1 THEN in_favour[r] ELSE 0 END))))) >= 0.5 AS kept
+FROM voted LEFT JOIN weights ON true
+"""

@@ -12,7 +12,7 @@ from faultsift.llm.leaks import op8_decontamination
 from faultsift.llm.linedup import OP1_SQL, op1_line_dedup
 from faultsift.llm.lm import op5_lm_scoring
 from faultsift.llm.mixture import op6_mixing
-from faultsift.llm.quality import op10_quality
+from faultsift.llm.quality import OP10_SQL, op10_quality
 from faultsift.llm.simhash import op2_simhash
 from faultsift.llm.tokens import op4_tokens
 from faultsift.llm.toxicity import op7_toxicity
@@ -30,4 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
-SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op9_chat": OP9_SQL}
+SQL: dict[str, str] = {
+    "op1_line_dedup": OP1_SQL,
+    "op9_chat": OP9_SQL,
+    "op10_quality": OP10_SQL,
+}
