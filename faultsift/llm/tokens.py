@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -19,14 +22,15 @@ END_ID = 2
 BLOCK_IDS = 1 << 16
 # Ids from one entry of a block's offset table to the next.
 STRIDE = 4096
-# Text bytes of a shard, about. A shard is sorted by one task.
-SHARD_BYTES = 32 << 20
+# Documents of a shard, about. A shard is sorted by one task.
+SHARD_ROWS = 8192
 # Beyond so many shards they grow instead.
 MAX_SHARDS = 50_000
-# Distinct words a worker remembers the ids of; then it starts again.
-REMEMBERED = 500_000
-# Words that go to the tokenizer as one text.
-TOGETHER = 512
+# Texts that are encoded together.
+TOGETHER = 200
+# Distinct words a worker remembers the ids of; then they become the older ones,
+# and those that were older are forgotten.
+REMEMBERED = 600_000
 
 
 def bit_width(vocabulary: int) -> int:
@@ -60,66 +64,97 @@ def unpack(packed: bytes, width: int, first: int, count: int) -> np.ndarray:
     return ((field >> (at & 7).astype("<u8")) & np.uint64((1 << width) - 1)).astype("<u4")
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level tokenizers write for each byte.
+
+    Printable Latin-1 characters stand for themselves, the other bytes, in
+    order, for the characters from U+0100 on.
+    """
+    shown = {b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+def _words(text: str) -> list[str]:
+    """The text split at white space, of any kind that the tokenizer knows."""
+    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        # White space to Python only: without it there is nothing to split at.
+        return _WHITE.split(text)
+    # The tokenizer writes lower case; of ASCII letters nothing else depends on it.
+    return (text.lower() if text.isascii() else text).split()
+
+
 class Encoder:
     """Ids of texts by a tokenizer file, remembered by white-space separated word.
 
-    The tokenizer's own pre-tokens never span white space, so the ids of a text
-    are those of its words one after the other. Words of letters that only
-    carry full stops and commas behind them are remembered without these.
+    Of a byte-level tokenizer whose pre-tokens never span white space and hold
+    all letters of a run, so that the ids of a text are those of its words one
+    after the other. Words of letters that only carry full stops and commas
+    behind them go to the tokenizer's model directly, all others through the
+    whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
+        self.normalize = self.tokenizer.normalizer.normalize_str
+        self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+    def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4") for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def _plain(self, word: str) -> str | None:
+        """A word of letters as the model reads it, or None where it may be more than one pre-token."""
+        # A letter may become a letter and a mark in lower case. Beyond
+        # Cyrillic, what is a letter depends on the version of Unicode.
+        normal = self.normalize(word)
+        if not normal.isalpha() or max(normal) > "\u052f":
+            return None
+        return "".join(map(self.letters.__getitem__, normal.encode()))
 
     def _learn(self, words: set[str]) -> None:
-        known, tails, plain, other = self.known, {}, [], []
+        known, tokenize, other = self.known, self.tokenize, []
         for word in words:
             core = word.rstrip(".,")
-            if core.isalpha():
-                if core != word:
-                    tails[word] = (core, word[len(core) :])
-                    if word[len(core) :] not in known:
-                        other.append(word[len(core) :])
-                if core not in known:
-                    plain.append(core)
-            else:
-                other.append(word)
-        plain, other = sorted(set(plain)), sorted(set(other))
-        # Many words of letters make one text; each is one word to the tokenizer.
-        for at in range(0, len(plain), TOGETHER):
-            part = plain[at : at + TOGETHER]
-            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            owner = np.array(found.word_ids, "<i8")
-            if not len(owner) or owner[-1] != len(part) - 1:
-                known.update(zip(part, (x.tobytes() for x in self._ids(part))))
-                continue
-            ids = np.array(found.ids, "<u4").tobytes()
-            cuts = np.searchsorted(owner, np.arange(len(part) + 1)) * 4
-            for word, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist()):
-                known[word] = ids[a:b]
-        for word, x in zip(other, self._ids(other)):
-            known[word] = x.tobytes()
-        for word, (core, tail) in tails.items():
-            known[word] = known[core] + known[tail]
+            ids = known.get(core)
+            if ids is None:
+                plain = None
+                if core.isalpha():
+                    plain = core.lower() if core.isascii() else self._plain(core)
+                if plain is None:
+                    other.append(word)
+                    continue
+                ids = known[core] = array("I", map(_ID, tokenize(plain))).tobytes()
+            if len(core) < len(word):
+                tail = word[len(core) :]
+                if tail not in known:
+                    known[tail] = self._ids([tail])[0]
+                known[word] = ids + known[tail]
+        if other:
+            known.update(zip(other, self._ids(other)))
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        for at in range(0, len(texts), 200):
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            words = [(text or "").split() for text in texts[at : at + 200]]
-            missing = set(chain.from_iterable(words)).difference(self.known)
-            if missing:
-                self._learn(missing)
-            for own in words:
-                yield np.frombuffer(b"".join(map(self.known.__getitem__, own)), "<u4")
-
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        words = [_words(text or "") for text in texts]
+        missing = set(chain.from_iterable(words)).difference(known)
+        if older:
+            again = {word: older[word] for word in missing if word in older}
+            known.update(again)
+            missing.difference_update(again)
+        self._learn(missing)
+        for own in words:
+            yield np.frombuffer(b"".join(map(known.__getitem__, own)), "<u4")
+
+
+_ID = attrgetter("id")
+_WHITE = re.compile(r"[^\S\x1c-\x1f]+")
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -142,19 +177,21 @@ def encoded(docs: DataFrame, path: str, end_id: int = END_ID, cuts: tuple = ())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, texts = batch.column(0), batch.column(1).to_pylist()
-            shard = np.searchsorted(edges, docs.fill_null(-(1 << 63)).to_numpy()).astype("<i4")
-            made = [np.append(ids, end) for ids in encoder(path).encode(texts)]
-            # 16 bits hold most vocabularies: half the bytes to shuffle.
-            yield pa.RecordBatch.from_arrays(
-                [
-                    docs,
-                    pa.array([len(x) for x in made], pa.int64()),
-                    pa.array([_narrow(x) for x in made], pa.binary()),
-                    pa.array(shard),
-                ],
-                ["doc_id", "n", "ids", "shard"],
-            )
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                docs, texts = part.column(0), part.column(1).to_pylist()
+                shard = np.searchsorted(edges, docs.fill_null(-(1 << 63)).to_numpy())
+                made = [np.append(ids, end) for ids in encoder(path).encode(texts)]
+                # 16 bits hold most vocabularies: half the bytes to shuffle.
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        docs,
+                        pa.array([len(x) for x in made], pa.int64()),
+                        pa.array([_narrow(x) for x in made], pa.binary()),
+                        pa.array(shard.astype("<i4")),
+                    ],
+                    ["doc_id", "n", "ids", "shard"],
+                )
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(run, "doc_id long, n long, ids binary, shard int")
@@ -183,12 +220,12 @@ def blocks(docs: DataFrame, path: str, vocabulary: int, end_id: int = END_ID) ->
     every 4,096th id, so that ids can be read from the middle.
     """
     width = bit_width(vocabulary)
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.length("text").alias("chars"))
-    total = ids.agg(F.sum("chars"), F.count("*")).first()
-    shards = max(1, min(MAX_SHARDS, ((total[0] or 0) + total[1]) // SHARD_BYTES + 1))
+    # Only ids are read for the cuts, not the texts.
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    shards = min(MAX_SHARDS, ids.count() // SHARD_ROWS + 1)
     points = [k / shards for k in range(1, shards)]
     cuts = ()
-    if points and total[1]:
+    if points:
         cut = F.percentile_approx("doc_id", points, max(10_000, 20 * shards))
         cuts = tuple(sorted(set(ids.agg(cut).first()[0] or ())))
     # The shard is known from the id alone: no second pass over the texts. Each

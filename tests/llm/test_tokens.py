@@ -78,7 +78,7 @@ def brute(rows, whole):
 
 
 def test_files_hold_every_document_in_order(spark, tmp_path, whole, monkeypatch):
-    monkeypatch.setattr(tokens, "SHARD_BYTES", 2_000)
+    monkeypatch.setattr(tokens, "SHARD_ROWS", 20)
     monkeypatch.setattr(tokens, "BLOCK_IDS", 300)
     texts = {k * 7 % 211: f"text number {k}, " * (k % 40) for k in range(200)}
     frame = documents(spark, texts)
