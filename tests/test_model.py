@@ -1,4 +1,8 @@
-"""A whole triage against a plain Python model, on random rows with hot keys."""
+"""A whole triage against a plain Python model, on random rows with hot keys.
+
+Fixed values, as in the library: the frame pattern, the order of normalisation,
+the payload's field names and the two function limits.
+"""
 
 import hashlib
 import json
