@@ -197,7 +197,9 @@ def slots(spark: SparkSession, mix: list[Share], shard: int = SHARD, seed: int =
                 )
 
     ranked = running_start(drawn, ["ord"], "bucket", ["shard"], "n", "rank")
-    return ranked.mapInArrow(run, "shard long, rank long, ord long, block long")
+    made = ranked.mapInArrow(run, "shard long, rank long, ord long, block long")
+    # Written, so that Spark knows their real number and does not broadcast them.
+    return staged(made, "slots")
 
 
 def with_start(sized: DataFrame, mix: list[Share]) -> DataFrame:
