@@ -176,7 +176,7 @@ def test_labels(spark):
     ]
     assert rendered(spark, issue.choice_short(), rows[:1]) == ["svc: boom..."]
     assert rendered(spark, issue.progress_text(), rows[:1]) == [
-        "Creating issue for: svc - boom..."
+        "Drafting svc - boom..."
     ]
 
 
