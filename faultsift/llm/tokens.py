@@ -94,19 +94,22 @@ class Encoder:
     whole tokenizer.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
+        self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenize = self.tokenizer.model.tokenize
         self.normalize = self.tokenizer.normalizer.normalize_str
         self.letters = byte_letters()
+        # Ids are kept in 16 bits where the vocabulary allows.
+        self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", x.ids).tobytes() for x in found]
+        return [array(self.kind, x.ids).tobytes() for x in found]
 
     def _plain(self, word: str) -> str | None:
         """A word of letters as the model reads it, or None where it may be more than one pre-token."""
@@ -118,7 +121,7 @@ class Encoder:
         return "".join(map(self.letters.__getitem__, normal.encode()))
 
     def _learn(self, words: set[str]) -> None:
-        known, tokenize, other = self.known, self.tokenize, []
+        known, tokenize, kind, other = self.known, self.tokenize, self.kind, []
         for word in words:
             core = word.rstrip(".,")
             ids = known.get(core)
@@ -129,7 +132,7 @@ class Encoder:
                 if plain is None:
                     other.append(word)
                     continue
-                ids = known[core] = array("I", map(_ID, tokenize(plain))).tobytes()
+                ids = known[core] = array(kind, map(_ID, tokenize(plain))).tobytes()
             if len(core) < len(word):
                 tail = word[len(core) :]
                 if tail not in known:
@@ -139,7 +142,7 @@ class Encoder:
             known.update(zip(other, self._ids(other)))
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
         words = [_words(text or "") for text in texts]
@@ -150,29 +153,31 @@ class Encoder:
             missing.difference_update(again)
         self._learn(missing)
         for own in words:
-            yield np.frombuffer(b"".join(map(known.__getitem__, own)), "<u4")
+            yield np.frombuffer(b"".join(map(known.__getitem__, own)), self.kind)
 
 
 _ID = attrgetter("id")
 _WHITE = re.compile(r"[^\S\x1c-\x1f]+")
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     """One encoder a worker process, whose memory outlives a task."""
-    if path not in _ENCODERS:
+    if (path, remembered) not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+        _ENCODERS[path, remembered] = Encoder(path, remembered)
+    return _ENCODERS[path, remembered]
 
 
-def encoded(docs: DataFrame, path: str, end_id: int = END_ID, cuts: tuple = ()) -> DataFrame:
+def encoded(
+    docs: DataFrame, path: str, end_id: int = END_ID, cuts: tuple = (), remembered: int = REMEMBERED
+) -> DataFrame:
     """(doc_id, n, ids, shard): ids of whole texts with the end id, as little-endian integers.
 
     ``shard`` is the number of ``cuts`` below the id; null ids come first.
     """
-    end = np.array([end_id], "<u4")
+    end = np.array([end_id], "<u2" if end_id < 1 << 16 else "<u4")
     edges = np.array(cuts, "<i8")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +186,7 @@ def encoded(docs: DataFrame, path: str, end_id: int = END_ID, cuts: tuple = ())
                 part = batch.slice(at, TOGETHER)
                 docs, texts = part.column(0), part.column(1).to_pylist()
                 shard = np.searchsorted(edges, docs.fill_null(-(1 << 63)).to_numpy())
-                made = [np.append(ids, end) for ids in encoder(path).encode(texts)]
+                made = [np.append(ids, end) for ids in encoder(path, remembered).encode(texts)]
                 # 16 bits hold most vocabularies: half the bytes to shuffle.
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -211,7 +216,13 @@ BLOCKS = (
 )
 
 
-def blocks(docs: DataFrame, path: str, vocabulary: int, end_id: int = END_ID) -> DataFrame:
+def blocks(
+    docs: DataFrame,
+    path: str,
+    vocabulary: int,
+    end_id: int = END_ID,
+    remembered: int = REMEMBERED,
+) -> DataFrame:
     """The rows of the file format, shard by shard in ascending doc_id order.
 
     A block holds whole documents up to about 65,536 ids, a longer document
@@ -231,7 +242,7 @@ def blocks(docs: DataFrame, path: str, vocabulary: int, end_id: int = END_ID) ->
     # The shard is known from the id alone: no second pass over the texts. Each
     # shard goes whole to the task, and file, of its number, and is sorted
     # there, spilling if need be.
-    made = encoded(docs, path, end_id, cuts).repartitionById(len(cuts) + 1, F.col("shard"))
+    made = encoded(docs, path, end_id, cuts, remembered).repartitionById(len(cuts) + 1, F.col("shard"))
     made = made.sortWithinPartitions("shard", "doc_id", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,16 +296,22 @@ def blocks(docs: DataFrame, path: str, vocabulary: int, end_id: int = END_ID) ->
 
 
 def write_tokens(
-    docs: DataFrame, folder: str, path: str, vocabulary: int, end_id: int = END_ID
+    docs: DataFrame,
+    folder: str,
+    path: str,
+    vocabulary: int,
+    end_id: int = END_ID,
+    remembered: int = REMEMBERED,
 ) -> None:
     """Writes ``docs`` (doc_id, text) as packed blocks below ``folder``.
 
     Files are Parquet tables of blocks, so any store that Spark reaches will
     do and a lost task writes its file anew. Ids are packed, so the files are
     not compressed again. Null texts count as empty and have only the end id;
-    null ids come first, repeated ids one after the other.
+    null ids come first, repeated ids one after the other. ``remembered`` bounds
+    the words that a worker keeps the ids of, twice as many at most.
     """
-    made = blocks(docs, path, vocabulary, end_id)
+    made = blocks(docs, path, vocabulary, end_id, remembered)
     made.write.option("compression", "none").parquet(folder)
 
 
@@ -362,11 +379,11 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> tuple[str, int]:
     return path, Tokenizer.from_file(path).get_vocab_size()
 
 
-def token_output(docs: DataFrame) -> DataFrame:
+def token_output(docs: DataFrame, remembered: int = REMEMBERED) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of ``docs``, written to the shared folder and read back."""
     spark = docs.sparkSession
     folder = work_folder(spark, "tokens")
-    write_tokens(docs, folder, *tokenizer_file())
+    write_tokens(docs, folder, *tokenizer_file(), remembered=remembered)
     return read_digests(spark, folder)
 
 
