@@ -46,7 +46,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mixed documents, and per document what they hold."""
     importable(spark)
-    return token_output(docs)
+    # Workers of a pipeline hold what earlier stages left: fewer words are remembered.
+    return token_output(docs, remembered=200_000)
 
 
 STAGES = [
