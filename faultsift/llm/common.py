@@ -15,12 +15,20 @@ SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 
 
+# Rows that a Python worker gets at a time: texts are long, so fewer than Spark's 10,000.
+BATCH_ROWS = 1000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def importable(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver has it.
+    """Lets Python workers import this package from where the driver has it, and bounds their batches.
 
     The same as setting ``spark.executorEnv.PYTHONPATH`` before the start;
-    with ``--py-files`` it changes nothing.
+    with ``--py-files`` it changes nothing. Smaller batches that a session asks
+    for are kept.
     """
+    if not 0 < int(spark.conf.get(_BATCH_ROWS)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_ROWS, BATCH_ROWS)
     here = str(Path(__file__).resolve().parents[2])
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if here not in paths:

@@ -21,7 +21,7 @@ BAND = 16
 # windows before the join. Beyond, all windows are shuffled to the join.
 SENT_HASHES = 2_000_000
 # Characters of texts that are worked on together; a longer text alone.
-TOGETHER = 1_000_000
+TOGETHER = 250_000
 
 # Units that follow a number, and numbers in words.
 UNITS = frozenset(

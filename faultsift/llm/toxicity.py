@@ -27,7 +27,7 @@ RIDGE = 0.001
 FAIRNESS = 1.0
 STEPS = 400
 # Distinct words a worker remembers; then it starts again.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 # Terms that name groups of people. Terms of one row are swapped with each other.
 IDENTITIES = (
