@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,12 @@ from pyspark.sql import functions as F
 
 from faultsift.llm.common import importable, staged, table
 
-# Words with an embedding, classes of the output, and width of the network.
+# Words with an embedding of their own, classes of the output, and width of the network.
 VOCABULARY = 4096
+# Embeddings, and numbers, that all other words share by hash.
+HASHED = 4096
+# Words whose counts every task holds; those of all others are joined.
+HELD = 100_000
 CLASSES = 128
 # The most frequent words are classes of their own.
 OWN_CLASS = 64
@@ -29,6 +34,10 @@ OFFSETS = (-2, -1, 1, 2)
 MASKED = 0.15
 ROUNDS = 2
 BATCH = 1024
+# Passes over the statistics that classes are formed from, and the frequent
+# words beside a word that these count.
+PASSES = 20
+BESIDE = 31
 RATE = 0.3
 SEED = 7
 # Means of parameters that are taken side by side.
@@ -69,74 +78,185 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def hashed(word: str, count: int) -> int:
+    return zlib.crc32(word.encode("utf-8", "replace")) % count
+
+
 @dataclass(frozen=True)
 class Lexicon:
-    """Numbers of the known words; one more for all others, and one for beyond an end.
+    """Numbers of all words: the most frequent have their own, the others one by hash.
 
-    ``within`` is the log-probability of each word in its class, for a word
-    that is not known that of any one of these.
+    ``within`` is the log-probability of each word in its class; for a hashed
+    number the log of one occurrence, to which the log of the word's own count
+    is added. ``held`` has these logs for the words that every task knows,
+    ``counts`` (word, n) for all.
     """
 
     numbers: dict[str, int]
+    held: dict[str, float]
+    counts: DataFrame
+    # Whether there are words that are neither numbered nor held.
+    more: bool
+    totals: np.ndarray
     classes: np.ndarray
     within: np.ndarray
     shares: np.ndarray
 
-    @property
-    def other(self) -> int:
-        return len(self.numbers)
-
     @property
     def beyond(self) -> int:
-        return len(self.numbers) + 1
-
+        """The number of what lies beyond an end."""
+        return len(self.totals)
 
-def lexicon(docs: DataFrame) -> Lexicon:
-    """The most frequent words of the corpus, from the counts of all of them.
 
-    The top words are classes of their own; the others are dealt to the
-    classes by rank, so that classes are about equally frequent. Unknown words
-    are the last class.
-    """
+def vocabulary(docs: DataFrame) -> Lexicon:
+    """Numbers and counts of all words; classes are still missing."""
     counts = staged(word_counts(docs), "words")
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
-    whole = counts.agg(F.sum("n").alias("n"), F.count("*").alias("types")).first()
-    known = np.array([r["n"] for r in top], float)
-    rank = np.arange(len(top))
-    spread = CLASSES - OWN_CLASS - 1
-    classes = np.where(rank < OWN_CLASS, rank, OWN_CLASS + (rank - OWN_CLASS) % spread)
-    others = max(1.0, (whole["n"] or 0) - known.sum())
-    types = max(1, whole["types"] - len(top))
-    classes = np.append(classes, CLASSES - 1).astype("<i8")
-    n = np.append(known, others)
-    of_class = np.bincount(classes, n, minlength=CLASSES)
-    within = np.log(n / of_class[classes])
-    within[-1] = -math.log(types)
+    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY + HELD).toPandas()
+    words, n = top["word"].tolist(), top["n"].to_numpy("f8")
+    numbers = {w: k for k, w in enumerate(words[:VOCABULARY])}
+    by_hash = F.crc32(F.encode("word", "utf-8")) % HASHED
+    sums = counts.groupBy(by_hash.alias("h")).agg(F.sum("n").alias("n"), F.count("*").alias("types"))
+    others, types = np.zeros(HASHED), 0
+    for row in sums.collect():
+        others[row["h"]] = row["n"]
+        types += row["types"]
+    for word, k in numbers.items():
+        others[hashed(word, HASHED)] -= n[k]
+    none = np.zeros(0)
     return Lexicon(
-        {r["word"]: k for k, r in enumerate(top)},
-        classes,
-        within,
-        (of_class + 1) / (of_class.sum() + CLASSES),
+        numbers,
+        dict(zip(words[VOCABULARY:], np.log(n[VOCABULARY:]).tolist())),
+        counts,
+        types > len(words),
+        np.concatenate([n[:VOCABULARY], others]),
+        none,
+        none,
+        none,
+    )
+
+
+def _grouped(features: np.ndarray, weights: np.ndarray, groups: int) -> np.ndarray:
+    """The group of each row: weighted k-means that starts from equal shares along the main axis."""
+    mean = np.average(features, axis=0, weights=weights)
+    axis = np.linalg.eigh((features - mean).T @ ((features - mean) * weights[:, None]))[1][:, -1]
+    # An axis has no sign of its own.
+    along = (features - mean) @ (axis * np.sign(axis[np.abs(axis).argmax()]))
+    order = np.lexsort((np.arange(len(along)), along))
+    group = np.empty(len(along), "<i8")
+    group[order] = np.minimum(groups * (np.cumsum(weights[order]) - weights[order]) / weights.sum(), groups - 1)
+    for _ in range(PASSES):
+        mass = np.bincount(group, weights, minlength=groups)
+        sums = np.zeros((groups, features.shape[1]))
+        np.add.at(sums, group, features * weights[:, None])
+        centres = sums / np.maximum(mass, 1e-9)[:, None]
+        far = (centres**2).sum(1) - 2 * features @ centres.T
+        far[:, mass == 0] = np.inf
+        group = far.argmin(1)
+    return group
+
+
+def classified(words: Lexicon, texts: DataFrame) -> Lexicon:
+    """``words`` with classes from the neighbours that each number has in all ``texts`` (ids).
+
+    The top words are classes of their own. The others are grouped by how often
+    each of the most frequent words stands before and after them.
+    """
+    count, beyond, beside = len(words.totals), words.beyond, BESIDE + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(count * 2 * beside, "<i8")
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            for at in range(0, len(ids), 500):
+                sequence, places = _sequence(ids[at : at + 500], beyond)
+                near = np.minimum(sequence, BESIDE)
+                own = sequence[places] * (2 * beside)
+                seen += np.bincount(own + near[places - 1], minlength=len(seen))
+                seen += np.bincount(own + beside + near[places + 1], minlength=len(seen))
+        table = seen.reshape(count, 2 * beside)
+        met = np.flatnonzero(table.any(1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(met), pa.array(list(table[met].astype("f8")), pa.list_(pa.float64()))],
+            ["id", "beside"],
+        )
+
+    made = texts.select("ids").mapInArrow(run, "id long, beside array<double>")
+    made = made.groupBy("id").agg(Summarizer.sum(array_to_vector("beside")).alias("beside"))
+    near = np.zeros((count, 2 * beside))
+    for row in made.select("id", vector_to_array("beside").alias("beside")).collect():
+        near[row["id"]] = row["beside"]
+    own = min(OWN_CLASS, len(words.numbers))
+    classes = np.arange(count, dtype="<i8")
+    met = own + np.flatnonzero(near[own:].any(1))
+    classes[own:] = OWN_CLASS + np.arange(count - own) % (CLASSES - OWN_CLASS)
+    if len(met):
+        # Square roots of shares, as common neighbours would else outweigh all others.
+        features = np.sqrt(near[met] / near[met].sum(1, keepdims=True))
+        classes[met] = OWN_CLASS + _grouped(features, words.totals[met], CLASSES - OWN_CLASS)
+    of_class = np.bincount(classes, words.totals, minlength=CLASSES)
+    n = words.totals.copy()
+    n[len(words.numbers) :] = 1
+    return replace(
+        words,
+        classes=classes,
+        within=np.log(n / np.maximum(of_class, 1)[classes]),
+        shares=(of_class + 1) / (of_class.sum() + CLASSES),
     )
 
 
+def lexicon(docs: DataFrame) -> Lexicon:
+    """Numbers, counts and classes of all words of the corpus."""
+    words = vocabulary(docs)
+    return classified(words, numbered(docs, words))
+
+
 def numbered(docs: DataFrame, words: Lexicon) -> DataFrame:
-    """(doc_id, ids): the word numbers of each text, as little-endian 16-bit integers."""
-    sent = docs.sparkSession.sparkContext.broadcast(words)
+    """(row, doc_id, ids, logs, rest) of each text.
+
+    ``row`` is unique, ids are the word numbers as little-endian 16-bit
+    integers, logs the sum of the logs of the counts of its held words, and
+    rest its words that are neither numbered nor held, as often as they occur.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast((words.numbers, words.held, words.beyond))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, other = sent.value.numbers, sent.value.other
+        numbers, held, beyond = sent.value
+        first, count = len(numbers), beyond - len(numbers)
+        places = {w: first + hashed(w, count) for w in held}
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            ids = [
-                np.array([numbers.get(w, other) for w in tokens(text)], "<u2").tobytes()
-                for text in batch.column(1).to_pylist()
-            ]
+            ids, logs, rest = [], [], []
+            for text in batch.column(1).to_pylist():
+                found = tokens(text)
+                own = [numbers.get(w, -1) for w in found]
+                total, unknown = 0.0, []
+                for k, number in enumerate(own):
+                    if number < 0:
+                        word = found[k]
+                        place = places.get(word)
+                        if place is None:
+                            unknown.append(word)
+                            place = first + hashed(word, count)
+                        else:
+                            total += held[word]
+                        own[k] = place
+                ids.append(np.array(own, "<u2").tobytes())
+                logs.append(total)
+                rest.append(unknown)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"]
+                [
+                    pa.array(np.arange(row, row + len(ids))),
+                    batch.column(0),
+                    pa.array(ids, pa.binary()),
+                    pa.array(logs, pa.float64()),
+                    pa.array(rest, pa.list_(pa.string())),
+                ],
+                ["row", "doc_id", "ids", "logs", "rest"],
             )
+            row += len(ids)
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "doc_id long, ids binary")
+    return rows.mapInArrow(run, "row long, doc_id long, ids binary, logs double, rest array<string>")
 
 
 @dataclass
@@ -188,8 +308,10 @@ class Network:
         self.shift -= step * back.sum(0)
         # An embedding moves by the sum, not the mean, as each is met seldom.
         back *= rate / math.sqrt(len(target))
+        # One number for each value, as numpy adds those faster than rows.
         for k in range(len(OFFSETS)):
-            np.subtract.at(self.embed[k], around[k], back)
+            places = (around[k] * WIDTH)[:, None] + np.arange(WIDTH)
+            np.subtract.at(self.embed[k].reshape(-1), places.ravel(), back.ravel())
 
     def log_odds(self, around: list[np.ndarray], target: np.ndarray) -> np.ndarray:
         """Log-probability of each target class."""
@@ -265,13 +387,14 @@ def trained(texts: DataFrame, words: Lexicon, rounds: int = ROUNDS) -> Network:
 
 
 def scored(texts: DataFrame, words: Lexicon, network: Network) -> DataFrame:
-    """(doc_id, n_tokens, log_likelihood, mean_log_likelihood) of ``texts`` (doc_id, ids)."""
+    """(doc_id, n_tokens, log_likelihood, mean_log_likelihood) of ``texts``, as ``numbered`` makes them."""
     sent = texts.sparkSession.sparkContext.broadcast((network, words.classes, words.within, words.beyond))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, classes, within, beyond = sent.value
         for batch in batches:
-            ids, docs = batch.column(1).to_pylist(), batch.column(0)
+            rows, docs, own_logs = batch.column(0), batch.column(1), batch.column(3).to_numpy()
+            ids = batch.column(2).to_pylist()
             for at in range(0, len(ids), 500):
                 some = ids[at : at + 500]
                 sequence, places = _sequence(some, beyond)
@@ -284,19 +407,27 @@ def scored(texts: DataFrame, words: Lexicon, network: Network) -> DataFrame:
                     logs[k : k + CHUNK] += own.log_odds(around, target[k : k + CHUNK])
                 n = np.array([len(x) // 2 for x in some], "<i8")
                 total = np.bincount(np.repeat(np.arange(len(n)), n), logs, minlength=len(n))
+                total = total + own_logs[at : at + len(some)]
                 yield pa.RecordBatch.from_arrays(
                     [
+                        rows.slice(at, len(some)),
                         docs.slice(at, len(some)),
                         pa.array(n),
                         pa.array(total.astype(float)),
-                        pa.array(total / np.maximum(n, 1)),
                     ],
-                    ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"],
+                    ["row", "doc_id", "n_tokens", "log_likelihood"],
                 )
 
-    return texts.mapInArrow(
-        run, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double"
+    made = texts.select("row", "doc_id", "ids", "logs").mapInArrow(
+        run, "row long, doc_id long, n_tokens long, log_likelihood double"
     )
+    if words.more:
+        rest = texts.select("row", F.explode("rest").alias("word")).join(words.counts, "word")
+        rest = rest.groupBy("row").agg(F.sum(F.ln("n")).alias("rest"))
+        total = F.col("log_likelihood") + F.coalesce("rest", F.lit(0.0))
+        made = made.join(rest, "row", "left").withColumn("log_likelihood", total)
+    mean = F.col("log_likelihood") / F.greatest("n_tokens", F.lit(1))
+    return made.select("doc_id", "n_tokens", "log_likelihood", mean.alias("mean_log_likelihood"))
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
@@ -304,14 +435,16 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
 
     Vocabulary, classes and network are learnt from all texts of ``docs``
     (doc_id, text). Each word's probability given two words on either side is
-    that of its class by the network times that of the word in its class;
+    that of its class by the network times that of the word in its class, which
+    comes from the word's own count, however rare the word;
     log_likelihood sums the logs over the whole text. Null and empty texts have
     0 words and 0.0. Repeated rows train and score each; ids may repeat or be
     null; a table without rows gives none. Other columns are ignored.
     """
     importable(docs.sparkSession)
-    words = lexicon(docs)
+    words = vocabulary(docs)
     texts = staged(numbered(docs, words), "word-numbers")
+    words = classified(words, texts)
     return scored(texts, words, trained(texts, words))
 
 

@@ -66,3 +66,37 @@ def test_odd_rows(spark):
     assert all(math.isfinite(r.log_likelihood) and r.log_likelihood <= 0 for r in got)
     assert pseudo_likelihood(no_documents(spark)).collect() == []
     assert [r.log_likelihood for r in pseudo_likelihood(documents(spark, ["", None])).collect()] == [0, 0]
+
+
+def test_rare_words_have_their_own_counts(spark, monkeypatch):
+    """Held by every task, joined, or with a number of their own: the words of a class sum to one."""
+    monkeypatch.setattr(lm, "VOCABULARY", 3)
+    monkeypatch.setattr(lm, "HELD", 2)
+    monkeypatch.setattr(lm, "HASHED", 2)
+    counts = {"a": 40, "b": 30, "c": 20, "d": 9, "e": 7, "f": 5, "g": 2, "h": 1}
+    texts = [" ".join([w] * n) for w, n in counts.items()]
+    words = lexicon(documents(spark, texts))
+    assert set(words.numbers) == set("abc") and set(words.held) == set("de") and words.more
+    single = numbered(documents(spark, list(counts)), words).persist()
+    network = Network.fresh(words)
+    got = [r.log_likelihood for r in scored(single, words, network).orderBy("doc_id").collect()]
+    place = {w: words.numbers.get(w, 3 + lm.hashed(w, 2)) for w in counts}
+    around = [np.full(1, words.beyond)] * len(lm.OFFSETS)
+    total = np.bincount(words.classes[list(place.values())], list(counts.values()), lm.CLASSES)
+    for (word, n), value in zip(counts.items(), got):
+        target = words.classes[place[word]]
+        of_class = network.log_odds(around, np.array([target]))[0]
+        assert abs(value - of_class - math.log(n / total[target])) < 1e-5
+
+
+def test_classes_come_from_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(lm, "OWN_CLASS", 3)
+    monkeypatch.setattr(lm, "CLASSES", 5)
+    rng = random.Random(3)
+    texts = []
+    for _ in range(200):
+        k = rng.randrange(10)
+        texts.append(f"the n{k} is here" if rng.random() < 0.5 else f"is v{k} the here")
+    words = lexicon(documents(spark, texts))
+    of = {w: words.classes[k] for w, k in words.numbers.items()}
+    assert {of[f"n{k}"] for k in range(10)}.isdisjoint(of[f"v{k}"] for k in range(10))
