@@ -30,8 +30,7 @@ CLASSES = 128
 OWN_CLASS = 64
 WIDTH = 16
 OFFSETS = (-2, -1, 1, 2)
-# Share of the positions that are masked and predicted in a round over the corpus.
-MASKED = 0.15
+# Rounds over all positions of the corpus.
 ROUNDS = 2
 BATCH = 1024
 # Passes over the statistics that classes are formed from, and the frequent
@@ -335,9 +334,9 @@ def _sequence(ids: list[bytes], beyond: int) -> tuple[np.ndarray, np.ndarray]:
 def trained(texts: DataFrame, words: Lexicon, rounds: int = ROUNDS) -> Network:
     """A network trained on all ``texts`` (ids).
 
-    In each round every task starts from the same network, masks a share of
-    the positions of all its texts, learns to predict them, and hands on its
-    parameters; their mean, by positions, starts the next round. Means are
+    In each round every task starts from the same network, learns to predict
+    every position of all its texts from its neighbours (a word is not in its
+    own window), and hands on its parameters; their mean, by positions, starts the next round. Means are
     taken in two steps, so that no task gets all of them.
     """
     spark = texts.sparkSession
@@ -355,7 +354,6 @@ def trained(texts: DataFrame, words: Lexicon, rounds: int = ROUNDS) -> Network:
                 ids = batch.column(0).to_pylist()
                 for at in range(0, len(ids), 500):
                     sequence, places = _sequence(ids[at : at + 500], beyond)
-                    places = places[rng.random(len(places)) < MASKED]
                     rng.shuffle(places)
                     for k in range(0, len(places), BATCH):
                         some = places[k : k + BATCH]

@@ -100,3 +100,15 @@ def test_classes_come_from_neighbours(spark, monkeypatch):
     words = lexicon(documents(spark, texts))
     of = {w: words.classes[k] for w, k in words.numbers.items()}
     assert {of[f"n{k}"] for k in range(10)}.isdisjoint(of[f"v{k}"] for k in range(10))
+
+
+def test_every_position_trains(spark):
+    """Each word that stands beside another moves its embedding of that offset."""
+    order = [f"w{k}" for k in range(60)]
+    frame = documents(spark, [" ".join(order), "", None])
+    words = lexicon(frame)
+    fresh, network = Network.fresh(words), trained(numbered(frame, words), words, 1)
+    for k, offset in enumerate(lm.OFFSETS):
+        beside = order[:offset] if offset < 0 else order[offset:]
+        at = [words.numbers[w] for w in beside]
+        assert (network.embed[k][at] != fresh.embed[k][at]).any(1).all()
