@@ -14,11 +14,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import table
+from faultsift.llm.common import staged, table
 
 THRESHOLD = 0.3
 # At most so many labelled rows of each class are learnt from, those of the least hash.
-ROWS_A_CLASS = 2048
+ROWS_A_CLASS = 4096
 FEATURES = 2048
 # Features whose chi-square is less than this are taken for chance.
 LEAST_CHI = 15.0
@@ -102,7 +102,7 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(remainder == 2, F.lit(True))
 
 
-def _sample(docs: DataFrame, labels: DataFrame) -> tuple[list, dict[int, int]]:
+def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
     """Features of the training rows, with those after the swap, and the size of each class."""
     known = labels.where(F.col("toxic").isNotNull() & ~is_held_out())
     known = known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(
@@ -114,7 +114,7 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[list, dict[int, int]]:
         DataFrame.union,
         [known.where(f"toxic = {c}").orderBy(*order).limit(ROWS_A_CLASS) for c in (0, 1)],
     )
-    # Bounded by the two limits: 4,096 pairs of numbers.
+    # Bounded by the two limits: 8,192 pairs of numbers.
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     rows = rows.join(F.broadcast(chosen), "id").select("toxic", "text", "id")
 
@@ -133,8 +133,59 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[list, dict[int, int]]:
             )
 
     made = rows.mapInArrow(run, "toxic int, features binary, swapped binary, id long")
-    taken = made.collect()
-    return sorted(taken, key=lambda r: (r["id"], r["features"])), sizes
+    return staged(made, "toxicity-rows"), sizes
+
+
+def _best(made: DataFrame, n: int, p: int) -> np.ndarray:
+    """The features, sorted, that tell the classes apart best by chi-square.
+
+    Counted where the rows are: only the chosen features reach the driver.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vectors = [np.frombuffer(x, "<u4") for x in batch.column(1).to_pylist()]
+            names, codes = np.unique(np.concatenate(vectors), return_inverse=True)
+            label = np.repeat(batch.column(0).to_numpy(), [len(v) for v in vectors])
+            positive = np.bincount(codes, weights=label, minlength=len(names))
+            total = np.bincount(codes, minlength=len(names))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names.astype("<i8")), pa.array(positive), pa.array(total.astype("f8"))],
+                ["feature", "positive", "total"],
+            )
+
+    counts = made.select("toxic", "features").mapInArrow(
+        run, "feature long, positive double, total double"
+    )
+    counts = counts.groupBy("feature").agg(F.sum("positive").alias("positive"), F.sum("total").alias("total"))
+    total, expected = F.col("total"), F.col("total") * p / n
+    chi = (F.col("positive") - expected) ** 2 / (
+        expected * (1 - p / n) * (1 - total / (n + 1)) + 1e-9
+    )
+    # Equal ones by their number. Features of one row come last.
+    known = counts.where(total >= 2).withColumn("chi", chi).where(F.col("chi") >= LEAST_CHI)
+    found = known.orderBy(F.desc("chi"), "feature").limit(FEATURES).select("feature").collect()
+    return np.array(sorted(r[0] for r in found), "<u4")
+
+
+def _taken(made: DataFrame, best: np.ndarray) -> list:
+    """The rows with what they have of the chosen features."""
+    sent = made.sparkSession.sparkContext.broadcast(best)
+
+    def kept(features: bytes | None) -> bytes | None:
+        return features and np.intersect1d(np.frombuffer(features, "<u4"), sent.value, True).tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [pa.array(list(map(kept, batch.column(k).to_pylist())), pa.binary()) for k in (1, 2)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *columns, batch.column(3)], batch.schema.names
+            )
+
+    taken = made.mapInArrow(run, made.schema).collect()
+    return sorted(taken, key=lambda r: (r["id"], r["features"]))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -146,36 +197,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     Classes are weighted back to their sizes among all labels. Without rows of
     both classes every text gets the share of label 1 (0 without labels).
     """
-    rows, sizes = _sample(docs, labels)
-    target = np.array([float(r["toxic"]) for r in rows])
+    made, sizes = _sample(docs, labels)
+    met = {r[0]: r[1] for r in made.groupBy("toxic").count().collect()}
     share = sizes.get(1, 0) / max(1, sizes.get(0, 0) + sizes.get(1, 0))
-    if not len(rows) or target.min() == target.max():
+    if len(met) < 2:
         return Model(float(np.log((share + 1e-6) / (1 - share + 1e-6))), {})
 
+    n, p = sum(met.values()), met[1]
+    best = _best(made, n, p)
+    rows = _taken(made, best)
+    target = np.array([float(r["toxic"]) for r in rows])
     vectors = [np.frombuffer(r["features"], "<u4") for r in rows]
-    names, codes = np.unique(np.concatenate(vectors), return_inverse=True)
-    lengths = np.array([len(v) for v in vectors])
-    owner = np.repeat(np.arange(len(rows)), lengths)
-    positive = np.bincount(codes, weights=target[owner], minlength=len(names))
-    total = np.bincount(codes, minlength=len(names))
-    # Chi-square of occurrence against the label; rare features come last.
-    n, p = len(rows), target.sum()
-    expected = total * p / n
-    chi = (positive - expected) ** 2 / (expected * (1 - p / n) * (1 - total / (n + 1)) + 1e-9)
-    chi[total < 2] = 0
-    best = np.sort(np.lexsort((np.arange(len(names)), -chi))[:FEATURES])
-    best = best[chi[best] >= LEAST_CHI]
-    column = np.full(len(names), -1)
-    column[best] = np.arange(len(best))
+    owner = np.repeat(np.arange(n), [len(v) for v in vectors])
     x = np.zeros((n, len(best)), np.float32)
-    used = column[codes] >= 0
-    x[owner[used], column[codes][used]] = 1
+    x[owner, np.searchsorted(best, np.concatenate(vectors))] = 1
 
     def row_of(features: np.ndarray) -> np.ndarray:
         out = np.zeros(len(best), np.float32)
-        at = np.searchsorted(names, features)
-        at = at[(at < len(names)) & (names[np.minimum(at, len(names) - 1)] == features)]
-        out[column[at][column[at] >= 0]] = 1
+        out[np.searchsorted(best, np.intersect1d(features, best, True))] = 1
         return out
 
     change = [
@@ -208,7 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         slope += 2 * FAIRNESS * (change.T @ (change @ ahead_w)) / len(change)
         new_w, new_b = ahead_w - slope / curve, ahead_b - error.sum() / curve
         speed_w, speed_b, w, bias = new_w - w, new_b - bias, new_w, new_b
-    return Model(float(bias), {int(names[f]): float(v) for f, v in zip(best, w) if v})
+    return Model(float(bias), {int(f): float(v) for f, v in zip(best, w) if v})
 
 
 def with_score(docs: DataFrame, model: Model, name: str) -> DataFrame:

@@ -91,3 +91,16 @@ def test_toxic_rows_go(corpus):
     rejected = {r.doc_id for r in toxicity(frame, labels).collect() if r.predicted}
     assert kept == set(toxic) - rejected
     assert np.mean([toxic[d] for d in kept]) < 0.01
+
+
+def test_rare_toxic_terms_have_a_feature(spark):
+    """Twenty of the first 4,096 toxic rows hold the term: enough there, not among half of them."""
+    rows = range(14_000)
+    learnt = [d for d in rows if not held_out(d)]
+    order = spark.createDataFrame([(d,) for d in learnt if d % 2], "id LONG").selectExpr("id", "xxhash64(id) AS h")
+    sampled = [r.id for r in order.orderBy("h", "id").limit(4096).collect()]
+    assert len(sampled) == 4096
+    rare = set(sampled[::205])
+    frame = documents(spark, {d: "qzurk plain" if d in rare else "bad plain" if d % 2 else "plain" for d in rows})
+    labels = spark.createDataFrame([(d, 1, d % 2) for d in rows], LABELS)
+    assert zlib.crc32(b"=qzurk") in fit(frame, labels).weights
