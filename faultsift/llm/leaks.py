@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from copy import copy
 from functools import cache
 
 import numpy as np
@@ -38,6 +39,17 @@ NUMBERS = frozenset(
     "hundred thousand million".split()
 )
 
+# Words that start sentences and are no names.
+STARTERS = frozenset(
+    "a an the this that these those there here i you he she it we they my your his her its our "
+    "their what which who whom whose when where why how if then than so and or but nor yet for as "
+    "at by in on of off to from with without within into onto over under after before since until "
+    "during while because although though unless each every all both some any no not none many "
+    "much more most few several is are was were be been has have had do does did can could will "
+    "would shall should may might must let please given suppose assume find consider determine "
+    "calculate compute show prove one also now finally first next however therefore thus".split()
+)
+
 # Kinds of a token; all but PLAIN are slots of a template.
 PLAIN, NUMBER, UNIT, NAME = range(4)
 _SLOT = ["", "#", "u", "n"]
@@ -86,7 +98,7 @@ def _word_hashes(data: np.ndarray, starts: np.ndarray, word: np.ndarray) -> np.n
 
 @cache
 def known_hashes(name: str) -> np.ndarray:
-    words = sorted({"numbers": NUMBERS, "units": UNITS}[name])
+    words = sorted({"numbers": NUMBERS, "units": UNITS, "starters": STARTERS}[name])
     data = np.frombuffer(" ".join(words).encode(), np.uint8)
     word = data != 32
     starts = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
@@ -107,7 +119,8 @@ class Templates:
     Tokens are runs of letters or of digits, in lower case: digits with one of
     ``.,:/`` between are one number, letters with an apostrophe between one
     word, and "5km" is two tokens. ``owner`` is the number of a token's text,
-    ``first`` the first token of each text. All texts are worked on at once as
+    ``first`` the first token of each text. ``begins`` are the capitalised words
+    that start a sentence and may be names. All texts are worked on at once as
     one array of bytes.
     """
 
@@ -144,23 +157,33 @@ class Templates:
         after = np.zeros(len(kind), bool)
         after[1:] = (kind[:-1] == NUMBER) & (self.owner[1:] == self.owner[:-1])
         kind[after & _is_in(self.plain, known_hashes("units"))] = UNIT
+        begins = np.zeros(len(kind), bool)
         if upper.any():
             count = np.concatenate([[0], np.cumsum(upper)])
             width = np.select([data[starts] >= 0xE0, data[starts] >= 0xC0], [3, 2], 1)
             reach = np.minimum(starts + width, ends)
             capital = (count[reach] > count[starts]) & (count[ends] == count[reach]) & (ends > reach)
-            # A capital at the start of a sentence says nothing.
+            # A capital at the start of a sentence says nothing by itself.
             stops = np.concatenate([[0], np.cumsum(_ENDS[data])])
             inside = np.zeros(len(kind), bool)
             inside[1:] = stops[starts[1:]] == stops[ends[:-1]]
+            begins = capital & ~inside & (kind == PLAIN)
+            begins &= ~_is_in(self.plain, known_hashes("starters"))
             kind[capital & inside & (kind == PLAIN)] = NAME
         self.kind = kind
+        self.begins = begins
 
     def whole(self, size: int) -> np.ndarray:
         """Whether the window that starts at a token lies in one text."""
         count = max(0, len(self.kind) - size + 1)
         return self.owner[:count] == self.owner[len(self.kind) - count :]
 
+    def with_begins(self) -> Templates:
+        """The same tokens, where a capitalised word at the start of a sentence is a name too."""
+        other = copy(self)
+        other.kind = np.where(self.begins, NAME, self.kind)
+        return other
+
     def windows(self, size: int, names: bool) -> np.ndarray:
         """Hash of each window; ``names`` replaces names as well as numbers and units."""
         slot = (self.kind != PLAIN) & (names | (self.kind != NAME))
@@ -193,11 +216,12 @@ _MARK = _mixed(np.arange(2001, 2005, dtype="<u8") * _ODD)
 
 
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, size, hash, item_pos, slots, total): the windows of every benchmark item.
+    """(item_id, size, hash, item_pos, item_slots, total, item_begins): windows of every benchmark item.
 
     An item of fewer words is one window. Windows of which less than half is
     words are left out unless an item has no others, so that runs of bare
-    numbers match nothing by themselves. Null and empty items have no windows.
+    numbers match nothing by themselves. ``item_begins`` marks windows in which
+    the words that start sentences are names. Null and empty items have no windows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,9 +236,16 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
                 if not len(usable):
                     usable = np.arange(len(made.kind) - size + 1)
                 forms = [made.windows(size, names).view("<i8") for names in (True, False)]
+                other = made.with_begins()
+                third = other.windows(size, True).view("<i8")
+                # A third of a window and more are words also where it starts with a name.
+                named = (third != forms[0]) & (other.literal(size) * 3 > size) & (size == window)
                 for pos in usable.tolist():
                     for h in {int(form[pos]) for form in forms}:
-                        out.append((item, size, h, pos, made.slots(pos, size), len(usable)))
+                        out.append((item, size, h, pos, made.slots(pos, size), len(usable), False))
+                    if named[pos]:
+                        h = int(third[pos])
+                        out.append((item, size, h, pos, other.slots(pos, size), len(usable), True))
             yield pa.RecordBatch.from_pylist(
                 [dict(zip(schema.names, row)) for row in out], schema=schema
             )
@@ -227,17 +258,19 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
             ("item_pos", pa.int64()),
             ("item_slots", pa.list_(pa.string())),
             ("total", pa.int64()),
+            ("item_begins", pa.bool_()),
         ]
     )
     rows = items.select(F.col("item_id").cast("long"), "text").distinct()
     return rows.mapInArrow(
         run,
-        "item_id long, size int, hash long, item_pos long, item_slots array<string>, total long",
+        "item_id long, size int, hash long, item_pos long, item_slots array<string>, total long, "
+        "item_begins boolean",
     )
 
 
 def document_windows(docs: DataFrame, sizes: list[int], wanted: np.ndarray | None) -> DataFrame:
-    """(doc_id, text_key, hash, doc_pos, doc_slots): windows of whole texts.
+    """(doc_id, text_key, hash, doc_pos, doc_slots, doc_begins): windows of whole texts.
 
     ``wanted``, sorted, thins them out to windows that some item has.
     """
@@ -263,20 +296,26 @@ def document_windows(docs: DataFrame, sizes: list[int], wanted: np.ndarray | Non
         for size in sizes:
             whole = made.whole(size)
             plain = made.windows(size, False).view("<i8")
-            forms = [(plain, whole)]
+            forms = [(plain, whole, made)]
+            named = plain
             if (made.kind == NAME).any():
                 named = made.windows(size, True).view("<i8")
-                forms.append((named, whole & (named != plain)))
-            for form, hit in forms:
+                forms.append((named, whole & (named != plain), made))
+            if made.begins.any():
+                other = made.with_begins()
+                third = other.windows(size, True).view("<i8")
+                forms.append((third, whole & (third != named), other))
+            for form, hit, shown in forms:
                 if hashes is not None:
                     hit = hit & _is_in(form, hashes)
                 for place in np.flatnonzero(hit).tolist():
                     own = made.owner[place]
                     pos = place - int(made.first[own])
-                    yield ids[own], keys[own], int(form[place]), pos, made.slots(place, size)
+                    slots = shown.slots(place, size)
+                    yield ids[own], keys[own], int(form[place]), pos, slots, shown is not made
 
     def batch_of(out: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*out)) if out else [[]] * 5
+        columns = list(zip(*out)) if out else [[]] * 6
         return pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
         )
@@ -288,11 +327,14 @@ def document_windows(docs: DataFrame, sizes: list[int], wanted: np.ndarray | Non
             ("hash", pa.int64()),
             ("doc_pos", pa.int64()),
             ("doc_slots", pa.list_(pa.string())),
+            ("doc_begins", pa.bool_()),
         ]
     )
     rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text")
     return rows.mapInArrow(
-        run, "doc_id long, text_key long, hash long, doc_pos long, doc_slots array<string>"
+        run,
+        "doc_id long, text_key long, hash long, doc_pos long, doc_slots array<string>, "
+        "doc_begins boolean",
     )
 
 
@@ -303,7 +345,8 @@ def leaks(
 
     Texts become templates: numbers, units after numbers and capitalised words
     inside sentences turn into typed placeholders, everything else into lower
-    case. Windows are joined by hash. Along a diagonal (document minus item
+    case. In a form beside it, capitalised words that start sentences are names
+    too, but for ``STARTERS``. Windows are joined by hash. Along a diagonal (document minus item
     position) a slot of the item must always have the same value in the
     document, and different names must stay different; other diagonals are
     dropped. An item leaks where the diagonals of one place hold at least
@@ -333,8 +376,13 @@ def leaks(
         "item_pos",
         (F.col("doc_pos") - F.col("item_pos")).alias("diagonal"),
         F.filter(pairs, lambda p: p["a"] != "").alias("pairs"),
+        (F.col("item_begins") | F.col("doc_begins")).alias("named"),
     )
-    where = ["doc_id", "text_key", "item_id", "total"]
+    # Once without names that start sentences, and once with them: as names
+    # these may contradict each other where as words they do no harm.
+    both = F.array(F.lit(False), F.lit(True))
+    found = found.withColumn("begins", F.explode(F.when(F.col("named"), F.array(F.lit(True))).otherwise(both)))
+    where = ["doc_id", "text_key", "item_id", "total", "begins"]
     lines = found.groupBy(*where, "diagonal").agg(
         F.collect_set("item_pos").alias("positions"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),

@@ -101,3 +101,21 @@ def test_odd_rows(spark):
     assert leaks(no_documents(spark), bench).collect() == []
     assert leaks(frame, bench.limit(0)).collect() == []
     assert without_leaks(frame, bench.limit(0)).count() == 10
+
+
+def test_names_at_the_start_of_sentences(spark):
+    bench = {1: "Tom has 5 apples. Tom buys 3 more apples. How many apples does Tom have now?"}
+    tom = bench[1]
+    texts = {
+        1: tom.replace("Tom", "Ana"), 2: tom, 3: tom.upper(),
+        4: tom.replace("Tom has", "Ana has").replace("Tom buys", "Eva buys"),
+        5: "Then came a line. " + tom.replace("Tom", "Ana"),
+    }
+    assert found(spark, texts, bench) == {(1, 1): True, (2, 1): False, (3, 1): False, (5, 1): True}
+
+
+def test_other_words_at_the_start_of_sentences_do_no_harm(spark):
+    rest = " ".join(words(random.Random(4), 60, 5000))
+    bench = {1: f"Boats {rest}. Boats {rest[::-1]}. Later it ends"}
+    texts = {1: bench[1].replace(". Boats", ". Ships"), 2: "What is the way out of the " + rest[:20]}
+    assert set(found(spark, texts, bench)) == {(1, 1)}
