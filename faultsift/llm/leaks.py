@@ -68,6 +68,13 @@ def _classes() -> np.ndarray:
     return out
 
 
+@cache
+def _odd_capitals() -> re.Pattern:
+    """The few capitals that have another length in lower case: they are not seen as capitals."""
+    every = (chr(k) for k in range(0x80, 0x110000) if not 0xD800 <= k < 0xE000)
+    return re.compile("[%s]" % "".join(c for c in every if len(c.lower().encode()) != len(c.encode())))
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(29))
@@ -130,9 +137,10 @@ class Templates:
             text = text or ""
             if not text.isascii():
                 text = _OTHER_MARKS.sub(" ", text)
-            as_is, lower = (x.encode("utf-8", "replace") for x in (text, text.lower()))
-            # A few capitals have another length in lower case: then none is seen.
-            shown.append(as_is if len(as_is) == len(lower) else lower)
+            lower = text.lower().encode("utf-8", "replace")
+            if not text.isascii():
+                text = _odd_capitals().sub(lambda m: m[0].lower(), text)
+            shown.append(text.encode("utf-8", "replace"))
             low.append(lower)
         # Lines of spaces, so that every byte has neighbours.
         data = np.frombuffer(b"\n" + b"\n".join(low) + b"\n", np.uint8)

@@ -119,3 +119,12 @@ def test_other_words_at_the_start_of_sentences_do_no_harm(spark):
     bench = {1: f"Boats {rest}. Boats {rest[::-1]}. Later it ends"}
     texts = {1: bench[1].replace(". Boats", ". Ships"), 2: "What is the way out of the " + rest[:20]}
     assert set(found(spark, texts, bench)) == {(1, 1)}
+
+
+def test_one_odd_capital_hides_no_other(spark):
+    """Capitals of another length in lower case: dotted I, sharp s, Kelvin."""
+    for odd in "İẞ\u212a":
+        assert tokens(f"see {odd} and then Anna go")[-2:] == ["nanna", "go"]
+    texts = {1: f"It is 300 \u212a in İzmir. {OTHER}", 2: f"STRAẞE. {QUESTION}"}
+    assert found(spark, texts, {10: QUESTION}) == {(1, 10): True, (2, 10): False}
+    assert tokens("STRAẞE") == tokens("straße")
