@@ -306,6 +306,7 @@ def without_copies(docs: DataFrame) -> DataFrame:
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 # The index as a table: a row with the filter's cells for each bucket, and one for each live text.
+# No number is null, as pandas would hold such a column as floats.
 INDEX = "bucket long, cells binary, key long, text binary, copies long"
 
 
@@ -348,11 +349,10 @@ def updated_index(index: DataFrame, buckets: int, added: DataFrame, removed: Dat
                 entry[2] += change
             else:
                 found.delete(own, text)
-        rows = [(key[0], found.live.cells.tobytes(), None, None, None)]
+        rows = [(key[0], found.live.cells.tobytes(), 0, None, 0)]
         for own, text, copies in found.entries():
             rows.append((key[0], None, own - (1 << 64) if own >> 63 else own, text, copies))
-        out = pd.DataFrame(rows, columns=["bucket", "cells", "key", "text", "copies"])
-        return out.astype({"key": "Int64", "copies": "Int64"})
+        return pd.DataFrame(rows, columns=["bucket", "cells", "key", "text", "copies"])
 
     pair = index.groupBy("bucket").cogroup(changes.groupBy("bucket"))
     return pair.applyInPandas(run, INDEX)

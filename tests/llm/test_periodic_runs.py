@@ -1,0 +1,122 @@
+"""Periodic runs against comparing all words, and the contract's columns against a plain loop."""
+
+import hashlib
+import os
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from faultsift.llm.runs import Grammar, find_runs, op12_runs, periodic_runs, planted
+from tests.llm.builders import documents, no_documents, odd_documents
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+def brute(words):
+    """(start, length, period) of all runs, by comparing all words that far apart."""
+    found = {}
+    for q in range(1, len(words) // 4 + 1):
+        k = 0
+        while k + q < len(words):
+            begin = k
+            while k + q < len(words) and words[k] == words[k + q]:
+                k += 1
+            if k + q - begin >= max(6, 4 * q):
+                found.setdefault((begin, k + q - begin), q)
+            k += 1
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def some_words(rng):
+    n, kinds = rng.choice([0, 1, 3, 6, 20, 60, 150, 400]), rng.choice([1, 2, 3, 50])
+    out = [rng.randrange(kinds) for _ in range(n)]
+    for _ in range(rng.randrange(3) if n > 10 else 0):
+        base = [rng.randrange(kinds) for _ in range(rng.randrange(1, 12))]
+        first = rng.randrange(n)
+        for k in range(first, min(n, first + rng.randrange(n))):
+            out[k] = base[(k - first) % len(base)]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_runs_of_batches(seed):
+    rng = random.Random(seed)
+    docs = [some_words(rng) for _ in range(rng.choice([1, 2, 12]))]
+    got = [[] for _ in docs]
+    for doc, *run in zip(*(x.tolist() for x in find_runs([np.array(d, np.int64) for d in docs]))):
+        got[doc].append(tuple(run))
+    assert got == [brute(doc) for doc in docs]
+
+
+def test_extensions_are_exact_everywhere():
+    rng = random.Random(1)
+    for kinds, n in ((1, 70), (2, 300), (3, 300)):
+        inner = [rng.randrange(kinds) for _ in range(n)]
+        if kinds == 3:  # Fibonacci words have many squares and no long runs of one letter
+            inner = [0, 1]
+            while len(inner) < n:
+                inner = [y for x in inner for y in ((0, 1) if x == 0 else (0,))]
+        text = np.array([kinds, *inner, kinds + 1], np.int64)
+        x, y = (z.ravel() for z in np.triu_indices(len(text), 1))
+        keep = (x > 0) & (y < len(text) - 1)
+        x, y = x[keep], y[keep]
+        after, before = Grammar(text).after(x, y), Grammar(text).before(x, y)
+        for a, b, forward, back in zip(x, y, after, before):
+            k = 0
+            while text[a + k] == text[b + k]:
+                k += 1
+            j = 0
+            while text[a - j - 1] == text[b - j - 1]:
+                j += 1
+            assert (forward, back) == (k, j)
+
+
+def report(doc_id, text):
+    """The contract's row of one document."""
+    words = (text or "").encode().split()
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is not None and h % 10 == 0 and words:
+        n, g = len(words), h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = brute(words)
+    gone = {k for s, n, q in runs for k in range(s + q, s + n)}
+    best = max(runs, key=lambda r: (r[1], -r[0], -r[2]), default=None)
+    lines = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    left = b" ".join(w for k, w in enumerate(words) if k not in gone)
+    longest = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    hashes = (hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(left).hexdigest())
+    return (doc_id, len(runs), *longest, *hashes)
+
+
+def test_query_equals_the_plain_loop(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    got = [tuple(row) for row in op12_runs(spark, SF_DIR).collect()]
+    assert sorted(got) == sorted(report(*doc) for doc in docs)
+    assert sum(row[1] > 0 for row in got) > 10
+
+
+def test_collapsed_text_keeps_one_period(spark):
+    texts = ["go go go go go go go on", "a b a b a b a b c", "x x x x x", None, " \n ", "a b a b a b"]
+    rows = {r.doc_id: r for r in periodic_runs(documents(spark, texts), batch_words=10).collect()}
+    assert [rows[k].collapsed for k in range(6)] == ["go on", "a b c", "x x x x x", "", "", "a b a b a b"]
+    assert [tuple(r) for r in rows[1].runs] == [(0, 8, 2)] and rows[2].n_words == 5
+
+
+def test_nulls_repeats_long_texts_and_clashing_columns(spark):
+    docs = odd_documents(spark)
+    rows = periodic_runs(docs.union(docs)).collect()
+    assert len(rows) == 2 * docs.count()
+    long = [r for r in rows if r.doc_id == 6]
+    # 60,000 times one word after another
+    assert all([tuple(x) for x in r.runs] == [(1, 60_000, 1)] and r.collapsed == "long word" for r in long)
+    assert periodic_runs(no_documents(spark)).count() == 0
+
+
+def test_only_a_tenth_of_the_ids_is_planted():
+    assert planted(None, 5) is None
+    hit = [k for k in range(2000) if planted(k, 50) is not None]
+    assert 140 < len(hit) < 260 and all(zlib.crc32(b"%d" % k) % 10 == 0 for k in hit)
