@@ -3,7 +3,8 @@
 ``run`` (the default) is one batch run, ``stream`` triages what is new since the
 last call, ``arrivals`` writes the first incident of each cause, ``land`` adds new
 payload objects to a landed table, ``posted`` records the numbers of posted
-issues, and ``compact`` rewrites a ledger.
+issues, and ``compact`` takes a snapshot of a ledger while other jobs go on, or
+with ``--out`` rewrites it elsewhere.
 """
 
 from __future__ import annotations
@@ -21,7 +22,12 @@ from faultsift.schemas import APPROVALS, POSTED
 from faultsift.session import configure
 from faultsift.sources.endpoints import read_endpoint_versions
 from faultsift.sources.investigations import read_investigation_stream, read_investigations
-from faultsift.sources.ledger import compact_ledger, record_posted
+from faultsift.sources.ledger import (
+    compact_ledger,
+    record_posted,
+    snapshot_ledger,
+    vacuum_ledger,
+)
 from faultsift.sources.payloads import (
     read_payload_objects,
     read_payload_stream,
@@ -37,7 +43,7 @@ NEEDED = {
     "arrivals": ("investigations", "payloads", "out", "checkpoint"),
     "land": ("objects", "payloads", "checkpoint", "buckets"),
     "posted": ("posted", "ledger"),
-    "compact": ("ledger", "out"),
+    "compact": ("ledger",),
 }
 
 
@@ -118,8 +124,11 @@ def main(argv: list[str] | None = None) -> None:
         ).awaitTermination()
     elif args.job == "posted":
         record_posted(spark, spark.read.schema(POSTED).parquet(args.posted), args.ledger, writer)
-    else:
+    elif args.out:
         compact_ledger(spark, args.ledger, args.out)
+    else:
+        snapshot_ledger(spark, args.ledger)
+        vacuum_ledger(spark, args.ledger)
 
 
 if __name__ == "__main__":

@@ -28,7 +28,7 @@ from faultsift.schemas import (
 )
 from faultsift.sources.drafts import DRAFTS, issue_drafts
 from faultsift.sources.ledger import append_ledger, init_ledger, read_ledger_log
-from faultsift.sources.runs import claim_run, read_run, write_run
+from faultsift.sources.runs import claim_run, finish_run, read_run, write_run
 
 
 def run_triage(
@@ -78,5 +78,6 @@ def run_triage(
     drafts = staged(issue_drafts(chosen), DRAFTS, "drafts")
 
     append_ledger(solved_rows(drafts, ledger, claim.claimed_at), ledger_path, claim.run)
+    finish_run(spark, ledger_path, claim.run)
     summary = run_summary(processed, skipped, approvals, cut, expired)
     return staged(summary, SUMMARY, "summary")

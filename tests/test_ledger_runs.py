@@ -1,0 +1,176 @@
+"""Claims and the ledger with many writers, snapshots and readers at a time."""
+
+import random
+from concurrent.futures import ThreadPoolExecutor
+
+from faultsift.schemas import LEDGER
+from faultsift.sources.files import make_folder, names_in
+from faultsift.sources.ledger import (
+    append_ledger,
+    current_snapshot,
+    find_posted,
+    init_ledger,
+    read_ledger,
+    read_ledger_log,
+    snapshot_ledger,
+    vacuum_ledger,
+)
+from faultsift.sources.runs import OWN, claim_run, finish_run, mark, markers, new_marker
+from tests.builders import START
+
+WRITERS, ROUNDS = 8, 20
+
+
+def cause(n):
+    return f"{n * 2654435761 % 2**32:08x}"
+
+
+def ledger_rows(spark, numbers, issue=None):
+    rows = [(n, cause(n), issue, START, f"m{n}") for n in numbers]
+    return spark.createDataFrame(rows, LEDGER).coalesce(1)
+
+
+def solved(spark, path):
+    return sorted(row.root_cause_hash for row in read_ledger_log(spark, path).collect())
+
+
+def test_eight_writers_lose_and_replace_nothing(spark, tmp_path):
+    """Each claims and records twenty times, while snapshots are taken and the ledger is read."""
+    path = str(tmp_path / "ledger")
+
+    def write(writer):
+        init_ledger(spark, path)
+        runs = []
+        for batch in range(ROUNDS):
+            claim = claim_run(spark, path, f"w{writer}", batch)
+            assert claim.previous == (runs[-1] if runs else None)
+            append_ledger(ledger_rows(spark, [writer * 1000 + batch]), path, claim.run)
+            finish_run(spark, path, claim.run)
+            runs.append(claim.run)
+        return runs
+
+    def snapshots():
+        made = []
+        for _ in range(4):
+            init_ledger(spark, path)
+            made.append(snapshot_ledger(spark, path))
+            assert read_ledger(spark, path).count() >= 0
+        return made
+
+    with ThreadPoolExecutor(WRITERS + 1) as pool:
+        beside = pool.submit(snapshots)
+        runs = list(pool.map(write, range(WRITERS)))
+        made = beside.result()
+    every = [run for own in runs for run in own]
+    assert len(set(every)) == WRITERS * ROUNDS and all(own == sorted(own) for own in runs)
+    want = sorted(cause(w * 1000 + b) for w in range(WRITERS) for b in range(ROUNDS))
+    assert solved(spark, path) == want
+    assert any(made)
+    snapshot = snapshot_ledger(spark, path)
+    assert snapshot.upto == max(every) and solved(spark, path) == want
+    # What is left is the last claim of each writer and what no run got.
+    left = [m for m in markers(spark, path) if m.kind == OWN]
+    assert sorted(m.number for m in left) == sorted(own[-1] for own in runs)
+    assert claim_run(spark, path, "w3", ROUNDS - 1).run == runs[3][-1]
+    assert claim_run(spark, path, "w3", ROUNDS).run > max(every)
+
+
+def test_two_who_want_one_number_both_leave_it(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "ledger")
+    make_folder(spark, f"{path}-runs")
+    mark(spark, path, new_marker(1, "want", "someone else"))
+    # As if the other's wish had come between this writer's two looks.
+    looks = []
+
+    def look(*where):
+        looks.append(where)
+        return [] if len(looks) == 1 else markers(*where)
+
+    monkeypatch.setattr("faultsift.sources.runs.markers", look)
+    assert claim_run(spark, path, "a").run > 1
+
+
+def test_a_number_that_a_snapshot_knows_is_left(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    make_folder(spark, f"{path}-runs")
+    mark(spark, path, new_marker(1, "snapshot", batch=40))
+    assert claim_run(spark, path, "a").run == 41
+
+
+def test_runs_under_way_stay_in_the_log(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    init_ledger(spark, path)
+    open_run = claim_run(spark, path, "slow").run
+    for batch in range(3):
+        run = claim_run(spark, path, "quick", batch).run
+        append_ledger(ledger_rows(spark, [batch]), path, run)
+        finish_run(spark, path, run)
+    snapshot = snapshot_ledger(spark, path)
+    assert not snapshot.holds(open_run) and snapshot.holds(4)
+    append_ledger(ledger_rows(spark, [50]), path, open_run)
+    assert solved(spark, path) == sorted(map(cause, [0, 1, 2, 50]))
+    finish_run(spark, path, open_run)
+    # The second snapshot holds the slow run too, and a run of it is not written again.
+    again = snapshot_ledger(spark, path)
+    assert again.holds(open_run) and again.path != snapshot.path
+    append_ledger(ledger_rows(spark, [60]), path, open_run)
+    assert solved(spark, path) == sorted(map(cause, [0, 1, 2, 50]))
+    assert snapshot_ledger(spark, path).path == again.path
+
+
+def test_a_snapshot_keeps_the_newest_row_and_the_first_run(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    init_ledger(spark, path)
+    append_ledger(ledger_rows(spark, [1, 2]), path, 1)
+    append_ledger(spark.createDataFrame([(9, cause(1), 77, START.replace(year=2031), "m1")], LEDGER), path, 2)
+    before = sorted(read_ledger(spark, path).collect())
+    snapshot_ledger(spark, path)
+    assert sorted(read_ledger(spark, path).collect()) == before
+    assert {r.root_cause_hash for r in read_ledger_log(spark, path, before=2).collect()} == {cause(1), cause(2)}
+    assert read_ledger_log(spark, path, before=1).isEmpty()
+
+
+def test_vacuum_removes_what_the_snapshot_replaced(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    init_ledger(spark, path)
+    for run in (1, 2):
+        append_ledger(ledger_rows(spark, [run]), path, run)
+        snapshot_ledger(spark, path)
+    append_ledger(ledger_rows(spark, [3]), path, 3)
+    vacuum_ledger(spark, path)
+    assert names_in(spark, path) == ["run=1", "run=2", "run=3"]
+    vacuum_ledger(spark, path, seconds=-1)
+    assert names_in(spark, path) == ["run=3"] and len(names_in(spark, f"{path}-snapshots")) == 1
+    assert solved(spark, path) == sorted(map(cause, [1, 2, 3]))
+
+
+def test_a_lookup_opens_few_files(spark, tmp_path):
+    """Forty fingerprints in the ledger of a thousand runs: folders by their beginnings, and the new run."""
+    path, runs = str(tmp_path / "ledger"), 1000
+    init_ledger(spark, path)
+    rows = [(n, cause(n), 5, START, f"m{n}", n) for n in range(runs)]
+    frame = spark.createDataFrame(rows, f"{LEDGER}, run BIGINT").repartition(8, "run")
+    frame.write.partitionBy("run").mode("append").parquet(path)
+    snapshot_ledger(spark, path)
+    append_ledger(ledger_rows(spark, [runs, runs + 1], issue=6), path, runs)
+    asked = random.Random(1).sample(range(runs + 2), 40)
+    found = find_posted(spark, path, [cause(n) for n in asked])
+    assert sorted(row.id for row in found.collect()) == sorted(asked)
+    plan = found._jdf.queryExecution().executedPlan()
+    metrics = [
+        leaf.metrics().apply("numFiles").value()
+        for leaf in _leaves(spark, plan)
+        if leaf.metrics().contains("numFiles")
+    ]
+    assert 0 < sum(metrics) <= 41
+
+
+def _leaves(spark, plan):
+    if "AdaptiveSparkPlanExec" in plan.getClass().getName():
+        plan = plan.executedPlan()
+    if "QueryStageExec" in plan.getClass().getName():
+        return _leaves(spark, plan.plan())
+    children = plan.children()
+    if not children.size():
+        return [plan]
+    return [x for k in range(children.size()) for x in _leaves(spark, children.apply(k))]
