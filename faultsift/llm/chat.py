@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import importable, staged, table
+from faultsift.llm.common import importable, mapped, staged, table
 
 # Strings that templates or tokenizers take for marks.
 CONTROLS = (
@@ -209,7 +209,7 @@ def canonical_turns(
     names = ["conv_id", *order, "part", "role", "text", "layout"]
     rows = records.select(F.col("conv_id").cast("long"), *order, "record")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:-1])
-    return rows.mapInArrow(
+    return mapped(rows,
         run, f"conv_id long, {kinds}, part int, role string, text string, layout string"
     )
 
@@ -242,7 +242,7 @@ def formatted(turns: DataFrame, order: list[str]) -> DataFrame:
     rows = turns.where("role IS NOT NULL OR text IS NOT NULL")
     rows = rows.select("conv_id", *order, "part", "role", "text")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-2])
-    return rows.mapInArrow(run, f"{kinds}, chunk string, loss_from long, loss_to long")
+    return mapped(rows, run, f"{kinds}, chunk string, loss_from long, loss_to long")
 
 
 def parse(chunk: str) -> list[tuple[str, str]]:
@@ -302,7 +302,7 @@ def digests(chunks: DataFrame, order: list[str]) -> DataFrame:
             ("formatted_chars", pa.int64()),
         ]
     )
-    return sorted_rows.select("conv_id", "chunk", "loss_from", "loss_to").mapInArrow(
+    return mapped(sorted_rows.select("conv_id", "chunk", "loss_from", "loss_to"),
         run,
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
         "loss_sha256 string, formatted_chars long",

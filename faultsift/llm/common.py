@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,9 +19,15 @@ SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 
 
-# Rows that a Python worker gets at a time: texts are long, so fewer than Spark's 10,000.
+# Rows and bytes that a Python worker gets at a time: texts are long, so less than Spark's own limits.
 BATCH_ROWS = 1000
-_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES = 8 << 20
+_LIMITS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS,
+    "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES,
+}
+# Few heaps in a worker, and large blocks go back to the system at once.
+_MALLOC = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "262144", "MALLOC_TRIM_THRESHOLD_": "1048576"}
 
 
 def importable(spark: SparkSession) -> None:
@@ -27,12 +37,34 @@ def importable(spark: SparkSession) -> None:
     with ``--py-files`` it changes nothing. Smaller batches that a session asks
     for are kept.
     """
-    if not 0 < int(spark.conf.get(_BATCH_ROWS)) <= BATCH_ROWS:
-        spark.conf.set(_BATCH_ROWS, BATCH_ROWS)
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for name, most in _LIMITS.items():
+        if not 0 < size(spark.conf.get(name)) <= most:
+            spark.conf.set(name, str(most))
     here = str(Path(__file__).resolve().parents[2])
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if here not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([here, *filter(None, paths)])
+        environment["PYTHONPATH"] = os.pathsep.join([here, *filter(None, paths)])
+        environment.update({k: v for k, v in _MALLOC.items() if k not in environment})
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def mapped(df: DataFrame, run: Callable[[Batches], Batches], schema: str) -> DataFrame:
+    """``mapInArrow`` whose tasks give their memory back to the system, as workers outlive them."""
+    importable(df.sparkSession)
+
+    def lean(batches: Batches) -> Batches:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return df.mapInArrow(lean, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import importable, staged, table
+from faultsift.llm.common import importable, mapped, staged, table
 
 # Cells of a filter bucket, and fingerprints moved before the filter counts as full.
 CELLS = 4
@@ -209,7 +209,7 @@ def entries(docs: DataFrame, live_bytes: int = LIVE_BYTES, key_bits: int = KEY_B
                 [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _ENTRY)
+    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), run, _ENTRY)
 
 
 def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
@@ -247,7 +247,7 @@ def classes(heads: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
 
     rows = _bucketed(heads, _buckets(heads, bucket_bytes))
     rows = rows.repartition("bucket").sortWithinPartitions("bucket")
-    return rows.select("bucket", "key", "entry", "text").mapInArrow(run, "entry long, class long")
+    return mapped(rows.select("bucket", "key", "entry", "text"), run, "entry long, class long")
 
 
 def exact_duplicates(

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import table
+from faultsift.llm.common import mapped, table
 from faultsift.llm.dom import Page, read, squeezed
 
 # Training: labelled pages, rounds of gradient ascent, step and ridge.
@@ -431,7 +431,7 @@ def extracted(pages: DataFrame, model: Model | None = None) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")
     )
-    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return mapped(rows, run, "page_id long, url string, text string, n_chars long")
 
 
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:

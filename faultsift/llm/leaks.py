@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import staged, table, text_key
+from faultsift.llm.common import mapped, staged, table, text_key
 
 WINDOW = 5
 COVERAGE = 0.8
@@ -270,7 +270,7 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
         ]
     )
     rows = items.select(F.col("item_id").cast("long"), "text").distinct()
-    return rows.mapInArrow(
+    return mapped(rows,
         run,
         "item_id long, size int, hash long, item_pos long, item_slots array<string>, total long, "
         "item_begins boolean",
@@ -339,7 +339,7 @@ def document_windows(docs: DataFrame, sizes: list[int], wanted: np.ndarray | Non
         ]
     )
     rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text")
-    return rows.mapInArrow(
+    return mapped(rows,
         run,
         "doc_id long, text_key long, hash long, doc_pos long, doc_slots array<string>, "
         "doc_begins boolean",

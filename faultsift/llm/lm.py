@@ -17,7 +17,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import importable, staged, table
+from faultsift.llm.common import importable, mapped, staged, table
 
 # Words with an embedding of their own, classes of the output, and width of the network.
 VOCABULARY = 4096
@@ -73,7 +73,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     yield hand_on()
         yield hand_on()
 
-    rows = docs.select("text").mapInArrow(run, "word string, n long")
+    rows = mapped(docs.select("text"), run, "word string, n long")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -179,7 +179,7 @@ def classified(words: Lexicon, texts: DataFrame) -> Lexicon:
             ["id", "beside"],
         )
 
-    made = texts.select("ids").mapInArrow(run, "id long, beside array<double>")
+    made = mapped(texts.select("ids"), run, "id long, beside array<double>")
     made = made.groupBy("id").agg(Summarizer.sum(array_to_vector("beside")).alias("beside"))
     near = np.zeros((count, 2 * beside))
     for row in made.select("id", vector_to_array("beside").alias("beside")).collect():
@@ -255,7 +255,7 @@ def numbered(docs: DataFrame, words: Lexicon) -> DataFrame:
             row += len(ids)
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "row long, doc_id long, ids binary, logs double, rest array<string>")
+    return mapped(rows, run, "row long, doc_id long, ids binary, logs double, rest array<string>")
 
 
 @dataclass
@@ -370,7 +370,7 @@ def trained(texts: DataFrame, words: Lexicon, rounds: int = ROUNDS) -> Network:
                     ["task", "weight", "params"],
                 )
 
-        made = texts.select("ids").mapInArrow(run, "task long, weight double, params array<double>")
+        made = mapped(texts.select("ids"), run, "task long, weight double, params array<double>")
         made = made.withColumn("params", array_to_vector("params"))
         part = made.groupBy(F.pmod("task", F.lit(GROUPS)).alias("g")).agg(
             Summarizer.mean(F.col("params"), F.col("weight")).alias("params"),
@@ -416,7 +416,7 @@ def scored(texts: DataFrame, words: Lexicon, network: Network) -> DataFrame:
                     ["row", "doc_id", "n_tokens", "log_likelihood"],
                 )
 
-    made = texts.select("row", "doc_id", "ids", "logs").mapInArrow(
+    made = mapped(texts.select("row", "doc_id", "ids", "logs"),
         run, "row long, doc_id long, n_tokens long, log_likelihood double"
     )
     if words.more:

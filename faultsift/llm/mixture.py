@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import SPACE, WORD, importable, running_start, staged, table
+from faultsift.llm.common import SPACE, WORD, importable, mapped, running_start, staged, table
 
 # Words in a block and slots in an output shard.
 BLOCK = 64
@@ -147,7 +147,7 @@ def draws(spark: SparkSession, mix: list[Share], shard: int = SHARD, seed: int =
                 ["shard", "bucket", "ord", "n"],
             )
 
-    return spark.range(-(-total // shard)).mapInArrow(
+    return mapped(spark.range(-(-total // shard)),
         run, "shard long, bucket long, ord long, n long"
     )
 
@@ -197,7 +197,7 @@ def slots(spark: SparkSession, mix: list[Share], shard: int = SHARD, seed: int =
                 )
 
     ranked = running_start(drawn, ["ord"], "bucket", ["shard"], "n", "rank")
-    made = ranked.mapInArrow(run, "shard long, rank long, ord long, block long")
+    made = mapped(ranked, run, "shard long, rank long, ord long, block long")
     # Written, so that Spark knows their real number and does not broadcast them.
     return staged(made, "slots")
 

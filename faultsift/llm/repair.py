@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import WORD, importable, staged, table
+from faultsift.llm.common import WORD, importable, mapped, staged, table
 
 # Costs of edits.
 REROLE, DELETE, INSERT, TRUNCATED = 2, 3, 2, 1
@@ -260,7 +260,7 @@ def _pieces(rows: DataFrame, run, schema: str) -> DataFrame:
     """Applies ``run`` to whole pieces."""
     importable(rows.sparkSession)
     rows = rows.repartition("piece").sortWithinPartitions("piece", "pos").select(*_COLUMNS)
-    return rows.mapInArrow(lambda batches: map(run, _batches(batches)), schema)
+    return mapped(rows, lambda batches: map(run, _batches(batches)), schema)
 
 
 def _arrow(columns: dict, schema: dict) -> pa.RecordBatch:
@@ -462,7 +462,7 @@ def _joined(pieces: DataFrame) -> DataFrame:
     rows = rows.select(
         "conv_id", "cost", "audit", "illegal", "first_initial", "last_initial", "n_lines", "lines"
     )
-    return rows.mapInArrow(
+    return mapped(rows,
         run, "conv_id long, cost long, audit string, illegal long, repaired_sha256 string"
     )
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import importable, table
+from faultsift.llm.common import importable, mapped, table
 
 # A run has this many words, and this many periods, at least.
 LEAST_WORDS = 6
@@ -287,7 +287,7 @@ def periodic_runs(
             yield report(ids, texts)
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, f"doc_id long, n_words long, runs {RUNS}, collapsed string")
+    return mapped(rows, run, f"doc_id long, n_words long, runs {RUNS}, collapsed string")
 
 
 def planted(doc_id: int | None, n: int) -> np.ndarray | None:

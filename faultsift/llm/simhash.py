@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import staged, table, text_key
+from faultsift.llm.common import mapped, staged, table, text_key
 from faultsift.llm.graph import connected_components
 
 SEED = 42
@@ -50,7 +50,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text")
-    return rows.mapInArrow(run, "doc_id long, text_key long, fp long")
+    return mapped(rows, run, "doc_id long, text_key long, fp long")
 
 
 def _segments(segments: int) -> list[tuple[int, int]]:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import importable, table
+from faultsift.llm.common import importable, mapped, table
 from faultsift.session import work_folder
 
 END_ID = 2
@@ -199,7 +199,7 @@ def encoded(
                 )
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "doc_id long, n long, ids binary, shard int")
+    return mapped(rows, run, "doc_id long, n long, ids binary, shard int")
 
 
 def _narrow(ids: np.ndarray) -> bytes:
@@ -292,7 +292,7 @@ def blocks(
             ("packed", pa.binary()),
         ]
     )
-    return made.select("doc_id", "n", "ids", "shard").mapInArrow(run, BLOCKS)
+    return mapped(made.select("doc_id", "n", "ids", "shard"), run, BLOCKS)
 
 
 def write_tokens(
@@ -367,7 +367,7 @@ def _documents(spark: SparkSession, folder: str, column: str, kind: pa.DataType,
     rows = read_blocks(spark, folder).select(
         "doc_ids", "doc_starts", "n_ids", "width", "packed", "start"
     )
-    return rows.mapInArrow(run, f"doc_id long, start long, n_tokens long, {column}")
+    return mapped(rows, run, f"doc_id long, start long, n_tokens long, {column}")
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> tuple[str, int]:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import staged, table
+from faultsift.llm.common import mapped, staged, table
 
 THRESHOLD = 0.3
 # At most so many labelled rows of each class are learnt from, those of the least hash.
@@ -116,7 +116,10 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, in
     )
     # Bounded by the two limits: 8,192 pairs of numbers.
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    rows = rows.join(F.broadcast(chosen), "id").select("toxic", "text", "id")
+    rows = rows.join(F.broadcast(chosen), "id")
+    # One row an id, however often it comes: that of the least hash.
+    rows = rows.groupBy("id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = rows.select("toxic", "text", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,7 +135,7 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, in
                 ["toxic", "features", "swapped", "id"],
             )
 
-    made = rows.mapInArrow(run, "toxic int, features binary, swapped binary, id long")
+    made = mapped(rows, run, "toxic int, features binary, swapped binary, id long")
     return staged(made, "toxicity-rows"), sizes
 
 
@@ -156,7 +159,7 @@ def _best(made: DataFrame, n: int, p: int) -> np.ndarray:
                 ["feature", "positive", "total"],
             )
 
-    counts = made.select("toxic", "features").mapInArrow(
+    counts = mapped(made.select("toxic", "features"),
         run, "feature long, positive double, total double"
     )
     counts = counts.groupBy("feature").agg(F.sum("positive").alias("positive"), F.sum("total").alias("total"))
@@ -184,7 +187,7 @@ def _taken(made: DataFrame, best: np.ndarray) -> list:
                 [batch.column(0), *columns, batch.column(3)], batch.schema.names
             )
 
-    taken = made.mapInArrow(run, made.schema).collect()
+    taken = mapped(made, run, made.schema).collect()
     return sorted(taken, key=lambda r: (r["id"], r["features"]))
 
 
