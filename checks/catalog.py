@@ -1,7 +1,7 @@
 """Registered queries: every operator over the whole test tables.
 
-Unless a query is about the look-back or the cap, it looks back 20 days, two
-thirds of the test data, and has no cap. Arrays and timestamps are shown as
+Unless a query is about the look-back or the cap, it takes all days and has no
+cap. Arrays and timestamps are shown as
 text so that results compare across engines.
 """
 
@@ -35,7 +35,8 @@ from faultsift.plans.run import run_triage
 from faultsift.schemas import CANDIDATES, CHOICES, INCIDENT_COLUMNS, LEDGER_COLUMNS
 from faultsift.session import configure, work_folder
 from faultsift.sources.drafts import DRAFTS, issue_drafts
-from faultsift.sources.investigations import decode_lines
+from faultsift.sources.endpoints import read_endpoint_states, start_endpoint_states
+from faultsift.sources.investigations import decode_lines, read_investigation_stream
 from faultsift.sources.ledger import (
     append_ledger,
     init_ledger,
@@ -43,19 +44,18 @@ from faultsift.sources.ledger import (
     read_ledger_log,
     record_posted,
 )
+from faultsift.sources.newest import read_candidates, start_newest
 from faultsift.sources.payloads import (
     land_payloads,
+    open_payload_table,
+    pack_payloads,
     read_payload_objects,
-    read_payload_stream,
-    read_payload_table,
 )
 from faultsift.sources.runs import read_runs
 from faultsift.streaming.intake import start_first_arrivals, start_triage
 
-DAYS = 20
-
-# All of the test data.
-ALL_DAYS = 31
+# The look-back of the queries about it, and all of the test data.
+DAYS, ALL_DAYS = 20, 31
 
 # The newest candidates of the queries about the cap.
 CAP = 500
@@ -67,9 +67,10 @@ BUCKETS = 16
 class Inputs:
     """The triage inputs of one data directory, and the steps over them."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, cap: int | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, days: int, cap: int | None = None):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
+        self.days = days
         self.cap = cap
 
     @cached_property
@@ -94,11 +95,11 @@ class Inputs:
 
     @cached_property
     def recent(self) -> DataFrame:
-        return actionable(lookback(self.investigations, DAYS, self.as_of))
+        return actionable(lookback(self.investigations, self.days, self.as_of))
 
     @cached_property
     def candidates(self) -> DataFrame:
-        return triage.candidates(self.investigations, DAYS, self.as_of, self.cap)
+        return triage.candidates(self.investigations, self.days, self.as_of, self.cap)
 
     @cached_property
     def joined(self) -> DataFrame:
@@ -214,9 +215,25 @@ def latest_per_key(t: Inputs) -> DataFrame:
     )
 
 
+def latest_per_key_stored(t: Inputs) -> DataFrame:
+    """The same for a look-back, from newest rows by day that three batches added."""
+    folder = work_folder(t.spark, "newest")
+    for part in range(3):
+        rows = derived.investigations(t.events.where(f"{derived.PART} = {part}"))
+        rows.write.mode("append").parquet(f"{folder}/rows")
+        start_newest(
+            read_investigation_stream(t.spark, f"{folder}/rows"), f"{folder}/days", every=2
+        ).awaitTermination()
+    found = read_candidates(t.spark, f"{folder}/days", t.days, t.as_of)
+    return found.select(
+        "session_id", dedup_key(F.col("first_message")).alias("dedup_key"),
+        time_text("timestamp").alias("ts"),
+    )
+
+
 def recent_candidates(t: Inputs) -> DataFrame:
     return show_investigations(
-        triage.recent_investigations(t.investigations, DAYS, t.as_of, t.cap)
+        triage.recent_investigations(t.investigations, t.days, t.as_of, t.cap)
     )
 
 
@@ -302,6 +319,16 @@ def endpoint_state_merge(t: Inputs) -> DataFrame:
     return show_endpoints(endpoints.endpoint_info(endpoints.merge_states(older, newer)))
 
 
+def endpoint_states_stored(t: Inputs) -> DataFrame:
+    """States kept from run to run: three increments of versions, of which two were merged again."""
+    folder = work_folder(t.spark, "states")
+    for part in range(3):
+        t.versions.where(f"ver % 3 = {part}").write.mode("append").parquet(f"{folder}/versions")
+        start_endpoint_states(t.spark, f"{folder}/versions", f"{folder}/states", every=2).awaitTermination()
+    stored = read_endpoint_states(t.spark, f"{folder}/states")
+    return show_endpoints(endpoints.endpoint_info(endpoints.merge_states(stored)))
+
+
 def endpoint_wanted(t: Inputs) -> DataFrame:
     wanted = endpoints.wanted_versions(t.versions, t.unique)
     return wanted.withColumn("methods", joined_text("methods"))
@@ -335,11 +362,12 @@ def approved_drafts(t: Inputs) -> DataFrame:
 
 
 def landed_payload_join(t: Inputs) -> DataFrame:
-    """Candidates looked up in a payload table landed in two parts."""
+    """Candidates looked up in a payload table landed in two parts, of which one is packed."""
     path = f"{work_folder(t.spark, 'payloads')}/landed"
     land_payloads(t.payloads.where("hash(obj_uri) % 2 = 0"), path, BUCKETS)
+    pack_payloads(t.spark, path)
     land_payloads(t.payloads.where("hash(obj_uri) % 2 <> 0"), path)
-    joined = join_payloads(t.candidates, read_payload_table(t.spark, path))
+    joined = join_payloads(t.candidates, open_payload_table(t.spark, path))
     return joined.select("session_id", "obj_uri", "body")
 
 
@@ -457,7 +485,7 @@ def stream_dedup(t: Inputs) -> DataFrame:
         land_payloads(objects.where(f"abs(hash(obj_uri)) % 2 = {part}"), f"{out}/landed", buckets)
         start_first_arrivals(
             derived.investigations(derived.stream_events(t.spark, f"{out}/events")),
-            read_payload_stream(t.spark, f"{out}/landed"), ALL_DAYS,
+            f"{out}/landed", ALL_DAYS,
             f"{out}/causes", f"{out}/checkpoint",
         ).awaitTermination()
     return t.spark.read.schema("root_cause_hash STRING").parquet(f"{out}/causes")
@@ -477,6 +505,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "noise_filter": noise_filter,
     "dedup_key": dedup_keys,
     "latest_per_key": latest_per_key,
+    "latest_per_key_stored": latest_per_key_stored,
     "days_argument": days_argument,
     "recent_candidates_all": recent_candidates,
     "pointer_to_uri": pointer_to_uri,
@@ -493,6 +522,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "incident_dedup": lambda t: show_incidents(t.unique),
     "endpoint_latest": endpoint_latest,
     "endpoint_state_merge": endpoint_state_merge,
+    "endpoint_states_stored": endpoint_states_stored,
     "endpoint_wanted": endpoint_wanted,
     "incidents_by_account_env": lambda t: endpoints.incidents_by_account_env(t.unique),
     "enriched_incidents": lambda t: show_incidents(t.enriched),
@@ -530,10 +560,17 @@ CAPPED: dict[str, Callable[[Inputs], DataFrame]] = {
 }
 
 
-def _bound(build: Callable[[Inputs], DataFrame], cap: int | None):
-    return lambda spark, sf_dir: build(Inputs(spark, sf_dir, cap))
+# Queries about the look-back.
+LOOKBACK = {"recent_candidates_all", "new_incidents", "triage_run", "latest_per_key_stored"}
+
+
+def _bound(build: Callable[[Inputs], DataFrame], days: int, cap: int | None = None):
+    return lambda spark, sf_dir: build(Inputs(spark, sf_dir, days, cap))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    whole = {name: _bound(build, None) for name, build in QUERIES.items()}
-    return {**whole, **{name: _bound(build, CAP) for name, build in CAPPED.items()}}
+    whole = {
+        name: _bound(build, DAYS if name in LOOKBACK else ALL_DAYS)
+        for name, build in QUERIES.items()
+    }
+    return {**whole, **{name: _bound(build, DAYS, CAP) for name, build in CAPPED.items()}}

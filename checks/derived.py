@@ -46,7 +46,7 @@ SCALARS = {
     "s3_pointer": """CASE WHEN event_id % 17 = 0 THEN ''
         WHEN event_id % 23 = 0 THEN 'not a url'
         WHEN event_id % 2 = 0 THEN concat('s3://incidents/flows/', event_id, '.json')
-        ELSE concat('https://incidents.s3.eu-central-1.amazonaws.com/flows/', event_id, '.json')
+        ELSE concat('https://incidents.storage.example.com/flows/', event_id, '.json')
         END""",
 }
 
@@ -69,6 +69,10 @@ BODY = r"""CASE WHEN event_id % 29 = 0 THEN 'not json'
     WHEN event_id % 31 = 0 THEN '{{"message":7}}'
     WHEN event_id % 37 = 0 THEN '{{"error":"Fell through","error_message":0,"message":false}}'
     WHEN event_id % 41 = 0 THEN '{{"message":"listed","stack_trace":[1]}}'
+    WHEN event_id % 43 = 0 THEN concat('{{"x":', repeat('[', 1500), repeat(']', 1500),
+        ',"context":{{"c":1}},"message":"deep ', event_id, '"}}')
+    WHEN event_id % 47 = 0 THEN concat('{{"error":"long number","context":{{"b":2}},"n":1', repeat('0', 1200), '}}')
+    WHEN event_id % 53 = 0 THEN concat(repeat('[', 1100), '{{"message":"unclosed"')
     WHEN event_id % 4 = 0 THEN concat({raw}'{{"error_message":"DB error ', event_id,
         {raw}'","stack_trace":"Error: x\n    at repo.find (r.js:1)\n    at async load\n    at repo.find (r.js:9)"}}')
     WHEN event_id % 4 = 1 THEN concat({raw}'{{"message":"Bad  \"input\" ', event_id,

@@ -23,7 +23,8 @@ from checks.derived import (
     VER,
 )
 
-DAYS = 20
+# The look-back of the queries about it, and all of the test data.
+DAYS, ALL_DAYS = 20, 31
 
 FIELDS = ("error_message", "message", "error", "stack_trace", "stackTrace")
 
@@ -83,7 +84,7 @@ WHERE len(exceptions_data) > 0 AND s3_pointer <> '' AND first_message <> ''
   AND NOT regexp_matches(first_message, '(?i)timeout|cancelled|aborted')""",
     "recent": f"""
 SELECT * FROM actionable
-WHERE "timestamp" >= (SELECT max(ts) FROM events) - INTERVAL {DAYS} DAY""",
+WHERE "timestamp" >= (SELECT max(ts) FROM events) - INTERVAL {ALL_DAYS} DAY""",
     "latest": """
 SELECT * FROM recent
 QUALIFY row_number() OVER (PARTITION BY dedup_key ORDER BY "timestamp" DESC, session_id) = 1""",
@@ -173,7 +174,11 @@ SELECT * FROM (SELECT * FROM ledger UNION ALL SELECT * FROM posted)
 QUALIFY row_number() OVER (PARTITION BY root_cause_hash ORDER BY created_at DESC, id DESC) = 1""",
 }
 
-CAPPED = {"candidates": """
+LOOKBACK = {"recent": f"""
+SELECT * FROM actionable
+WHERE "timestamp" >= (SELECT max(ts) FROM events) - INTERVAL {DAYS} DAY"""}
+
+CAPPED = {**LOOKBACK, "candidates": """
 SELECT * FROM latest ORDER BY "timestamp" DESC, session_id LIMIT 500"""}
 
 
@@ -271,7 +276,7 @@ ORACLES = {
     "days_argument": _sql(f"""SELECT session_id, service_name, {TS} FROM investigations
         WHERE "timestamp" >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY"""),
     "recent_candidates": _sql(f"SELECT {INVESTIGATION} FROM candidates", **CAPPED),
-    "recent_candidates_all": _sql(f"SELECT {INVESTIGATION} FROM candidates"),
+    "recent_candidates_all": _sql(f"SELECT {INVESTIGATION} FROM candidates", **LOOKBACK),
     "pointer_to_uri": _sql("SELECT session_id, s3_pointer, obj_uri FROM located",
                            candidates="SELECT * FROM investigations"),
     "jsonrow_decode": _sql(f"SELECT {INVESTIGATION} FROM investigations"),
@@ -301,13 +306,13 @@ ORACLES = {
         count(*) AS incidents, count(DISTINCT endpoint_id) AS endpoints
         FROM unique_incidents GROUP BY ALL"""),
     "enriched_incidents": _sql(f"SELECT {ENRICHED} FROM enriched"),
-    "new_incidents": _sql(f"SELECT {ENRICHED} FROM fresh"),
+    "new_incidents": _sql(f"SELECT {ENRICHED} FROM fresh", **LOOKBACK),
     "new_incidents_capped": _sql(f"SELECT {ENRICHED} FROM fresh", **CAPPED),
     "landed_payload_join": _sql(
         "SELECT session_id, obj_uri, body FROM outcomes WHERE body IS NOT NULL"),
     "payload_objects_join": _sql(
         "SELECT session_id, body || chr(10) AS body FROM outcomes WHERE body IS NOT NULL"),
-    "triage_run": _sql(f"SELECT {DRAFT} FROM approved"),
+    "triage_run": _sql(f"SELECT {DRAFT} FROM approved", **LOOKBACK),
     "triage_run_capped": _sql(f"SELECT {DRAFT} FROM approved", **CAPPED),
     "choices": _sql(f"""SELECT root_cause_hash, {LABEL} AS label,
         concat(service_name, ': ', error_message[1:50], '...') AS short FROM fresh"""),
@@ -342,4 +347,5 @@ ORACLES = {
 SELECT DISTINCT root_cause_hash FROM incidents WHERE root_cause_hash[1] < '8'"""),
     "stream_dedup": _sql("SELECT DISTINCT root_cause_hash FROM incidents", latest="SELECT * FROM actionable"),
 }
-ORACLES["endpoint_state_merge"] = ORACLES["endpoint_latest"]
+ORACLES["endpoint_state_merge"] = ORACLES["endpoint_states_stored"] = ORACLES["endpoint_latest"]
+ORACLES["latest_per_key_stored"] = _sql(f"SELECT session_id, dedup_key, {TS} FROM latest", **LOOKBACK)

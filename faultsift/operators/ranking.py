@@ -41,6 +41,13 @@ def newest_per_key(investigations: DataFrame, message: Column | None = None) ->
     return _newest_per(keyed, ["_hash", "_key"], "session_id").drop("_hash", "_key")
 
 
+def newest_per_day(candidates: DataFrame, day: str) -> DataFrame:
+    """The newest candidate per dedup key and day; such rows may be merged in any order."""
+    keyed = candidates.withColumn("_key", dedup_key(F.col("first_message")))
+    keyed = keyed.withColumn("_hash", F.xxhash64("_key"))
+    return _newest_per(keyed, [day, "_hash", "_key"], "session_id").drop("_hash", "_key")
+
+
 def newest_per_fingerprint(incidents: DataFrame) -> DataFrame:
     """The newest row per root-cause fingerprint."""
     return _newest_per(incidents, ["root_cause_hash"], "id")

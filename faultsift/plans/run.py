@@ -9,11 +9,13 @@ lost executor costs one step at most, and repeating a run replaces its own rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from faultsift.functions.issue import choice_label, choice_short
 from faultsift.operators.ledger import approved, known_fingerprints, solved_rows, unsolved
-from faultsift.operators.payloads import to_incidents, with_fingerprint
+from faultsift.operators.payloads import LandedTable, to_incidents, with_fingerprint
 from faultsift.operators.ranking import newest_per_fingerprint
 from faultsift.plans.report import SUMMARY, run_summary
 from faultsift.plans.triage import outcomes, with_endpoints
@@ -33,14 +35,14 @@ from faultsift.sources.runs import claim_run, finish_run, read_run, write_run
 
 def run_triage(
     found: DataFrame,
-    payloads: DataFrame,
+    payloads: DataFrame | LandedTable,
     endpoint_versions: DataFrame,
     out: str,
     ledger_path: str,
     writer: str,
     batch: int = 0,
     approvals: DataFrame | None = None,
-    cut: int = 0,
+    cut: int | Callable[[], int] = 0,
     expired: int = 0,
 ) -> DataFrame:
     """Draft issues for the incidents among candidates ``found`` that the ledger lacks.
@@ -52,7 +54,8 @@ def run_triage(
     but never records one that was not drafted. The ledger gets drafted causes
     without an issue number; ``record_posted`` adds it. Without ``approvals`` all
     new incidents are drafted. ``cut`` and ``expired`` are candidates that a cap
-    or an age left out, for the summary.
+    or an age left out, for the summary; ``cut`` may be a function that is
+    called once ``found`` has been written.
     """
     spark = found.sparkSession
     init_ledger(spark, ledger_path)
@@ -79,5 +82,5 @@ def run_triage(
 
     append_ledger(solved_rows(drafts, ledger, claim.claimed_at), ledger_path, claim.run)
     finish_run(spark, ledger_path, claim.run)
-    summary = run_summary(processed, skipped, approvals, cut, expired)
+    summary = run_summary(processed, skipped, approvals, cut() if callable(cut) else cut, expired)
     return staged(summary, SUMMARY, "summary")

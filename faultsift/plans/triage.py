@@ -12,11 +12,13 @@ from faultsift.operators.endpoints import (
     endpoint_info,
     endpoint_states,
     enrich,
+    merge_states,
     wanted_versions,
 )
 from faultsift.operators.filters import DEFAULT_DAYS, NOISE, actionable, first_message, lookback
 from faultsift.operators.ledger import unsolved
 from faultsift.operators.payloads import (
+    LandedTable,
     join_payloads,
     left_join_payloads,
     to_incidents,
@@ -68,17 +70,17 @@ def candidates(
     return found if cap is None else newest(found, cap)
 
 
-def incidents(found: DataFrame, payloads: DataFrame) -> DataFrame:
+def incidents(found: DataFrame, payloads: DataFrame | LandedTable) -> DataFrame:
     """Fingerprinted incidents of candidates whose payload is usable."""
     return to_incidents(with_fingerprint(with_outcome(join_payloads(found, payloads))))
 
 
-def outcomes(found: DataFrame, payloads: DataFrame) -> DataFrame:
+def outcomes(found: DataFrame, payloads: DataFrame | LandedTable) -> DataFrame:
     """Every candidate with what became of its payload."""
     return with_outcome(left_join_payloads(found, payloads))
 
 
-def distinct_incidents(found: DataFrame, payloads: DataFrame) -> DataFrame:
+def distinct_incidents(found: DataFrame, payloads: DataFrame | LandedTable) -> DataFrame:
     """The newest incident per fingerprint."""
     return newest_per_fingerprint(incidents(found, payloads))
 
@@ -86,16 +88,19 @@ def distinct_incidents(found: DataFrame, payloads: DataFrame) -> DataFrame:
 def with_endpoints(rows: DataFrame, endpoint_versions: DataFrame) -> DataFrame:
     """Rows with the newest path and methods of their endpoint.
 
-    Versions are filtered by the wanted endpoints before they are aggregated.
-    ``rows`` is used twice; stage it where it is costly.
+    Versions, or the rows of a table of states instead, are filtered by the
+    wanted endpoints before they are aggregated. ``rows`` is used twice; stage
+    it where it is costly.
     """
     versions = wanted_versions(endpoint_versions, rows)
-    return enrich(rows, endpoint_info(endpoint_states(versions)))
+    stored = "path_state" in versions.columns
+    states = merge_states(versions) if stored else endpoint_states(versions)
+    return enrich(rows, endpoint_info(states))
 
 
 def new_incidents(
     found: DataFrame,
-    payloads: DataFrame,
+    payloads: DataFrame | LandedTable,
     endpoint_versions: DataFrame,
     ledger: DataFrame,
 ) -> DataFrame:

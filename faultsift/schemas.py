@@ -41,6 +41,13 @@ ENDPOINT_VERSIONS = """
     ver BIGINT, path STRING, methods ARRAY<STRING>
 """
 
+# The newest path and methods of an endpoint with their versions.
+ENDPOINT_STATES = """
+    account_id STRING, environment_name STRING, endpoint_id BIGINT,
+    path_state STRUCT<ver: BIGINT, value: STRING>,
+    methods_state STRUCT<ver: BIGINT, value: ARRAY<STRING>>
+"""
+
 ENDPOINT_KEY = ["account_id", "environment_name", "endpoint_id"]
 
 INCIDENT_COLUMNS = [
@@ -49,6 +56,13 @@ INCIDENT_COLUMNS = [
     "timestamp", "s3_pointer", "root_cause_hash",
 ]
 
+INCIDENTS = """
+    id STRING, service_name STRING, endpoint_uuid STRING, endpoint_id BIGINT, account_id STRING,
+    environment_name STRING, error_message STRING, stack_trace STRING,
+    throwing_functions ARRAY<STRING>, timestamp TIMESTAMP, s3_pointer STRING,
+    root_cause_hash STRING
+"""
+
 LEDGER_COLUMNS = [
     "id", "root_cause_hash", "github_issue_number", "created_at", "error_pattern",
 ]
@@ -72,6 +86,9 @@ CANDIDATE_COLUMNS = [
     "environment_name", "s3_pointer", "timestamp", "first_message", "function_names",
 ]
 
+# Candidates that met a landing of their object.
+MET = CANDIDATES + ", obj_uri STRING, landed_at TIMESTAMP"
+
 SKIPPED = "root_cause_hash STRING"
 
 # Candidates whose payload object is missing, and when a stream first saw them.

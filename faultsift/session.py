@@ -8,9 +8,12 @@ from pyspark.sql import SparkSession
 
 # UTC: timestamps are rendered as ISO-8601 "Z" text.
 # allowDuplicateKeys: a repeated JSON key is legal, the last one wins.
+# unionOutputPartitioning: Spark 4.1 takes a union of bucketed tables for bucketed
+# and then reads them unbucketed, so that equal keys stay apart.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 

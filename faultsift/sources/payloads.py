@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from faultsift.functions.pointers import BUCKET_COUNT, listed_uri, uri_bucket
+from faultsift.operators.payloads import LandedTable
+from faultsift.sources.files import make_folder, names_in, put_marker, remove
 
 ROWS = "obj_uri STRING, body STRING, landed_at TIMESTAMP"
 LAYOUT = "buckets INT"
 
+# Landings that a pack holds.
+HELD = "landing STRING"
+
 
 def _as_payloads(files: DataFrame, prefix: str, store: str | None) -> DataFrame:
     uri = listed_uri(F.col("_metadata.file_path"))
@@ -48,18 +55,19 @@ def init_payload_table(spark: SparkSession, path: str, buckets: int) -> None:
     kept = table_buckets(spark, path)
     if kept != buckets:
         raise ValueError(f"{path} has {kept} buckets, not {buckets}")
-    empty = spark.createDataFrame([], f"{ROWS}, landed_on DATE, uri_bucket INT")
-    empty.write.mode("ignore").partitionBy("landed_on", "uri_bucket").parquet(f"{path}/rows")
+    for name in ("rows", "packed", "packs"):
+        make_folder(spark, f"{path}/{name}")
 
 
 def land_payloads(payloads: DataFrame, path: str, buckets: int | None = None) -> None:
-    """Add payloads to a table by landing date and a hash of their URI.
-
-    Nothing landed before is read or rewritten: of several rows of a URI the
-    lookup takes the newest, so landing again after a failure does no harm.
-    Within one landing the largest text of a URI is kept. ``buckets`` is needed
-    for the first landing only. Rebalancing gives large buckets several files
-    of the advisory size; each is sorted by URI.
+    """Add payloads to a table, as a landing of its own by landing date and a hash of their URI.
+
+    Nothing landed before is read or rewritten, and landings at the same time
+    share no folder: of several rows of a URI the lookup takes the newest, so
+    landing again after a failure does no harm. Within one landing the largest
+    text of a URI is kept. ``buckets`` is needed for the first landing only.
+    Rebalancing gives large buckets several files of the advisory size; each is
+    sorted by URI.
     """
     spark = payloads.sparkSession
     if buckets is not None:
@@ -77,9 +85,8 @@ def land_payloads(payloads: DataFrame, path: str, buckets: int | None = None) ->
         .withColumn("uri_bucket", uri_bucket(F.col("obj_uri"), count))
         .hint("rebalance", F.col("uri_bucket"))
         .sortWithinPartitions("landed_on", "uri_bucket", "obj_uri")
-        .write.mode("append")
-        .partitionBy("landed_on", "uri_bucket")
-        .parquet(f"{path}/rows")
+        .write.partitionBy("landed_on", "uri_bucket")
+        .parquet(f"{path}/rows/landing={uuid.uuid4().hex}")
     )
 
 
@@ -109,18 +116,126 @@ def start_landing(
     )
 
 
-def read_payload_table(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
-    """A landed table with its bucket count, of all days or from ``since`` on."""
-    rows = spark.read.schema(f"{ROWS}, landed_on DATE, uri_bucket INT").parquet(f"{path}/rows")
-    if since is not None:
-        rows = rows.where(F.col("landed_on") >= F.lit(since))
+def _bucket(buckets: int) -> Column:
+    column = uri_bucket(F.col("obj_uri"), buckets)
+    return column.alias("uri_bucket", metadata={BUCKET_COUNT: buckets})
+
+
+def _landings(spark: SparkSession, path: str) -> list[str]:
+    """The landings that are written to their end."""
+    names = [name for name in names_in(spark, f"{path}/rows") if name.startswith("landing=")]
+    return [n[8:] for n in names if "_SUCCESS" in names_in(spark, f"{path}/rows/{n}")]
+
+
+def _pack_names(spark: SparkSession, path: str) -> list[str]:
+    return names_in(spark, f"{path}/packs")
+
+
+def _held(spark: SparkSession, path: str, packs: list[str]) -> set[str]:
+    """The landings that packs hold."""
+    if not packs:
+        return set()
+    rows = spark.read.schema(HELD).parquet(*[f"{path}/packed/{name}/held" for name in packs])
+    return {row.landing for row in rows.collect()}
+
+
+def _pack(spark: SparkSession, path: str, name: str, buckets: int) -> DataFrame:
+    """The rows of a pack, which Spark knows to be bucketed by URI."""
+    table = f"faultsift_pack_{name.rsplit('-', 1)[-1]}"
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({ROWS}) USING parquet "
+        f"CLUSTERED BY (obj_uri) INTO {buckets} BUCKETS LOCATION '{path}/packed/{name}/rows'"
+    )
+    return spark.table(table)
+
+
+def _tail(spark: SparkSession, path: str, landings: list[str]) -> DataFrame:
+    rows = spark.read.schema(f"{ROWS}, landing STRING, landed_on DATE, uri_bucket INT")
+    rows = rows.parquet(f"{path}/rows").where(F.col("landing").isin(landings))
     bucket = F.col("uri_bucket").alias(
         "uri_bucket", metadata={BUCKET_COUNT: table_buckets(spark, path)}
     )
-    return rows.select("obj_uri", "body", "landed_at", bucket)
+    return rows.select("obj_uri", "body", "landed_at", "landed_on", bucket)
+
+
+def open_payload_table(spark: SparkSession, path: str, since: date | None = None) -> LandedTable:
+    """A landed table for lookups, of all days or from ``since`` on.
+
+    Packs without a later day than ``since`` are not opened. Listed first, packs
+    tell what they hold, so a landing that is packed meanwhile is read once.
+    """
+    packs = _pack_names(spark, path)
+    held, buckets = _held(spark, path, packs), table_buckets(spark, path)
+    tail = _tail(spark, path, [name for name in _landings(spark, path) if name not in held])
+    if since is not None:
+        tail = tail.where(F.col("landed_on") >= F.lit(since))
+        packs = [name for name in packs if name[:10] >= since.isoformat()]
+
+    def columns(rows: DataFrame) -> DataFrame:
+        day = F.to_date("landed_at").alias("landed_on")
+        rows = rows.select("obj_uri", "body", "landed_at", day, _bucket(buckets))
+        return rows if since is None else rows.where(F.col("landed_on") >= F.lit(since))
+
+    files = [columns(spark.read.schema(ROWS).parquet(f"{path}/packed/{n}/rows")) for n in packs]
+    rows = reduce(DataFrame.unionByName, files, tail)
+    return LandedTable(tail, tuple(columns(_pack(spark, path, n, buckets)) for n in packs), rows)
+
+
+def pack_payloads(spark: SparkSession, path: str) -> bool:
+    """Put all landings since the last pack into one: sorted by URI, one file a bucket.
+
+    Landings and lookups may be under way: a pack counts from when its marker is
+    written, and says which landings it holds. Packs made at the same time may
+    hold a landing twice, which lookups take as one that landed again. Returns
+    whether there was something to pack.
+    """
+    held = _held(spark, path, _pack_names(spark, path))
+    new = [name for name in _landings(spark, path) if name not in held]
+    if not new:
+        return False
+    buckets, token = table_buckets(spark, path), uuid.uuid4().hex
+    rows = _tail(spark, path, new)
+    last = rows.agg(F.max("landed_on")).first()[0]
+    name = f"{last or date.min:%Y-%m-%d}-{token}"
+    (
+        rows.select("obj_uri", "body", "landed_at")
+        .repartition(buckets, "obj_uri")
+        .sortWithinPartitions("obj_uri")
+        .write.bucketBy(buckets, "obj_uri")
+        .sortBy("obj_uri")
+        .option("path", f"{path}/packed/{name}/rows")
+        .saveAsTable(f"faultsift_pack_{token}")
+    )
+    spark.createDataFrame([(x,) for x in new], HELD).coalesce(1).write.parquet(f"{path}/packed/{name}/held")
+    put_marker(spark, f"{path}/packs/{name}")
+    return True
+
+
+def remove_packed(spark: SparkSession, path: str) -> None:
+    """Remove landings that packs hold, once no lookup that began before the last pack is under way.
+
+    Streams that follow the landings must have read them.
+    """
+    held = _held(spark, path, _pack_names(spark, path))
+    for name in _landings(spark, path):
+        if name in held:
+            remove(spark, f"{path}/rows/landing={name}")
+
+
+def unlanded_objects(spark: SparkSession, prefix: str, path: str, store: str | None = None) -> DataFrame:
+    """URIs (obj_uri) of the objects below a prefix that are not in the table; contents stay unread."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(prefix)
+    listed = _as_payloads(files.withColumn("value", F.lit("")), prefix, store).select("obj_uri")
+    landed = open_payload_table(spark, path).rows.select("obj_uri")
+    return listed.join(landed, "obj_uri", "left_anti")
+
+
+def read_payload_table(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
+    """The rows of a landed table with its bucket count, of all days or from ``since`` on."""
+    return open_payload_table(spark, path, since).rows.drop("landed_on")
 
 
-def read_payload_stream(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of a landed table as they are landed."""
-    rows = spark.readStream.schema(f"{ROWS}, landed_on DATE, uri_bucket INT")
-    return rows.parquet(f"{path}/rows").select("obj_uri", "body", "landed_at")
+def read_landing_stream(spark: SparkSession, path: str) -> DataFrame:
+    """(obj_uri, landed_at) of the rows of a landed table as they are landed; bodies stay unread."""
+    rows = spark.readStream.schema(f"{ROWS}, landing STRING, landed_on DATE, uri_bucket INT")
+    return rows.parquet(f"{path}/rows").select("obj_uri", "landed_at")

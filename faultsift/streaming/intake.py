@@ -13,16 +13,20 @@ from pyspark.sql.streaming import StreamingQuery
 from faultsift.operators.filters import DEFAULT_DAYS, NOISE, actionable, cutoff, positive_days
 from faultsift.operators.payloads import (
     MISSING,
+    LandedTable,
     is_located,
     to_incidents,
     with_fingerprint,
+    with_landed_bodies,
     with_outcome,
     with_uri,
 )
 from faultsift.operators.ranking import newest_per_key
 from faultsift.plans.run import run_triage
 from faultsift.plans.triage import slim
-from faultsift.schemas import CANDIDATE_COLUMNS, CANDIDATES, OUTCOMES, WAITING
+from faultsift.schemas import CANDIDATE_COLUMNS, CANDIDATES, INCIDENTS, MET, OUTCOMES, WAITING
+from faultsift.sources.files import make_folder
+from faultsift.sources.payloads import open_payload_table, read_landing_stream
 from faultsift.sources.runs import claim_run, read_run, write_run
 
 SALTS = 32
@@ -55,7 +59,7 @@ def still_waiting(rows: DataFrame, days: int, now: datetime) -> DataFrame:
 
 def start_triage(
     stream: DataFrame,
-    payloads: Callable[[], DataFrame],
+    payloads: Callable[[], DataFrame | LandedTable],
     endpoint_versions: Callable[[], DataFrame],
     out: str,
     ledger_path: str,
@@ -123,23 +127,20 @@ def _first(rows: DataFrame, keys: list[str], salts: int) -> DataFrame:
     )
 
 
-def first_arrivals(
-    stream: DataFrame, payloads: DataFrame, days: int, salts: int = SALTS
-) -> DataFrame:
-    """The first arrived incident per fingerprint, remembered for ``days`` days.
+def meetings(stream: DataFrame, landings: DataFrame, days: int, salts: int = SALTS) -> DataFrame:
+    """Candidates with the object they wait for: (candidate columns, obj_uri, landed_at).
 
-    ``payloads`` is a stream of landed objects (obj_uri, body, landed_at).
-    Candidates and objects wait for each other up to ``days`` days, so either
-    may come first; rows later than the watermark are dropped. A fingerprint
-    follows from message, functions and payload, so of the candidates that
-    share them only the first waits: a pointer shared by very many candidates
-    meets its object a few times. Unlike the batch rule this keeps the first
-    to arrive, not the newest.
+    ``landings`` is a stream of (obj_uri, landed_at). Candidates and objects wait
+    for each other up to ``days`` days, so either may come first; rows later
+    than the watermark are dropped. The state holds keys, times and candidates,
+    and no bodies. A fingerprint follows from message, functions and payload,
+    so of the candidates that share them only the first waits: a pointer shared
+    by very many candidates meets its object a few times.
     """
     delay = f"{positive_days(days)} days"
     located = with_uri(intake(stream)).where(is_located()).withWatermark("timestamp", delay)
     asked = _first(located, ["obj_uri", "first_message", "function_names"], salts)
-    objects = payloads.withWatermark("landed_at", delay).withColumnRenamed("obj_uri", "uri")
+    objects = landings.withWatermark("landed_at", delay).withColumnRenamed("obj_uri", "uri")
     window = F.expr(f"INTERVAL {positive_days(days)} DAYS")
     met = asked.join(
         objects,
@@ -147,19 +148,56 @@ def first_arrivals(
         & (F.col("landed_at") >= F.col("timestamp") - window)
         & (F.col("landed_at") <= F.col("timestamp") + window),
     )
-    arrived = with_fingerprint(with_outcome(met.drop("uri", "landed_at")))
-    incidents = to_incidents(arrived).withColumnRenamed("id", "session_id")
-    return _first(incidents, ["root_cause_hash"], salts).withColumnRenamed("session_id", "id")
+    return met.select(*CANDIDATE_COLUMNS, "obj_uri", "landed_at")
+
+
+def first_arrivals(incidents: DataFrame, days: int, salts: int = SALTS) -> DataFrame:
+    """The first arrived incident per fingerprint, remembered for ``days`` days.
+
+    Unlike the batch rule this keeps the first to arrive, not the newest.
+    """
+    rows = incidents.withWatermark("timestamp", f"{positive_days(days)} days")
+    first = _first(rows.withColumnRenamed("id", "session_id"), ["root_cause_hash"], salts)
+    return first.withColumnRenamed("session_id", "id")
 
 
 def start_first_arrivals(
-    stream: DataFrame, payloads: DataFrame, days: int, out: str, checkpoint: str
+    stream: DataFrame, payload_table: str, days: int, out: str, checkpoint: str
 ) -> StreamingQuery:
+    """Write the first incident of each cause among new investigations and newly landed objects.
+
+    Two queries, one after the other. The first lets candidates meet the keys
+    of landed objects; the bodies of those that met are then read from the
+    landed table, where the landing day, the bucket and the URI name few files,
+    and become incidents. The second keeps the first incident per fingerprint.
+    A batch replaces what it wrote before; an incident that is read twice is
+    no first one. Returns the second query.
+    """
+    spark = stream.sparkSession
+    folder = f"{checkpoint.rstrip('/')}-met"
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        write_run(batch, f"{folder}/keys", batch_id)
+        met = read_run(batch.sparkSession, MET, f"{folder}/keys", batch_id)
+        found = with_landed_bodies(met, open_payload_table(batch.sparkSession, payload_table))
+        incidents = to_incidents(with_fingerprint(with_outcome(found)))
+        write_run(incidents, f"{folder}/incidents", batch_id)
+
+    make_folder(spark, f"{folder}/incidents")
+    met = meetings(stream, read_landing_stream(spark, payload_table), days)
+    (
+        met.writeStream.foreachBatch(one_batch)
+        .option("checkpointLocation", f"{checkpoint}/meet")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    incidents = spark.readStream.schema(f"{INCIDENTS}, run BIGINT").parquet(f"{folder}/incidents")
     return (
-        first_arrivals(stream, payloads, days)
+        first_arrivals(incidents.drop("run"), days)
         .writeStream.format("parquet")
         .outputMode("append")
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", f"{checkpoint}/first")
         .trigger(availableNow=True)
         .start(out)
     )

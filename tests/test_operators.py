@@ -79,6 +79,8 @@ def test_newest_keeps_the_cap(spark):
     assert ids(triage.candidates(frame, 3, AS_OF, cap=3)) == ["s-2", "s-3", "s-7"]
 
 
+DEEP = '{"x":' + "[" * 1500 + "]" * 1500
+
 BODIES = {
     1: ("not json", "invalid"), 2: ("null", "invalid"), 3: ("[1]", "boom"), 4: ("5", "boom"),
     5: ("{}", "boom"), 6: ('{"message":0}', "boom"), 7: ('{"message":{"a":1}}', "non_string"),
@@ -92,8 +94,25 @@ BODIES = {
     23: ('{"stack_trace":0,"stackTrace":"at a.b"}', "boom"), 24: ('"text"', "boom"),
     25: ("false", "boom"), 26: ('{"message":[]}', "non_string"), 27: ('{"a":1,}', "invalid"),
     28: ('{"message":-0}', "boom"), 29: (None, "missing"), 30: ('{"message":"tab\\tx"}', "tab\tx"),
-    31: ('{"Message":"upper"}', "boom"), 33: ("[" * 5000 + "]" * 5000, "too_large"),
-    34: ('{"message":' + "9" * 400 + "}", "non_string"), 35: ("9" * 2000, "too_large"), 32: ('{"message":1e-5}', "non_string"),
+    31: ('{"Message":"upper"}', "boom"), 33: ("[" * 5000 + "]" * 5000, "boom"),
+    34: ('{"message":' + "9" * 400 + "}", "non_string"), 35: ("9" * 2000, "boom"), 32: ('{"message":1e-5}', "non_string"),
+    # Beyond the limits of the VARIANT parser.
+    40: ('{"message":"real error","x":' + "[" * 1000 + "]" * 1000 + "}", "real error"),
+    41: ('{"message":"real error","n":' + "1" * 1001 + "}", "real error"),
+    42: ('{"message":"real error","s":"' + "s" * 20_000_001 + '"}', "real error"),
+    43: ("[" * 1100 + '{"message":"x"', "invalid"), 44: (f'{DEEP},"message":"x"}} y', "invalid"),
+    45: (f'{DEEP},"message":"x"}},"d":{{"message":"y"}}', "invalid"), 46: (f'{DEEP}}}] [{{"a":1', "invalid"),
+    47: (f'{DEEP},"message":7}}', "non_string"), 48: (f'{DEEP},"message":0,"error":"e"}}', "e"),
+    49: (f'{DEEP},"message":false,"error":null}}', "boom"), 50: (f'{DEEP},"message":true}}', "non_string"),
+    51: (f'{DEEP},"message":[1]}}', "non_string"), 52: (f'{DEEP},"error":{{"a":1}}}}', "non_string"),
+    53: (f'{DEEP},"message":"7","stackTrace":"at q.r"}}', "7"), 54: (f'{DEEP},"message":"true"}}', "true"),
+    55: (f'{DEEP},"message":"[x"}}', "[x"), 56: (f'{DEEP},"message":"a","message":"b"}}', "b"),
+    57: ('{"message":' + "[" * 1500 + "]" * 1500 + "}", "too_large"),
+    58: ('{"error":"e","message":' + '{"a":' * 1500 + "1" + "}" * 1501, "too_large"),
+    59: (f'{DEEP},"message":"NaN"}}', "NaN"), 60: (f'{DEEP},"message":NaN}}', "invalid"),
+    61: (f"{DEEP},'message':'x'}}", "invalid"), 62: (f'{DEEP},"message":"é\\n\\u00e9"}}', "é\né"),
+    63: ('{"message":' + "9" * 1500 + "}", "non_string"), 64: (f'{DEEP},"message":""}}', "boom"),
+    65: ("[" * 1500 + '{"message":"inner"}' + "]" * 1500, "boom"),
 }
 
 
@@ -115,6 +134,7 @@ def test_payload_cases(spark):
     assert inner == outer
     assert inner["s-23"].throwing_functions == ["f", "a.b"]
     assert inner["s-23"].stack_trace == "at a.b"
+    assert inner["s-53"].stack_trace == "at q.r"
 
     left = by_id(rejects(triage.outcomes(found, objects)), "session_id")
     assert set(left) | set(inner) == set(result)

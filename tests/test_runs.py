@@ -14,7 +14,7 @@ from faultsift.schemas import APPROVALS, CHOICES, LEDGER, WAITING
 from faultsift.sources.drafts import DRAFTS
 from faultsift.sources.investigations import read_investigation_stream
 from faultsift.sources.ledger import read_ledger
-from faultsift.sources.payloads import land_payloads, read_payload_stream, read_payload_table
+from faultsift.sources.payloads import land_payloads, read_payload_table
 from faultsift.sources.runs import read_runs
 from faultsift.streaming.intake import (
     intake,
@@ -191,7 +191,7 @@ def arrive(spark, tmp_path, batch, files=1):
     source, folder = str(tmp_path / "in"), str(tmp_path)
     investigations(spark, batch).coalesce(files).write.mode("append").parquet(source)
     start_first_arrivals(
-        stream_of(spark, source), read_payload_stream(spark, f"{folder}/landed"), 2,
+        stream_of(spark, source), f"{folder}/landed", 2,
         f"{folder}/out", f"{folder}/checkpoint",
     ).awaitTermination()
     return sorted((row.error_message, row.id) for row in spark.read.parquet(f"{folder}/out").collect())
