@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import importable, mapped, staged, table
+from faultsift.llm.common import importable, mapped, pick, staged, table
 
 # Strings that templates or tokenizers take for marks.
 CONTROLS = (
@@ -86,7 +86,8 @@ class Mapping:
     ``fixed`` lists (role, path, ...): one turn each, of the paths' texts joined
     by a blank line; turns whose paths are all missing or empty are left out
     if they are optional. ``each`` is a list of turns, with the keys of role
-    and text in an element.
+    and text in an element. ``optional`` are paths that a record may have
+    besides, and that no turn is made of.
     """
 
     fields: frozenset[str]
@@ -94,6 +95,10 @@ class Mapping:
     each: str = ""
     role: str = ""
     text: str = ""
+    optional: frozenset[str] = frozenset()
+
+    def fits(self, found: set[str]) -> bool:
+        return self.fields <= found <= self.fields | self.optional
 
     def turns(self, record: dict) -> list[tuple[str, str]]:
         out = []
@@ -124,15 +129,18 @@ def layouts() -> list[Mapping]:
     """The default mappings; the paths of ``fields`` are those whose hash selects a mapping."""
 
     def fixed(fields: str, *turns: str) -> Mapping:
-        return Mapping(frozenset(fields.split()), tuple(tuple(t.split()) for t in turns))
+        made = tuple(tuple(t.split()) for t in turns)
+        return Mapping(frozenset(fields.split()), made, optional=BESIDES)
 
     def each(fields: str, path: str, role: str, text: str, *turns: str) -> Mapping:
         own = frozenset([*fields.split(), f"{path}[].{role}", f"{path}[].{text}"])
-        return Mapping(own, tuple(tuple(t.split()) for t in turns), path, role, text)
+        beside = BESIDES | {f"{path}[].{name}" for name in BESIDES_TURN}
+        return Mapping(own, tuple(tuple(t.split()) for t in turns), path, role, text, beside)
 
+    beside = BESIDES | set(BESIDES_TURN)
     out = [
-        Mapping(frozenset({"role", "text"}), role="role", text="text"),
-        Mapping(frozenset({"role", "content"}), role="role", text="content"),
+        Mapping(frozenset({"role", "text"}), role="role", text="text", optional=beside),
+        Mapping(frozenset({"role", "content"}), role="role", text="content", optional=beside),
         fixed("prompt response", "user prompt", "assistant response"),
         fixed("prompt completion", "user prompt", "assistant completion"),
         fixed("question answer", "user question", "assistant answer"),
@@ -153,47 +161,75 @@ def layouts() -> list[Mapping]:
     return out
 
 
-def registry(mappings: list[Mapping]) -> dict[str, Mapping]:
-    return {fingerprint(set(m.fields)): m for m in mappings}
+class Registry:
+    """Mappings by the hash of a layout.
+
+    A layout with optional fields gets the mapping of the most fields that
+    fits, found once and kept by its hash.
+    """
+
+    def __init__(self, mappings: list[Mapping]):
+        self.mappings = sorted(mappings, key=lambda m: -len(m.fields))
+        self.known: dict[str, Mapping | None] = {fingerprint(set(m.fields)): m for m in mappings}
+
+    def find(self, found: set[str]) -> tuple[str, Mapping | None]:
+        layout = fingerprint(found)
+        if layout not in self.known:
+            self.known[layout] = next((m for m in self.mappings if m.fits(found)), None)
+        return layout, self.known[layout]
+
+    def is_empty(self, record: dict) -> bool:
+        """Whether a record has one of the known lists of turns, without a turn."""
+        return any(m.each and record.get(m.each) == [] for m in self.mappings)
 
 
 # Fields that say where a record belongs, and are no part of its layout.
 ASIDE = frozenset({"conv_id", "turn", "id"})
 
+# Optional fields of the default layouts, of a record and of a turn.
+BESIDES = frozenset("score source category tags language model meta metadata created".split())
+BESIDES_TURN = ("name", "weight", "score", "created")
+
+# Why a record gives no turns.
+NO_OBJECT, UNKNOWN, NO_TURNS = "no object", "unknown layout", "no turns"
+
 
 def canonical_turns(
     records: DataFrame, order: list[str], mappings: list[Mapping] | None = None
 ) -> DataFrame:
-    """(conv_id, *order, part, role, text, layout) of ``records`` (conv_id, *order, record).
+    """(conv_id, *order, part, role, text, layout, reason) of ``records`` (conv_id, *order, record).
 
     ``record`` is a JSON object as text. ``part`` counts the turns within a
-    record. A record that is null, no JSON object, or of an unknown layout gives
-    one row with a null role and text and, where it can be told, the hash of
-    its layout, so that no record is lost and a mapping can be added.
+    record. A record that is null, no JSON object, of an unknown layout or
+    without turns gives one row with a null role and text, a reason and, where
+    it can be told, the hash of its layout, so that no record is lost and a
+    mapping can be added.
     """
-    known = registry(mappings or layouts())
+    known = Registry(mappings or layouts())
     importable(records.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, parts, roles, texts, hashes = [], [], [], [], []
+            at, parts, roles, texts, hashes, reasons = [], [], [], [], [], []
             for k, raw in enumerate(batch.column("record").to_pylist()):
                 try:
                     record = json.loads(raw) if raw is not None else None
                 except ValueError:
                     record = None
-                turns: list[tuple] = [(None, None)]
-                layout = None
+                turns: list[tuple] = []
+                layout, reason = None, NO_OBJECT
                 if isinstance(record, dict):
-                    layout = fingerprint({p for p in paths(record) if p not in ASIDE})
-                    if layout in known:
-                        turns = known[layout].turns(record)
-                for part, (role, text) in enumerate(turns):
+                    layout, mapping = known.find({p for p in paths(record) if p not in ASIDE})
+                    reason = NO_TURNS if mapping or known.is_empty(record) else UNKNOWN
+                    turns = mapping.turns(record) if mapping else []
+                reason = None if turns else reason
+                for part, (role, text) in enumerate(turns or [(None, None)]):
                     at.append(k)
                     parts.append(part)
                     roles.append(role)
                     texts.append(text)
                     hashes.append(layout)
+                    reasons.append(reason)
             rows = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).take(rows) for c in ("conv_id", *order)]
@@ -202,18 +238,30 @@ def canonical_turns(
                     pa.array(roles, pa.string()),
                     pa.array(texts, pa.string()),
                     pa.array(hashes, pa.string()),
+                    pa.array(reasons, pa.string()),
                 ],
                 names,
             )
 
-    names = ["conv_id", *order, "part", "role", "text", "layout"]
+    names = ["conv_id", *order, "part", "role", "text", "layout", "reason"]
     rows = records.select(F.col("conv_id").cast("long"), *order, "record")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:-1])
     return mapped(rows,
-        run, f"conv_id long, {kinds}, part int, role string, text string, layout string"
+        run, f"conv_id long, {kinds}, part int, role string, text string, layout string, reason string"
     )
 
 
+def rejects(turns: DataFrame, order: list[str]) -> DataFrame:
+    """(conv_id, *order, layout, reason): the records of ``canonical_turns`` that gave no turns."""
+    return turns.where("reason IS NOT NULL").select("conv_id", *order, "layout", "reason")
+
+
+def reject_counts(turns: DataFrame) -> DataFrame:
+    """(layout, reason, records): how often each layout gave no turns."""
+    found = turns.where("reason IS NOT NULL")
+    return found.groupBy("layout", "reason").agg(F.count("*").alias("records"))
+
+
 def formatted(turns: DataFrame, order: list[str]) -> DataFrame:
     """(conv_id, *order, part, chunk, loss_from, loss_to): the template's text of each turn.
 
@@ -239,7 +287,7 @@ def formatted(turns: DataFrame, order: list[str]) -> DataFrame:
                 ["conv_id", *order, "part", "chunk", "loss_from", "loss_to"],
             )
 
-    rows = turns.where("role IS NOT NULL OR text IS NOT NULL")
+    rows = turns.where("reason IS NULL")
     rows = rows.select("conv_id", *order, "part", "role", "text")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-2])
     return mapped(rows, run, f"{kinds}, chunk string, loss_from long, loss_to long")
@@ -312,6 +360,8 @@ def digests(chunks: DataFrame, order: list[str]) -> DataFrame:
 def chat(records: DataFrame, order: list[str], mappings: list[Mapping] | None = None) -> DataFrame:
     """The formatted table of ``records`` (conv_id, *order, record), staged and read back.
 
+    Records without turns are not in it; ``rejects`` lists them.
+
     Conversations follow ``order``, then the turn within a record, then the
     chunk's text; nulls come first and null ids make one conversation. Repeated
     rows are repeated turns. A null role or text counts as empty, an empty
@@ -329,7 +379,7 @@ def turn_records(rows: DataFrame) -> DataFrame:
         ),
         {"ignoreNullFields": "false"},
     )
-    return rows.select(
+    return pick(rows, "conv_id", "turn", "role", "text").select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
         record.alias("record"),

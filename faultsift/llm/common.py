@@ -72,6 +72,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _place(docs: DataFrame, name: str) -> int:
+    """Which column is meant: the one of that very name, else one that differs in case."""
+    names = docs.columns
+    return names.index(name) if name in names else [c.lower() for c in names].index(name)
+
+
+def pick(docs: DataFrame, *names: str) -> DataFrame:
+    """These columns only, whatever other columns of like names there are."""
+    held = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    return held.select(*[F.col(f"c{_place(docs, name)}").alias(name) for name in names])
+
+
+def packed(docs: DataFrame, *names: str) -> DataFrame:
+    """These columns, all columns together as ``doc``, and all but the text as JSON in ``rest``.
+
+    So no column of a caller meets one of an operator; ``unpacked`` gives the
+    callers' columns back. ``rest`` decides between rows of one id and text.
+    """
+    own = [f"c{k}" for k in range(len(docs.columns))]
+    held = docs.toDF(*own)
+    others = [c for c in own if c != f"c{_place(docs, 'text')}"]
+    return held.select(
+        F.struct(*own).alias("doc"),
+        F.to_json(F.struct(*others)).alias("rest"),
+        *[F.col(f"c{_place(docs, name)}").alias(name) for name in names],
+    )
+
+
+def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` that ``packed`` put together."""
+    return rows.select(*[F.col("doc")[f"c{k}"].alias(name) for k, name in enumerate(docs.columns)])
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
 

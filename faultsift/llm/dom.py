@@ -11,11 +11,14 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# Their text is no page text.
-RAW = frozenset("script style noscript template textarea title iframe svg math object".split())
+# What they hold is no page text, and has no elements.
+RAW = frozenset("script style template textarea title".split())
+# In these an element may end itself.
+FOREIGN = frozenset("svg math".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rt "
-    "s samp small span strike strong sub sup time tt u var".split()
+    "s samp small span strike strong sub sup time tt u var math mrow mi mn mo ms mtext msup msub "
+    "msubsup mfrac msqrt mroot mover munder munderover mstyle mpadded mfenced semantics".split()
 )
 # An open paragraph ends where one of these begins.
 _ENDS_P = frozenset(
@@ -34,6 +37,8 @@ _SIBLINGS = {
     "option": ({"option"}, {"select", "datalist"}),
 }
 
+_BLOCK = re.compile(rf"</?(?:{'|'.join(sorted(_ENDS_P | {'body', 'html'}))})\b[^>]*>", re.I)
+
 # Attributes that tell what an element is for.
 _TELLING = frozenset({"class", "id", "role", "itemprop", "aria-label"})
 
@@ -58,7 +63,8 @@ def read(source: str) -> Page:
 
     Ends that are missing are added as browsers do for paragraphs, list items
     and table cells; ends that fit nothing are ignored, and what is no tag is
-    text. An unfinished comment or script takes the rest of the page.
+    text. An unfinished script or the like ends at the next tag of a block,
+    which it cannot hold, and an unfinished comment at the next ``>``.
     """
     page = Page()
     # Open elements: (tag, number of the element that holds its text).
@@ -128,7 +134,9 @@ def read(source: str) -> Page:
             add_text(source[at:lt])
         if source.startswith("<!--", lt):
             stop = source.find("-->", lt + 4)
-            at = end if stop < 0 else stop + 3
+            if stop < 0:
+                stop = source.find(">", lt + 4) - 2
+            at = end if stop < lt else stop + 3
             continue
         if source.startswith(("<!", "<?"), lt):
             stop = source.find(">", lt)
@@ -151,11 +159,13 @@ def read(source: str) -> Page:
             continue
         if tag in RAW and not found[3].endswith("/"):
             stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-            at = stop.end() if stop else end
+            block = None if stop else _BLOCK.search(source, at)
+            at = stop.end() if stop else block.start() if block else end
             continue
         open_tag(tag, found[3])
-        if found[3].endswith("/") and tag not in VOID and tag in ("svg", "path", "use"):
-            close(len(stack) - 1)
+        if found[3].endswith("/") and tag not in VOID and stack[-1][0] == tag:
+            if tag in FOREIGN or any(own in FOREIGN for own, _ in stack):
+                close(len(stack) - 1)
     close(1)
     return page
 

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import importable, mapped, staged, table
+from faultsift.llm.common import importable, mapped, packed, pick, staged, table, unpacked
 
 # Cells of a filter bucket, and fingerprints moved before the filter counts as full.
 CELLS = 4
@@ -31,6 +31,8 @@ LEAST_BUCKETS = 64
 LIVE_BYTES = 32 << 20
 # Bytes of text in a bucket of the index, on average.
 BUCKET_BYTES = 8 << 20
+# Buckets that a task reads one after the other, at most about.
+BUCKETS_A_TASK = 16
 # What an entry costs besides its text.
 ENTRY_BYTES = 400
 
@@ -209,7 +211,7 @@ def entries(docs: DataFrame, live_bytes: int = LIVE_BYTES, key_bits: int = KEY_B
                 [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
             )
 
-    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), run, _ENTRY)
+    return mapped(pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text"), run, _ENTRY)
 
 
 def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
@@ -245,8 +247,13 @@ def classes(heads: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
                 [batch.column(2), pa.array(found, pa.int64())], ["entry", "class"]
             )
 
-    rows = _bucketed(heads, _buckets(heads, bucket_bytes))
-    rows = rows.repartition("bucket").sortWithinPartitions("bucket")
+    buckets = _buckets(heads, bucket_bytes)
+    rows = _bucketed(heads, buckets)
+    # As many tasks as the session asks for, or more where that would be too much for one.
+    tasks = buckets // BUCKETS_A_TASK + 1
+    many = tasks > int(heads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, "bucket") if many else rows.repartition("bucket")
+    rows = rows.sortWithinPartitions("bucket")
     return mapped(rows.select("bucket", "key", "entry", "text"), run, "entry long, class long")
 
 
@@ -289,18 +296,17 @@ def exact_duplicates(
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each text, that of the largest doc_id; all columns as they are."""
-    names = docs.columns
     body = F.sha2(F.coalesce(F.translate("text", _UPPER, _UPPER.lower()), F.lit("")), 256)
-    rows = docs.select(
-        F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"), body.alias("body")
+    rows = packed(docs, "doc_id", "text").select(
+        "doc", "rest", F.col("doc_id").cast("long").alias("id"), body.alias("body")
     )
     stay = exact_duplicates(docs).where("kept").select(
         F.col("doc_id").alias("keep_id"), F.lower(F.hex("sha256")).alias("keep_body")
     )
     same = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("body") == F.col("keep_body"))
-    nth = F.row_number().over(Window.partitionBy("id", "body").orderBy(F.to_json("doc")))
+    nth = F.row_number().over(Window.partitionBy("id", "body").orderBy("rest"))
     kept = rows.join(stay, same, "left_semi").withColumn("nth", nth).where("nth = 1")
-    return kept.select(*[F.col("doc")[name].alias(name) for name in names])
+    return unpacked(kept, docs)
 
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import mapped, table
+from faultsift.llm.common import mapped, pick, table
 from faultsift.llm.dom import Page, read, squeezed
 
 # Training: labelled pages, rounds of gradient ascent, step and ridge.
@@ -248,13 +248,16 @@ def labelled_pages(count: int = PAGES, seed: int = 11) -> list[str]:
         return f"<{name}{mark}" + (f' {attribute}="{hint}"' if hint else "") + f">{body}</{name}>"
 
     def links(a: int, b: int) -> str:
-        items = [tag("li", tag("a", words(1, 3))) for _ in range(r.randint(a, b))]
+        drawn = icon() if r.random() < 0.1 else ""
+        items = [tag("li", tag("a", drawn + words(1, 3))) for _ in range(r.randint(a, b))]
         return tag(r.choice(["ul", "ul", "ol"]), "".join(items))
 
     def paragraph() -> str:
         text = sentences(1, r.choice([1, 2, 5, 9]))
         if r.random() < 0.08:
             text = words(1, r.choice([8, 30, 90]))
+        if r.random() < 0.04:
+            text += " <math><mi>x</mi><mo>=</mo><mn>1</mn></math> " + words(1, 4) + "."
         if r.random() < 0.2:
             text = r.choice(["<b>{}<br>", "<em>{}</em>", '{} <a href="#">' + words(1, 3) + "</a>."]).format(text)
         return f"<p>{text}" + ("</p>" if r.random() < 0.9 else "")
@@ -276,8 +279,13 @@ def labelled_pages(count: int = PAGES, seed: int = 11) -> list[str]:
             return tag("table", "".join(tag("tr", cells()) for _ in range(r.randint(2, 4))))
         if kind < 0.97:
             return tag("figure", tag("figcaption", sentences(1, 1)))
+        if kind < 0.98:
+            return tag("object", tag("p", sentences(1, 2)))
         return tag("div", paragraph() + paragraph())
 
+    def icon() -> str:
+        return r.choice(['<svg><path d="m1"/></svg>', "<svg><title>x</title><circle r=1 /><path/></svg>", "<svg></svg>"])
+
     def advert() -> str:
         text = r.choice([sentences(1, 2), words(2, 6), tag("a", words(2, 6)), paragraph()])
         hint = r.choice(["ad", "ads", "advert", "ad-slot", "sponsored", "promo", "advertisement"])
@@ -301,6 +309,8 @@ def labelled_pages(count: int = PAGES, seed: int = 11) -> list[str]:
         return tag("div", body, r.choice(["footer", "copyright", "site-footer"]), 0)
 
     def notice() -> str:
+        if r.random() < 0.1:
+            return tag(r.choice(["noscript", "iframe"]), sentences(1, 2), "", 0)
         hint = r.choice(["cookie", "cookie-banner", "notice", "consent", "alert", "gdpr-notice", "popup"])
         more = tag("button", words(1, 2)) if r.random() < 0.5 else ""
         return tag(r.choice(["div", "section", "p"]), sentences(1, 3) + more, hint, 0)
@@ -332,12 +342,20 @@ def labelled_pages(count: int = PAGES, seed: int = 11) -> list[str]:
 
     def article() -> str:
         body = tag("h1", words(2, 10)) if r.random() < 0.8 else ""
-        for _ in range(r.choice([1, 2, 4, 8, 14])):
-            body += block()
-            if r.random() < 0.06:
-                body += r.choice([advert, more, form, notice, side])()
-        if r.random() < 0.15:
-            body += r.choice([talk, more, advert, foot])()
+        kind = r.random()
+        if r.random() < 0.1:
+            body += icon()
+        if kind < 0.06:
+            body = tag("p", words(1, 4) + r.choice(".!?"))
+        elif kind < 0.12:
+            body += links(3, 12)
+        else:
+            for _ in range(r.choice([1, 2, 4, 8, 14])):
+                body += block()
+                if r.random() < 0.1:
+                    body += r.choice([advert, more, form, notice, side])()
+            if r.random() < 0.15:
+                body += r.choice([talk, more, advert, foot])()
         kind = r.random()
         if kind < 0.5:
             return tag("article", body, r.choice(["", "", "post", "story"]), 1)
@@ -356,6 +374,10 @@ def labelled_pages(count: int = PAGES, seed: int = 11) -> list[str]:
     for _ in range(count):
         before = [f() for f in (head, menu, notice, advert, form) if r.random() < 0.45]
         after = [f() for f in (foot, side, talk, more, advert, notice, form) if r.random() < 0.4]
+        if r.random() < 0.1:
+            before, after = [], []
+        if r.random() < 0.2:
+            before.append(icon())
         r.shuffle(before)
         r.shuffle(after)
         body = "".join(before) + article() + "".join(after)
@@ -428,7 +450,7 @@ def extracted(pages: DataFrame, model: Model | None = None) -> DataFrame:
                 ["page_id", "url", "text", "n_chars"],
             )
 
-    rows = pages.select(
+    rows = pick(pages, "page_id", "url", "html").select(
         F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")
     )
     return mapped(rows, run, "page_id long, url string, text string, n_chars long")

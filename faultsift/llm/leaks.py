@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import mapped, staged, table, text_key
+from faultsift.llm.common import mapped, packed, pick, staged, table, text_key, unpacked
 
 WINDOW = 5
 COVERAGE = 0.8
@@ -105,7 +105,9 @@ def _word_hashes(data: np.ndarray, starts: np.ndarray, word: np.ndarray) -> np.n
 
 @cache
 def known_hashes(name: str) -> np.ndarray:
-    words = sorted({"numbers": NUMBERS, "units": UNITS, "starters": STARTERS}[name])
+    # A unit without a number is known by three letters and more.
+    free = {unit for unit in UNITS if len(unit) > 2 and unit != "min"}
+    words = sorted({"numbers": NUMBERS, "units": UNITS, "free": free, "starters": STARTERS}[name])
     data = np.frombuffer(" ".join(words).encode(), np.uint8)
     word = data != 32
     starts = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
@@ -186,10 +188,23 @@ class Templates:
         count = max(0, len(self.kind) - size + 1)
         return self.owner[:count] == self.owner[len(self.kind) - count :]
 
-    def with_begins(self) -> Templates:
-        """The same tokens, where a capitalised word at the start of a sentence is a name too."""
+    def wide(self) -> Templates:
+        """The same texts with more slots, and names of several words as one token.
+
+        A capitalised word at the start of a sentence is a name too, and a unit
+        is one without a number before it.
+        """
         other = copy(self)
-        other.kind = np.where(self.begins, NAME, self.kind)
+        kind = np.where(self.begins, NAME, self.kind)
+        kind[(kind == PLAIN) & _is_in(self.plain, known_hashes("free"))] = UNIT
+        goes_on = np.zeros(len(kind), bool)
+        goes_on[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME) & (self.owner[1:] == self.owner[:-1])
+        goes_on[1:] &= (self.starts[1:] - self.ends[:-1] == 1) & (self.data[self.ends[:-1]] == 32)
+        kept = np.flatnonzero(~goes_on)
+        other.kind, other.plain, other.owner = kind[kept], self.plain[kept], self.owner[kept]
+        other.starts = self.starts[kept]
+        other.ends = self.ends[np.append(kept[1:], len(kind))[: len(kept)] - 1]
+        other.first = np.searchsorted(other.owner, np.arange(len(self.first)))
         return other
 
     def windows(self, size: int, names: bool) -> np.ndarray:
@@ -224,12 +239,13 @@ _MARK = _mixed(np.arange(2001, 2005, dtype="<u8") * _ODD)
 
 
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, size, hash, item_pos, item_slots, total, item_begins): windows of every benchmark item.
+    """(item_id, size, hash, item_pos, item_slots, total, wide): windows of every benchmark item.
 
     An item of fewer words is one window. Windows of which less than half is
     words are left out unless an item has no others, so that runs of bare
-    numbers match nothing by themselves. ``item_begins`` marks windows in which
-    the words that start sentences are names. Null and empty items have no windows.
+    numbers match nothing by themselves. ``wide`` marks the windows of the wide
+    template, of which more than a third is words; an item has them only if
+    that holds for half of them. Null and empty items have no windows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,16 +260,17 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
                 if not len(usable):
                     usable = np.arange(len(made.kind) - size + 1)
                 forms = [made.windows(size, names).view("<i8") for names in (True, False)]
-                other = made.with_begins()
-                third = other.windows(size, True).view("<i8")
-                # A third of a window and more are words also where it starts with a name.
-                named = (third != forms[0]) & (other.literal(size) * 3 > size) & (size == window)
                 for pos in usable.tolist():
                     for h in {int(form[pos]) for form in forms}:
                         out.append((item, size, h, pos, made.slots(pos, size), len(usable), False))
-                    if named[pos]:
-                        h = int(third[pos])
-                        out.append((item, size, h, pos, other.slots(pos, size), len(usable), True))
+                other = made.wide()
+                literal = other.literal(window)
+                usable = np.flatnonzero(literal * 3 > window)
+                if 2 * len(usable) >= len(literal):
+                    wide = other.windows(window, True).view("<i8")
+                    for pos in usable.tolist():
+                        slots = other.slots(pos, window)
+                        out.append((item, window, int(wide[pos]), pos, slots, len(usable), True))
             yield pa.RecordBatch.from_pylist(
                 [dict(zip(schema.names, row)) for row in out], schema=schema
             )
@@ -266,21 +283,24 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
             ("item_pos", pa.int64()),
             ("item_slots", pa.list_(pa.string())),
             ("total", pa.int64()),
-            ("item_begins", pa.bool_()),
+            ("wide", pa.bool_()),
         ]
     )
-    rows = items.select(F.col("item_id").cast("long"), "text").distinct()
+    rows = pick(items, "item_id", "text").select(F.col("item_id").cast("long"), "text").distinct()
     return mapped(rows,
         run,
         "item_id long, size int, hash long, item_pos long, item_slots array<string>, total long, "
-        "item_begins boolean",
+        "wide boolean",
     )
 
 
-def document_windows(docs: DataFrame, sizes: list[int], wanted: np.ndarray | None) -> DataFrame:
-    """(doc_id, text_key, hash, doc_pos, doc_slots, doc_begins): windows of whole texts.
+def document_windows(
+    docs: DataFrame, sizes: list[int], wanted: np.ndarray | None, window: int = WINDOW
+) -> DataFrame:
+    """(doc_id, text_key, hash, doc_pos, doc_slots, doc_wide): windows of whole texts.
 
-    ``wanted``, sorted, thins them out to windows that some item has.
+    ``wanted``, sorted, thins them out to windows that some item has. Windows of
+    the wide template have ``window`` tokens.
     """
     sent = None
     if wanted is not None:
@@ -305,20 +325,18 @@ def document_windows(docs: DataFrame, sizes: list[int], wanted: np.ndarray | Non
             whole = made.whole(size)
             plain = made.windows(size, False).view("<i8")
             forms = [(plain, whole, made)]
-            named = plain
             if (made.kind == NAME).any():
                 named = made.windows(size, True).view("<i8")
                 forms.append((named, whole & (named != plain), made))
-            if made.begins.any():
-                other = made.with_begins()
-                third = other.windows(size, True).view("<i8")
-                forms.append((third, whole & (third != named), other))
+            if size == window:
+                other = made.wide()
+                forms.append((other.windows(size, True).view("<i8"), other.whole(size), other))
             for form, hit, shown in forms:
                 if hashes is not None:
                     hit = hit & _is_in(form, hashes)
                 for place in np.flatnonzero(hit).tolist():
-                    own = made.owner[place]
-                    pos = place - int(made.first[own])
+                    own = shown.owner[place]
+                    pos = place - int(shown.first[own])
                     slots = shown.slots(place, size)
                     yield ids[own], keys[own], int(form[place]), pos, slots, shown is not made
 
@@ -335,14 +353,15 @@ def document_windows(docs: DataFrame, sizes: list[int], wanted: np.ndarray | Non
             ("hash", pa.int64()),
             ("doc_pos", pa.int64()),
             ("doc_slots", pa.list_(pa.string())),
-            ("doc_begins", pa.bool_()),
+            ("doc_wide", pa.bool_()),
         ]
     )
-    rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text")
+    rows = pick(docs, "doc_id", "text")
+    rows = rows.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text")
     return mapped(rows,
         run,
         "doc_id long, text_key long, hash long, doc_pos long, doc_slots array<string>, "
-        "doc_begins boolean",
+        "doc_wide boolean",
     )
 
 
@@ -353,8 +372,9 @@ def leaks(
 
     Texts become templates: numbers, units after numbers and capitalised words
     inside sentences turn into typed placeholders, everything else into lower
-    case. In a form beside it, capitalised words that start sentences are names
-    too, but for ``STARTERS``. Windows are joined by hash. Along a diagonal (document minus item
+    case. In a wide template beside it, capitalised words that start sentences
+    are names too, but for ``STARTERS``, names of several words are one slot,
+    and units need no number. Windows of like templates are joined by hash. Along a diagonal (document minus item
     position) a slot of the item must always have the same value in the
     document, and different names must stay different; other diagonals are
     dropped. An item leaks where the diagonals of one place hold at least
@@ -369,7 +389,8 @@ def leaks(
     if known.select("hash").distinct().count() <= SENT_HASHES:
         rows = known.select("hash").distinct().toPandas()
         wanted = np.sort(rows["hash"].to_numpy("<i8"))
-    found = document_windows(docs, sizes, wanted).join(known, "hash")
+    found = document_windows(docs, sizes, wanted, window).withColumnRenamed("doc_wide", "wide")
+    found = found.join(known, ["hash", "wide"])
     # What is no slot in the document matched by its text.
     pairs = F.zip_with(
         "item_slots",
@@ -384,13 +405,11 @@ def leaks(
         "item_pos",
         (F.col("doc_pos") - F.col("item_pos")).alias("diagonal"),
         F.filter(pairs, lambda p: p["a"] != "").alias("pairs"),
-        (F.col("item_begins") | F.col("doc_begins")).alias("named"),
+        "wide",
     )
-    # Once without names that start sentences, and once with them: as names
-    # these may contradict each other where as words they do no harm.
-    both = F.array(F.lit(False), F.lit(True))
-    found = found.withColumn("begins", F.explode(F.when(F.col("named"), F.array(F.lit(True))).otherwise(both)))
-    where = ["doc_id", "text_key", "item_id", "total", "begins"]
+    # Each template by itself: more slots may contradict each other where as
+    # words they do no harm.
+    where = ["doc_id", "text_key", "item_id", "total", "wide"]
     lines = found.groupBy(*where, "diagonal").agg(
         F.collect_set("item_pos").alias("positions"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
@@ -416,13 +435,13 @@ def leaks(
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text contains a benchmark item; all columns as they are."""
     found = leaks(docs, items).select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")
+        F.col("doc_id").alias("leak_id"), F.col("text_key").alias("leak_key")
     )
     found = staged(found.distinct(), "leaks")
-    rows = docs.withColumns({"__doc": F.col("doc_id").cast("long"), "__text": text_key()})
-    same = F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key"))
-    kept = rows.join(found, same, "left_anti")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = packed(docs, "doc_id", "text")
+    rows = rows.select("doc", F.col("doc_id").cast("long").alias("id"), text_key().alias("key"))
+    same = F.col("id").eqNullSafe(F.col("leak_id")) & (F.col("key") == F.col("leak_key"))
+    return unpacked(rows.join(found, same, "left_anti"), docs)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import staged, table, text_key
+from faultsift.llm.common import pick, staged, table, text_key
 
 LINES = 3
 # White space that a line is trimmed of before it is compared.
@@ -83,7 +83,7 @@ def without_repeated_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
     and has 0 lines. Rows that repeat both id and text are one occurrence, so
     both keep it. Other columns of ``docs`` are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keyed = rows.withColumn("text_key", text_key())
     gone = repeated_lines(rows, lines).select(
         F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "positions"

@@ -17,7 +17,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import importable, mapped, staged, table
+from faultsift.llm.common import mapped, pick, staged, table
 
 # Words with an embedding of their own, classes of the output, and width of the network.
 VOCABULARY = 4096
@@ -439,7 +439,7 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     0 words and 0.0. Repeated rows train and score each; ids may repeat or be
     null; a table without rows gives none. Other columns are ignored.
     """
-    importable(docs.sparkSession)
+    docs = pick(docs, "doc_id", "text")
     words = vocabulary(docs)
     texts = staged(numbered(docs, words), "word-numbers")
     words = classified(words, texts)

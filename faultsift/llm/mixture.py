@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import SPACE, WORD, importable, mapped, running_start, staged, table
+from faultsift.llm.common import SPACE, WORD, importable, mapped, packed, pick, running_start, staged, table, unpacked
 
 # Words in a block and slots in an output shard.
 BLOCK = 64
@@ -214,7 +214,8 @@ def with_start(sized: DataFrame, mix: list[Share]) -> DataFrame:
     # One row a source, made of the driver's own list.
     known = sized.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("name"))).drop("name")
     buckets = 1 + known.count() // BUCKET_ROWS
-    known = known.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
+    # By id and text, so that an id of very many rows, or none, is spread.
+    known = known.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "row_key"), F.lit(buckets)))
     order = ["doc_id", "row_key"]
     nth = F.row_number().over(Window.partitionBy("ord", "bucket").orderBy(*order))
     return running_start(known.withColumn("nth", nth), ["ord"], "bucket", ["nth"], "size", "start")
@@ -236,7 +237,7 @@ def pieces(placed: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def sized_rows(docs: DataFrame, *more: str) -> DataFrame:
     """(doc_id, source, size, row_key, ...) of every row; a null text has size 0."""
-    return docs.select(
+    return pick(docs, "doc_id", "source", "text").select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         n_words(F.col("text")).alias("size"),
@@ -313,22 +314,19 @@ def resampled(docs: DataFrame, weight: Callable[[int], float] = by_rank) -> Data
     chance = F.pmod(F.xxhash64("doc_id", "row_key", F.lit(SEED)), F.lit(1 << 20)) / (1 << 20)
     per_row = F.col("size") / F.col("n")
     copies = F.when(per_row > 0, F.floor(F.col("taken") / per_row + chance)).otherwise(F.lit(1))
-    share = share.select(*[F.col(c).alias(f"__{c}") for c in ids], copies.cast("int").alias("__copies"))
-    share = share.where("__copies > 0")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.withColumns(
-        {
-            "__a": F.col("doc_id").cast("long"),
-            "__b": F.xxhash64("text"),
-            "__c": F.col("source").cast("string"),
-        }
+    share = share.select(*[F.col(c).alias(f"its_{c}") for c in ids], copies.cast("int").alias("copies"))
+    share = share.where("copies > 0")
+    rows = packed(docs, "doc_id", "source", "text").select(
+        "doc",
+        "rest",
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64("text").alias("row_key"),
+        F.col("source").cast("string").alias("source"),
     )
-    same = [F.col(f"__{m}").eqNullSafe(F.col(f"__{c}")) for m, c in zip("abc", ids)]
-    rows = rows.join(share, same)
-    only = Window.partitionBy("__a", "__b", "__c").orderBy(*names)
-    rows = rows.withColumn("__nth", F.row_number().over(only)).where("__nth = 1")
-    rows = rows.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return rows.select(*names)
+    rows = rows.join(share, [F.col(c).eqNullSafe(F.col(f"its_{c}")) for c in ids])
+    only = Window.partitionBy(*ids).orderBy("rest")
+    rows = rows.withColumn("nth", F.row_number().over(only)).where("nth = 1")
+    return unpacked(rows.withColumn("again", F.explode(F.sequence(F.lit(1), "copies"))), docs)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import SPACE, staged, table
+from faultsift.llm.common import SPACE, pick, staged, table
 
 LEAST_WORDS = 10
 # Percent of the words that may be in repeated windows of five.
@@ -66,6 +66,7 @@ def measured(docs: DataFrame) -> DataFrame:
     counts as empty.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
+    docs = pick(docs, "doc_id", "text")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     rows = rows.withColumns(
         {

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import WORD, importable, mapped, staged, table
+from faultsift.llm.common import WORD, importable, mapped, pick, staged, table
 
 # Costs of edits.
 REROLE, DELETE, INSERT, TRUNCATED = 2, 3, 2, 1
@@ -489,7 +489,7 @@ def repair_report(conversations: DataFrame, turns: DataFrame) -> DataFrame:
     names = ["conv_id", "cost", "audit", "illegal", "repaired_sha256"]
     whole = F.col("repaired_sha256").isNotNull()
     repaired = pieces.where(whole).select(*names).union(_joined(pieces.where(~whole)).select(*names))
-    left = conversations.select(F.col("conv_id").cast("long").alias("id")).distinct()
+    left = pick(conversations, "conv_id").select(F.col("conv_id").cast("long").alias("id")).distinct()
     own = F.col("id").eqNullSafe(F.col("conv_id"))
     rows = left.join(counts, own, "left").drop("conv_id").join(repaired, own, "left")
     zeros = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
@@ -509,7 +509,8 @@ def damaged(rows: DataFrame) -> DataFrame:
     """
     kind = F.crc32(F.concat(_text("conv_id"), F.lit(":"), _text("turn"))) % 20
     text = F.when(kind == 1, "").when(kind == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
-    filled = rows.select("conv_id", "turn", _text("role").alias("role"), _text("text").alias("text"))
+    filled = pick(rows, "conv_id", "turn", "role", "text")
+    filled = filled.select("conv_id", "turn", _text("role").alias("role"), _text("text").alias("text"))
     return filled.where(kind != 0).select(
         "conv_id",
         "turn",
@@ -525,7 +526,8 @@ def repaired(rows: DataFrame) -> DataFrame:
     The pieces of a conversation in order have its repaired turns as
     ``role:text`` lines; nulls count as one space.
     """
-    filled = rows.select("conv_id", "turn", _text("role").alias("role"), _text("text").alias("text"))
+    filled = pick(rows, "conv_id", "turn", "role", "text")
+    filled = filled.select("conv_id", "turn", _text("role").alias("role"), _text("text").alias("text"))
     return repaired_pieces(ordered_turns(filled)).select("conv_id", "piece", "audit", "lines")
 
 

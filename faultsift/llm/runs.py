@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import importable, mapped, table
+from faultsift.llm.common import importable, mapped, pick, table
 
 # A run has this many words, and this many periods, at least.
 LEAST_WORDS = 6
@@ -286,7 +286,7 @@ def periodic_runs(
         if ids:
             yield report(ids, texts)
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     return mapped(rows, run, f"doc_id long, n_words long, runs {RUNS}, collapsed string")
 
 

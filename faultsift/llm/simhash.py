@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import mapped, staged, table, text_key
+from faultsift.llm.common import mapped, packed, pick, staged, table, text_key, unpacked
 from faultsift.llm.graph import connected_components
 
 SEED = 42
@@ -49,7 +49,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 ["doc_id", "text_key", "fp"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text")
+    rows = pick(docs, "doc_id", "text")
+    rows = rows.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text")
     return mapped(rows, run, "doc_id long, text_key long, fp long")
 
 
@@ -158,15 +159,15 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     first = F.min(F.struct("doc_id", "text_key")).alias("keeper")
     keepers = found.groupBy("component").agg(first)
     keepers = keepers.select(
-        F.col("keeper.doc_id").alias("__id"), F.col("keeper.text_key").alias("__key")
+        F.col("keeper.doc_id").alias("keep_id"), F.col("keeper.text_key").alias("keep_key")
     )
-    rows = docs.withColumns({"__doc": F.col("doc_id").cast("long"), "__text": text_key()})
-    same = (F.col("__doc") == F.col("__id")) & (F.col("__text") == F.col("__key"))
-    kept = rows.where("__doc IS NOT NULL").join(keepers, same, "left_semi")
-    copies = Window.partitionBy("__doc", "__text").orderBy(*[F.col(f"`{c}`") for c in docs.columns])
-    kept = kept.withColumn("__copy", F.row_number().over(copies)).where("__copy = 1")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    return kept.select(*names).union(rows.where("__doc IS NULL").select(*names))
+    rows = packed(docs, "doc_id", "text")
+    rows = rows.select("doc", "rest", F.col("doc_id").cast("long").alias("id"), text_key().alias("key"))
+    same = (F.col("id") == F.col("keep_id")) & (F.col("key") == F.col("keep_key"))
+    kept = rows.where("id IS NOT NULL").join(keepers, same, "left_semi")
+    copies = Window.partitionBy("id", "key").orderBy("rest")
+    kept = kept.withColumn("copy", F.row_number().over(copies)).where("copy = 1")
+    return unpacked(kept.select("doc").union(rows.where("id IS NULL").select("doc")), docs)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import importable, mapped, table
+from faultsift.llm.common import importable, mapped, pick, table
 from faultsift.session import work_folder
 
 END_ID = 2
@@ -26,6 +27,8 @@ STRIDE = 4096
 SHARD_ROWS = 8192
 # Beyond so many shards they grow instead.
 MAX_SHARDS = 50_000
+# Where null ids are sorted.
+NO_ID = -(1 << 63)
 # Texts that are encoded together.
 TOGETHER = 200
 # Distinct words a worker remembers the ids of; then they become the older ones,
@@ -84,14 +87,48 @@ def _words(text: str) -> list[str]:
     return (text.lower() if text.isascii() else text).split()
 
 
+# What a tokenizer file says if its pre-tokens never span white
+# space and hold all letters of a run, in lower case and as bytes.
+_WORDWISE = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {
+                    "Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+                },
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
+def is_wordwise(tokenizer) -> bool:
+    """Whether the ids of a text are those of its words one after the other."""
+    settings = json.loads(tokenizer.to_str())
+    plain = settings["model"]["type"] == "BPE" and not settings["model"].get("dropout")
+    apart = not any(token["lstrip"] or token["rstrip"] for token in settings["added_tokens"])
+    return plain and apart and all(settings[key] == value for key, value in _WORDWISE.items())
+
+
 class Encoder:
-    """Ids of texts by a tokenizer file, remembered by white-space separated word.
+    """Ids of texts by a tokenizer file, remembered by white-space separated word where that may be.
 
-    Of a byte-level tokenizer whose pre-tokens never span white space and hold
-    all letters of a run, so that the ids of a text are those of its words one
-    after the other. Words of letters that only carry full stops and commas
-    behind them go to the tokenizer's model directly, all others through the
-    whole tokenizer.
+    Of a word-wise tokenizer, words of letters that only carry full stops and
+    commas behind them go to the tokenizer's model directly, all other words
+    through the whole tokenizer. Any other tokenizer gets whole texts.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -99,8 +136,12 @@ class Encoder:
 
         self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        self.wordwise = is_wordwise(self.tokenizer)
         self.tokenize = self.tokenizer.model.tokenize
-        self.normalize = self.tokenizer.normalizer.normalize_str
+        if self.wordwise:
+            self.normalize = self.tokenizer.normalizer.normalize_str
         self.letters = byte_letters()
         # Ids are kept in 16 bits where the vocabulary allows.
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
@@ -142,6 +183,10 @@ class Encoder:
             known.update(zip(other, self._ids(other)))
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        if not self.wordwise:
+            for ids in self._ids([text or "" for text in texts]):
+                yield np.frombuffer(ids, self.kind)
+            return
         if len(self.known) > self.remembered:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
@@ -175,7 +220,9 @@ def encoded(
 ) -> DataFrame:
     """(doc_id, n, ids, shard): ids of whole texts with the end id, as little-endian integers.
 
-    ``shard`` is the number of ``cuts`` below the id; null ids come first.
+    ``shard`` is the number of ``cuts`` below the id; null ids come first. An id
+    of very many rows is a cut several times, and its rows are dealt by their
+    ids to the shards between those.
     """
     end = np.array([end_id], "<u2" if end_id < 1 << 16 else "<u4")
     edges = np.array(cuts, "<i8")
@@ -185,8 +232,12 @@ def encoded(
             for at in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(at, TOGETHER)
                 docs, texts = part.column(0), part.column(1).to_pylist()
-                shard = np.searchsorted(edges, docs.fill_null(-(1 << 63)).to_numpy())
+                own = docs.fill_null(NO_ID).to_numpy()
+                shard = np.searchsorted(edges, own)
                 made = [np.append(ids, end) for ids in encoder(path, remembered).encode(texts)]
+                for k in np.flatnonzero(np.searchsorted(edges, own, "right") > shard + 1).tolist():
+                    between = np.searchsorted(edges, own[k], "right") - shard[k] + 1
+                    shard[k] += zlib.crc32(made[k].tobytes()) % between
                 # 16 bits hold most vocabularies: half the bytes to shuffle.
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -232,13 +283,15 @@ def blocks(
     """
     width = bit_width(vocabulary)
     # Only ids are read for the cuts, not the texts.
+    docs = pick(docs, "doc_id", "text")
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
     shards = min(MAX_SHARDS, ids.count() // SHARD_ROWS + 1)
     points = [k / shards for k in range(1, shards)]
     cuts = ()
     if points:
-        cut = F.percentile_approx("doc_id", points, max(10_000, 20 * shards))
-        cuts = tuple(sorted(set(ids.agg(cut).first()[0] or ())))
+        own = F.coalesce("doc_id", F.lit(NO_ID))
+        cut = F.percentile_approx(own, points, max(10_000, 20 * shards))
+        cuts = tuple(sorted(ids.agg(cut).first()[0] or ()))
     # The shard is known from the id alone: no second pass over the texts. Each
     # shard goes whole to the task, and file, of its number, and is sorted
     # there, spilling if need be.

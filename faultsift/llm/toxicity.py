@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultsift.llm.common import mapped, staged, table
+from faultsift.llm.common import mapped, packed, pick, staged, table, unpacked
 
 THRESHOLD = 0.3
 # At most so many labelled rows of each class are learnt from, those of the least hash.
@@ -104,6 +104,7 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
 
 def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
     """Features of the training rows, with those after the swap, and the size of each class."""
+    labels = pick(labels, "doc_id", "toxic")
     known = labels.where(F.col("toxic").isNotNull() & ~is_held_out())
     known = known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(
         F.max("toxic").cast("int").alias("toxic")
@@ -115,7 +116,7 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, in
         [known.where(f"toxic = {c}").orderBy(*order).limit(ROWS_A_CLASS) for c in (0, 1)],
     )
     # Bounded by the two limits: 8,192 pairs of numbers.
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("id"), "text")
     rows = rows.join(F.broadcast(chosen), "id")
     # One row an id, however often it comes: that of the least hash.
     rows = rows.groupBy("id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
@@ -273,7 +274,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     ids or be empty. Scores use nothing but the text: repeated rows and equal
     texts score alike, a null text like an empty one. Null ids are kept.
     """
-    scored = with_score(docs.select("doc_id", "text"), fit(docs, labels), "score")
+    scored = with_score(pick(docs, "doc_id", "text"), fit(docs, labels), "score")
     return scored.select(
         "doc_id",
         is_held_out().alias("held_out"),
@@ -284,8 +285,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below the threshold; all columns as they are."""
-    scored = with_score(docs, fit(docs, labels), "__score")
-    return scored.where(F.col("__score") < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    scored = with_score(packed(docs, "text"), fit(docs, labels), "score")
+    return unpacked(scored.where(F.col("score") < threshold), docs)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,5 +43,22 @@ def odd_documents(spark):
     return spark.createDataFrame(rows, f"{DOCUMENTS}, score STRING, component_id LONG, size DOUBLE")
 
 
+# Names that operators use, or used, for columns of their own.
+OWN_NAMES = [
+    "DOC_ID", "Text", "__doc", "__text", "__copy", "__id", "__key", "__copies", "__source", "__doc_id", "__a",
+    "__nth", "__again", "__score", "doc", "rest", "c0", "id", "key", "keep_id", "copies", "row", "entry", "nth",
+    "again", "component", "fp", "hash", "taken", "bucket", "start",
+]
+
+
+def clashing_documents(spark):
+    """The odd rows with columns named like any operator's own, and with names that differ in case."""
+    frame = odd_documents(spark)
+    rows = [(*row, *[f"{name} {k}" for name in OWN_NAMES]) for k, row in enumerate(frame.collect())]
+    own = ", ".join(f"`{name}` STRING" for name in OWN_NAMES)
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema)
+    return spark.createDataFrame(rows, f"{types}, {own}")
+
+
 def no_documents(spark):
     return spark.createDataFrame([], DOCUMENTS)

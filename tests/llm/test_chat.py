@@ -16,6 +16,8 @@ from faultsift.llm.chat import (
     fingerprint,
     parse,
     paths,
+    reject_counts,
+    rejects,
     turn_records,
     unescape,
 )
@@ -75,6 +77,30 @@ def test_layouts_become_turns(spark):
     assert {r.conv_id for r in digests(chat(frame, ["turn"]), ["turn"]).collect()} == set(range(len(LAYOUTS)))
 
 
+def test_optional_fields_and_rejects(spark):
+    records = [
+        {"prompt": "p", "response": "r", "score": 3},
+        {"messages": [{"role": "user", "content": "u", "name": "n"}, {"role": "assistant", "content": "a"}]},
+        {"messages": []},
+        {"prompt": "p", "response": "r", "surprise": 1},
+        {"system": "s", "prompt": "p", "response": "r", "meta": {"surprise": 1}},
+        {"role": "user", "text": "t", "weight": 0.5},
+    ]
+    rows = [(k, 0, json.dumps(r)) for k, r in enumerate(records)] + [(9, 0, None), (10, 0, "[]")]
+    frame = spark.createDataFrame(rows, "conv_id LONG, turn LONG, record STRING")
+    turns = canonical_turns(frame, ["turn"])
+    left = {r.conv_id: (r.reason, r.layout) for r in rejects(turns, ["turn"]).collect()}
+    assert {k: v[0] for k, v in left.items()} == {
+        2: "no turns", 3: "unknown layout", 4: "unknown layout", 9: "no object", 10: "no object",
+    }
+    counts = {(r.layout, r.reason): r.records for r in reject_counts(turns).collect()}
+    assert counts[None, "no object"] == 2 and counts[left[3][::-1]] == 1
+    formatted = {r.conv_id for r in digests(chat(frame, ["turn"]), ["turn"]).collect()}
+    assert formatted == {0, 1, 5} and formatted | set(left) == {r[0] for r in rows}
+    got = {(r.conv_id, r.part): (r.role, r.text) for r in turns.collect()}
+    assert got[1, 0] == ("user", "u") and got[0, 1] == ("assistant", "r") and got[5, 0] == ("user", "t")
+
+
 def brute(rows):
     out = {}
     for conv, turn, role, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0)):

@@ -1,0 +1,54 @@
+"""Columns of callers that are named like those of the operators stay what they are."""
+
+import pytest
+
+from faultsift.llm.chat import turn_records
+from faultsift.llm.exact import exact_duplicates, without_copies
+from faultsift.llm.leaks import without_leaks
+from faultsift.llm.linedup import without_repeated_lines
+from faultsift.llm.lm import pseudo_likelihood
+from faultsift.llm.mixture import mixed, resampled
+from faultsift.llm.quality import supervised
+from faultsift.llm.runs import periodic_runs
+from faultsift.llm.simhash import keep_one, near_duplicates
+from faultsift.llm.tokens import token_output
+from faultsift.llm.toxicity import toxicity, without_toxic
+from tests.llm.builders import clashing_documents, odd_documents
+
+LABELS = [(doc, doc % 2, doc % 2) for doc in range(1, 8)]
+
+
+def labels(spark):
+    return spark.createDataFrame(LABELS, "doc_id LONG, quality INT, toxic INT")
+
+
+def bench(spark):
+    return spark.createDataFrame([(1, "nothing of that")], "item_id LONG, text STRING")
+
+
+@pytest.mark.parametrize("keep", [
+    lambda s, d: keep_one(d), lambda s, d: without_copies(d), lambda s, d: without_leaks(d, bench(s)),
+    lambda s, d: resampled(d), lambda s, d: without_toxic(d, labels(s), 2.0),
+], ids=["keep_one", "without_copies", "without_leaks", "resampled", "without_toxic"])
+def test_filters_return_all_columns_as_they_are(spark, keep):
+    docs = clashing_documents(spark)
+    kept = keep(spark, docs)
+    assert kept.columns == docs.columns
+    rows, every = [tuple(r) for r in kept.collect()], {tuple(r) for r in docs.collect()}
+    assert rows and set(rows) <= every
+
+
+@pytest.mark.parametrize("report", [
+    near_duplicates, exact_duplicates, without_repeated_lines, pseudo_likelihood, mixed, supervised, periodic_runs, token_output,
+    lambda d: toxicity(d, labels(d.sparkSession)),
+])
+def test_reports_are_the_same(spark, report):
+    """As of rows without those columns."""
+    got, want = (sorted(map(repr, report(d).drop("row").collect())) for d in (clashing_documents(spark), odd_documents(spark)))
+    assert got == want
+
+
+def test_records_of_turns(spark):
+    rows = [(1, 2, "user", "t", "x", "y")]
+    frame = spark.createDataFrame(rows, "conv_id LONG, turn LONG, role STRING, text STRING, CONV_ID STRING, Role STRING")
+    assert [tuple(r) for r in turn_records(frame).collect()] == [(1, 2, '{"role":"user","text":"t"}')]

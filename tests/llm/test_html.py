@@ -97,6 +97,34 @@ def test_unusual_pages_do_not_crash(source):
     assert isinstance(text, str)
 
 
+# Written by hand, apart from the generator: (page, its main text).
+WRITTEN = [
+    ("<svg><article><p>A whole article text. It has sentences.</p></article>", "A whole article text. It has sentences."),
+    ("<noscript><article><p>A whole article text. It has sentences.</p></article>", "A whole article text. It has sentences."),
+    ("<article><p>Yes.</p></article>", "Yes."),
+    ("<nav><a href=/>Home</a> <a href=/n>News</a></nav><article><h1>T</h1><p>Yes.</p></article><footer>&copy; us</footer>", "T\nYes."),
+    ("<article><ul><li><a href=x>One thing</a><li><a href=y>Another thing</a><li><a>Third</a></ul></article>", "One thing\nAnother thing\nThird"),
+    ("<article><p>Formula <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p></article>", "Formula x=1 holds."),
+    ("<article><object><p>Fallback text of it.</p></object><p>More.</p></article>", "Fallback text of it.\nMore."),
+    ("<script>var x = 1;<article><p>Some text that follows, of a story.</p></article>", "Some text that follows, of a story."),
+    ("<body><svg viewBox=0><path d='m'/><circle r=1 /></svg><article><p>Icon first, then text.</p></article>", "Icon first, then text."),
+    ("<header><h1>Site</h1><nav><ul><li><a>Home</a></ul></nav></header><main><h1>Tea</h1><p>Boil water, then wait.</p>"
+     "<p>Pour it over the leaves.</p></main><aside class=sidebar><h3>Popular</h3><ul><li><a>One</a></ul></aside>",
+     "Tea\nBoil water, then wait.\nPour it over the leaves."),
+    ("<div class=cookie-banner>We use cookies.<button>OK</button></div><div class=post><h2>Rain</h2><p>It rained all day, and then it stopped.</p>"
+     "<blockquote><p>It was wet, she said.</p></blockquote></div><section id=comments><h3>Comments</h3><div class=comment><p>Nice.</p></div></section>",
+     "Rain\nIt rained all day, and then it stopped.\nIt was wet, she said."),
+    ("<article><h1>List of lakes</h1><table><tr><th>Lake<th>Depth<tr><td>Blue<td>12 m</table><p>All of them are deep.</p></article>"
+     "<form class=newsletter><label>Mail</label><input><button>Join</button></form>",
+     "List of lakes\nLake\nDepth\nBlue\n12 m\nAll of them are deep."),
+]
+
+
+@pytest.mark.parametrize("page,text", WRITTEN)
+def test_pages_written_by_hand(page, text):
+    assert main_texts([page], default_model()) == [text]
+
+
 def test_a_very_long_article_is_kept_whole():
     body = "".join(f"<p>Sentence number {k}, of very many.</p>" for k in range(5_000))
     (text,) = main_texts([f"<nav><a>x</a></nav><article>{body}</article>"], default_model())

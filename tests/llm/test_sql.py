@@ -11,9 +11,9 @@ from faultsift.llm.queries import QUERIES, SQL
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_thirteen_and_the_pipeline_are_registered():
     names = __spark_entry__.queries()
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert "pipeline" in names and set(QUERIES) <= set(names)
     assert set(SQL) <= set(__spark_entry__.oracle_sql())
 

@@ -1,12 +1,15 @@
+import json
 import zlib
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from faultsift.llm import tokens
 from faultsift.llm.tokens import (
+    END_ID,
     Encoder,
     bit_width,
     pack,
@@ -118,3 +121,49 @@ def test_odd_rows(spark, tmp_path, whole):
     assert sum(r.start == 0 and r.doc_id is None for r in got) == 1
     write_tokens(no_documents(spark), f"{tmp_path}/none", PATH, VOCABULARY)
     assert read_digests(spark, f"{tmp_path}/none").collect() == []
+
+
+def other_tokenizer(tmp_path, **changes):
+    """The word-wise file with other settings, and one without its normaliser."""
+    settings = json.load(open(tokenizer_file()[0]))
+    settings.update(changes)
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(settings))
+    return str(path)
+
+
+@pytest.mark.parametrize("changes", [{"normalizer": None}, {"normalizer": {"type": "NFC"}}, {"pre_tokenizer": None}])
+def test_any_tokenizer_file_gives_its_own_ids(tmp_path, changes):
+    path = other_tokenizer(tmp_path, **changes)
+    texts = ["Hello World", "Two  lines\nand tabs\t, don't", "", None, "é É 12 a<|endoftext|>b"]
+    plain = Tokenizer.from_file(path)
+    got = [ids.tolist() for ids in Encoder(path).encode(texts)]
+    assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert not Encoder(path).wordwise and Encoder(tokenizer_file()[0]).wordwise
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_all_tokenizer_files(name):
+    path, _ = tokenizer_file(name)
+    text = "Some Words, in 2 lines.\n And  İstanbul's ﬁne\u3000text… \x1c"
+    (got,) = Encoder(path).encode([text])
+    assert got.tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("hot", [None, 7])
+def test_an_id_of_very_many_rows_is_spread(spark, tmp_path, monkeypatch, hot):
+    monkeypatch.setattr(tokens, "SHARD_ROWS", 50)
+    rows = [(hot, f"text number {n}") for n in range(500)] + [(n, f"other {n}") for n in range(100, 300)] + [(3, "x")]
+    frame = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(4)
+    write_tokens(frame, str(tmp_path / "t"), *tokenizer_file())
+    found = read_blocks(spark, str(tmp_path / "t"))
+    sizes = {}
+    for row in found.collect():
+        sizes[row.shard] = sizes.get(row.shard, 0) + len(row.doc_ids)
+    assert sum(sizes.values()) == len(rows) and max(sizes.values()) < 200
+    read = read_tokens(spark, str(tmp_path / "t")).collect()
+    ids = [r.doc_id for r in sorted(read, key=lambda r: r.start)]
+    assert ids == sorted(ids, key=lambda n: (n is not None, n or 0))
+    encode = Tokenizer.from_file(tokenizer_file()[0]).encode
+    want = sorted((d, [*encode(t, add_special_tokens=False).ids, END_ID]) for d, t in rows if d != hot)
+    assert sorted((r.doc_id, r.ids) for r in read if r.doc_id != hot) == want
