@@ -18,8 +18,9 @@ SHARD = 4096
 # No source, and so no document, is taken more often.
 REPEATS = 3
 SEED = 20_240_517
-# Documents that share a running sum, on average.
+# Documents that share a running sum, on average, and the fewest buckets.
 BUCKET_ROWS = 20_000
+LEAST_BUCKETS = 64
 # Shards that share a running sum.
 BUCKET_SHARDS = 1024
 
@@ -213,7 +214,7 @@ def with_start(sized: DataFrame, mix: list[Share]) -> DataFrame:
     names = spark.createDataFrame([(s.source, k) for k, s in enumerate(mix)], "name string, ord long")
     # One row a source, made of the driver's own list.
     known = sized.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("name"))).drop("name")
-    buckets = 1 + known.count() // BUCKET_ROWS
+    buckets = LEAST_BUCKETS + known.count() // BUCKET_ROWS
     # By id and text, so that an id of very many rows, or none, is spread.
     known = known.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "row_key"), F.lit(buckets)))
     order = ["doc_id", "row_key"]

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
 from itertools import chain
-from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -67,19 +67,13 @@ def unpack(packed: bytes, width: int, first: int, count: int) -> np.ndarray:
     return ((field >> (at & 7).astype("<u8")) & np.uint64((1 << width) - 1)).astype("<u4")
 
 
-def byte_letters() -> dict[int, str]:
-    """The letter that byte-level tokenizers write for each byte.
+def _words(text: str) -> list[str]:
+    """The text split at white space, of any kind that the tokenizer knows.
 
-    Printable Latin-1 characters stand for themselves, the other bytes, in
-    order, for the characters from U+0100 on.
+    Full stops and commas are words of their own where none has a mark beside it.
     """
-    shown = {b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0)}
-    hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
-
-
-def _words(text: str) -> list[str]:
-    """The text split at white space, of any kind that the tokenizer knows."""
+    if not _GLUED.search(text):
+        text = text.replace(".", " . ").replace(",", " , ")
     if any(c in text for c in "\x1c\x1d\x1e\x1f"):
         # White space to Python only: without it there is nothing to split at.
         return _WHITE.split(text)
@@ -114,11 +108,15 @@ _WORDWISE = {
     },
 }
 
+WORD_END = "</w>"
+
 
 def is_wordwise(tokenizer) -> bool:
     """Whether the ids of a text are those of its words one after the other."""
     settings = json.loads(tokenizer.to_str())
-    plain = settings["model"]["type"] == "BPE" and not settings["model"].get("dropout")
+    model = settings["model"]
+    plain = model["type"] == "BPE" and not model.get("dropout")
+    plain = plain and model.get("end_of_word_suffix") == WORD_END
     apart = not any(token["lstrip"] or token["rstrip"] for token in settings["added_tokens"])
     return plain and apart and all(settings[key] == value for key, value in _WORDWISE.items())
 
@@ -127,8 +125,8 @@ class Encoder:
     """Ids of texts by a tokenizer file, remembered by white-space separated word where that may be.
 
     Of a word-wise tokenizer, words of letters that only carry full stops and
-    commas behind them go to the tokenizer's model directly, all other words
-    through the whole tokenizer. Any other tokenizer gets whole texts.
+    commas behind them are encoded together, all other words one by one. Any
+    other tokenizer gets whole texts.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -139,10 +137,10 @@ class Encoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.wordwise = is_wordwise(self.tokenizer)
-        self.tokenize = self.tokenizer.model.tokenize
-        if self.wordwise:
-            self.normalize = self.tokenizer.normalizer.normalize_str
-        self.letters = byte_letters()
+        # Whether an id ends a word: it says so in the vocabulary.
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.last[[k for word, k in vocabulary.items() if word.endswith(WORD_END)]] = True
         # Ids are kept in 16 bits where the vocabulary allows.
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.known: dict[str, bytes] = {}
@@ -152,33 +150,42 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.kind, x.ids).tobytes() for x in found]
 
-    def _plain(self, word: str) -> str | None:
-        """A word of letters as the model reads it, or None where it may be more than one pre-token."""
-        # A letter may become a letter and a mark in lower case. Beyond
-        # Cyrillic, what is a letter depends on the version of Unicode.
-        normal = self.normalize(word)
-        if not normal.isalpha() or max(normal) > "\u052f":
-            return None
-        return "".join(map(self.letters.__getitem__, normal.encode()))
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are one pre-token each, as one text."""
+        (made,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(made.ids, self.kind)
+        ends = ((np.flatnonzero(self.last[ids]) + 1) * ids.itemsize).tolist()
+        if len(ends) != len(words):
+            return self._ids(words)
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
 
     def _learn(self, words: set[str]) -> None:
-        known, tokenize, kind, other = self.known, self.tokenize, self.kind, []
+        known, fresh, tailed, other = self.known, {}, [], []
         for word in words:
             core = word.rstrip(".,")
-            ids = known.get(core)
-            if ids is None:
-                plain = None
-                if core.isalpha():
-                    plain = core.lower() if core.isascii() else self._plain(core)
-                if plain is None:
-                    other.append(word)
-                    continue
-                ids = known[core] = array(kind, map(_ID, tokenize(plain))).tobytes()
+            if not _is_plain(core):
+                other.append(word)
+                continue
+            if core not in known:
+                fresh[core] = None
             if len(core) < len(word):
-                tail = word[len(core) :]
-                if tail not in known:
-                    known[tail] = self._ids([tail])[0]
-                known[word] = ids + known[tail]
+                tailed.append((word, core))
+        # The bytes of ASCII letters are themselves to the tokenizer's model.
+        tokenize, kind = self.tokenizer.model.tokenize, self.kind
+        together = []
+        for core in fresh:
+            if core.isascii():
+                known[core] = array(kind, [token.id for token in tokenize(core.lower())]).tobytes()
+            else:
+                together.append(core)
+        if together:
+            known.update(zip(together, self._together(together)))
+        for word, core in tailed:
+            tail = word[len(core) :]
+            if tail not in known:
+                known[tail] = self._ids([tail])[0]
+            known[word] = known[core] + known[tail]
         if other:
             known.update(zip(other, self._ids(other)))
 
@@ -191,17 +198,35 @@ class Encoder:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
         words = [_words(text or "") for text in texts]
-        missing = set(chain.from_iterable(words)).difference(known)
+        distinct = set(chain.from_iterable(words))
+        missing = distinct.difference(known)
         if older:
             again = {word: older[word] for word in missing if word in older}
             known.update(again)
             missing.difference_update(again)
         self._learn(missing)
+        # A small table of these words is quicker to read many times than the large one.
+        found = dict(zip(distinct, map(known.__getitem__, distinct))).__getitem__
         for own in words:
-            yield np.frombuffer(b"".join(map(known.__getitem__, own)), self.kind)
+            yield np.frombuffer(b"".join(map(found, own)), self.kind)
+
+
+def _is_plain(word: str) -> bool:
+    """Whether a word is letters that stay letters in lower case, so that it is one pre-token.
+
+    Beyond Cyrillic, what is a letter depends on the version of Unicode.
+    """
+    if not word.isalpha():
+        return False
+    if word.isascii():
+        return True
+    return max(word) <= "\u052f" and "\u0130" not in word and unicodedata.is_normalized("NFC", word)
 
 
-_ID = attrgetter("id")
+# A full stop or comma beside another mark, or behind a letter that may become
+# one and a mark: there the tokenizer may take more than it as one pre-token.
+_MARK = r"[^\w\s]|[\x1c-\x1f_"
+_GLUED = re.compile(rf"[.,](?:(?<=(?:{_MARK}İ԰-\U0010ffff]).)|(?={_MARK}]))")
 _WHITE = re.compile(r"[^\S\x1c-\x1f]+")
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
