@@ -372,14 +372,15 @@ def landed_payload_join(t: Inputs) -> DataFrame:
 
 
 def payload_objects_join(t: Inputs) -> DataFrame:
-    """Payloads written as one file each, listed and joined to pointers at those files."""
+    """Payloads written as one file each, landed in one listing and joined to pointers at the files."""
     folder = work_folder(t.spark, "objects")
-    store = "s3a://copy/flows"
+    path = f"{work_folder(t.spark, 'payloads')}/landed"
     named = t.joined.select("session_id", "body")
     named.repartition("session_id").write.partitionBy("session_id").text(folder)
-    objects = read_payload_objects(t.spark, folder, store)
+    land_payloads(read_payload_objects(t.spark, folder, "s3a://copy/flows"), path, BUCKETS)
+    objects = open_payload_table(t.spark, path)
     owner = F.regexp_extract("obj_uri", "session_id=([^/]+)/", 1)
-    pointers = objects.select(
+    pointers = objects.rows.select(
         owner.alias("session_id"), F.replace("obj_uri", F.lit("s3a:"), F.lit("s3:")).alias("ptr")
     )
     found = t.candidates.join(pointers, "session_id").withColumn("s3_pointer", F.col("ptr"))

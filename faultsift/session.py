@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,9 +29,15 @@ def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
 
     Stream checkpoints and staged tables go here, so every executor must see
-    it. A session without that setting uses its warehouse, which all executors
-    share too.
+    it. A session without that setting uses its warehouse if that is in a shared
+    store, or if all of the session is on one machine; a warehouse on the local
+    disk of a cluster's driver is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
+    if not root:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        one_machine = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
+        if not one_machine and re.match(r"(file:|/)", warehouse):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"{warehouse.rstrip('/')}/work"
     return f"{root.rstrip('/')}/faultsift/{name}-{uuid.uuid4().hex}"
