@@ -330,17 +330,21 @@ def blocks(
             nonlocal number, first, held, n_held
             if not held:
                 return
-            lengths = np.array([len(x) for _, x in held], "<i8")
+            lengths = np.array([count for _, count, _ in held], "<i8")
+            if width == 16 and all(len(data) == 2 * count for _, count, data in held):
+                packed = b"".join([data for _, _, data in held])
+            else:
+                packed = pack(np.concatenate([_wide(data, count) for _, count, data in held]), width)
             row = {
                 "shard": shard,
                 "block": number,
                 "first": first,
                 "n_ids": n_held,
                 "width": width,
-                "doc_ids": [doc for doc, _ in held],
+                "doc_ids": [doc for doc, _, _ in held],
                 "doc_starts": (np.cumsum(lengths) - lengths).tolist(),
                 "offsets": (np.arange(0, n_held, STRIDE) * width // 8).tolist(),
-                "packed": pack(np.concatenate([x for _, x in held]), width),
+                "packed": packed,
             }
             number, first, held, n_held = number + 1, first + n_held, [], 0
             yield pa.RecordBatch.from_pylist([row], schema=schema)
@@ -353,7 +357,7 @@ def blocks(
                     shard, number, first = s, 0, 0
                 if n_held and n_held + count > BLOCK_IDS:
                     yield from flush()
-                held.append((doc, _wide(data, count)))
+                held.append((doc, count, data))
                 n_held += count
         yield from flush()
 
@@ -419,8 +423,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_digests(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, computed from the files."""
-    crc = lambda ids: zlib.crc32(ids.astype("<u4").tobytes())
-    return _documents(spark, folder, "ids_crc32 long", pa.int64(), crc)
+    return _documents(spark, folder, "ids_crc32 long", pa.int64(), zlib.crc32)
 
 
 def _documents(spark: SparkSession, folder: str, column: str, kind: pa.DataType, of) -> DataFrame:
@@ -428,16 +431,18 @@ def _documents(spark: SparkSession, folder: str, column: str, kind: pa.DataType,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                ids = unpack(row["packed"], row["width"], 0, row["n_ids"])
-                starts = np.array(row["doc_starts"], "<i8")
-                ends = np.append(starts[1:], row["n_ids"])
+            docs, begins, n_ids, widths, packed, bases = batch.columns
+            for k in range(batch.num_rows):
+                count = n_ids[k].as_py()
+                ids = unpack(packed[k].as_buffer(), widths[k].as_py(), 0, count)
+                starts = begins[k].values.to_numpy()
+                cuts = [*starts.tolist(), count]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(row["doc_ids"], pa.int64()),
-                        pa.array(starts + row["start"]),
-                        pa.array(ends - starts),
-                        pa.array([of(ids[a:b]) for a, b in zip(starts, ends)], kind),
+                        docs[k].values,
+                        pa.array(starts + bases[k].as_py()),
+                        pa.array(np.diff(starts, append=count)),
+                        pa.array([of(ids[a:b]) for a, b in zip(cuts, cuts[1:])], kind),
                     ],
                     ["doc_id", "start", "n_tokens", column.split()[0]],
                 )
