@@ -8,7 +8,7 @@ import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -124,9 +124,9 @@ def is_wordwise(tokenizer) -> bool:
 class Encoder:
     """Ids of texts by a tokenizer file, remembered by white-space separated word where that may be.
 
-    Of a word-wise tokenizer, words of letters that only carry full stops and
-    commas behind them are encoded together, all other words one by one. Any
-    other tokenizer gets whole texts.
+    Of a word-wise tokenizer, words of letters that only carry ASCII marks
+    behind them are encoded as letters and marks, letters together, all other
+    words one by one. Any other tokenizer gets whole texts.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -163,7 +163,7 @@ class Encoder:
     def _learn(self, words: set[str]) -> None:
         known, fresh, tailed, other = self.known, {}, [], []
         for word in words:
-            core = word.rstrip(".,")
+            core = word.rstrip(punctuation)
             if not _is_plain(core):
                 other.append(word)
                 continue
@@ -198,17 +198,28 @@ class Encoder:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
         words = [_words(text or "") for text in texts]
-        distinct = set(chain.from_iterable(words))
-        missing = distinct.difference(known)
+        # Each word is looked up once; what is not known yet leaves a gap.
+        found = [list(map(known.get, own)) for own in words]
+        gaps = [(k, at) for k, own in enumerate(found) for at in _gaps(own)]
+        missing = {words[k][at] for k, at in gaps}
         if older:
             again = {word: older[word] for word in missing if word in older}
             known.update(again)
             missing.difference_update(again)
         self._learn(missing)
-        # A small table of these words is quicker to read many times than the large one.
-        found = dict(zip(distinct, map(known.__getitem__, distinct))).__getitem__
-        for own in words:
-            yield np.frombuffer(b"".join(map(found, own)), self.kind)
+        for k, at in gaps:
+            found[k][at] = known[words[k][at]]
+        for own in found:
+            yield np.frombuffer(b"".join(own), self.kind)
+
+
+def _gaps(found: list[bytes | None]) -> list[int]:
+    """The places of what is None."""
+    places, at = [], -1
+    for _ in range(found.count(None)):
+        at = found.index(None, at + 1)
+        places.append(at)
+    return places
 
 
 def _is_plain(word: str) -> bool:

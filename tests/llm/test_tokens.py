@@ -167,3 +167,12 @@ def test_an_id_of_very_many_rows_is_spread(spark, tmp_path, monkeypatch, hot):
     encode = Tokenizer.from_file(tokenizer_file()[0]).encode
     want = sorted((d, [*encode(t, add_special_tokens=False).ids, END_ID]) for d, t in rows if d != hot)
     assert sorted((r.doc_id, r.ids) for r in read if r.doc_id != hot) == want
+
+
+def test_marks_behind_known_letters_need_no_encoding_of_their_own(whole, monkeypatch):
+    """Letters and marks are remembered apart, and what is known is not encoded again."""
+    made = Encoder(PATH)
+    texts = ["Boom *** été !!", "boom*** Boom!! été*** boom!!"]
+    first = next(made.encode(texts[:1]))
+    monkeypatch.setattr(made, "_ids", lambda words: pytest.fail(f"encoded again: {words}"))
+    assert [first.tolist(), next(made.encode(texts[1:])).tolist()] == [whole(text) for text in texts]
