@@ -266,6 +266,7 @@ class Network:
     shift: np.ndarray
     out: np.ndarray
     bias: np.ndarray
+    room: np.ndarray | None = None
 
     @classmethod
     def fresh(cls, words: Lexicon) -> Network:
@@ -295,9 +296,21 @@ class Network:
             total += self.embed[k][around[k]]
         return np.tanh(total, out=total)
 
+    def logits(self, h: np.ndarray) -> np.ndarray:
+        """Logits of all classes for ``BATCH`` rows at most, in room that the next call uses again.
+
+        New arrays of this size come from the system and go back to it each time.
+        """
+        if self.room is None:
+            self.room = np.empty((BATCH, CLASSES), "f4")
+        made = np.matmul(h, self.out, out=self.room[: len(h)])
+        made += self.bias
+        return made
+
     def learn(self, around: list[np.ndarray], target: np.ndarray, rate: float) -> None:
         h = self.hidden(around)
-        p = np.exp(h @ self.out + self.bias)
+        p = self.logits(h)
+        np.exp(p, out=p)
         p /= p.sum(1, keepdims=True)
         p[np.arange(len(target)), target] -= 1
         back = (p @ self.out.T) * (1 - h * h)
@@ -314,9 +327,13 @@ class Network:
 
     def log_odds(self, around: list[np.ndarray], target: np.ndarray) -> np.ndarray:
         """Log-probability of each target class."""
-        logits = self.hidden(around) @ self.out + self.bias
-        own = logits[np.arange(len(target)), target]
-        return own - np.log(np.exp(logits, out=logits).sum(1))
+        h = self.hidden(around)
+        odds = np.empty(len(target), "f4")
+        for k in range(0, len(target), BATCH):
+            logits, some = self.logits(h[k : k + BATCH]), target[k : k + BATCH]
+            own = logits[np.arange(len(some)), some]
+            odds[k : k + BATCH] = own - np.log(np.exp(logits, out=logits).sum(1))
+        return odds
 
 
 def _sequence(ids: list[bytes], beyond: int) -> tuple[np.ndarray, np.ndarray]:

@@ -112,3 +112,18 @@ def test_every_position_trains(spark):
         beside = order[:offset] if offset < 0 else order[offset:]
         at = [words.numbers[w] for w in beside]
         assert (network.embed[k][at] != fresh.embed[k][at]).any(1).all()
+
+
+def test_logits_use_the_same_room_and_no_odds_are_lost():
+    """Many positions are scored in parts; the large array is made once."""
+    words = lm.Lexicon({}, {}, None, False, np.ones(50), None, None, np.full(lm.CLASSES, 1 / lm.CLASSES))
+    network, rng = Network.fresh(words), np.random.default_rng(1)
+    count = 2 * lm.BATCH + 5
+    around = [rng.integers(0, 51, count) for _ in lm.OFFSETS]
+    target = rng.integers(0, lm.CLASSES, count)
+    network.learn([a[:100] for a in around], target[:100], 0.3)
+    room = network.room
+    logits = network.hidden(around) @ network.out + network.bias
+    want = logits[np.arange(count), target] - np.log(np.exp(logits).sum(1))
+    assert np.allclose(network.log_odds(around, target), want, atol=1e-5)
+    assert network.room is room and room.shape == (lm.BATCH, lm.CLASSES)
