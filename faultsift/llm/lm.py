@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -53,11 +54,49 @@ def tokens(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
+@dataclass(frozen=True)
+class Split:
+    """The words of some texts, each of the distinct pieces between blanks taken apart once.
+
+    Piece ``k`` is ``sizes[k]`` of ``words`` from ``starts[k]``; ``pieces``
+    numbers the pieces of all texts in order, ``ends`` where each text begins
+    and ends in them.
+    """
+
+    words: list[str]
+    starts: np.ndarray
+    sizes: np.ndarray
+    pieces: np.ndarray
+    ends: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str | None]) -> Split:
+        # No word has an ASCII blank; a piece with another blank has several words.
+        lower = pa.array([(text or "").lower() for text in texts], pa.large_string())
+        parts = pc.ascii_split_whitespace(lower)
+        coded = parts.flatten().dictionary_encode()
+        found = [_WORD.findall(piece) for piece in coded.dictionary.to_numpy(zero_copy_only=False)]
+        sizes = np.fromiter(map(len, found), "<i8", len(found))
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy())])
+        words = list(chain.from_iterable(found))
+        return cls(words, np.cumsum(sizes) - sizes, sizes, coded.indices.to_numpy(), ends)
+
+    def counts(self) -> np.ndarray:
+        """How often the texts have each of ``words`` by way of its piece."""
+        return np.repeat(np.bincount(self.pieces, minlength=len(self.sizes)), self.sizes)
+
+    def in_order(self) -> tuple[np.ndarray, np.ndarray]:
+        """The places in ``words`` of all words of the texts, and where each text begins and ends in these."""
+        sizes = self.sizes[self.pieces]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return np.repeat(self.starts[self.pieces] - ends[:-1], sizes) + np.arange(ends[-1]), ends[self.ends]
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts: counted in each task, then summed by word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
+        seen: dict[str, int] = {}
 
         def hand_on() -> pa.RecordBatch:
             words, counts = list(seen), list(seen.values())
@@ -67,10 +106,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
             )
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(tokens(text))
-                if len(seen) > COUNTED:
-                    yield hand_on()
+            split = Split.of(batch.column(0).to_pylist())
+            for word, n in zip(split.words, split.counts().tolist()):
+                seen[word] = seen.get(word, 0) + n
+            if len(seen) > COUNTED:
+                yield hand_on()
         yield hand_on()
 
     rows = mapped(docs.select("text"), run, "word string, n long")
@@ -221,38 +261,35 @@ def numbered(docs: DataFrame, words: Lexicon) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, held, beyond = sent.value
         first, count = len(numbers), beyond - len(numbers)
-        places = {w: first + hashed(w, count) for w in held}
+        # One look for each word; the last entry is for words that are not known.
+        known = {w: k for k, w in enumerate(chain(numbers, held))}
+        place = np.array([*numbers.values(), *(first + hashed(w, count) for w in held), 0], "<i8")
+        log = np.array([0.0] * first + [*held.values(), 0.0])
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            ids, logs, rest = [], [], []
-            for text in batch.column(1).to_pylist():
-                found = tokens(text)
-                own = [numbers.get(w, -1) for w in found]
-                total, unknown = 0.0, []
-                for k, number in enumerate(own):
-                    if number < 0:
-                        word = found[k]
-                        place = places.get(word)
-                        if place is None:
-                            unknown.append(word)
-                            place = first + hashed(word, count)
-                        else:
-                            total += held[word]
-                        own[k] = place
-                ids.append(np.array(own, "<u2").tobytes())
-                logs.append(total)
-                rest.append(unknown)
+            split = Split.of(batch.column(1).to_pylist())
+            at = np.array([known.get(w, len(known)) for w in split.words], "<i8")
+            own, logs, unknown = place[at], log[at], at == len(known)
+            for k in np.flatnonzero(unknown).tolist():
+                own[k] = first + hashed(split.words[k], count)
+            order, ends = split.in_order()
+            ids, size = own[order].astype("<u2"), batch.num_rows
+            of_text = np.repeat(np.arange(size), np.diff(ends))
+            rest = np.flatnonzero(unknown[order])
+            rare = [split.words[k] for k in order[rest].tolist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.arange(row, row + len(ids))),
+                    pa.array(np.arange(row, row + size)),
                     batch.column(0),
-                    pa.array(ids, pa.binary()),
-                    pa.array(logs, pa.float64()),
-                    pa.array(rest, pa.list_(pa.string())),
+                    pa.array([ids[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
+                    pa.array(np.bincount(of_text, logs[order], size).astype(float)),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.searchsorted(rest, ends), pa.int32()), pa.array(rare, pa.string())
+                    ),
                 ],
                 ["row", "doc_id", "ids", "logs", "rest"],
             )
-            row += len(ids)
+            row += size
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     return mapped(rows, run, "row long, doc_id long, ids binary, logs double, rest array<string>")
@@ -291,48 +328,54 @@ class Network:
         return Network(*made)
 
     def hidden(self, around: list[np.ndarray]) -> np.ndarray:
-        total = self.embed[0][around[0]] + self.shift
+        total = self.embed[0].take(around[0], 0)
+        total += self.shift
         for k in range(1, len(OFFSETS)):
-            total += self.embed[k][around[k]]
+            total += self.embed[k].take(around[k], 0)
         return np.tanh(total, out=total)
 
     def logits(self, h: np.ndarray) -> np.ndarray:
-        """Logits of all classes for ``BATCH`` rows at most, in room that the next call uses again.
+        """Logits of all classes but for the bias, for ``BATCH`` rows at most, in room that the next call uses again.
 
-        New arrays of this size come from the system and go back to it each time.
+        New arrays of this size come from the system and go back to it each
+        time. The bias is a factor of what the logits are summed with: one pass
+        less over all of them.
         """
         if self.room is None:
             self.room = np.empty((BATCH, CLASSES), "f4")
-        made = np.matmul(h, self.out, out=self.room[: len(h)])
-        made += self.bias
-        return made
+        return np.matmul(h, self.out, out=self.room[: len(h)])
 
     def learn(self, around: list[np.ndarray], target: np.ndarray, rate: float) -> None:
-        h = self.hidden(around)
+        h, lift = self.hidden(around), np.exp(self.bias)
         p = self.logits(h)
         np.exp(p, out=p)
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(len(target)), target] -= 1
-        back = (p @ self.out.T) * (1 - h * h)
+        # Each row stays ``total`` times its probabilities over ``lift``.
+        total = p @ lift
+        p[np.arange(len(target)), target] -= total / lift[target]
+        share = 1 / total
+        back = p @ (self.out * lift).T
+        back *= (1 - h * h) * share[:, None]
+        h *= share[:, None]
         step = rate / len(target)
-        self.out -= step * (h.T @ p)
-        self.bias -= step * p.sum(0)
+        self.out -= (h.T @ p) * (step * lift)
+        self.bias -= (share @ p) * (step * lift)
         self.shift -= step * back.sum(0)
         # An embedding moves by the sum, not the mean, as each is met seldom.
         back *= rate / math.sqrt(len(target))
-        # One number for each value, as numpy adds those faster than rows.
+        # Two numbers for each complex value, as numpy adds those faster than rows.
+        pairs, half = back.view("c8").ravel(), np.arange(WIDTH // 2)
         for k in range(len(OFFSETS)):
-            places = (around[k] * WIDTH)[:, None] + np.arange(WIDTH)
-            np.subtract.at(self.embed[k].reshape(-1), places.ravel(), back.ravel())
+            places = (around[k] * (WIDTH // 2))[:, None] + half
+            np.subtract.at(self.embed[k].view("c8").reshape(-1), places.ravel(), pairs)
 
     def log_odds(self, around: list[np.ndarray], target: np.ndarray) -> np.ndarray:
         """Log-probability of each target class."""
-        h = self.hidden(around)
-        odds = np.empty(len(target), "f4")
+        odds, lift = np.empty(len(target), "f4"), np.exp(self.bias)
         for k in range(0, len(target), BATCH):
-            logits, some = self.logits(h[k : k + BATCH]), target[k : k + BATCH]
-            own = logits[np.arange(len(some)), some]
-            odds[k : k + BATCH] = own - np.log(np.exp(logits, out=logits).sum(1))
+            some = target[k : k + BATCH]
+            logits = self.logits(self.hidden([a[k : k + BATCH] for a in around]))
+            own = logits[np.arange(len(some)), some] + self.bias[some]
+            odds[k : k + BATCH] = own - np.log(np.exp(logits, out=logits) @ lift)
         return odds
 
 

@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -127,3 +128,55 @@ def test_logits_use_the_same_room_and_no_odds_are_lost():
     want = logits[np.arange(count), target] - np.log(np.exp(logits).sum(1))
     assert np.allclose(network.log_odds(around, target), want, atol=1e-5)
     assert network.room is room and room.shape == (lm.BATCH, lm.CLASSES)
+
+
+SPACES = ["a\x1cb\x85c d e", " \t\nlead trail\r\n\v\f", "ΑΣ ΣΑΣ. İstanbul I.", "q́ ​ z", "\x00a b"]
+
+
+def test_words_split_by_piece_are_those_of_the_texts():
+    """Blanks of all kinds, endings that depend on the whole word, empty and null texts."""
+    texts = [*(r[1] for r in ODD), *SPACES, "", None, "a-b_c 3.5 a-b_c a-b_c", "x" * 5000]
+    for some in (texts, texts[::-1], ["", None], []):
+        split = lm.Split.of(some)
+        order, ends = split.in_order()
+        got = [split.words[k] for k in order.tolist()]
+        assert [got[a:b] for a, b in zip(ends[:-1], ends[1:])] == [tokens(t) for t in some]
+        counts = Counter()
+        for word, n in zip(split.words, split.counts().tolist()):
+            counts[word] += n
+        assert counts == Counter(w for t in some for w in tokens(t))
+
+
+def test_each_distinct_piece_is_taken_apart_once(monkeypatch):
+    """Counting and numbering look at the pieces of a batch, not at each word of each text."""
+    seen = []
+
+    class Pattern:
+        def findall(self, text):
+            seen.append(text)
+            return lm.re.findall(r"\w+|[^\w\s]", text)
+
+    monkeypatch.setattr(lm, "_WORD", Pattern())
+    split = lm.Split.of(["b, a b, c"] * 300)
+    assert sorted(seen) == ["a", "b,", "c"] and sorted(split.counts().tolist()) == [300, 300, 600, 600]
+
+
+def test_a_step_moves_by_the_plain_gradient():
+    """Bias as a factor, pairs of values added at a time: the same step as written out in doubles."""
+    words = lm.Lexicon({}, {}, None, False, np.ones(50), None, None, np.full(lm.CLASSES, 1 / lm.CLASSES))
+    network, rng = Network.fresh(words), np.random.default_rng(2)
+    network.bias += rng.normal(0, 2, lm.CLASSES).astype("f4")
+    network.out *= 5
+    around = [rng.integers(0, 51, 700) for _ in lm.OFFSETS]
+    target = rng.integers(0, lm.CLASSES, 700)
+    embed, shift, out, bias = (p.astype(float) for p in network.parts)
+    h = np.tanh(sum(embed[k][a] for k, a in enumerate(around)) + shift)
+    p = np.exp(h @ out + bias)
+    p /= p.sum(1, keepdims=True)
+    p[np.arange(700), target] -= 1
+    back = (p @ out.T) * (1 - h * h)
+    for k, a in enumerate(around):
+        np.subtract.at(embed[k], a, back * 0.3 / math.sqrt(700))
+    want = [embed, shift - 0.3 * back.mean(0), out - 0.3 * h.T @ p / 700, bias - 0.3 * p.mean(0)]
+    network.learn(around, target, 0.3)
+    assert all(np.allclose(got, w, atol=2e-6) for got, w in zip(network.parts, want))
