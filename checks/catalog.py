@@ -45,6 +45,7 @@ from faultsift.sources.ledger import (
     record_posted,
 )
 from faultsift.sources.newest import read_candidates, start_newest
+from faultsift.sources.objects import write_objects
 from faultsift.sources.payloads import (
     land_payloads,
     open_payload_table,
@@ -63,9 +64,6 @@ CAP = 500
 # Buckets of a landed payload table; thousands on a cluster.
 BUCKETS = 16
 
-# Tasks that write one file an object, at least.
-OBJECT_WRITERS = 64
-
 
 class Inputs:
     """The triage inputs of one data directory, and the steps over them."""
@@ -374,19 +372,11 @@ def landed_payload_join(t: Inputs) -> DataFrame:
     return joined.select("session_id", "obj_uri", "body")
 
 
-def object_writers(spark: SparkSession) -> int:
-    """Tasks that write objects, whatever their size."""
-    return max(OBJECT_WRITERS, 4 * spark.sparkContext.defaultParallelism)
-
-
 def payload_objects_join(t: Inputs) -> DataFrame:
     """Payloads written as one file each, landed in one listing and joined to pointers at the files."""
     folder = work_folder(t.spark, "objects")
     path = f"{work_folder(t.spark, 'payloads')}/landed"
-    named = t.joined.select("session_id", "body")
-    # A file costs far more than its bytes: left alone, AQE would give all to one task.
-    dealt = named.repartition(object_writers(t.spark), "session_id")
-    dealt.write.partitionBy("session_id").text(folder)
+    write_objects(t.joined.select("session_id", "body"), folder, "session_id")
     land_payloads(read_payload_objects(t.spark, folder, "s3a://copy/flows"), path, BUCKETS)
     objects = open_payload_table(t.spark, path)
     owner = F.regexp_extract("obj_uri", "session_id=([^/]+)/", 1)

@@ -11,6 +11,14 @@ def _at(spark: SparkSession, path: str):
     return at.getFileSystem(conf), at
 
 
+def seen_as_local(spark: SparkSession, path: str) -> str | None:
+    """The path without its scheme where it is in the local file system, which may be a mount that all machines share."""
+    files, at = _at(spark, path)
+    if files.getUri().getScheme() != "file":
+        return None
+    return files.makeQualified(at).toUri().getPath()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     """Does nothing where the folder exists, also if others make it at the same time."""
     files, at = _at(spark, path)

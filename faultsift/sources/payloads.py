@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from faultsift.functions.pointers import BUCKET_COUNT, listed_uri, uri_bucket
 from faultsift.operators.payloads import LandedTable
 from faultsift.sources.files import make_folder, names_in, put_marker, remove
+from faultsift.sources.objects import read_local_objects
 
 ROWS = "obj_uri STRING, body STRING, landed_at TIMESTAMP"
 LAYOUT = "buckets INT"
@@ -21,8 +22,11 @@ LAYOUT = "buckets INT"
 HELD = "landing STRING"
 
 
-def _as_payloads(files: DataFrame, prefix: str, store: str | None) -> DataFrame:
-    uri = listed_uri(F.col("_metadata.file_path"))
+def _as_payloads(
+    files: DataFrame, prefix: str, store: str | None, uri: Column | None = None
+) -> DataFrame:
+    if uri is None:
+        uri = listed_uri(F.col("_metadata.file_path"))
     if store is not None:
         # What follows the prefix in the path, whatever the scheme before it.
         folder = prefix.split("://")[-1].removeprefix("file:").strip("/")
@@ -37,8 +41,12 @@ def read_payload_objects(spark: SparkSession, prefix: str, store: str | None = N
     The prefix is listed and joined: a list of single paths would fail as a
     whole when one object is missing. ``store`` is the URI that pointers have
     where the prefix is a copy or a mount of it. For a store of any size land
-    its objects and look them up in the landed table.
+    its objects and look them up in the landed table. Below a folder that is seen
+    as local, tasks list and read: the objects are those found when rows are taken.
     """
+    local = read_local_objects(spark, prefix)
+    if local is not None:
+        return _as_payloads(local, prefix, store, F.col("uri"))
     files = spark.read.option("recursiveFileLookup", "true").text(prefix, wholetext=True)
     return _as_payloads(files, prefix, store)
 
